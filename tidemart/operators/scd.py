@@ -34,6 +34,7 @@ from tidemart.config import (
 from tidemart.functions import row_hash
 from tidemart.operators.clean import dedup_latest
 from tidemart.operators.keys import dense_keys
+from tidemart.session import materialize as _materialize
 
 _SRC = "s__"
 
@@ -175,7 +176,8 @@ def compute_scd2_snapshot(existing_dim: DataFrame | None, source_df: DataFrame,
                           as_of_date: date, business_key: str | None = None,
                           tracked_cols: Sequence[str] | None = None,
                           spec: ScdSpec | None = None,
-                          num_buckets: int | None = None) -> DataFrame:
+                          num_buckets: int | None = None,
+                          materialize: bool = True) -> DataFrame:
     """Full new dimension after applying one source snapshot at ``as_of_date``.
 
     * unchanged current rows: carried (start date kept);
@@ -188,6 +190,10 @@ def compute_scd2_snapshot(existing_dim: DataFrame | None, source_df: DataFrame,
 
     Raises if ``as_of_date`` is before the newest version start (that would
     create inverted intervals). The source must have one row per key.
+
+    With ``materialize`` (default) the classified join result is written once
+    to the shared folder, so the join runs once although both the carried
+    rows and the key assignment of the new rows read it.
     """
     spec = _spec(business_key, tracked_cols, spec)
     if existing_dim is None:
@@ -200,6 +206,8 @@ def compute_scd2_snapshot(existing_dim: DataFrame | None, source_df: DataFrame,
     if max_start is not None and as_of_date < max_start:
         raise ValueError(f"as_of_date {as_of_date} is before the newest version start {max_start}")
     hist, exploded, cols = _classified(existing_dim, source_df, as_of_date, spec)
+    if materialize:
+        exploded = _materialize(exploded, "scd2-classified")
     kept = exploded.filter(F.col("_action") != "new").select(*cols)
     new = dense_keys(exploded.filter(F.col("_action") == "new").select(*cols).drop(spec.sk_col),
                      [spec.business_key], spec.sk_col, int(max_sk), num_buckets).select(*cols)
@@ -217,6 +225,7 @@ def scd2_changes(existing_dim: DataFrame, source_df: DataFrame, as_of_date: date
     spec = spec or CUSTOMER_SCD
     max_sk, _ = _dim_stats(existing_dim, spec)
     _, exploded, cols = _classified(existing_dim, source_df, as_of_date, spec)
+    exploded = _materialize(exploded, "scd2-changes")
     expired = exploded.filter(F.col("_action") == "expire").select(*cols, F.lit("expire").alias("_change"))
     new = dense_keys(exploded.filter(F.col("_action") == "new").select(*cols).drop(spec.sk_col),
                      [spec.business_key], spec.sk_col, int(max_sk or 0), num_buckets)

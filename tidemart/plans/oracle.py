@@ -51,28 +51,65 @@ _SRC_COLS = "customer_id, loyalty_tier, address, city, state, postal_code, email
 
 
 def _merge_step(prev: str, src: str, as_of: str, key: str = "customer_id",
-                sk: str = "customer_sk", tracked=TRACKED) -> str:
-    """One SCD2 merge written as four SQL branches (keep/expire/new/history)."""
-    return f"""(
+                sk: str = "customer_sk", tracked=TRACKED, deleted: str | None = None,
+                refresh: tuple[str, ...] = (), changes_only: bool = False) -> str:
+    """One SCD2 merge written as four SQL branches (history/keep/expire/new)."""
+    dele = f"coalesce(s.{deleted}, FALSE)" if deleted else "FALSE"
+    s_cols = f"s.* EXCLUDE ({deleted})" if deleted else "s.*"
+    keep_sel = "cur.*"
+    if refresh:
+        repl = ", ".join(f"CASE WHEN s.{key} IS NOT NULL THEN s.{c} ELSE cur.{c} END AS {c}" for c in refresh)
+        keep_sel = f"cur.* REPLACE ({repl})"
+    expire = f"""SELECT cur.* REPLACE (DATE '{as_of}' - 1 AS effective_end_date, FALSE AS is_current)
+    {", 'expire' AS _change" if changes_only else ""}
+    FROM cur JOIN s ON cur.{key} = s.{key} WHERE s.row_hash <> cur.row_hash OR {dele}"""
+    new = f"""SELECT n.*, CAST((SELECT m FROM m) + row_number() OVER (ORDER BY n.{key}) AS BIGINT) AS {sk},
+         DATE '{as_of}' AS effective_start_date, DATE '9999-12-31' AS effective_end_date,
+         TRUE AS is_current {", 'insert' AS _change" if changes_only else ""}
+    FROM (SELECT {s_cols} FROM s LEFT JOIN cur ON cur.{key} = s.{key}
+           WHERE NOT {dele} AND (cur.{key} IS NULL OR cur.row_hash <> s.row_hash)) n"""
+    head = f"""(
   WITH s AS (SELECT *, {_hash(tracked)} AS row_hash FROM {src}),
        cur AS (SELECT * FROM {prev} WHERE is_current),
        m AS (SELECT coalesce(max({sk}), 0) AS m FROM {prev})
-  SELECT * FROM {prev} WHERE NOT is_current
+"""
+    if changes_only:
+        return head + f"  {expire}\n  UNION ALL BY NAME\n  {new}\n)"
+    return head + f"""  SELECT * FROM {prev} WHERE NOT is_current
   UNION ALL BY NAME
-  SELECT cur.* FROM cur LEFT JOIN s ON cur.{key} = s.{key}
-   WHERE s.{key} IS NULL OR s.row_hash = cur.row_hash
+  SELECT {keep_sel} FROM cur LEFT JOIN s ON cur.{key} = s.{key}
+   WHERE s.{key} IS NULL OR (s.row_hash = cur.row_hash AND NOT {dele})
   UNION ALL BY NAME
-  SELECT cur.* REPLACE (DATE '{as_of}' - 1 AS effective_end_date, FALSE AS is_current)
-    FROM cur JOIN s ON cur.{key} = s.{key} WHERE s.row_hash <> cur.row_hash
+  {expire}
   UNION ALL BY NAME
-  SELECT n.*, CAST((SELECT m FROM m) + row_number() OVER (ORDER BY n.{key}) AS BIGINT) AS {sk},
-         DATE '{as_of}' AS effective_start_date, DATE '9999-12-31' AS effective_end_date,
-         TRUE AS is_current
-    FROM (SELECT s.* FROM s LEFT JOIN cur ON cur.{key} = s.{key}
-           WHERE cur.{key} IS NULL OR cur.row_hash <> s.row_hash) n
+  {new}
 )"""
 
 
+def _product_shape(version: int) -> str:
+    if version == 1:
+        name, price, day, where = ("p_name", "CAST(p_retailprice AS DECIMAL(10,2))", "p_partkey % 60", "")
+    else:
+        name = "CASE WHEN p_partkey % 8 = 0 THEN p_name || ' v2' ELSE p_name END"
+        price = ("CAST(CASE WHEN p_partkey % 6 = 0 THEN round(CAST(p_retailprice AS DECIMAL(10,2)) "
+                 "* CAST(1.10 AS DECIMAL(3,2)), 2) ELSE CAST(p_retailprice AS DECIMAL(10,2)) END AS DECIMAL(10,2))")
+        day, where = "p_partkey % 60 + 90", "WHERE p_partkey % 4 <> 3"
+    return f"""SELECT p_partkey AS product_id, 'SKU-' || lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS sku,
+    {name} AS product_name, p_type AS category, p_brand AS subcategory, {price} AS unit_price,
+    TIMESTAMP '2025-06-01 00:00:00' AS created_at,
+    CAST(DATE '2026-01-01' + CAST({day} AS INTEGER) AS TIMESTAMP) AS updated_at
+  FROM part {where}"""
+
+
+PRODUCT_TRACKED = ("unit_price", "category", "subcategory")
+ORDER_RULES = (
+    ("customer_present", "customer_id IS NOT NULL"),
+    ("shipping_non_negative", "shipping_cost >= 0"),
+    ("status_in_domain", "upper(trim(order_status)) IN ('PLACED', 'SHIPPED', 'DELIVERED', 'CANCELLED', 'RETURNED')"),
+    ("order_date_present", "order_date IS NOT NULL"),
+)
+
+
 PRELUDE = f"""
 WITH
 geo AS (SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey),
@@ -165,6 +202,58 @@ items_silver AS (
                        * CAST(0.01 AS DECIMAL(2,2)), 2) AS DOUBLE) AS line_total
   FROM items_raw
 ),
+products_v1 AS ({_product_shape(1)}),
+products_v2 AS ({_product_shape(2)}),
+product_type1 AS (
+  SELECT * FROM (SELECT * FROM products_v1 UNION ALL BY NAME SELECT * FROM products_v2)
+  QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY updated_at DESC NULLS LAST) = 1
+),
+psrc_v1 AS (SELECT product_id, unit_price, category, subcategory, sku, product_name FROM products_v1),
+psrc_v2 AS (SELECT product_id, unit_price, category, subcategory, sku, product_name FROM products_v2),
+pdim1 AS (
+  SELECT *, {_hash(PRODUCT_TRACKED)} AS row_hash,
+    CAST(row_number() OVER (ORDER BY product_id) AS BIGINT) AS product_sk,
+    DATE '2026-01-01' AS effective_start_date, DATE '9999-12-31' AS effective_end_date,
+    TRUE AS is_current
+  FROM psrc_v1
+),
+pdim2 AS {_merge_step('pdim1', 'psrc_v2', '2026-04-01', 'product_id', 'product_sk', PRODUCT_TRACKED)},
+src_del AS (SELECT *, customer_id % 19 = 0 AS is_deleted FROM src_v2),
+snaps AS (
+  SELECT *, DATE '2026-01-01' AS snapshot_date FROM src_v1
+  UNION ALL BY NAME SELECT *, DATE '2026-03-01' AS snapshot_date FROM src_v2
+  UNION ALL BY NAME SELECT *, DATE '2026-04-01' AS snapshot_date FROM src_v3
+),
+change_points AS (
+  SELECT * FROM (SELECT *, {_hash()} AS row_hash FROM snaps)
+  QUALIFY lag(row_hash) OVER (PARTITION BY customer_id ORDER BY snapshot_date) IS DISTINCT FROM row_hash
+),
+backfill AS (
+  SELECT * EXCLUDE (snapshot_date), snapshot_date AS effective_start_date,
+    coalesce(lead(snapshot_date) OVER w - 1, DATE '9999-12-31') AS effective_end_date,
+    lead(snapshot_date) OVER w IS NULL AS is_current,
+    CAST(row_number() OVER (ORDER BY snapshot_date, customer_id) AS BIGINT) AS customer_sk
+  FROM change_points
+  WINDOW w AS (PARTITION BY customer_id ORDER BY snapshot_date)
+),
+dim_asof AS (
+  SELECT customer_id, customer_sk, loyalty_tier,
+    CASE WHEN row_number() OVER (PARTITION BY customer_id ORDER BY effective_start_date) = 1
+         THEN DATE '0001-01-01' ELSE effective_start_date END AS vstart,
+    effective_end_date AS vend
+  FROM dim3
+),
+fact_asof AS (
+  SELECT i.order_id, i.order_item_id, d.customer_sk, i.product_id, o.order_date, o.order_status,
+    i.quantity, i.unit_price, i.discount_pct, i.line_total, d.loyalty_tier
+  FROM items_silver i JOIN orders_valid o ON i.order_id = o.order_id
+  JOIN dim_asof d ON o.customer_id = d.customer_id AND CAST(o.order_date AS DATE) BETWEEN d.vstart AND d.vend
+),
+copies AS (
+  SELECT * FROM customers_raw
+  UNION ALL BY NAME
+  SELECT * REPLACE (customer_id + 2000000 AS customer_id) FROM customers_raw WHERE customer_id % 250 = 7
+),
 fact_current AS (
   SELECT i.order_id, i.order_item_id, d.customer_sk, i.product_id, o.order_date, o.order_status,
     i.quantity, i.unit_price, i.discount_pct, i.line_total, d.loyalty_tier
@@ -192,5 +281,61 @@ FINAL = {
 }
 
 
+def _ri(name, child, ck, parent, pk):
+    return (f"SELECT '{name}' AS check_name, CAST(c.{ck} AS BIGINT) AS key_value, "
+            f"CAST(count(*) AS BIGINT) AS n_rows FROM {child} c WHERE c.{ck} IS NOT NULL "
+            f"AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pk} = c.{ck}) GROUP BY c.{ck}")
+
+
+def _dups(name, tbl, k):
+    return (f"SELECT '{name}' AS table_name, CAST({k} AS BIGINT) AS key_value, "
+            f"CAST(count(*) AS BIGINT) AS n_rows FROM {tbl} GROUP BY {k} HAVING count(*) > 1")
+
+
+_CD_ATTRS = ("first_name", "last_name", "email", "address", "city", "state", "postal_code", "loyalty_tier")
+
+FINAL.update({
+    "scd2_backfill": "SELECT * FROM backfill",
+    "scd2_changes": "SELECT * FROM " + _merge_step("dim2", "src_v3", "2026-04-01", changes_only=True),
+    "scd2_deletes": "SELECT * FROM " + _merge_step("dim1", "src_del", "2026-03-01", deleted="is_deleted"),
+    "scd2_refresh_passthrough": "SELECT * FROM " + _merge_step(
+        "dim1", "src_v2", "2026-03-01", refresh=("first_name", "last_name", "country")),
+    "dim_product_type1": "SELECT * FROM product_type1",
+    "dim_product_scd2": "SELECT * FROM pdim2",
+    "fact_sales_as_of": "SELECT * FROM fact_asof",
+    "fact_sales_product": ("SELECT f.*, p.sku, p.category, p.subcategory FROM fact_current f "
+                           "LEFT JOIN product_type1 p ON f.product_id = p.product_id"),
+    "revenue_by_tier_as_of": _REVENUE.format(src="fact_asof"),
+    "ri_orphans": " UNION ALL ".join([
+        _ri("order_items.order_id->orders_valid", "items_raw", "order_id", "orders_valid", "order_id"),
+        _ri("order_items.product_id->products", "items_raw", "product_id", "products_v1", "product_id"),
+        _ri("orders.customer_id->customers", "orders_raw", "customer_id", "customers_raw", "customer_id"),
+        _ri("inventory.product_id->products", "(SELECT p_partkey AS product_id FROM part)", "product_id",
+            "products_v1", "product_id"),
+    ]),
+    "key_uniqueness": " UNION ALL ".join([
+        _dups("customers", "customers_raw", "customer_id"),
+        _dups("orders", "orders_raw", "order_id"),
+        _dups("order_items", "items_raw", "order_item_id"),
+        _dups("products", "products_v1", "product_id"),
+    ]),
+    "expectations_summary": " UNION ALL ".join(
+        f"SELECT '{n}' AS rule, CAST(count(*) AS BIGINT) AS rows_checked, "
+        f"CAST(sum(CASE WHEN coalesce({r}, FALSE) THEN 0 ELSE 1 END) AS BIGINT) AS rows_failed FROM orders_raw"
+        for n, r in ORDER_RULES),
+    "orders_failed_rules": (
+        "SELECT order_id, updated_at, failed_rules, failed_rules = '' AS _dq_valid FROM ("
+        "SELECT order_id, updated_at, concat_ws(',', "
+        + ", ".join(f"CASE WHEN coalesce({r}, FALSE) THEN NULL ELSE '{n}' END" for n, r in ORDER_RULES)
+        + ") AS failed_rules FROM orders_raw)"),
+    "content_duplicates": (
+        "SELECT " + ", ".join(f"lower(trim(CAST({a} AS VARCHAR))) AS {a}" for a in _CD_ATTRS)
+        + ", min(customer_id) AS keep_id, CAST(count(*) AS BIGINT) AS n_rows, "
+        "CAST(count(DISTINCT customer_id) AS BIGINT) AS n_ids FROM copies GROUP BY "
+        + ", ".join(str(i + 1) for i in range(len(_CD_ATTRS)))
+        + " HAVING count(DISTINCT customer_id) > 1"),
+})
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: PRELUDE + v for k, v in FINAL.items()}

@@ -6,13 +6,18 @@ so its work grows with the scale factor.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemart.config import CUSTOMER_SCD, PRODUCT_SCD
 from tidemart.operators import clean, quality, scd
-from tidemart.operators.marts import build_fact_sales, revenue_by_tier
+from tidemart.operators.marts import attach_product, build_fact_sales, revenue_by_tier, revenue_by_tier_sql
+from tidemart.session import materialize
 from tidemart.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +70,8 @@ def dim_after(spark, sf, version: int) -> DataFrame:
     for v in range(1, version + 1):
         src = td.customer_snapshot(spark, sf, v)
         dim = scd.compute_scd2_snapshot(dim, src, _d(td.SNAPSHOT_DATES[v]))
+        if v < version:  # each published snapshot is a written table
+            dim = materialize(dim, f"dim-customer-v{v}")
     return dim
 
 
@@ -111,3 +118,149 @@ QUERIES: dict[str, Query] = {
     "fact_sales_current": q_fact_sales_current,
     "revenue_by_tier": q_revenue_by_tier,
 }
+
+
+# --- gold: SCD variants ---------------------------------------------------------
+
+def _snapshots_with_dates(spark, sf) -> DataFrame:
+    out = None
+    for v, d in td.SNAPSHOT_DATES.items():
+        s = td.customer_snapshot(spark, sf, v).withColumn("snapshot_date", F.lit(d).cast("date"))
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+def q_scd2_backfill(spark, sf):
+    return scd.scd2_backfill(_snapshots_with_dates(spark, sf), "snapshot_date")
+
+
+def q_scd2_changes(spark, sf):
+    dim2 = materialize(dim_after(spark, sf, 2), "dim-customer-v2")
+    return scd.scd2_changes(dim2, td.customer_snapshot(spark, sf, 3), _d(td.SNAPSHOT_DATES[3]))
+
+
+def q_scd2_deletes(spark, sf):
+    spec = replace(CUSTOMER_SCD, deleted_col="is_deleted")
+    dim1 = materialize(dim_after(spark, sf, 1), "dim-customer-v1")
+    return scd.compute_scd2_snapshot(dim1, td.customer_deletes(spark, sf), _d(td.SNAPSHOT_DATES[2]), spec=spec)
+
+
+def q_scd2_refresh_passthrough(spark, sf):
+    spec = replace(CUSTOMER_SCD, passthrough_mode="refresh")
+    dim1 = materialize(dim_after(spark, sf, 1), "dim-customer-v1")
+    return scd.compute_scd2_snapshot(dim1, td.customer_snapshot(spark, sf, 2), _d(td.SNAPSHOT_DATES[2]),
+                                     spec=spec)
+
+
+# --- gold: product dimension ----------------------------------------------------
+
+PRODUCT_DATES = ("2026-01-01", "2026-04-01")
+
+
+def q_dim_product_type1(spark, sf):
+    both = td.products_raw(spark, sf, 1).unionByName(td.products_raw(spark, sf, 2))
+    return scd.scd1_latest(both, ["product_id"], ["updated_at"])
+
+
+def q_dim_product_scd2(spark, sf):
+    cols = PRODUCT_SCD.source_columns
+    dim1 = materialize(scd.initialize_dimension(td.products_raw(spark, sf, 1).select(*cols),
+                                                as_of_date=_d(PRODUCT_DATES[0]), spec=PRODUCT_SCD),
+                       "dim-product-v1")
+    return scd.compute_scd2_snapshot(dim1, td.products_raw(spark, sf, 2).select(*cols),
+                                     _d(PRODUCT_DATES[1]), spec=PRODUCT_SCD)
+
+
+# --- gold: facts ----------------------------------------------------------------
+
+def q_fact_sales_as_of(spark, sf):
+    return fact_sales(spark, sf, "as_of")
+
+
+def q_fact_sales_product(spark, sf):
+    return attach_product(fact_sales(spark, sf, "current"), q_dim_product_type1(spark, sf))
+
+
+def q_revenue_by_tier_as_of(spark, sf):
+    view = f"fact_sales_as_of_{uuid.uuid4().hex[:8]}"
+    fact_sales(spark, sf, "as_of").createOrReplaceTempView(view)
+    return revenue_by_tier_sql(spark, view)
+
+
+# --- quality ---------------------------------------------------------------------
+
+ORDER_RULES = {
+    "customer_present": "customer_id IS NOT NULL",
+    "shipping_non_negative": "shipping_cost >= 0",
+    "status_in_domain": "upper(trim(order_status)) IN ('PLACED', 'SHIPPED', 'DELIVERED', 'CANCELLED', 'RETURNED')",
+    "order_date_present": "order_date IS NOT NULL",
+}
+
+
+def q_ri_orphans(spark, sf):
+    """Foreign keys without parent, per check and key, with row counts."""
+    items = td.order_items_raw(spark, sf)
+    checks = [
+        ("order_items.order_id->orders_valid", items, "order_id", q_orders_valid(spark, sf), "order_id"),
+        ("order_items.product_id->products", items, "product_id", td.products_raw(spark, sf, 1), "product_id"),
+        ("orders.customer_id->customers", td.orders_raw(spark, sf), "customer_id",
+         td.customers_raw(spark, sf), "customer_id"),
+        ("inventory.product_id->products", td.inventory_raw(spark, sf), "product_id",
+         td.products_raw(spark, sf, 1), "product_id"),
+    ]
+    out = None
+    for name, child, ck, parent, pk in checks:
+        o = (quality.ri_orphans(child, parent, ck, pk)
+             .groupBy(F.col(ck).cast("bigint").alias("key_value"))
+             .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+             .select(F.lit(name).alias("check_name"), "key_value", "n_rows"))
+        out = o if out is None else out.unionByName(o)
+    return out
+
+
+def q_key_uniqueness(spark, sf):
+    checks = [
+        ("customers", td.customers_raw(spark, sf), "customer_id"),
+        ("orders", td.orders_raw(spark, sf), "order_id"),
+        ("order_items", td.order_items_raw(spark, sf), "order_item_id"),
+        ("products", td.products_raw(spark, sf, 1), "product_id"),
+    ]
+    out = None
+    for name, df, k in checks:
+        o = quality.key_uniqueness(df, [k]).select(
+            F.lit(name).alias("table_name"), F.col(k).cast("bigint").alias("key_value"), "n_rows")
+        out = o if out is None else out.unionByName(o)
+    return out
+
+
+def q_expectations_summary(spark, sf):
+    return quality.expectation_summary(td.orders_raw(spark, sf), ORDER_RULES)
+
+
+def q_orders_failed_rules(spark, sf):
+    checked = quality.apply_expectations(td.orders_raw(spark, sf), ORDER_RULES)
+    return checked.select("order_id", "updated_at", "_dq_valid",
+                          F.array_join("_dq_failed_rules", ",").alias("failed_rules"))
+
+
+def q_content_duplicates(spark, sf):
+    attrs = ["first_name", "last_name", "email", "address", "city", "state", "postal_code", "loyalty_tier"]
+    return quality.content_duplicates(td.customer_content_copies(spark, sf), "customer_id", attrs)
+
+
+QUERIES.update({
+    "scd2_backfill": q_scd2_backfill,
+    "scd2_changes": q_scd2_changes,
+    "scd2_deletes": q_scd2_deletes,
+    "scd2_refresh_passthrough": q_scd2_refresh_passthrough,
+    "dim_product_type1": q_dim_product_type1,
+    "dim_product_scd2": q_dim_product_scd2,
+    "fact_sales_as_of": q_fact_sales_as_of,
+    "fact_sales_product": q_fact_sales_product,
+    "revenue_by_tier_as_of": q_revenue_by_tier_as_of,
+    "ri_orphans": q_ri_orphans,
+    "key_uniqueness": q_key_uniqueness,
+    "expectations_summary": q_expectations_summary,
+    "orders_failed_rules": q_orders_failed_rules,
+    "content_duplicates": q_content_duplicates,
+})

@@ -59,3 +59,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` as parquet below the shared root and read it back.
+
+    A durable lineage cut: later stages (and retries after an executor
+    loss) read the files instead of recomputing the plan, and the re-read
+    carries file statistics for pruning.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

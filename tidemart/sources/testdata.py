@@ -92,21 +92,24 @@ def customer_snapshot(spark: SparkSession, sf_dir: str, version: int = 1) -> Dat
     v1 = clean_customers(customers_raw(spark, sf_dir)).select(*CUSTOMER_SCD.source_columns)
     if version == 1:
         return v1
+    if version not in (2, 3):
+        raise ValueError("version must be 1, 2 or 3")
     k = F.col("customer_id")
-    tier2 = F.when(k % 7 == 0, _rotate_tier(F.col("loyalty_tier"))).otherwise(F.col("loyalty_tier"))
-    fname = F.when(k % 11 == 0, F.concat(F.col("first_name"), F.lit("x"))).otherwise(F.col("first_name"))
+    # One pass: ids with id%17=0 are emitted twice, the copy as a new customer.
+    rows = v1.withColumn("_copy", F.explode(
+        F.when(k % 17 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    old = ~F.col("_copy")
+    tier = F.col("loyalty_tier")
+    tier2 = F.when(old & (k % 7 == 0), _rotate_tier(tier)).otherwise(tier)
+    fname = F.when(old & (k % 11 == 0), F.concat(F.col("first_name"), F.lit("x"))).otherwise(F.col("first_name"))
     if version == 2:
-        kept = v1.filter(k % 13 != 0).withColumns({"loyalty_tier": tier2, "first_name": fname})
-    elif version == 3:
-        kept = (v1.withColumns({"loyalty_tier": tier2, "first_name": fname})
-                  .withColumn("loyalty_tier", F.when(k % 5 == 0, _rotate_tier(F.col("loyalty_tier")))
-                                                .otherwise(F.col("loyalty_tier")))
-                  .withColumn("city", F.when(k % 26 == 0, F.concat(F.col("city"), F.lit(" North")))
-                                       .otherwise(F.col("city"))))
+        rows = rows.filter(~old | (k % 13 != 0)).withColumns({"loyalty_tier": tier2, "first_name": fname})
     else:
-        raise ValueError("version must be 1, 2 or 3")
-    new = v1.filter(k % 17 == 0).withColumn("customer_id", k + NEW_KEY_OFFSET)
-    return kept.unionByName(new)
+        tier3 = F.when(old & (k % 5 == 0), _rotate_tier(tier2)).otherwise(tier2)
+        city = F.when(old & (k % 26 == 0), F.concat(F.col("city"), F.lit(" North"))).otherwise(F.col("city"))
+        rows = rows.withColumns({"loyalty_tier": tier3, "first_name": fname, "city": city})
+    rows = rows.withColumn("customer_id", F.when(old, k).otherwise(k + NEW_KEY_OFFSET))
+    return rows.select(*CUSTOMER_SCD.source_columns)
 
 
 SNAPSHOT_DATES = {1: "2026-01-01", 2: "2026-03-01", 3: "2026-04-01"}
@@ -156,10 +159,12 @@ def order_items_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products_raw(spark: SparkSession, sf_dir: str, version: int = 1) -> DataFrame:
-    """products from part; version 2 raises the price of every sixth part
-    by 10 % and renames every eighth (an untracked change)."""
+    """products from part; version 2 (parts with key%4 != 3 only) raises the
+    price of every sixth part by 10 % and renames every eighth (untracked)."""
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
+    if version == 2:
+        p = p.filter(k % 4 != 3)
     price = F.col("p_retailprice").cast("decimal(10,2)")
     name = F.col("p_name")
     day = k % 60
@@ -197,3 +202,17 @@ def inventory_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
+
+
+def customer_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot 2 with an explicit delete flag (``is_deleted`` for id%19=0)."""
+    src = customer_snapshot(spark, sf_dir, 2)
+    return src.withColumn("is_deleted", F.col("customer_id") % 19 == 0)
+
+
+def customer_content_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw customers plus exact copies under new ids (id%250=7 -> id+2,000,000),
+    the way re-inserted duplicates receive fresh ids at the source."""
+    raw = customers_raw(spark, sf_dir)
+    copies = raw.filter(F.col("customer_id") % 250 == 7)
+    return raw.unionByName(copies.withColumn("customer_id", F.col("customer_id") + 2_000_000))
