@@ -336,6 +336,30 @@ FINAL.update({
         + " HAVING count(DISTINCT customer_id) > 1"),
 })
 
+_EV_CUT = "TIMESTAMP '2024-01-15 00:00:00'"
+FINAL.update({
+    "full_extract": "SELECT * FROM products_v1",
+    "incremental_extract": f"SELECT * FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts <= {_EV_CUT})",
+    "watermark_max": (
+        f"SELECT 'events' AS table_name, max(ts) AS watermark_ts, CAST(count(*) AS BIGINT) AS rows_extracted "
+        f"FROM events WHERE ts <= {_EV_CUT} UNION ALL "
+        f"SELECT 'events', max(ts), CAST(count(*) AS BIGINT) FROM events "
+        f"WHERE ts > (SELECT max(ts) FROM events WHERE ts <= {_EV_CUT})"),
+    "raw_roundtrip": "SELECT * FROM orders_raw",
+    "bronze_append_merge_schema": (
+        "SELECT *, CAST(NULL AS VARCHAR) AS segment, DATE '2026-01-01' AS load_date FROM customers_raw "
+        "UNION ALL BY NAME "
+        "SELECT *, upper(trim(loyalty_tier)) AS segment, DATE '2026-01-02' AS load_date FROM customers_raw"),
+    "silver_passthrough": "SELECT * FROM product_type1",
+    "snapshot_overwrite": "SELECT * FROM dim2",
+    "daily_pipeline_revenue": (
+        "SELECT *, DATE '2026-01-01' AS run_date FROM ("
+        + _REVENUE.format(src="""(
+      SELECT i.line_total, d.loyalty_tier
+      FROM (SELECT DISTINCT * FROM items_silver) i JOIN orders_valid o ON i.order_id = o.order_id
+      JOIN dim1 d ON o.customer_id = d.customer_id)""") + ")"),
+})
+
 
 def oracle_sql() -> dict[str, str]:
     return {k: PRELUDE + v for k, v in FINAL.items()}

@@ -14,10 +14,12 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.config import CUSTOMER_SCD, PRODUCT_SCD
+from tidemart.config import CUSTOMER_SCD, PRODUCT_SCD, TableSpec
 from tidemart.operators import clean, quality, scd
 from tidemart.operators.marts import attach_product, build_fact_sales, revenue_by_tier, revenue_by_tier_sql
-from tidemart.session import materialize
+from tidemart.plans import daily
+from tidemart.session import materialize, scratch_dir
+from tidemart.sources import extract, lake
 from tidemart.sources import testdata as td
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -264,3 +266,112 @@ QUERIES.update({
     "orders_failed_rules": q_orders_failed_rules,
     "content_duplicates": q_content_duplicates,
 })
+
+
+# --- ingest: extract, raw, bronze, snapshots -----------------------------------
+
+EVENTS_CUTOFF = "2024-01-15 00:00:00"
+
+
+def _root(spark, label):
+    return scratch_dir(spark, label)
+
+
+def _data_cols(df: DataFrame) -> DataFrame:
+    return clean.drop_metadata(df).drop("dt", "batch")
+
+
+def q_full_extract(spark, sf):
+    root = _root(spark, "full-extract")
+    spec = TableSpec("products", "full")
+    extract.extract_table(td.products_raw(spark, sf, 1), spec, root, "2026-01-01")
+    return _data_cols(lake.read_raw(spark, root, "products", "2026-01-01"))
+
+
+def _two_event_runs(spark, sf) -> str:
+    """Run 1 sees the source as of the cutoff, run 2 the whole table."""
+    root = _root(spark, "incremental")
+    spec = TableSpec("events", "incremental", "ts", ("event_id",))
+    ev = td.events(spark, sf)
+    extract.extract_table(ev.filter(F.col("ts") <= F.lit(EVENTS_CUTOFF).cast("timestamp_ntz")),
+                          spec, root, "2024-01-15", "run1")
+    extract.extract_table(ev, spec, root, "2024-01-31", "run2")
+    return root
+
+
+def q_incremental_extract(spark, sf):
+    root = _two_event_runs(spark, sf)
+    return _data_cols(lake.read_raw(spark, root, "events", "2024-01-31"))
+
+
+def q_watermark_max(spark, sf):
+    root = _two_event_runs(spark, sf)
+    return extract.read_watermarks(spark, root).select("table_name", "watermark_ts", "rows_extracted")
+
+
+def q_raw_roundtrip(spark, sf):
+    root = _root(spark, "raw-roundtrip")
+    extract.extract_table(td.orders_raw(spark, sf), TableSpec("orders", "full"), root, "2026-03-01")
+    lake.load_raw_to_bronze(spark, root, "orders", "2026-03-01")
+    lake.load_raw_to_bronze(spark, root, "orders", "2026-03-01")  # re-run: replaces, no double rows
+    return _data_cols(lake.read_bronze(spark, root, "orders"))
+
+
+def q_bronze_append_merge_schema(spark, sf):
+    root = _root(spark, "bronze-merge")
+    spec = TableSpec("customers", "full")
+    raw = td.customers_raw(spark, sf)
+    extract.extract_table(raw, spec, root, "2026-01-01")
+    lake.load_raw_to_bronze(spark, root, "customers", "2026-01-01")
+    extract.extract_table(raw.withColumn("segment", F.upper(F.trim("loyalty_tier"))), spec, root, "2026-01-02")
+    lake.load_raw_to_bronze(spark, root, "customers", "2026-01-02")
+    b = lake.read_bronze(spark, root, "customers").withColumn("load_date", F.col(lake.LOAD_DATE))
+    return _data_cols(b)
+
+
+def q_silver_passthrough(spark, sf):
+    root = _root(spark, "silver-pass")
+    spec = TableSpec("products", "full")
+    for v, day in ((1, "2026-01-01"), (2, "2026-04-01")):
+        extract.extract_table(td.products_raw(spark, sf, v), spec, root, day)
+        lake.load_raw_to_bronze(spark, root, "products", day)
+    return daily.silver_latest(spark, root, "products", ("product_id",))
+
+
+def q_snapshot_overwrite(spark, sf):
+    root = _root(spark, "snapshots")
+    name = f"tm_{uuid.uuid4().hex[:8]}_gold.dim_customer"
+    for v in (1, 2):
+        existing = lake.read_table(spark, name)
+        src = td.customer_snapshot(spark, sf, v)
+        dim = scd.compute_scd2_snapshot(existing, src, _d(td.SNAPSHOT_DATES[v]))
+        lake.publish_snapshot(dim, root, "dim_customer", name, f"v{v}")
+    return spark.table(name)
+
+
+def adapter_sources(spark, sf) -> dict[str, DataFrame]:
+    return {
+        "customers": td.customers_raw(spark, sf),
+        "products": td.products_raw(spark, sf, 1),
+        "orders": td.orders_raw(spark, sf),
+        "order_items": td.order_items_raw(spark, sf),
+        "inventory": td.inventory_raw(spark, sf),
+    }
+
+
+def q_daily_pipeline_revenue(spark, sf):
+    root = _root(spark, "daily")
+    cat = daily.Catalog(prefix=f"tm_{uuid.uuid4().hex[:8]}")
+    return daily.run_daily(spark, adapter_sources(spark, sf), root, "2026-01-01", cat)
+
+
+QUERIES.update({
+    "full_extract": q_full_extract,
+    "incremental_extract": q_incremental_extract,
+    "watermark_max": q_watermark_max,
+    "raw_roundtrip": q_raw_roundtrip,
+    "bronze_append_merge_schema": q_bronze_append_merge_schema,
+    "silver_passthrough": q_silver_passthrough,
+    "snapshot_overwrite": q_snapshot_overwrite,
+    "daily_pipeline_revenue": q_daily_pipeline_revenue,
+})
