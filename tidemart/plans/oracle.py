@@ -360,6 +360,12 @@ FINAL.update({
       JOIN dim1 d ON o.customer_id = d.customer_id)""") + ")"),
 })
 
+FINAL.update({
+    "stream_bronze": "SELECT * FROM events",
+    "stream_dedup": "SELECT * FROM events",
+    "stream_scd2": "SELECT * FROM dim3",
+})
+
 
 def oracle_sql() -> dict[str, str]:
     return {k: PRELUDE + v for k, v in FINAL.items()}
