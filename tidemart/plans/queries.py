@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.config import CUSTOMER_SCD, PRODUCT_SCD, TableSpec
-from tidemart.operators import clean, quality, scd
+from tidemart.operators import clean, datagen, quality, scd
 from tidemart.operators.marts import attach_product, build_fact_sales, revenue_by_tier, revenue_by_tier_sql
 from tidemart.plans import daily
 from tidemart.session import materialize, scratch_dir
@@ -431,3 +431,40 @@ QUERIES.update({
     "stream_dedup": q_stream_dedup,
     "stream_scd2": q_stream_scd2,
 })
+
+
+# --- generator (keys come from the shared tables) --------------------------------
+
+def q_seed_customers(spark, sf):
+    return datagen.seed_customers(td.table(spark, sf, "customer").select("c_custkey"), "c_custkey")
+
+
+def q_seed_products(spark, sf):
+    return datagen.seed_products(td.table(spark, sf, "part").select("p_partkey"), "p_partkey")
+
+
+def _seed_orders(spark, sf):
+    n_cust = td.table(spark, sf, "customer").count()
+    return datagen.seed_orders(td.table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", n_cust)
+
+
+def q_seed_orders(spark, sf):
+    return _seed_orders(spark, sf)
+
+
+def q_seed_order_items(spark, sf):
+    n_prod = td.table(spark, sf, "part").count()
+    return datagen.seed_order_items(_seed_orders(spark, sf), n_prod)
+
+
+def q_seed_inventory(spark, sf):
+    return datagen.seed_inventory(q_seed_products(spark, sf))
+
+
+QUERIES.update({
+    "seed_customers": q_seed_customers,
+    "seed_products": q_seed_products,
+    "seed_orders": q_seed_orders,
+    "seed_order_items": q_seed_order_items,
+    "seed_inventory": q_seed_inventory,
+})
