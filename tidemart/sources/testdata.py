@@ -51,28 +51,28 @@ def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey, "left")
     k = F.col("c_custkey")
 
-    def shape(day_offset: int, tier: Column) -> list[Column]:
-        return [
-            k.alias("customer_id"),
-            F.when(k % 3 == 0, " jOHN ").when(k % 3 == 1, "MARY-jane").otherwise("ann  lee")
-             .alias("first_name"),
-            F.when(k % 4 == 0, F.upper("n_name")).otherwise(F.lower("n_name")).alias("last_name"),
-            F.when(k % 33 == 0, F.lit(None).cast("string"))
-             .when(k % 20 == 0, F.lit("not-an-email"))
-             .otherwise(F.concat(F.lit(" C"), k.cast("string"), F.lit("@Example.com"))).alias("email"),
-            F.concat((k % 997).cast("string"), F.lit(" Main St")).alias("address"),
-            F.col("n_name").alias("city"),
-            F.col("r_name").alias("state"),
-            F.lpad((k % 100000).cast("string"), 5, "0").alias("postal_code"),
-            F.lit("USA").alias("country"),
-            tier.alias("loyalty_tier"),
-            F.lit("2025-06-01 00:00:00").cast("timestamp_ntz").alias("created_at"),
-            _day_ts("2026-01-01", k % 90 + day_offset).alias("updated_at"),
-        ]
-
-    first = base.select(*shape(0, _case(F.col("c_mktsegment"), SEGMENT_TIER, "NOT_A_REAL_TIER")))
-    later = base.filter(k % 10 == 0).select(*shape(30, F.lit("gold")))
-    return first.unionByName(later)
+    # One pass: ids with id%10=0 also emit a later re-extraction (tier gold,
+    # 30 days newer) -- an explode, not a second scan and join.
+    rows = base.withColumn("_later", F.explode(
+        F.when(k % 10 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    later = F.col("_later")
+    tier = F.when(later, F.lit("gold")).otherwise(_case(F.col("c_mktsegment"), SEGMENT_TIER, "NOT_A_REAL_TIER"))
+    return rows.select(
+        k.alias("customer_id"),
+        F.when(k % 3 == 0, " jOHN ").when(k % 3 == 1, "MARY-jane").otherwise("ann  lee").alias("first_name"),
+        F.when(k % 4 == 0, F.upper("n_name")).otherwise(F.lower("n_name")).alias("last_name"),
+        F.when(k % 33 == 0, F.lit(None).cast("string"))
+         .when(k % 20 == 0, F.lit("not-an-email"))
+         .otherwise(F.concat(F.lit(" C"), k.cast("string"), F.lit("@Example.com"))).alias("email"),
+        F.concat((k % 997).cast("string"), F.lit(" Main St")).alias("address"),
+        F.col("n_name").alias("city"),
+        F.col("r_name").alias("state"),
+        F.lpad((k % 100000).cast("string"), 5, "0").alias("postal_code"),
+        F.lit("USA").alias("country"),
+        tier.alias("loyalty_tier"),
+        F.lit("2025-06-01 00:00:00").cast("timestamp_ntz").alias("created_at"),
+        _day_ts("2026-01-01", k % 90 + F.when(later, 30).otherwise(0)).alias("updated_at"),
+    )
 
 
 def _rotate_tier(c: Column) -> Column:
@@ -129,18 +129,19 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                .when(F.col("o_orderstatus") == "O", "Placed").otherwise("shipped "))
     ship = (F.when(k % 40 == 0, F.lit(-1)).when(k % 41 == 0, F.lit(None))
              .otherwise(k % 25)).cast("decimal(10,2)")
-    base = o.select(
+    # One pass: every ninth order also emits a later version (status shipped).
+    rows = o.withColumn("_later", F.explode(
+        F.when(k % 9 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    later = F.col("_later")
+    upd = order_ts + F.expr("INTERVAL 1 HOUR")
+    return rows.select(
         k.alias("order_id"),
         F.when(k % 50 == 0, F.lit(None).cast("bigint")).otherwise(F.col("o_custkey")).alias("customer_id"),
-        status.alias("order_status"),
+        F.when(later, F.lit("shipped")).otherwise(status).alias("order_status"),
         order_ts.alias("order_date"),
         ship.alias("shipping_cost"),
-        (order_ts + F.expr("INTERVAL 1 HOUR")).alias("updated_at"),
+        F.when(later, upd + F.expr("INTERVAL 5 DAYS")).otherwise(upd).alias("updated_at"),
     )
-    later = (base.filter(F.col("order_id") % 9 == 0)
-                 .withColumn("order_status", F.lit("shipped"))
-                 .withColumn("updated_at", F.col("updated_at") + F.expr("INTERVAL 5 DAYS")))
-    return base.unionByName(later)
 
 
 def order_items_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
