@@ -346,7 +346,8 @@ def q_snapshot_overwrite(spark, sf):
         existing = lake.read_table(spark, name)
         src = td.customer_snapshot(spark, sf, v)
         dim = scd.compute_scd2_snapshot(existing, src, _d(td.SNAPSHOT_DATES[v]))
-        lake.publish_snapshot(dim, root, "dim_customer", name, f"v{v}")
+        lake.publish_snapshot(dim, root, "dim_customer", name, f"v{v}",
+                              bucket_by=(daily.dim_buckets(spark), "customer_id"))
     return spark.table(name)
 
 

@@ -68,20 +68,37 @@ def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def publish_snapshot(df: DataFrame, root: str, table: str, catalog_name: str | None = None,
-                     snapshot_id: str | None = None) -> str:
+                     snapshot_id: str | None = None,
+                     bucket_by: tuple[int, str] | None = None) -> str:
     """Write a new immutable snapshot directory, then repoint the table to it.
 
     Readers of the previous snapshot are never disturbed (Parquet cannot be
     overwritten while it is being read); the switch is one catalog update.
+
+    ``bucket_by=(n, key)`` writes the snapshot hash-bucketed and sorted by
+    ``key`` (needs ``catalog_name``): the next merge or fact join on ``key``
+    then reads the table already partitioned and shuffles only the other side.
     """
     spark = df.sparkSession
     snapshot_id = snapshot_id or uuid.uuid4().hex[:12]
     path = f"{root}/snapshots/{table}/v={snapshot_id}"
-    df.write.mode("errorifexists").parquet(path)
     if catalog_name:
         db = catalog_name.split(".")[0] if "." in catalog_name else None
         if db:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    if bucket_by and catalog_name:
+        n, key = bucket_by
+        exists = spark.catalog.tableExists(catalog_name)
+        target = f"{catalog_name}__{snapshot_id}" if exists else catalog_name
+        (df.write.mode("errorifexists").bucketBy(n, key).sortBy(key)
+           .option("path", path).saveAsTable(target))
+        if exists:
+            spark.sql(f"DROP TABLE {target}")  # external: files stay
+            spark.sql(f"ALTER TABLE {catalog_name} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(catalog_name)
+        return path
+    df.write.mode("errorifexists").parquet(path)
+    if catalog_name:
         if spark.catalog.tableExists(catalog_name):
             spark.sql(f"ALTER TABLE {catalog_name} SET LOCATION '{path}'")
             spark.catalog.refreshTable(catalog_name)

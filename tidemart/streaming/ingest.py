@@ -110,7 +110,8 @@ def scd2_batch_writer(root: str, table: str, catalog_name: str, snapshot_col: st
             if i < len(dates) - 1:
                 dim = materialize(dim, "stream-scd2")
         if dates:
-            lake.publish_snapshot(dim, root, table, catalog_name, sid)
+            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            lake.publish_snapshot(dim, root, table, catalog_name, sid, bucket_by=(n, spec.business_key))
 
     return apply
 
