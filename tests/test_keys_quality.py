@@ -3,7 +3,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemart.operators.keys import dense_keys
+from tidemart.operators.keys import dense_keys, with_neighbors
 from tidemart.operators.quality import (
     apply_expectations,
     content_duplicates,
@@ -49,3 +49,14 @@ def test_content_duplicates_ignore_case_and_spaces(spark):
                                "id long, name string, email string")
     out = content_duplicates(df, "id", ["name", "email"]).collect()
     assert len(out) == 1 and out[0]["keep_id"] == 1 and out[0]["n_ids"] == 2
+
+
+def test_neighbors_match_lag_lead_with_a_hot_key(spark):
+    rows = [(0, t, t * 3 % 7) for t in range(400)] + [(k, t, k + t) for k in range(1, 40) for t in range(3)]
+    df = spark.createDataFrame(rows, "k long, t long, v long")
+    got = with_neighbors(df, "k", ["t"], prev_cols=["v"], next_cols=["t"], num_buckets=6)
+    w = Window.partitionBy("k").orderBy("t")
+    ref = df.select("k", "t", F.lag("v").over(w).alias("rv"), F.lead("t").over(w).alias("rt"))
+    bad = (got.join(ref, ["k", "t"])
+              .filter(~F.col("_prev_v").eqNullSafe(F.col("rv")) | ~F.col("_next_t").eqNullSafe(F.col("rt"))))
+    assert bad.count() == 0 and got.count() == len(rows)

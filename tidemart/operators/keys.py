@@ -23,12 +23,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemart.session import materialize
+
 _B, _I = "_sk_bucket", "_sk_local"
 
 
 def dense_keys(df: DataFrame, order_cols: Sequence[str], sk_col: str,
-               base: int | Column = 0, num_buckets: int | None = None) -> DataFrame:
-    """Append ``sk_col`` = base + 1.. in ``order_cols`` order (bigint)."""
+               base: int | Column = 0, num_buckets: int | None = None,
+               stable_input: bool = False) -> DataFrame:
+    """Append ``sk_col`` = base + 1.. in ``order_cols`` order (bigint).
+
+    The bucketed rows are read twice (bucket counts, numbering). Range
+    bounds come from a sample of the input, so unless the input is
+    file-backed (``stable_input=True``) the bucketed rows are first written
+    to the shared folder and both reads use those files: counts and numbers
+    then always describe the same bucketing, also after a task retry.
+    """
     spark = df.sparkSession
     n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     staged = (df.repartitionByRange(n, *order_cols)
@@ -36,6 +46,8 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str], sk_col: str,
                 .withColumn(_B, F.spark_partition_id())
                 .withColumn(_I, F.monotonically_increasing_id()
                             - F.shiftleft(F.col(_B).cast("bigint"), 33)))
+    if not stable_input:
+        staged = materialize(staged, "dense-keys")
     counts = staged.groupBy(_B).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_B, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
@@ -48,3 +60,35 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str], sk_col: str,
 def hash_keys(df: DataFrame, cols: Sequence[str], sk_col: str) -> DataFrame:
     """Stable 64-bit key from content (no ordering, no shuffle)."""
     return df.withColumn(sk_col, F.xxhash64(*[F.col(c) for c in cols]))
+
+
+def with_neighbors(df: DataFrame, key: str, order_cols: Sequence[str],
+                   prev_cols: Sequence[str] = (), next_cols: Sequence[str] = (),
+                   num_buckets: int | None = None) -> DataFrame:
+    """``lag``/``lead`` of columns within ``key`` ordered by ``order_cols``,
+    without a per-key window.
+
+    Every row gets a global ordinal in (key, order) order from
+    ``dense_keys``; its predecessor is the row with ordinal - 1 when that
+    row has the same key (successor: + 1). The neighbour lookups are equi
+    joins on unique ordinals, so their shuffles are evenly balanced however
+    many rows one key holds -- a key with a third of the data is spread over
+    all range buckets instead of landing in one window task.
+
+    Adds ``_prev_<c>`` / ``_next_<c>`` columns. (key, order_cols) must be
+    unique so that the ordinal is reproducible on recomputation.
+    """
+    ranked = dense_keys(df, [key, *order_cols], "_ord", 0, num_buckets)  # file-backed
+    base_cols = [F.col(c) for c in df.columns]
+    out = ranked
+    for shift, prefix, cols in ((1, "_prev_", prev_cols), (-1, "_next_", next_cols)):
+        if not cols:
+            continue
+        side = ranked.select((F.col("_ord") + shift).alias("_ord"), F.col(key).alias("_nk"),
+                             *[F.col(c).alias(f"_nv_{c}") for c in cols])
+        joined = out.join(side, "_ord", "left")
+        same = F.col("_nk") == F.col(key)
+        keep = [c for c in out.columns]
+        out = joined.select(*keep, *[F.when(same, F.col(f"_nv_{c}")).alias(f"{prefix}{c}") for c in cols])
+    extra = [c for c in out.columns if c.startswith(("_prev_", "_next_"))]
+    return out.select(*base_cols, *extra)

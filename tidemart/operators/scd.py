@@ -33,7 +33,7 @@ from tidemart.config import (
 )
 from tidemart.functions import row_hash
 from tidemart.operators.clean import dedup_latest
-from tidemart.operators.keys import dense_keys
+from tidemart.operators.keys import dense_keys, with_neighbors
 from tidemart.session import materialize as _materialize
 
 _SRC = "s__"
@@ -210,7 +210,8 @@ def compute_scd2_snapshot(existing_dim: DataFrame | None, source_df: DataFrame,
         exploded = _materialize(exploded, "scd2-classified")
     kept = exploded.filter(F.col("_action") != "new").select(*cols)
     new = dense_keys(exploded.filter(F.col("_action") == "new").select(*cols).drop(spec.sk_col),
-                     [spec.business_key], spec.sk_col, int(max_sk), num_buckets).select(*cols)
+                     [spec.business_key], spec.sk_col, int(max_sk), num_buckets,
+                     stable_input=materialize).select(*cols)
     return hist.unionByName(kept).unionByName(new)
 
 
@@ -228,12 +229,12 @@ def scd2_changes(existing_dim: DataFrame, source_df: DataFrame, as_of_date: date
     exploded = _materialize(exploded, "scd2-changes")
     expired = exploded.filter(F.col("_action") == "expire").select(*cols, F.lit("expire").alias("_change"))
     new = dense_keys(exploded.filter(F.col("_action") == "new").select(*cols).drop(spec.sk_col),
-                     [spec.business_key], spec.sk_col, int(max_sk or 0), num_buckets)
+                     [spec.business_key], spec.sk_col, int(max_sk or 0), num_buckets, stable_input=True)
     return expired.unionByName(new.select(*cols, F.lit("insert").alias("_change")))
 
 
 def scd2_backfill(snapshots: DataFrame, snapshot_col: str, spec: ScdSpec | None = None,
-                  num_buckets: int | None = None) -> DataFrame:
+                  num_buckets: int | None = None, method: str = "ordinal") -> DataFrame:
     """Build a type-2 dimension from many dated snapshots in one pass.
 
     ``snapshots`` holds one row per (key, snapshot date). A version starts
@@ -242,17 +243,31 @@ def scd2_backfill(snapshots: DataFrame, snapshot_col: str, spec: ScdSpec | None
     from a snapshot keep their version open, exactly as repeated merges do,
     and surrogate keys are numbered by (start date, key) -- the same numbers
     repeated merges hand out.
+
+    ``method="ordinal"`` (default) finds previous/next rows by joins on
+    global ordinals (``with_neighbors``), so a key holding a large share of
+    all rows is spread over every task; ``method="window"`` uses
+    ``lag``/``lead`` windows per key (one shuffle fewer, one task per key).
     """
     spec = spec or CUSTOMER_SCD
     key = spec.business_key
     data_cols = [c for c in snapshots.columns if c not in (snapshot_col, spec.deleted_col)]
-    hashed = add_row_hash(snapshots, spec.tracked, spec.strict_hash)
-    w = Window.partitionBy(key).orderBy(snapshot_col)
-    points = (hashed.withColumn("_prev", F.lag(ROW_HASH).over(w))
-                    .filter(F.col("_prev").isNull() | (F.col("_prev") != F.col(ROW_HASH))))
-    wv = Window.partitionBy(key).orderBy(snapshot_col)
-    nxt = F.lead(snapshot_col).over(wv)
-    versions = points.select(
+    hashed = add_row_hash(snapshots.select(*data_cols, snapshot_col), spec.tracked, spec.strict_hash)
+    if method == "ordinal":
+        prev = with_neighbors(hashed, key, [snapshot_col], prev_cols=[ROW_HASH], num_buckets=num_buckets)
+        points = (prev.filter(F.col("_prev_" + ROW_HASH).isNull() | (F.col("_prev_" + ROW_HASH) != F.col(ROW_HASH)))
+                      .drop("_prev_" + ROW_HASH))
+        nxt_df = with_neighbors(points, key, [snapshot_col], next_cols=[snapshot_col], num_buckets=num_buckets)
+        nxt = F.col("_next_" + snapshot_col)
+    elif method == "window":
+        w = Window.partitionBy(key).orderBy(snapshot_col)
+        points = (hashed.withColumn("_prev", F.lag(ROW_HASH).over(w))
+                        .filter(F.col("_prev").isNull() | (F.col("_prev") != F.col(ROW_HASH))).drop("_prev"))
+        nxt_df = points.withColumn("_next", F.lead(snapshot_col).over(w))
+        nxt = F.col("_next")
+    else:
+        raise ValueError(f"method must be ordinal|window, got {method!r}")
+    versions = nxt_df.select(
         *data_cols, ROW_HASH,
         F.col(snapshot_col).cast("date").alias(START),
         F.coalesce(F.date_sub(nxt, 1), F.lit(FAR_FUTURE_DATE).cast("date")).alias(END),

@@ -11,16 +11,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemart.config import CUSTOMER_SCD, ScdSpec
 from tidemart.operators.scd import compute_scd2_snapshot
 from tidemart.session import materialize
 from tidemart.sources import lake
+from tidemart.sources.extract import ensure_table
 
 
 def read_landing(spark: SparkSession, landing_glob: str, schema: StructType) -> DataFrame:
@@ -76,12 +76,10 @@ def stream_dedup(spark: SparkSession, landing_glob: str, schema: StructType, out
     return _run(w, out_path, once)
 
 
-def _snapshot_done(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-        return True
-    except AnalysisException:
-        return False
+BATCH_LOG_SCHEMA = StructType([
+    StructField("batch_id", LongType(), False),
+    StructField("snapshot_path", StringType(), False),
+])
 
 
 def scd2_batch_writer(root: str, table: str, catalog_name: str, snapshot_col: str,
@@ -90,28 +88,32 @@ def scd2_batch_writer(root: str, table: str, catalog_name: str, snapshot_col: st
 
     A micro-batch may carry several snapshot dates; they are applied in date
     order (only the distinct dates reach the driver). The result is
-    published as snapshot ``b<batch id>``: a batch that is re-run after a
-    failure finds its snapshot already written and only re-points the table,
-    so a retry never applies the same changes twice.
+    published as snapshot ``b<batch id>`` and the batch id is logged after
+    the publish; a batch re-run after a failure finds its log entry and only
+    re-points the table, so a retry never applies the same changes twice.
     """
+    log_path = f"{root}/_control/{table}_batches"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        sid = f"b{batch_id:09d}"
-        path = f"{root}/snapshots/{table}/v={sid}"
-        if _snapshot_done(spark, path):
-            spark.sql(f"ALTER TABLE {catalog_name} SET LOCATION '{path}'")
+        done = (ensure_table(spark, log_path, BATCH_LOG_SCHEMA)
+                .filter(F.col("batch_id") == batch_id).first())
+        if done is not None:
+            spark.sql(f"ALTER TABLE {catalog_name} SET LOCATION '{done['snapshot_path']}'")
             return
         dates = sorted(r[0] for r in batch.select(snapshot_col).distinct().collect())
+        if not dates:
+            return
         dim = lake.read_table(spark, catalog_name)
         for i, d in enumerate(dates):
             src = batch.filter(F.col(snapshot_col) == F.lit(d)).drop(snapshot_col)
             dim = compute_scd2_snapshot(dim, src, d, spec=spec)
             if i < len(dates) - 1:
                 dim = materialize(dim, "stream-scd2")
-        if dates:
-            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            lake.publish_snapshot(dim, root, table, catalog_name, sid, bucket_by=(n, spec.business_key))
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        path = lake.publish_snapshot(dim, root, table, catalog_name, f"b{batch_id:09d}",
+                                     bucket_by=(n, spec.business_key))
+        spark.createDataFrame([(batch_id, path)], BATCH_LOG_SCHEMA).write.mode("append").parquet(log_path)
 
     return apply
 
