@@ -54,6 +54,10 @@ class ScdSpec:
     # Optional boolean source column; true expires the current version.
     deleted_col: str | None = None
     strict_hash: bool = False
+    # A second change on the day a version started: "version" closes it the
+    # day before (the original behaviour, an inverted interval); "replace"
+    # overwrites that version in place, keeping its key and start date.
+    same_day: str = "version"
 
     @property
     def source_columns(self) -> list[str]:

@@ -112,7 +112,10 @@ def _classified(existing_dim: DataFrame, source_df: DataFrame, as_of_date: date,
     src_cols = [c for c in source_df.columns if c != spec.deleted_col]
     out_cols = _version_cols(src_cols, spec)
     data_cols = [c for c in src_cols]
-    dim = existing_dim.select(*out_cols)
+    # Schema evolution: a column new in the source is NULL in older versions.
+    src_types = dict(source_df.dtypes)
+    dim = existing_dim.select(*[F.col(c) if c in existing_dim.columns
+                                else F.lit(None).cast(src_types[c]).alias(c) for c in out_cols])
 
     src = add_row_hash(source_df, spec.tracked, spec.strict_hash)
     src = src.select(*[F.col(c).alias(_SRC + c) for c in src.columns])
@@ -129,6 +132,8 @@ def _classified(existing_dim: DataFrame, source_df: DataFrame, as_of_date: date,
                .when(s_hash.isNull(), F.lit("keep"))
                .when(deleted, F.lit("delete"))
                .when(d_hash == s_hash, F.lit("keep"))
+               .when((F.col(START) == F.lit(as_of_date).cast("date")) & F.lit(spec.same_day == "replace"),
+                     F.lit("replace"))
                .otherwise(F.lit("change")))
     j = j.withColumn("_act", action)
 
@@ -149,14 +154,15 @@ def _classified(existing_dim: DataFrame, source_df: DataFrame, as_of_date: date,
         else:
             v = old_field(c)
         old_vals.append(v.alias(c))
+    replace = F.col("_act") == "replace"
     new_vals = []
     for c in out_cols:
         if c in data_cols or c == ROW_HASH:
             v = F.col(_SRC + c)
         elif c == spec.sk_col:
-            v = F.lit(None).cast("bigint")
+            v = F.when(replace, F.col(spec.sk_col)).otherwise(F.lit(None).cast("bigint"))
         elif c == START:
-            v = F.lit(as_of_date).cast("date")
+            v = F.when(replace, F.col(START)).otherwise(F.lit(as_of_date).cast("date"))
         elif c == END:
             v = F.lit(FAR_FUTURE_DATE).cast("date")
         else:  # CURRENT
@@ -166,18 +172,26 @@ def _classified(existing_dim: DataFrame, source_df: DataFrame, as_of_date: date,
     old_tag = F.when(F.col("_act") == "keep", F.lit("keep")).otherwise(F.lit("expire"))
     old_row = F.when(F.col("_act").isin("keep", "change", "delete"),
                      F.struct(*old_vals, old_tag.alias("_action")))
-    new_row = F.when(F.col("_act").isin("change", "insert"),
-                     F.struct(*new_vals, F.lit("new").alias("_action")))
+    new_row = F.when(F.col("_act").isin("change", "insert", "replace"),
+                     F.struct(*new_vals, F.when(replace, F.lit("keep")).otherwise(F.lit("new")).alias("_action")))
     exploded = j.select(F.inline(F.filter(F.array(old_row, new_row), lambda x: x.isNotNull())))
     return hist, exploded, out_cols
 
 
+def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if any key occurs twice (one partial-aggregated pass)."""
+    dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
+    if dup:
+        raise ValueError(f"duplicate key in source: {dup[0].asDict()}")
+
+
 def compute_scd2_snapshot(existing_dim: DataFrame | None, source_df: DataFrame,
                           as_of_date: date, business_key: str | None = None,
                           tracked_cols: Sequence[str] | None = None,
                           spec: ScdSpec | None = None,
                           num_buckets: int | None = None,
-                          materialize: bool = True) -> DataFrame:
+                          materialize: bool = True,
+                          validate_source: bool = False) -> DataFrame:
     """Full new dimension after applying one source snapshot at ``as_of_date``.
 
     * unchanged current rows: carried (start date kept);
@@ -196,6 +210,8 @@ def compute_scd2_snapshot(existing_dim: DataFrame | None, source_df: DataFrame,
     rows and the key assignment of the new rows read it.
     """
     spec = _spec(business_key, tracked_cols, spec)
+    if validate_source:
+        assert_unique_keys(source_df, [spec.business_key])
     if existing_dim is None:
         return initialize_dimension(source_df, spec=spec, as_of_date=as_of_date,
                                     num_buckets=num_buckets)
