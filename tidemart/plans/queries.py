@@ -67,11 +67,21 @@ def q_row_hash(spark, sf):
     return scd.add_row_hash(src, scd.CUSTOMER_SCD.tracked).select("customer_id", "row_hash")
 
 
-def dim_after(spark, sf, version: int) -> DataFrame:
+def silver_customers(spark, sf) -> DataFrame:
+    """Silver snapshot 1, written once like the silver table it stands for."""
+    return materialize(td.customer_snapshot(spark, sf, 1), "silver-customers")
+
+
+def snapshot(spark, sf, v: int, v1: DataFrame) -> DataFrame:
+    return v1 if v == 1 else td.customer_snapshot(spark, sf, v, v1=v1)
+
+
+def dim_after(spark, sf, version: int, v1: DataFrame | None = None) -> DataFrame:
     """Customer dimension after applying snapshots 1..version in order."""
+    v1 = v1 if v1 is not None else silver_customers(spark, sf)
     dim = None
     for v in range(1, version + 1):
-        src = td.customer_snapshot(spark, sf, v)
+        src = snapshot(spark, sf, v, v1)
         dim = scd.compute_scd2_snapshot(dim, src, _d(td.SNAPSHOT_DATES[v]))
         if v < version:  # each published snapshot is a written table
             dim = materialize(dim, f"dim-customer-v{v}")
@@ -127,8 +137,9 @@ QUERIES: dict[str, Query] = {
 
 def _snapshots_with_dates(spark, sf) -> DataFrame:
     out = None
+    v1 = silver_customers(spark, sf)
     for v, d in td.SNAPSHOT_DATES.items():
-        s = td.customer_snapshot(spark, sf, v).withColumn("snapshot_date", F.lit(d).cast("date"))
+        s = snapshot(spark, sf, v, v1).withColumn("snapshot_date", F.lit(d).cast("date"))
         out = s if out is None else out.unionByName(s)
     return out
 
@@ -138,8 +149,9 @@ def q_scd2_backfill(spark, sf):
 
 
 def q_scd2_changes(spark, sf):
-    dim2 = materialize(dim_after(spark, sf, 2), "dim-customer-v2")
-    return scd.scd2_changes(dim2, td.customer_snapshot(spark, sf, 3), _d(td.SNAPSHOT_DATES[3]))
+    v1 = silver_customers(spark, sf)
+    dim2 = materialize(dim_after(spark, sf, 2, v1), "dim-customer-v2")
+    return scd.scd2_changes(dim2, snapshot(spark, sf, 3, v1), _d(td.SNAPSHOT_DATES[3]))
 
 
 def q_scd2_deletes(spark, sf):
@@ -150,8 +162,9 @@ def q_scd2_deletes(spark, sf):
 
 def q_scd2_refresh_passthrough(spark, sf):
     spec = replace(CUSTOMER_SCD, passthrough_mode="refresh")
-    dim1 = materialize(dim_after(spark, sf, 1), "dim-customer-v1")
-    return scd.compute_scd2_snapshot(dim1, td.customer_snapshot(spark, sf, 2), _d(td.SNAPSHOT_DATES[2]),
+    v1 = silver_customers(spark, sf)
+    dim1 = materialize(dim_after(spark, sf, 1, v1), "dim-customer-v1")
+    return scd.compute_scd2_snapshot(dim1, snapshot(spark, sf, 2, v1), _d(td.SNAPSHOT_DATES[2]),
                                      spec=spec)
 
 
@@ -342,9 +355,10 @@ def q_silver_passthrough(spark, sf):
 def q_snapshot_overwrite(spark, sf):
     root = _root(spark, "snapshots")
     name = f"tm_{uuid.uuid4().hex[:8]}_gold.dim_customer"
+    v1 = silver_customers(spark, sf)
     for v in (1, 2):
         existing = lake.read_table(spark, name)
-        src = td.customer_snapshot(spark, sf, v)
+        src = snapshot(spark, sf, v, v1)
         dim = scd.compute_scd2_snapshot(existing, src, _d(td.SNAPSHOT_DATES[v]))
         lake.publish_snapshot(dim, root, "dim_customer", name, f"v{v}",
                               bucket_by=(daily.dim_buckets(spark), "customer_id"))
@@ -418,8 +432,9 @@ def q_stream_scd2(spark, sf):
     root = _root(spark, "stream-scd2")
     name = f"tm_{uuid.uuid4().hex[:8]}_gold.dim_customer"
     schema = None
+    v1 = silver_customers(spark, sf)
     for v, d in td.SNAPSHOT_DATES.items():
-        snap = td.customer_snapshot(spark, sf, v).withColumn("snapshot_date", F.lit(d).cast("date"))
+        snap = snapshot(spark, sf, v, v1).withColumn("snapshot_date", F.lit(d).cast("date"))
         schema = snap.schema
         _land(snap, f"{root}/landing", v)
         stream.stream_scd2(spark, f"{root}/landing/*", schema, root, "dim_customer", name,

@@ -40,12 +40,15 @@ def shared_root(spark: SparkSession) -> str:
 
     Reads ``spark.checkpoint.dir`` from the session; sets it only if unset.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
-    if not root:
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context, conf only
+        sc = None
+    root = spark.conf.get(_CKPT_KEY, None) or (sc.getConf().get(_CKPT_KEY, None) if sc else None)
+    if not root:  # local runs and tests only
         root = tempfile.mkdtemp(prefix="tidemart-")
         spark.conf.set(_CKPT_KEY, root)
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 

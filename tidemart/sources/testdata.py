@@ -8,6 +8,8 @@ each query from the same parquet files.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +27,17 @@ SEGMENT_TIER = {
 WAREHOUSES = ("WH-EAST", "WH-WEST", "WH-CENTRAL")
 
 
+_READERS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of one shared table; the (immutable) DataFrame is reused per
+    session, so its files are listed and its footer read only once."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    per_session = _READERS.setdefault(spark, {})
+    if path not in per_session:
+        per_session[path] = spark.read.parquet(path)
+    return per_session[path]
 
 
 def _day_ts(start: str, days: Column) -> Column:
@@ -80,7 +91,8 @@ def _rotate_tier(c: Column) -> Column:
              .when(c == "GOLD", "PLATINUM").otherwise("BRONZE"))
 
 
-def customer_snapshot(spark: SparkSession, sf_dir: str, version: int = 1) -> DataFrame:
+def customer_snapshot(spark: SparkSession, sf_dir: str, version: int = 1,
+                      v1: DataFrame | None = None) -> DataFrame:
     """Silver customer snapshot (SCD source columns) for as-of version 1..3.
 
     v2: tier moves for id%7=0, first_name edits (untracked) for id%11=0,
@@ -88,8 +100,10 @@ def customer_snapshot(spark: SparkSession, sf_dir: str, version: int = 1) -> Dat
         id+1,000,000 as new customers.
     v3: as v2, plus another tier move for id%5=0; the id%13=0 rows return,
         those with id%26=0 with a changed city.
+    ``v1`` lets callers pass an already written silver snapshot 1.
     """
-    v1 = clean_customers(customers_raw(spark, sf_dir)).select(*CUSTOMER_SCD.source_columns)
+    if v1 is None:
+        v1 = clean_customers(customers_raw(spark, sf_dir)).select(*CUSTOMER_SCD.source_columns)
     if version == 1:
         return v1
     if version not in (2, 3):
