@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
+_LOCAL_ROOTS: "weakref.WeakKeyDictionary[SparkSession, str]" = weakref.WeakKeyDictionary()
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -45,9 +47,9 @@ def shared_root(spark: SparkSession) -> str:
     except Exception:  # Spark Connect: no driver-side context, conf only
         sc = None
     root = spark.conf.get(_CKPT_KEY, None) or (sc.getConf().get(_CKPT_KEY, None) if sc else None)
-    if not root:  # local runs and tests only
-        root = tempfile.mkdtemp(prefix="tidemart-")
-        spark.conf.set(_CKPT_KEY, root)
+    if not root:  # local runs and tests only: one scratch folder per session
+        root = _LOCAL_ROOTS.get(spark) or tempfile.mkdtemp(prefix="tidemart-")
+        _LOCAL_ROOTS[spark] = root
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
