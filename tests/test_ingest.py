@@ -58,3 +58,16 @@ def test_jdbc_partitioned_read_with_pushdown(spark):
                          upper_bound=100, num_partitions=4, predicate=F.col("id") > 89)
     assert df.rdd.getNumPartitions() == 4
     assert sorted(r["id"] for r in df.collect()) == list(range(90, 100))
+
+
+def test_ntz_watermark_ignores_session_time_zone(spark):
+    root = scratch_dir(spark, "t-tz")
+    spec = TableSpec("t", "incremental", "updated_at")
+    src = spark.createDataFrame([(1, "a", datetime(2026, 1, 1, 10)), (2, "b", datetime(2026, 1, 1, 12))], SCHEMA)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        extract.extract_table(src.filter("id = 1"), spec, root, "2026-01-01", "r1")
+        assert extract.extract_table(src, spec, root, "2026-01-02", "r2").rows == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
