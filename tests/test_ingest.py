@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from tidemart.config import TableSpec
 from tidemart.session import scratch_dir
 from tidemart.sources import extract, lake
-from tidemart.sources.jdbc import read_jdbc_table, write_jdbc_table
 
 SCHEMA = "id long, v string, updated_at timestamp_ntz"
 
@@ -49,17 +48,6 @@ def test_snapshot_publish_repoints_table(spark):
     assert spark.table(name).count() == 5 and old.count() in (3, 5)
 
 
-def test_jdbc_partitioned_read_with_pushdown(spark):
-    url = f"jdbc:derby:memory:tm{uuid.uuid4().hex[:8]};create=true"
-    drv = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
-    src = spark.range(100).select(F.col("id"), (F.col("id") * 2).alias("v"))
-    write_jdbc_table(src, url, "T", "overwrite", driver=drv)
-    df = read_jdbc_table(spark, url, "T", driver=drv, partition_column="id", lower_bound=0,
-                         upper_bound=100, num_partitions=4, predicate=F.col("id") > 89)
-    assert df.rdd.getNumPartitions() == 4
-    assert sorted(r["id"] for r in df.collect()) == list(range(90, 100))
-
-
 def test_ntz_watermark_ignores_session_time_zone(spark):
     root = scratch_dir(spark, "t-tz")
     spec = TableSpec("t", "incremental", "updated_at")

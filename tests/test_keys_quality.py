@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemart.operators.keys import dense_keys, with_neighbors
 from tidemart.operators.quality import (
+    apply_defaults,
     apply_expectations,
     content_duplicates,
     expectation_summary,
@@ -60,3 +61,10 @@ def test_neighbors_match_lag_lead_with_a_hot_key(spark):
     bad = (got.join(ref, ["k", "t"])
               .filter(~F.col("_prev_v").eqNullSafe(F.col("rv")) | ~F.col("_next_t").eqNullSafe(F.col("rt"))))
     assert bad.count() == 0 and got.count() == len(rows)
+
+
+def test_defaults_fill_nulls_only(spark):
+    df = spark.createDataFrame([(1, None, None), (2, "SHIPPED", 5.0)], "id long, order_status string, d double")
+    out = {r["id"]: (r["order_status"], r["d"])
+           for r in apply_defaults(df, {"order_status": "PLACED", "d": 0, "absent": 1}).collect()}
+    assert out == {1: ("PLACED", 0.0), 2: ("SHIPPED", 5.0)}

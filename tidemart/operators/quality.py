@@ -109,3 +109,21 @@ def content_duplicates(df: DataFrame, id_col: str, attrs: Sequence[str]) -> Data
         F.countDistinct(id_col).cast("bigint").alias("n_ids"),
     )
     return g.filter(F.col("n_ids") > 1)
+
+
+# DDL defaults of the source tables (fixed values).
+SOURCE_DEFAULTS = {
+    "customers": {"loyalty_tier": "BRONZE"},
+    "orders": {"order_status": "PLACED"},
+    "order_items": {"discount_pct": 0},
+    "inventory": {"quantity_on_hand": 0, "reorder_level": 10},
+}
+
+
+def apply_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
+    """Replace NULLs by the column defaults (only columns present in ``df``)."""
+    present = {c: v for c, v in defaults.items() if c in df.columns}
+    if not present:
+        return df
+    types = dict(df.dtypes)
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(types[c])) for c, v in present.items()})

@@ -345,6 +345,11 @@ FINAL.update({
         f"FROM events WHERE ts <= {_EV_CUT} UNION ALL "
         f"SELECT 'events', max(ts), CAST(count(*) AS BIGINT) FROM events "
         f"WHERE ts > (SELECT max(ts) FROM events WHERE ts <= {_EV_CUT})"),
+    "extract_run_audit": (
+        f"SELECT 'events' AS table_name, 'incremental' AS mode, CAST(count(*) AS BIGINT) AS rows_extracted, "
+        f"'run1' AS run_id, '2024-01-15' AS run_date FROM events WHERE ts <= {_EV_CUT} UNION ALL "
+        f"SELECT 'events', 'incremental', CAST(count(*) AS BIGINT), 'run2', '2024-01-31' FROM events "
+        f"WHERE ts > (SELECT max(ts) FROM events WHERE ts <= {_EV_CUT})"),
     "raw_roundtrip": "SELECT * FROM orders_raw",
     "bronze_append_merge_schema": (
         "SELECT *, CAST(NULL AS VARCHAR) AS segment, DATE '2026-01-01' AS load_date FROM customers_raw "

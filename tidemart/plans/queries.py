@@ -323,6 +323,12 @@ def q_watermark_max(spark, sf):
     return extract.read_watermarks(spark, root).select("table_name", "watermark_ts", "rows_extracted")
 
 
+def q_extract_run_audit(spark, sf):
+    root = _two_event_runs(spark, sf)
+    return (spark.read.parquet(f"{root}/_control/run_audit")
+                 .select("table_name", "mode", "rows_extracted", "run_id", "run_date"))
+
+
 def q_raw_roundtrip(spark, sf):
     root = _root(spark, "raw-roundtrip")
     extract.extract_table(td.orders_raw(spark, sf), TableSpec("orders", "full"), root, "2026-03-01")
@@ -385,6 +391,7 @@ QUERIES.update({
     "full_extract": q_full_extract,
     "incremental_extract": q_incremental_extract,
     "watermark_max": q_watermark_max,
+    "extract_run_audit": q_extract_run_audit,
     "raw_roundtrip": q_raw_roundtrip,
     "bronze_append_merge_schema": q_bronze_append_merge_schema,
     "silver_passthrough": q_silver_passthrough,
