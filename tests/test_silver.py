@@ -101,3 +101,10 @@ def test_null_timestamp_only_wins_alone(spark):
                                "k long, v string, ts timestamp")
     got = {r["k"]: r["v"] for r in dedup_latest(df, ["k"], ["ts"]).collect()}
     assert got == {1: "x", 2: "z"}
+
+
+def test_null_email_can_count_as_invalid(spark):
+    df = spark.createDataFrame([(3, "Cy", "Wu", None, "GOLD", datetime(2026, 1, 1))],
+                               "customer_id long, first_name string, last_name string, email string, "
+                               "loyalty_tier string, updated_at timestamp")
+    assert clean_customers(df, null_email_invalid=True).first()["is_email_valid"] is False

@@ -39,14 +39,23 @@ def drop_metadata(df: DataFrame, prefix: str = "_") -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith(prefix)])
 
 
-def clean_customers(df: DataFrame, tie_breakers: Sequence[str] | None = None) -> DataFrame:
-    """Standardise names, email and tier; flag bad emails; latest row per id."""
+def clean_customers(df: DataFrame, tie_breakers: Sequence[str] | None = None,
+                    null_email_invalid: bool = False) -> DataFrame:
+    """Standardise names, email and tier; flag bad emails; latest row per id.
+
+    A missing email gives a NULL flag (original behaviour) unless
+    ``null_email_invalid`` makes it false.
+    """
     df = df.withColumns({
         "first_name": title_case("first_name"),
         "last_name": title_case("last_name"),
         "email": F.lower(F.trim(F.col("email"))),
         "loyalty_tier": normalize_tier("loyalty_tier"),
-    }).withColumn("is_email_valid", email_is_valid("email"))
+    })
+    flag = email_is_valid("email")
+    if null_email_invalid:
+        flag = F.coalesce(flag, F.lit(False))
+    df = df.withColumn("is_email_valid", flag)
     return dedup_latest(df, ["customer_id"], ["updated_at"], tie_breakers)
 
 
