@@ -1,12 +1,14 @@
 """Distributed, deterministic generator of dirty source rows.
 
 Each generator takes a DataFrame of keys (derived from real tables, so the
-output grows with them) and derives every attribute from ``xxhash64`` of the
-key and a per-attribute salt: no driver loop, no random state, the same
-rows on every run and every retry. Dirt is injected by rate, as in the
-original seeder: a share of customers gets an upper-cased last name and
-(30 % of those) a missing email; a handful of customers are re-inserted
-with new ids; orders get 1-4 items.
+output grows with them) and derives every attribute from a hash of the key
+and a per-attribute salt: no driver loop, no random state, the same rows on
+every run and every retry. The hash is the first 60 bits of ``md5`` (a
+built-in of Spark and of most SQL engines, so generated data can be
+re-derived in SQL); prices are drawn as integer cents, so they are exact.
+Dirt is injected by rate, as in the original seeder: a share of customers
+gets an upper-cased last name and (30 % of those) a missing email; a handful
+of customers are re-inserted with new ids; orders get 1-4 items.
 """
 
 from __future__ import annotations
@@ -27,53 +29,55 @@ DISCOUNTS = [0, 0, 0, 5, 10, 15]
 WAREHOUSES = ["WH-EAST", "WH-WEST", "WH-CENTRAL"]
 
 # Name parts for generated people and places (our own rule, not fixed values).
-_SYLLABLES = ["an", "bel", "cor", "da", "el", "fin", "gar", "ha", "is", "jo", "ka", "lin",
-              "mar", "no", "or", "pe", "quin", "ros", "sa", "ten", "ul", "ver", "wil", "zo"]
+SYLLABLES = ["an", "bel", "cor", "da", "el", "fin", "gar", "ha", "is", "jo", "ka", "lin",
+             "mar", "no", "or", "pe", "quin", "ros", "sa", "ten", "ul", "ver", "wil", "zo"]
 
 
 def _h(key: Column, salt: str) -> Column:
-    return F.xxhash64(key, F.lit(salt))
+    """Non-negative 60-bit hash of (key, salt)."""
+    digest = F.md5(F.concat_ws("|", key.cast("string"), F.lit(salt)))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
 def _pick(key: Column, salt: str, values: list) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]),
-                        (F.pmod(_h(key, salt), F.lit(len(values))) + 1).cast("int"))
-
-
-def _unit(key: Column, salt: str) -> Column:
-    """Uniform in [0, 1)."""
-    return F.pmod(_h(key, salt), F.lit(1_000_000)).cast("double") / 1_000_000.0
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (_h(key, salt) % len(values) + 1).cast("int"))
 
 
 def _int(key: Column, salt: str, lo: int, hi: int) -> Column:
     """Uniform integer in [lo, hi]."""
-    return (F.pmod(_h(key, salt), F.lit(hi - lo + 1)) + lo).cast("int")
+    return (_h(key, salt) % (hi - lo + 1) + lo).cast("int")
+
+
+def _chance(key: Column, salt: str, rate: float) -> Column:
+    return _h(key, salt) % 10000 < int(round(rate * 10000))
 
 
-def _money(key: Column, salt: str, lo: float, hi: float) -> Column:
-    return F.round(F.lit(lo) + _unit(key, salt) * (hi - lo), 2).cast("decimal(10,2)")
+def _money(key: Column, salt: str, lo: int, hi: int) -> Column:
+    """Uniform price in [lo, hi] with cents, as decimal(10,2)."""
+    cents = _h(key, salt) % ((hi - lo) * 100 + 1) + lo * 100
+    return (cents.cast("decimal(10,0)") * F.lit(0.01).cast("decimal(2,2)")).cast("decimal(10,2)")
 
 
 def _word(key: Column, salt: str, parts: int = 2) -> Column:
-    return F.initcap(F.concat(*[_pick(key, f"{salt}{i}", _SYLLABLES) for i in range(parts)]))
+    return F.initcap(F.concat(*[_pick(key, f"{salt}{i}", SYLLABLES) for i in range(parts)]))
 
 
 def sample_n(df: DataFrame, n: int, key: str, seed: str = "sample") -> DataFrame:
     """Deterministic pseudo-random ``n`` rows (distributed top-n by hash)."""
-    return df.orderBy(_h(F.col(key), seed)).limit(n)
+    return df.orderBy(_h(F.col(key), seed), F.col(key)).limit(n)
 
 
 def seed_customers(keys: DataFrame, key: str, dirty_rate: float = 0.05,
                    duplicates: int = 5, start_id: int = 1) -> DataFrame:
     """Customers for each key; ``duplicates`` of them re-inserted under new ids."""
     k = F.col(key)
-    dirty = _unit(k, "dirty") < dirty_rate
+    dirty = _chance(k, "dirty", dirty_rate)
     last = _word(k, "last", 3)
     base = keys.select(
         (k + start_id).cast("bigint").alias("customer_id"),
         _word(k, "first").alias("first_name"),
         F.when(dirty, F.upper(last)).otherwise(last).alias("last_name"),
-        F.when(dirty & (_unit(k, "nomail") < 0.3), F.lit(None).cast("string"))
+        F.when(dirty & _chance(k, "nomail", 0.3), F.lit(None).cast("string"))
          .otherwise(F.lower(F.concat(_word(k, "mail"), F.lit("."), (k % 1000).cast("string"),
                                      F.lit("@example.com")))).alias("email"),
         F.concat(_int(k, "street", 1, 9999).cast("string"), F.lit(" "), _word(k, "road"),
@@ -90,22 +94,22 @@ def seed_customers(keys: DataFrame, key: str, dirty_rate: float = 0.05,
     # to the driver; the window below numbers only the sampled rows).
     top = base.agg(F.max("customer_id")).first()[0] or 0
     dup = (sample_n(base, duplicates, "customer_id", "dupe")
-           .withColumn("customer_id", F.lit(top) + F.row_number().over(Window.orderBy("customer_id"))))
+           .withColumn("customer_id", (F.lit(top) + F.row_number().over(Window.orderBy("customer_id")))
+                       .cast("bigint")))
     return base.unionByName(dup)
 
 
 def seed_products(keys: DataFrame, key: str, start_id: int = 1) -> DataFrame:
     k = F.col(key)
     cat = _pick(k, "cat", list(CATEGORIES))
-    sub_arrays = F.create_map(*[x for c, subs in CATEGORIES.items()
-                                for x in (F.lit(c), F.array(*[F.lit(s) for s in subs]))])
-    subs = F.element_at(sub_arrays, cat)
+    subs = F.element_at(F.create_map(*[x for c, ss in CATEGORIES.items()
+                                       for x in (F.lit(c), F.array(*[F.lit(s) for s in ss]))]), cat)
     return keys.select(
         (k + start_id).cast("bigint").alias("product_id"),
         F.concat(F.lit("SKU-"), F.lpad((k + start_id).cast("string"), 5, "0")).alias("sku"),
         F.concat(_word(k, "adj"), F.lit(" "), _word(k, "noun", 3)).alias("product_name"),
         cat.alias("category"),
-        F.element_at(subs, (F.pmod(_h(k, "sub"), F.lit(3)) + 1).cast("int")).alias("subcategory"),
+        F.element_at(subs, (_h(k, "sub") % 3 + 1).cast("int")).alias("subcategory"),
         _money(k, "price", 5, 800).alias("unit_price"),
     )
 
@@ -119,7 +123,7 @@ def seed_orders(keys: DataFrame, key: str, num_customers: int, anchor: str = "20
                               _int(k, "hh", 0, 23), _int(k, "mi", 0, 59), F.lit(0))
     return keys.select(
         (k + start_id).cast("bigint").alias("order_id"),
-        (F.pmod(_h(k, "cust"), F.lit(num_customers)) + 1).cast("bigint").alias("customer_id"),
+        (_h(k, "cust") % num_customers + 1).cast("bigint").alias("customer_id"),
         _pick(k, "status", list(ORDER_STATUSES)).alias("order_status"),
         ts.alias("order_date"),
         _money(k, "ship", 0, 25).alias("shipping_cost"),
@@ -132,9 +136,9 @@ def seed_order_items(orders: DataFrame, num_products: int) -> DataFrame:
     lines = orders.select("order_id", F.explode(F.sequence(F.lit(1), _int(o, "nitems", 1, 4))).alias("line"))
     lk = F.col("order_id") * 8 + F.col("line")
     return lines.select(
-        (F.col("order_id") * 8 + F.col("line")).cast("bigint").alias("order_item_id"),
+        lk.cast("bigint").alias("order_item_id"),
         "order_id",
-        (F.pmod(_h(lk, "prod"), F.lit(num_products)) + 1).cast("bigint").alias("product_id"),
+        (_h(lk, "prod") % num_products + 1).cast("bigint").alias("product_id"),
         _int(lk, "qty", 1, 5).alias("quantity"),
         _money(lk, "price", 5, 800).alias("unit_price"),
         _pick(lk, "disc", DISCOUNTS).cast("decimal(5,2)").alias("discount_pct"),

@@ -372,5 +372,122 @@ FINAL.update({
 })
 
 
+# --- generator: the same md5-based draws, in SQL ---------------------------------
+
+from tidemart.config import ORDER_STATUSES as _STATUSES, VALID_TIERS as _TIERS  # noqa: E402
+from tidemart.operators.datagen import (  # noqa: E402
+    CATEGORIES as _CATS,
+    DISCOUNTS as _DISC,
+    SYLLABLES as _SYL,
+    WAREHOUSES as _WH,
+)
+
+
+def _q(v) -> str:
+    return "'" + str(v).replace("'", "''") + "'" if isinstance(v, str) else str(v)
+
+
+def _gh(k: str, salt: str) -> str:
+    return f"CAST(('0x' || substr(md5(concat_ws('|', CAST({k} AS VARCHAR), '{salt}')), 1, 15)) AS BIGINT)"
+
+
+def _gpick(k, salt, values) -> str:
+    return f"([{', '.join(_q(v) for v in values)}])[CAST({_gh(k, salt)} % {len(values)} + 1 AS INTEGER)]"
+
+
+def _gint(k, salt, lo, hi) -> str:
+    return f"CAST({_gh(k, salt)} % {hi - lo + 1} + {lo} AS INTEGER)"
+
+
+def _gmoney(k, salt, lo, hi) -> str:
+    return (f"CAST(CAST({_gh(k, salt)} % {(hi - lo) * 100 + 1} + {lo * 100} AS DECIMAL(10,0)) "
+            f"* CAST(0.01 AS DECIMAL(2,2)) AS DECIMAL(10,2))")
+
+
+def _gword(k, salt, parts=2) -> str:
+    w = " || ".join(_gpick(k, f"{salt}{i}", _SYL) for i in range(parts))
+    return f"(upper(substr({w}, 1, 1)) || substr({w}, 2))"
+
+
+def _seed_customers_sql() -> str:
+    k = "c_custkey"
+    dirty = f"({_gh(k, 'dirty')} % 10000 < 500)"
+    last = _gword(k, "last", 3)
+    base = f"""SELECT CAST({k} + 1 AS BIGINT) AS customer_id,
+    {_gword(k, 'first')} AS first_name,
+    CASE WHEN {dirty} THEN upper({last}) ELSE {last} END AS last_name,
+    CASE WHEN {dirty} AND {_gh(k, 'nomail')} % 10000 < 3000 THEN NULL
+         ELSE lower({_gword(k, 'mail')} || '.' || CAST({k} % 1000 AS VARCHAR) || '@example.com') END AS email,
+    CAST({_gint(k, 'street', 1, 9999)} AS VARCHAR) || ' ' || {_gword(k, 'road')} || ' St' AS address,
+    {_gword(k, 'city', 3)} AS city,
+    upper(substr({_gword(k, 'state')}, 1, 2)) AS state,
+    lpad(CAST({_gint(k, 'zip', 0, 99999)} AS VARCHAR), 5, '0') AS postal_code,
+    'USA' AS country,
+    {_gpick(k, 'tier', list(_TIERS))} AS loyalty_tier
+  FROM customer"""
+    return f"""WITH base AS ({base}),
+  dup AS (SELECT * FROM base ORDER BY {_gh('customer_id', 'dupe')}, customer_id LIMIT 5)
+SELECT * FROM base
+UNION ALL BY NAME
+SELECT * REPLACE (CAST((SELECT max(customer_id) FROM base) + row_number() OVER (ORDER BY customer_id) AS BIGINT)
+                  AS customer_id) FROM dup"""
+
+
+def _seed_products_sql(src: str = "part") -> str:
+    k = "p_partkey"
+    cat = _gpick(k, "cat", list(_CATS))
+    sub_case = " ".join(f"WHEN {_q(c)} THEN [{', '.join(_q(x) for x in ss)}]" for c, ss in _CATS.items())
+    return f"""SELECT CAST({k} + 1 AS BIGINT) AS product_id,
+    'SKU-' || lpad(CAST({k} + 1 AS VARCHAR), 5, '0') AS sku,
+    {_gword(k, 'adj')} || ' ' || {_gword(k, 'noun', 3)} AS product_name,
+    {cat} AS category,
+    (CASE {cat} {sub_case} END)[CAST({_gh(k, 'sub')} % 3 + 1 AS INTEGER)] AS subcategory,
+    {_gmoney(k, 'price', 5, 800)} AS unit_price
+  FROM {src}"""
+
+
+def _seed_orders_sql() -> str:
+    k = "o_orderkey"
+    day = f"(DATE '2026-06-30' - {_gint(k, 'day', 0, 179)})"
+    return f"""SELECT CAST({k} + 1 AS BIGINT) AS order_id,
+    CAST({_gh(k, 'cust')} % (SELECT count(*) FROM customer) + 1 AS BIGINT) AS customer_id,
+    {_gpick(k, 'status', list(_STATUSES))} AS order_status,
+    CAST({day} AS TIMESTAMP) + to_hours(CAST({_gint(k, 'hh', 0, 23)} AS BIGINT))
+      + to_minutes(CAST({_gint(k, 'mi', 0, 59)} AS BIGINT)) AS order_date,
+    {_gmoney(k, 'ship', 0, 25)} AS shipping_cost
+  FROM orders"""
+
+
+def _seed_items_sql() -> str:
+    lk = "(order_id * 8 + line)"
+    return f"""WITH o AS ({_seed_orders_sql()}),
+  l AS (SELECT order_id, unnest(range(1, {_gint('order_id', 'nitems', 1, 4)} + 1)) AS line FROM o)
+SELECT CAST({lk} AS BIGINT) AS order_item_id, order_id,
+    CAST({_gh(lk, 'prod')} % (SELECT count(*) FROM part) + 1 AS BIGINT) AS product_id,
+    {_gint(lk, 'qty', 1, 5)} AS quantity,
+    {_gmoney(lk, 'price', 5, 800)} AS unit_price,
+    CAST({_gpick(lk, 'disc', _DISC)} AS DECIMAL(5,2)) AS discount_pct
+  FROM l"""
+
+
+def _seed_inventory_sql() -> str:
+    p = "product_id"
+    return f"""WITH p AS ({_seed_products_sql()})
+SELECT {p} AS inventory_id, {p} AS product_id, {_gpick(p, 'wh', _WH)} AS warehouse_code,
+    {_gint(p, 'onhand', 0, 500)} AS quantity_on_hand, {_gint(p, 'reorder', 5, 50)} AS reorder_level
+  FROM p"""
+
+
+SEED_SQL = {
+    "seed_customers": _seed_customers_sql(),
+    "seed_products": _seed_products_sql(),
+    "seed_orders": _seed_orders_sql(),
+    "seed_order_items": _seed_items_sql(),
+    "seed_inventory": _seed_inventory_sql(),
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {k: PRELUDE + v for k, v in FINAL.items()}
+    out = {k: PRELUDE + v for k, v in FINAL.items()}
+    out.update(SEED_SQL)  # self-contained, no adapter CTEs needed
+    return out
