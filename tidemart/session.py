@@ -17,10 +17,21 @@ _CKPT_KEY = "spark.checkpoint.dir"
 _LOCAL_ROOTS: "weakref.WeakKeyDictionary[SparkSession, str]" = weakref.WeakKeyDictionary()
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "tidemart", extra: dict | None = None) -> SparkSession:
+    """Session with AQE (coalescing, skew joins) and UI off.
+
+    On a cluster pass ``master=None`` (spark-submit decides) and size
+    ``shuffle_partitions`` to the data: about one partition per 128-256 MB of
+    the largest shuffle (e.g. 100 TB of line items -> 400k-800k; AQE
+    coalesces small ones), with ``spark.sql.files.maxPartitionBytes`` near
+    the same size.
+    """
+    builder = SparkSession.builder
+    if master:
+        builder = builder.master(master)
     builder = (
-        SparkSession.builder.master(master)
+        builder
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
