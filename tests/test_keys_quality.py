@@ -7,6 +7,7 @@ from tidemart.operators.keys import dense_keys, with_neighbors
 from tidemart.operators.quality import (
     apply_defaults,
     apply_expectations,
+    content_duplicate_map,
     content_duplicates,
     expectation_summary,
     key_uniqueness,
@@ -68,3 +69,10 @@ def test_defaults_fill_nulls_only(spark):
     out = {r["id"]: (r["order_status"], r["d"])
            for r in apply_defaults(df, {"order_status": "PLACED", "d": 0, "absent": 1}).collect()}
     assert out == {1: ("PLACED", 0.0), 2: ("SHIPPED", 5.0)}
+
+
+def test_content_duplicate_map_with_null_attributes(spark):
+    df = spark.createDataFrame([(1, "Ann", None), (7, "ann ", None), (3, "Bo", "x"), (9, "bo", "x")],
+                               "id long, name string, email string")
+    got = sorted(tuple(r) for r in content_duplicate_map(df, "id", ["name", "email"]).collect())
+    assert got == [(7, 1), (9, 3)]

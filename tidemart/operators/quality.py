@@ -127,3 +127,23 @@ def apply_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
         return df
     types = dict(df.dtypes)
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(types[c])) for c, v in present.items()})
+
+
+def content_duplicate_map(df: DataFrame, id_col: str, attrs: Sequence[str]) -> DataFrame:
+    """(id, keep_id) for every id whose normalised content repeats under a
+    smaller id -- the mapping that merges re-inserted copies.
+
+    The per-row side is joined back to the groups on null-safe equality of
+    the normalised attributes; no id list is collected per group, so a group
+    holding a third of all rows is a skewed join side AQE can split.
+    """
+    norm = df.select(F.col(id_col), *[F.lower(F.trim(F.col(a).cast("string"))).alias(a) for a in attrs])
+    groups = content_duplicates(df, id_col, attrs).select(*[F.col(a).alias(f"_g_{a}") for a in attrs], "keep_id")
+    cond = None
+    for a in attrs:
+        c = F.col(a).eqNullSafe(F.col(f"_g_{a}"))
+        cond = c if cond is None else cond & c
+    return (norm.join(groups, cond)
+                .filter(F.col(id_col) != F.col("keep_id"))
+                .select(F.col(id_col), F.col("keep_id"))
+                .distinct())

@@ -487,6 +487,16 @@ SEED_SQL = {
 }
 
 
+_CD_NORM = ", ".join(f"lower(trim(CAST({a} AS VARCHAR))) AS {a}" for a in _CD_ATTRS)
+FINAL["content_duplicate_map"] = (
+    f"SELECT DISTINCT n.customer_id, g.keep_id FROM (SELECT customer_id, {_CD_NORM} FROM copies) n "
+    f"JOIN (SELECT {_CD_NORM}, min(customer_id) AS keep_id FROM copies GROUP BY "
+    + ", ".join(str(i + 1) for i in range(len(_CD_ATTRS)))
+    + " HAVING count(DISTINCT customer_id) > 1) g ON "
+    + " AND ".join(f"n.{a} IS NOT DISTINCT FROM g.{a}" for a in _CD_ATTRS)
+    + " WHERE n.customer_id <> g.keep_id")
+
+
 def oracle_sql() -> dict[str, str]:
     out = {k: PRELUDE + v for k, v in FINAL.items()}
     out.update(SEED_SQL)  # self-contained, no adapter CTEs needed

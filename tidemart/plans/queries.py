@@ -259,9 +259,15 @@ def q_orders_failed_rules(spark, sf):
                           F.array_join("_dq_failed_rules", ",").alias("failed_rules"))
 
 
+CONTENT_ATTRS = ["first_name", "last_name", "email", "address", "city", "state", "postal_code", "loyalty_tier"]
+
+
 def q_content_duplicates(spark, sf):
-    attrs = ["first_name", "last_name", "email", "address", "city", "state", "postal_code", "loyalty_tier"]
-    return quality.content_duplicates(td.customer_content_copies(spark, sf), "customer_id", attrs)
+    return quality.content_duplicates(td.customer_content_copies(spark, sf), "customer_id", CONTENT_ATTRS)
+
+
+def q_content_duplicate_map(spark, sf):
+    return quality.content_duplicate_map(td.customer_content_copies(spark, sf), "customer_id", CONTENT_ATTRS)
 
 
 QUERIES.update({
@@ -279,6 +285,7 @@ QUERIES.update({
     "expectations_summary": q_expectations_summary,
     "orders_failed_rules": q_orders_failed_rules,
     "content_duplicates": q_content_duplicates,
+    "content_duplicate_map": q_content_duplicate_map,
 })
 
 
