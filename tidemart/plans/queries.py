@@ -388,7 +388,7 @@ def adapter_sources(spark, sf) -> dict[str, DataFrame]:
     }
 
 
-def q_daily_pipeline_revenue(spark, sf):
+def q_daily_batch_revenue(spark, sf):
     root = _root(spark, "daily")
     cat = daily.Catalog(prefix=f"tm_{uuid.uuid4().hex[:8]}")
     return daily.run_daily(spark, adapter_sources(spark, sf), root, "2026-01-01", cat)
@@ -403,7 +403,7 @@ QUERIES.update({
     "bronze_append_merge_schema": q_bronze_append_merge_schema,
     "silver_passthrough": q_silver_passthrough,
     "snapshot_overwrite": q_snapshot_overwrite,
-    "daily_pipeline_revenue": q_daily_pipeline_revenue,
+    "daily_batch_revenue": q_daily_batch_revenue,
 })
 
 

@@ -57,9 +57,9 @@ def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    # nation x region is the fixed 25-row geography, so broadcasting it is safe.
+    # nation x region is tiny; the planner's size check broadcasts it.
     geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
-    base = c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey, "left")
+    base = c.join(geo, c.c_nationkey == geo.n_nationkey, "left")
     k = F.col("c_custkey")
 
     # One pass: ids with id%10=0 also emit a later re-extraction (tier gold,
