@@ -29,15 +29,16 @@ _B, _I = "_sk_bucket", "_sk_local"
 
 
 def dense_keys(df: DataFrame, order_cols: Sequence[str], sk_col: str,
-               base: int | Column = 0, num_buckets: int | None = None,
-               stable_input: bool = False) -> DataFrame:
+               base: int | Column = 0, num_buckets: int | None = None) -> DataFrame:
     """Append ``sk_col`` = base + 1.. in ``order_cols`` order (bigint).
 
     The bucketed rows are read twice (bucket counts, numbering). Range
-    bounds come from a sample of the input, so unless the input is
-    file-backed (``stable_input=True``) the bucketed rows are first written
-    to the shared folder and both reads use those files: counts and numbers
-    then always describe the same bucketing, also after a task retry.
+    bounds come from a reservoir sample of the input, and two evaluations of
+    the same input can sample different bounds once it is larger than the
+    sample -- even for file-backed input. So the bucketed, locally numbered
+    rows are written once to the shared folder and both reads use those
+    files: counts and numbers always describe the same bucketing, also after
+    a task retry.
     """
     spark = df.sparkSession
     n = num_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -46,8 +47,7 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str], sk_col: str,
                 .withColumn(_B, F.spark_partition_id())
                 .withColumn(_I, F.monotonically_increasing_id()
                             - F.shiftleft(F.col(_B).cast("bigint"), 33)))
-    if not stable_input:
-        staged = materialize(staged, "dense-keys")
+    staged = materialize(staged, "dense-keys")
     counts = staged.groupBy(_B).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_B, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
