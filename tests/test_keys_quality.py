@@ -76,3 +76,12 @@ def test_content_duplicate_map_with_null_attributes(spark):
                                "id long, name string, email string")
     got = sorted(tuple(r) for r in content_duplicate_map(df, "id", ["name", "email"]).collect())
     assert got == [(7, 1), (9, 3)]
+
+
+def test_dense_keys_on_large_shuffled_input(spark):
+    # more rows than the range sampler keeps, arriving from a hash shuffle
+    df = (spark.range(60000).select((F.col("id") * 7919 % 1000003).alias("k"))
+               .repartition(5, "k").filter(F.col("k") % 3 != 0))
+    got = dense_keys(df, ["k"], "sk", num_buckets=6)
+    ref = df.withColumn("ref", F.row_number().over(Window.orderBy("k")))
+    assert got.join(ref, "k").filter(F.col("sk") != F.col("ref")).count() == 0
