@@ -83,9 +83,7 @@ def publish_snapshot(df: DataFrame, root: str, table: str, catalog_name: str | N
     snapshot_id = snapshot_id or uuid.uuid4().hex[:12]
     path = f"{root}/snapshots/{table}/v={snapshot_id}"
     if catalog_name:
-        db = catalog_name.split(".")[0] if "." in catalog_name else None
-        if db:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+        ensure_database(spark, root, catalog_name)
     if bucket_by and catalog_name:
         n, key = bucket_by
         exists = spark.catalog.tableExists(catalog_name)
@@ -107,6 +105,14 @@ def publish_snapshot(df: DataFrame, root: str, table: str, catalog_name: str | N
     return path
 
 
+def ensure_database(spark: SparkSession, root: str, catalog_name: str) -> None:
+    """Create the table's database below ``root`` (the shared folder), not in
+    the session's default warehouse, which may be local to one machine."""
+    if "." in catalog_name:
+        db = catalog_name.split(".")[0]
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/_catalog/{db}.db'")
+
+
 def read_table(spark: SparkSession, catalog_name: str) -> DataFrame | None:
     """The published snapshot, or None when the table does not exist yet."""
     return spark.table(catalog_name) if spark.catalog.tableExists(catalog_name) else None
