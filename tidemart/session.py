@@ -7,6 +7,7 @@ pick a local scratch folder ourselves.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 import weakref
@@ -67,6 +68,19 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def share_code(spark: SparkSession) -> None:
+    """Python workers started by ``spark`` also look for modules where this package lies.
+
+    Clusters that ship the package (``--py-files``, an installed wheel) have it
+    already; the extra entry of the path does no harm there.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    parts = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in parts:
+        env["PYTHONPATH"] = os.pathsep.join([root, *parts])
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unique directory below the shared root."""
     return f"{shared_root(spark)}/tidemart-work/{label}-{uuid.uuid4().hex[:12]}"
