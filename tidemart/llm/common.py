@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.session import scratch_dir
+from tidemart.session import scratch_dir, share_code
 
 SLICE_BYTES = 8 << 20
 """Text that one numpy pass inside a task holds (a longer single text goes alone)."""
@@ -23,6 +23,12 @@ def write_and_read(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def arrow_map(df: DataFrame, fn: Callable, schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow`` with this package on the workers' path."""
+    share_code(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def task_count(df: DataFrame) -> int:
     """Partitions for keyed work: the session's shuffle partitions."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -77,7 +83,7 @@ def map_texts(df: DataFrame, keep: list[str], text: str,
             arrays = [b.column(c) for c in keep] + [pa.array(made[c], type=t) for c, t in types.items()]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *types])
 
-    return picked.mapInArrow(run, schema)
+    return arrow_map(picked, run, schema)
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemart.llm.packing import pack_mixture
 from tidemart.llm.quality_rules import repetition_rules
 
 
@@ -13,10 +15,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_digest(pack_mixture(_table(spark, sf_dir, "documents")))
+
+
+def with_digest(pieces: DataFrame) -> DataFrame:
+    """Pieces with the checksum of their ids in place of the ids."""
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_packing": op4_packing,
     "op9_quality_rules": op9_quality_rules,
 }
