@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm.packing import pack_mixture
 from tidemart.llm.quality_rules import repetition_rules
+from tidemart.llm.simhash import simhash_components
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,11 +26,18 @@ def with_digest(pieces: DataFrame) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_components(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                        F.col("component").alias("component_id"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
+    "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
 }
