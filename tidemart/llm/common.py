@@ -39,15 +39,6 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
     return [F.col(id_col).alias("k_id"), F.xxhash64(F.col(text_col)).alias("k_text")]
 
 
-def same_key(a: DataFrame, b: DataFrame, cols: list[str]) -> Column:
-    """Null-safe equality of the named columns."""
-    cond = None
-    for c in cols:
-        one = a[c].eqNullSafe(b[c])
-        cond = one if cond is None else cond & one
-    return cond
-
-
 def utf8(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8 bytes, null as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

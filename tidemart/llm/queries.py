@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemart.llm.packing import pack_mixture
 from tidemart.llm.quality_rules import repetition_rules
 from tidemart.llm.simhash import simhash_components
+from tidemart.llm.suffix_dedup import remove_repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,11 @@ def with_digest(pieces: DataFrame) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
@@ -38,6 +44,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
 }
