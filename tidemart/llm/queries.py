@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm.mixing import mix_sources
 from tidemart.llm.packing import pack_mixture
+from tidemart.llm.quality_classifier import score_quality
 from tidemart.llm.quality_rules import repetition_rules
 from tidemart.llm.simhash import simhash_components
 from tidemart.llm.suffix_dedup import remove_repeats
@@ -18,6 +19,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_digest(pack_mixture(_table(spark, sf_dir, "documents")))
 
@@ -48,6 +53,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_classifier": op2_quality_classifier,
     "op4_packing": op4_packing,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_mixing": op6_mixing,
