@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,11 +50,10 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sizes = np.array([len(x) if x is not None else 0 for x in batch.column(text).cast(pa.binary())
-                          .to_pylist()], dtype=np.int64) if batch.nbytes > limit else None
-        if sizes is None:
+        if batch.nbytes <= limit:
             yield batch
             continue
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy().astype(np.int64)
         group = np.cumsum(sizes) // limit
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):

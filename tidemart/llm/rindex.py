@@ -7,7 +7,7 @@ common prefix with the suffix before it. Reading the text from left to right,
 the match with the suffix before shrinks by one per character until the next
 sampled head (inside a run, the preceding characters agree, so the value one
 position earlier is one larger), which streams the matching statistics of the
-whole set from as many samples as there are runs.
+whole set from as many samples as there are runs. A set must stay below 2 GB.
 """
 
 from __future__ import annotations
@@ -20,21 +20,22 @@ SEPARATOR = 0xFF  # no byte of UTF-8
 def suffix_ranks(text: np.ndarray, end: np.ndarray, packed: np.ndarray) -> np.ndarray:
     """Rank of every suffix; ``end`` is the separator's place after each position."""
     n = len(text)
-    room = end - np.arange(n)  # bytes before the separator
-    order = np.argsort(packed, kind="stable")
+    at = np.arange(n, dtype=np.int32)
+    order = np.argsort(packed, kind="stable").astype(np.int32)
     key = packed[order]
-    new = np.r_[True, (key[1:] != key[:-1]) | (room[order[1:]] < 8)]
-    first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    rank = np.empty(n, dtype=np.int64)
+    new = np.r_[True, (key[1:] != key[:-1]) | ((end - at)[order[1:]] < 8)]
+    del key
+    first = np.maximum.accumulate(np.where(new, at, 0))
+    rank = np.empty(n, dtype=np.int32)
     rank[order] = first
-    size = np.bincount(first, minlength=n)
-    live = order[size[first] > 1]
+    live = order[np.bincount(first, minlength=n)[first] > 1]
+    del first, new, order
     h = 8
     while len(live):
         own, nxt = rank[live], rank[live + h]
         by = np.argsort(own * np.int64(n) + nxt, kind="stable")
         live, own, nxt = live[by], own[by], nxt[by]
-        at = np.arange(len(live))
+        at = np.arange(len(live), dtype=np.int32)
         new_class = np.r_[True, own[1:] != own[:-1]]
         new = new_class | np.r_[True, nxt[1:] != nxt[:-1]]
         begin = np.maximum.accumulate(np.where(new, at, 0))
@@ -51,21 +52,21 @@ def matching_statistics(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     n = len(text)
     seps = np.flatnonzero(text == SEPARATOR)
     starts = np.r_[0, seps[:-1] + 1]
-    end = np.repeat(seps, np.diff(np.r_[-1, seps]))
-    padded = np.r_[text, np.zeros(8, dtype=np.uint8)].astype(np.uint64)
-    packed, at = np.zeros(n, dtype=np.uint64), np.arange(n)
+    end = np.repeat(seps.astype(np.int32), np.diff(np.r_[-1, seps]))
+    padded = np.r_[text, np.zeros(8, dtype=np.uint8)]
+    packed, at = np.zeros(n, dtype=np.uint64), np.arange(n, dtype=np.int32)
     for j in range(8):
-        packed |= np.where(at + j <= end, padded[j:j + n], 0) << np.uint64(56 - 8 * j)
+        packed |= np.where(at + j <= end, padded[j:j + n], 0).astype(np.uint64) << np.uint64(56 - 8 * j)
     rank = suffix_ranks(text, end, packed)
-    suffix = np.empty(n, dtype=np.int64)
+    suffix = np.empty(n, dtype=np.int32)
     suffix[rank] = at
     bwt = text[suffix - 1]
     head = np.r_[True, (bwt[1:] != bwt[:-1]) | (bwt[1:] == SEPARATOR)]
     rows = np.flatnonzero(head)
     sampled = suffix[rows]  # the samples at run heads: the position, and its common prefix with the row before
-    value = np.zeros(len(rows), dtype=np.int64)
+    value = np.zeros(len(rows), dtype=np.int32)
     value[1:] = common_prefix(packed, end, suffix[rows[1:] - 1], sampled[1:])
-    sample_at, sample_value = np.full(n, -1, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    sample_at, sample_value = np.full(n, -1, dtype=np.int32), np.zeros(n, dtype=np.int32)
     sample_at[sampled], sample_value[sampled] = sampled, value
     last = np.maximum.accumulate(sample_at)
     before = sample_value[last] - (at - last)  # with the suffix one row up

@@ -47,8 +47,9 @@ from tidemart.llm.rindex import long_matches
 
 LENGTH = 400
 ANCHOR = 64
-GROUP_BYTES = 8 << 20
-INDEX_BYTES = 2 << 20
+GROUP_BYTES = 4 << 20
+INDEX_BYTES = 1 << 20
+CUT_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
 KEY = ["k_id", "k_text"]
 
@@ -114,7 +115,7 @@ def segments(texts: DataFrame, length: int, anchor: int) -> DataFrame:
         T.StructField("again", T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text__", 4 << 20):
+        for b in slices(batches, "text__", CUT_BYTES):
             raw = utf8(b.column("text__"))
             row, digest, *rest = cut_segments(raw, length, anchor)
             pick = pa.array(row)
