@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.llm.embedding_dedup import embedding_components
 from tidemart.llm.mixing import mix_sources
 from tidemart.llm.packing import pack_mixture
 from tidemart.llm.quality_classifier import score_quality
@@ -52,6 +53,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(_table(spark, sf_dir, "documents"))
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_components(_table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", F.col("component").alias("component_id"), "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op4_packing": op4_packing,
@@ -59,4 +65,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_mixing": op6_mixing,
     "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }

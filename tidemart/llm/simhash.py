@@ -66,11 +66,11 @@ TRIPLES = position_triples()
 
 
 def fingerprints(df: DataFrame, keep: list[str], text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``keep`` and fp, the 64-bit fingerprint as a signed long, of whole texts."""
+    """``keep`` and fp__, the 64-bit fingerprint as a signed long, of whole texts."""
     def run(texts: list[bytes]) -> dict:
-        return {"fp": np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64)}
+        return {"fp__": np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64)}
 
-    return map_texts(df, keep, text_col, run, T.StructType([T.StructField("fp", T.LongType())]))
+    return map_texts(df, keep, text_col, run, T.StructType([T.StructField("fp__", T.LongType())]))
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -96,15 +96,38 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                        max_bits: int = MAX_BITS, list_limit: int = 8192) -> DataFrame:
     """id, fp, component (smallest id reachable over links of at most ``max_bits`` bits), one row per input row."""
     prints = write_and_read(fingerprints(df, [id_col], text_col, shingle), "simhash")
-    links = fingerprint_links(prints.select("fp").distinct(), max_bits, list_limit)
+    named = components_of_prints(prints, id_col, max_bits, list_limit)
+    return prints.join(named, F.col("fp__") == F.col("f")).select(id_col, F.col("fp__").alias("fp"), "component")
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+             max_bits: int = MAX_BITS, list_limit: int = 8192) -> DataFrame:
+    """The rows of ``df`` without near-duplicates: of each component the row of its smallest id.
+
+    Of repeated rows with that id one stays; a row without an id stays only
+    where no row of its component has one. The rows are written with their
+    fingerprints and a row number, so that each is chosen by itself.
+    """
+    columns = df.columns
+    rows = write_and_read(fingerprints(df, columns, text_col, shingle).withColumn(
+        "row__", F.monotonically_increasing_id()), "simhash-rows")
+    named = components_of_prints(rows.select(id_col, "fp__"), id_col, max_bits, list_limit)
+    first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "row__")).alias("first")
+    by_print = rows.groupBy("fp__").agg(first)
+    winners = by_print.join(named, F.col("fp__") == F.col("f")).groupBy("root").agg(F.min("first").alias("first"))
+    return rows.join(winners.select(F.col("first.row__").alias("w__")), F.col("row__") == F.col("w__"),
+                     "left_semi").select(columns)
+
+
+def components_of_prints(prints: DataFrame, id_col: str, max_bits: int, list_limit: int) -> DataFrame:
+    """(f, root, component) of every distinct fingerprint; ``prints`` has the id and fp__."""
+    links = fingerprint_links(prints.select(F.col("fp__").alias("fp")).distinct(), max_bits, list_limit)
     of_print = connected_components(links)
-    classes = prints.groupBy("fp").agg(F.min(id_col).alias("least__"))
-    joined = classes.join(of_print, classes["fp"] == of_print["node"], "left").select(
-        "fp", "least__", F.coalesce("component", "fp").alias("root__"))
-    joined = write_and_read(joined, "simhash-classes")
-    smallest = joined.groupBy(F.col("root__").alias("r")).agg(F.min("least__").alias("component"))
-    named = joined.join(smallest, F.col("root__") == F.col("r")).select(F.col("fp").alias("f"), "component")
-    return prints.join(named, F.col("fp") == F.col("f")).select(id_col, "fp", "component")
+    classes = prints.groupBy("fp__").agg(F.min(id_col).alias("least__"))
+    joined = write_and_read(classes.join(of_print, F.col("fp__") == F.col("node"), "left").select(
+        F.col("fp__").alias("f"), "least__", F.coalesce("component", "fp__").alias("root")), "simhash-classes")
+    smallest = joined.groupBy(F.col("root").alias("r")).agg(F.min("least__").alias("component"))
+    return joined.join(smallest, F.col("root") == F.col("r")).select("f", "root", "component")
 
 
 def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS, list_limit: int = 8192) -> DataFrame:
