@@ -94,7 +94,7 @@ def range_join(nodes: DataFrame, min_cosine: float, cell_rows: int, visitor_rows
     dealt = arrow_map(homes, lambda bs: deal(bs, pivots, chunks, radius, blocks, eps),
                       "task long, visitor boolean, u long, n long, x binary")
     dealt = dealt.repartition(task_count(nodes), "task").sortWithinPartitions("task", "visitor")
-    return arrow_map(dealt, lambda bs: join_cells(bs, min_cosine), "u long, add long, root long")
+    return arrow_map(dealt, lambda bs: join_cells(bs, min_cosine, blocks), "u long, add long, root long")
 
 
 def spread_pivots(sample: list[np.ndarray], count: int) -> np.ndarray:
@@ -190,8 +190,13 @@ def deal(batches: Iterator[pa.RecordBatch], pivots: np.ndarray, chunks: np.ndarr
                  b.column("n").take(pick), b.column("x").take(pick)], names=["task", "visitor", "u", "n", "x"])
 
 
-def join_cells(batches: Iterator[pa.RecordBatch], min_cosine: float) -> Iterator[pa.RecordBatch]:
+def join_cells(batches: Iterator[pa.RecordBatch], min_cosine: float, blocks: int) -> Iterator[pa.RecordBatch]:
     """Members of a chunk with each other (in its first block) and with the visitors, who come after them."""
+    def inside(parts: list[pa.RecordBatch], task: int) -> Iterator[pa.RecordBatch]:
+        if parts and task % blocks == 0:
+            for side in by_length(parts).values():
+                yield from compare(side, None, min_cosine)
+
     members: list[pa.RecordBatch] = []
     side, current = {}, None
     for b in batches:
@@ -202,21 +207,19 @@ def join_cells(batches: Iterator[pa.RecordBatch], min_cosine: float) -> Iterator
             part = b.slice(at, k)
             at += k
             if task != current:
-                if members:
-                    yield from within(members, min_cosine)
+                yield from inside(members, current)
                 members, side, current = [], {}, task
             if not visitor:
                 members.append(part)
                 continue
             if members:
                 side = by_length(members)
-                yield from within(members, min_cosine)
+                yield from inside(members, task)
                 members = []
             for size, (u, n, x) in by_length([part]).items():
                 if size in side:
                     yield from compare(side[size], (u, n, x), min_cosine)
-    if members:
-        yield from within(members, min_cosine)
+    yield from inside(members, current)
 
 
 def by_length(parts: list[pa.RecordBatch]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -229,11 +232,6 @@ def by_length(parts: list[pa.RecordBatch]) -> dict[int, tuple[np.ndarray, np.nda
         x for x in raw if len(x) == s)).reshape(-1, int(s) // 8)) for s in np.unique(sizes)}
 
 
-def within(members: list[pa.RecordBatch], min_cosine: float) -> Iterator[pa.RecordBatch]:
-    for side in by_length(members).values():
-        yield from compare(side, None, min_cosine)
-
-
 def compare(a: tuple, b: tuple | None, min_cosine: float, step: int = 2048) -> Iterator[pa.RecordBatch]:
     """Links between the rows of ``a`` and ``b``, or among those of ``a``, as sums and local components."""
     u, n, x = a
