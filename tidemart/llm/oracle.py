@@ -1,5 +1,71 @@
-"""DuckDB SQL for those queries of this subpackage that SQL can express."""
+"""DuckDB SQL for those queries of this subpackage that SQL can express.
+
+The licence scan is stated anew here: the same rules as nested replacements,
+and known texts compared as canonical texts instead of digests.
+"""
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+# Fixed values: (identifier, notice).
+_NOTICES = """
+('Apache-2.0', 'Licensed under the Apache License, Version 2.0.'),
+('Apache-2.0', 'SPDX-License-Identifier: Apache-2.0'),
+('BSD-2-Clause', 'SPDX-License-Identifier: BSD-2-Clause'),
+('BSD-3-Clause', 'SPDX-License-Identifier: BSD-3-Clause'),
+('BSD-3-Clause', 'Licensed under the BSD 3-Clause License.'),
+('CC-BY-4.0', 'Licensed under CC BY 4.0.'),
+('CC-BY-4.0', 'This work is licensed under a Creative Commons Attribution 4.0 International License.'),
+('CC-BY-NC-4.0', 'Licensed under CC BY-NC 4.0.'),
+('CC-BY-NC-4.0', 'This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.'),
+('CC-BY-SA-4.0', 'Licensed under CC BY-SA 4.0.'),
+('CC-BY-SA-4.0', 'This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.'),
+('CC0-1.0', 'Dedicated to the public domain under CC0 1.0.'),
+('GPL-2.0', 'This work is licensed under the GNU General Public License, version 2.'),
+('GPL-3.0', 'This work is licensed under the GNU General Public License, version 3.'),
+('GPL-3.0', 'SPDX-License-Identifier: GPL-3.0-only'),
+('LGPL-3.0', 'This work is licensed under the GNU Lesser General Public License, version 3.'),
+('MIT', 'Released under the MIT License.'),
+('MIT', 'Licensed under the MIT License.'),
+('MIT', 'SPDX-License-Identifier: MIT'),
+('MPL-2.0', 'This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.'),
+('reserved', 'All rights reserved.'),
+('Unlicense', 'This is free and unencumbered software released into the public domain.')
+"""
+
+_RULES = [
+    (r"\(c\)|©", "copyright "), (r"https?://(www\.)?", ""), (r"\blicence", "license"),
+    (r"\blicencing\b", "licensing"), (r"\bsub-?licen[cs]e", "sublicense"), (r"\bnon-?commercial", "noncommercial"),
+    (r"\bshare-?alike", "sharealike"), (r"\bversion ([0-9])", r"\1"), (r"\bv\.? ?([0-9])", r"\1"),
+    (r"\borganis", "organiz"), (r"\bauthoris", "authoriz"), (r"\bmerchantib", "merchantab"),
+    (r"(^|\n)[^a-z0-9\n]*copyright\b[^\n]*[0-9]{4}[^\n]*", r"\1"), (r"[^\p{L}\p{N}\n]+", " "),
+]
+
+
+def _form(column: str) -> str:
+    out = f"lower(coalesce({column}, ''))"
+    for pattern, form in _RULES:
+        out = f"regexp_replace({out}, '{pattern}', '{form}', 'g')"
+    return out
+
+
+def _flat(column: str) -> str:
+    return rf"trim(regexp_replace({column}, '[ \n]+', ' ', 'g'))"
+
+
+_LICENSES = f"""
+WITH notices(license_id, text) AS (VALUES {_NOTICES}),
+known AS (SELECT {_flat(_form('text'))} AS form, min(license_id) AS license_id FROM notices GROUP BY 1),
+docs AS (SELECT row_number() OVER () AS row_no, doc_id, {_form('text')} AS form FROM documents),
+lines AS (SELECT row_no, unnest(string_split(form, chr(10))) AS line FROM docs),
+hits AS (SELECT row_no, license_id FROM lines JOIN known ON {_flat('line')} = known.form WHERE known.form <> ''),
+by_row AS (SELECT row_no, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS line_licenses,
+           count(*) AS n FROM hits GROUP BY row_no)
+SELECT doc_id, known.license_id AS document_license, coalesce(line_licenses, '') AS line_licenses,
+       coalesce(n, 0)::BIGINT AS n_license_lines
+FROM docs LEFT JOIN by_row USING (row_no)
+LEFT JOIN known ON {_flat('docs.form')} = known.form AND known.form <> ''
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op7_licenses": _LICENSES,
+}

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from tidemart.llm.embedding_dedup import embedding_components
 from tidemart.llm.html_extract import extract_main_text
+from tidemart.llm.licenses import scan_licenses
 from tidemart.llm.mixing import mix_sources
 from tidemart.llm.packing import pack_mixture
 from tidemart.llm.quality_classifier import score_quality
 from tidemart.llm.quality_rules import repetition_rules
 from tidemart.llm.simhash import simhash_components
 from tidemart.llm.suffix_dedup import remove_repeats
+from tidemart.llm.toxicity import score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +32,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_digest(pack_mixture(_table(spark, sf_dir, "documents")))
 
@@ -49,6 +55,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
@@ -67,9 +77,11 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_toxicity": op3_toxicity,
     "op4_packing": op4_packing,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_mixing": op6_mixing,
+    "op7_licenses": op7_licenses,
     "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
     "op10_embedding_dedup": op10_embedding_dedup,
