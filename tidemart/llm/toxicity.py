@@ -3,7 +3,8 @@
 P(grade <= j) = sigmoid(theta_j - w.x): one weight vector for all thresholds,
 which are ordered. x holds the log counts of sparse text features, words and
 word beginnings of 4 and 5 letters. The output is the expected grade and the
-probability of any toxicity, for every document.
+probability of any toxicity, for every document; ``toxic`` marks those whose
+probability reaches ``threshold``.
 
 Fitting uses a bounded sample of labelled documents, ``per_class`` toxic and as
 many clean ones (the smallest seeded hashes of their ids, sent to all tasks by
@@ -45,6 +46,7 @@ WORD = re.compile(r"[^\W\d_]+")
 PER_CLASS = 3000
 FEATURES = 256
 PREFIXES = (4, 5)
+THRESHOLD = 0.3  # probability from which a document is flagged: a missed one costs more than a review
 STEPS = (3, 6)  # up to 3 marked words: grade 1, up to 6: grade 2, more: grade 3
 
 OUT = T.StructType([T.StructField("expected_severity", T.DoubleType()), T.StructField("p_toxic", T.DoubleType()),
@@ -62,6 +64,7 @@ class Ordinal:
     names: list[str]
     theta: np.ndarray
     weights: np.ndarray
+    threshold: float = THRESHOLD
 
     def vectors(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Log counts of the features, and the number of words that have one."""
@@ -88,7 +91,7 @@ class Ordinal:
         above = 1 - sigmoid(self.theta[None, :] - (self.vectors(texts)[0] @ self.weights)[:, None])
         likely = -np.diff(np.c_[np.ones(len(texts)), above, np.zeros(len(texts))], axis=1)
         return {"expected_severity": above.sum(axis=1), "p_toxic": above[:, 0],
-                "severity": likely.argmax(axis=1).astype(np.int32), "toxic": above[:, 0] >= 0.5}
+                "severity": likely.argmax(axis=1).astype(np.int32), "toxic": above[:, 0] >= self.threshold}
 
 
 def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -100,8 +103,8 @@ def score_toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         per_class: int = PER_CLASS, features: int = FEATURES, steps: Sequence[int] = STEPS, ridge: float = 0.5,
-        rounds: int = 10, seed: int = 42) -> Ordinal:
-    nothing = Ordinal([], np.zeros(1), np.zeros(0))
+        rounds: int = 10, seed: int = 42, threshold: float = THRESHOLD) -> Ordinal:
+    nothing = Ordinal([], np.zeros(1), np.zeros(0), threshold)
     truth = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(
         F.col(id_col).alias("l__")).agg(F.round(F.avg(label_col)).cast("int").alias("y"))
     truth = write_and_read(truth.where("y >= 0"), "toxicity-labels")
@@ -126,7 +129,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     top = max(in_class[True][1], 1)
     given = top > 1
     k = top if given else len(steps) + 1
-    model = Ordinal(names, np.zeros(k), np.zeros(len(names)))
+    model = Ordinal(names, np.zeros(k), np.zeros(len(names)), threshold)
     rows = write_and_read(vectors(sample, model, given, steps), "toxicity-vectors")
     weight = {t: totals[t] / in_class[t][0] for t in (False, True)}
     return newton(rows, model, weight, ridge, rounds)
@@ -202,7 +205,7 @@ def newton(rows: DataFrame, model: Ordinal, weight: dict[bool, float], ridge: fl
         while (np.diff(p[:k] + step[:k]) <= 1e-3).any():
             step = step / 2
         at = p + step
-    return Ordinal(model.names, p[:k], p[k:])
+    return Ordinal(model.names, p[:k], p[k:], model.threshold)
 
 
 def terms(b: pa.RecordBatch, p: np.ndarray, k: int, weight: dict[bool, float]) -> np.ndarray:
