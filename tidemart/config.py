@@ -7,7 +7,7 @@ match the original pipeline when they are equal.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date
 
 # ---------------------------------------------------------------------------
@@ -20,7 +20,6 @@ EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 HASH_SEPARATOR = "||"
 HASH_NULL_TOKEN = "NULL"
 FAR_FUTURE_DATE = date(9999, 12, 31)
-EPOCH_WATERMARK = "1970-01-01 00:00:00"
 
 CUSTOMER_KEY = "customer_id"
 CUSTOMER_TRACKED = ("loyalty_tier", "address", "city", "state", "postal_code", "email")
@@ -33,7 +32,6 @@ FACT_SALES_COLUMNS = (
 )
 
 # SCD bookkeeping columns appended to every versioned dimension.
-SK_SUFFIX = "_sk"
 ROW_HASH = "row_hash"
 START = "effective_start_date"
 END = "effective_end_date"
@@ -83,8 +81,9 @@ class TableSpec:
     name: str
     mode: str = "full"  # "full" | "incremental"
     watermark_col: str | None = None
-    keys: tuple[str, ...] = ()
-    order_cols: tuple[str, ...] = ()
+    keys: tuple[str, ...] = ()  # primary key; silver keeps its newest load
+    order_cols: tuple[str, ...] = ()  # newest first, after the load date
+    inclusive: bool = False  # extract ">= watermark" instead of ">"
 
 
 SOURCE_TABLES = (
@@ -94,26 +93,3 @@ SOURCE_TABLES = (
     TableSpec("order_items", "full", None, ("order_item_id",), ()),
     TableSpec("inventory", "incremental", "updated_at", ("inventory_id",), ("updated_at",)),
 )
-
-
-@dataclass
-class Layout:
-    """Where the layers live below one root directory (any Hadoop FS URI)."""
-
-    root: str
-    extra: dict = field(default_factory=dict)
-
-    def raw(self, table: str) -> str:
-        return f"{self.root}/raw/{table}"
-
-    def bronze(self, table: str) -> str:
-        return f"{self.root}/bronze/{table}"
-
-    def silver(self, table: str) -> str:
-        return f"{self.root}/silver/{table}"
-
-    def gold(self, table: str) -> str:
-        return f"{self.root}/gold/{table}"
-
-    def control(self, name: str) -> str:
-        return f"{self.root}/_control/{name}"

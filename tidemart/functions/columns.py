@@ -61,14 +61,17 @@ def row_hash(cols: Iterable[str], strict: bool = False) -> Column:
 
 
 def line_total(quantity: str | Column = "quantity", unit_price: str | Column = "unit_price",
-               discount_pct: str | Column = "discount_pct") -> Column:
-    """quantity * unit_price * (1 - discount_pct / 100), rounded to cents.
+               discount_pct: str | Column = "discount_pct", exact: bool = True) -> Column:
+    """quantity * unit_price * (1 - discount_pct / 100), rounded to cents, as double.
 
-    Computed in exact decimal arithmetic (the division by 100 is written as a
-    multiplication by 0.01), rounded HALF_UP, then returned as double.
+    ``exact``: the inputs are decimals or whole numbers and keep their own
+    scale; the product is decimal arithmetic (the division by 100 written as a
+    multiplication by 0.01), rounded HALF_UP. Otherwise the same formula in
+    double arithmetic.
     """
-    q = _c(quantity).cast("decimal(10,0)")
-    p = _c(unit_price).cast("decimal(12,2)")
-    d = _c(discount_pct).cast("decimal(5,2)")
-    exact = q * p * (F.lit(100).cast("decimal(3,0)") - d) * F.lit(0.01).cast("decimal(2,2)")
-    return F.round(exact, 2).cast("double")
+    q, p, d = _c(quantity), _c(unit_price), _c(discount_pct)
+    if not exact:
+        q, p, d = (x.cast("double") for x in (q, p, d))
+        return F.round(q * p * (F.lit(1.0) - d / F.lit(100.0)), 2)
+    rest = (F.lit(100).cast("decimal(3,0)") - d) * F.lit(0.01).cast("decimal(2,2)")
+    return F.round(q.cast("decimal(10,0)") * p * rest, 2).cast("double")

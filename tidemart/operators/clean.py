@@ -71,5 +71,12 @@ def clean_orders(df: DataFrame, tie_breakers: Sequence[str] | None = None) -> Da
 
 
 def calculate_line_total(df: DataFrame) -> DataFrame:
-    """Net line total after the percentage discount, in cents precision."""
-    return df.withColumn("line_total", line_total())
+    """Net line total after the percentage discount, in cents precision.
+
+    Decimal and whole-number inputs of any scale are multiplied exactly;
+    floating-point inputs follow the formula in doubles.
+    """
+    types = dict(df.dtypes)
+    exact = all(types[c].startswith(("decimal", "int", "bigint", "smallint", "tinyint"))
+                for c in ("quantity", "unit_price", "discount_pct"))
+    return df.withColumn("line_total", line_total(exact=exact))

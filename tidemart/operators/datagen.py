@@ -106,7 +106,8 @@ def seed_products(keys: DataFrame, key: str, start_id: int = 1) -> DataFrame:
                                        for x in (F.lit(c), F.array(*[F.lit(s) for s in ss]))]), cat)
     return keys.select(
         (k + start_id).cast("bigint").alias("product_id"),
-        F.concat(F.lit("SKU-"), F.lpad((k + start_id).cast("string"), 5, "0")).alias("sku"),
+        F.concat(F.lit("SKU-"), F.when(k + start_id < 10_000, F.lpad((k + start_id).cast("string"), 5, "0"))
+                 .otherwise((k + start_id).cast("string"))).alias("sku"),
         F.concat(_word(k, "adj"), F.lit(" "), _word(k, "noun", 3)).alias("product_name"),
         cat.alias("category"),
         F.element_at(subs, (_h(k, "sub") % 3 + 1).cast("int")).alias("subcategory"),

@@ -57,11 +57,6 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str], sk_col: str,
                   .drop(_B, _I, "_off"))
 
 
-def hash_keys(df: DataFrame, cols: Sequence[str], sk_col: str) -> DataFrame:
-    """Stable 64-bit key from content (no ordering, no shuffle)."""
-    return df.withColumn(sk_col, F.xxhash64(*[F.col(c) for c in cols]))
-
-
 def with_neighbors(df: DataFrame, key: str, order_cols: Sequence[str],
                    prev_cols: Sequence[str] = (), next_cols: Sequence[str] = (),
                    num_buckets: int | None = None) -> DataFrame:

@@ -11,10 +11,10 @@ DQ_VALID = "_dq_valid"
 DQ_BUCKET = "_dq_bucket"
 
 
-def dq_bucket(flag_col: str = DQ_VALID) -> Column:
-    """'valid' / 'quarantine' / 'undetermined' (NULL flag) for one row."""
+def dq_bucket(flag_col: str = DQ_VALID, null_flag: str = "undetermined") -> Column:
+    """'valid' / 'quarantine' for one row; a NULL flag gives ``null_flag``."""
     f = F.col(flag_col)
-    return (F.when(f.isNull(), F.lit("undetermined"))
+    return (F.when(f.isNull(), F.lit(null_flag))
              .when(f, F.lit("valid"))
              .otherwise(F.lit("quarantine")))
 
@@ -111,7 +111,14 @@ def content_duplicates(df: DataFrame, id_col: str, attrs: Sequence[str]) -> Data
     return g.filter(F.col("n_ids") > 1)
 
 
-# DDL defaults of the source tables (fixed values).
+# DDL defaults and NOT NULL columns of the source tables (fixed values).
+NOT_NULL = {
+    "customers": ("customer_id",),
+    "products": ("product_id",),
+    "orders": ("order_id", "customer_id", "order_date"),
+    "order_items": ("order_item_id", "order_id", "product_id", "quantity", "unit_price"),
+    "inventory": ("inventory_id", "product_id"),
+}
 SOURCE_DEFAULTS = {
     "customers": {"loyalty_tier": "BRONZE"},
     "orders": {"order_status": "PLACED"},
@@ -120,6 +127,11 @@ SOURCE_DEFAULTS = {
 }
 
 
+def not_null_rules(table: str) -> dict[str, str]:
+    """Expectations of one source table: its NOT NULL columns are present."""
+    return {f"{table}.{c}": f"{c} IS NOT NULL" for c in NOT_NULL[table]}
+
+
 def apply_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """Replace NULLs by the column defaults (only columns present in ``df``)."""
     present = {c: v for c, v in defaults.items() if c in df.columns}
@@ -133,17 +145,17 @@ def content_duplicate_map(df: DataFrame, id_col: str, attrs: Sequence[str]) -> D
     """(id, keep_id) for every id whose normalised content repeats under a
     smaller id -- the mapping that merges re-inserted copies.
 
-    The per-row side is joined back to the groups on null-safe equality of
-    the normalised attributes; no id list is collected per group, so a group
-    holding a third of all rows is a skewed join side AQE can split.
+    Ids and smallest ids meet in one exchange by a hash of the normalised
+    attributes (the attributes are compared too); no id list is collected per
+    group, so a group holding a third of all rows is a skewed join side AQE can
+    split.
     """
-    norm = df.select(F.col(id_col), *[F.lower(F.trim(F.col(a).cast("string"))).alias(a) for a in attrs])
-    groups = content_duplicates(df, id_col, attrs).select(*[F.col(a).alias(f"_g_{a}") for a in attrs], "keep_id")
-    cond = None
-    for a in attrs:
-        c = F.col(a).eqNullSafe(F.col(f"_g_{a}"))
-        cond = c if cond is None else cond & c
-    return (norm.join(groups, cond)
+    norm = df.select(F.col(id_col), F.struct(*[F.lower(F.trim(F.col(a).cast("string"))).alias(a)
+                                               for a in attrs]).alias("_attrs"))
+    norm = norm.select(id_col, F.xxhash64("_attrs").alias("_hash"), "_attrs").distinct()
+    groups = norm.groupBy(F.col("_hash").alias("_h"), F.col("_attrs").alias("_a")).agg(
+        F.min(id_col).alias("keep_id"), F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    return (norm.join(groups, (F.col("_hash") == F.col("_h")) & F.col("_attrs").eqNullSafe(F.col("_a")))
                 .filter(F.col(id_col) != F.col("keep_id"))
                 .select(F.col(id_col), F.col("keep_id"))
                 .distinct())

@@ -45,15 +45,16 @@ def add_row_hash(df: DataFrame, tracked_cols: Sequence[str], strict: bool = Fals
     return df.withColumn(out_col, row_hash(tracked_cols, strict))
 
 
-def dim_schema(source_schema: StructType, sk_col: str = "customer_sk") -> StructType:
-    """Schema of a type-2 dimension built from ``source_schema``."""
-    return StructType(list(source_schema.fields) + [
-        StructField(ROW_HASH, StringType(), False),
-        StructField(sk_col, LongType(), False),
-        StructField(START, DateType(), False),
-        StructField(END, DateType(), False),
-        StructField(CURRENT, BooleanType(), False),
-    ])
+def dim_schema(source_schema: StructType, spec: ScdSpec = CUSTOMER_SCD) -> StructType:
+    """Declared schema of a type-2 dimension built from ``source_schema``."""
+    kinds = {f.name: f.dataType for f in source_schema.fields} | {
+        ROW_HASH: StringType(), spec.sk_col: LongType(), START: DateType(), END: DateType(), CURRENT: BooleanType()}
+    return StructType([StructField(c, kinds[c]) for c in _version_cols([f.name for f in source_schema.fields], spec)])
+
+
+def as_declared(dim: DataFrame, schema: StructType) -> DataFrame:
+    """The dimension in its declared column order and types."""
+    return dim.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
 
 def _spec(business_key: str | None, tracked_cols: Sequence[str] | None,
@@ -105,8 +106,9 @@ def _classified(existing_dim: DataFrame, source_df: DataFrame, as_of_date: date,
                 spec: ScdSpec) -> tuple[DataFrame, DataFrame, list[str]]:
     """Join current versions with the source; return (history, exploded, cols).
 
-    ``exploded`` has the dimension columns plus ``_action`` in
-    {keep, expire, new, delete}; rows with ``_action = new`` still lack a key.
+    ``exploded`` has the dimension columns plus ``_action``: keep (untouched),
+    update (same key, other values: refreshed or replaced in place), expire, or
+    new (still without a key).
     """
     key = spec.business_key
     src_cols = [c for c in source_df.columns if c != spec.deleted_col]
@@ -169,15 +171,27 @@ def _classified(existing_dim: DataFrame, source_df: DataFrame, as_of_date: date,
             v = F.lit(True)
         new_vals.append(v.alias(c))
 
-    old_tag = F.when(F.col("_act") == "keep", F.lit("keep")).otherwise(F.lit("expire"))
+    refreshed = F.lit(False)
+    if refresh:
+        for c in spec.passthrough:
+            if c in out_cols:
+                refreshed = refreshed | ~F.col(c).eqNullSafe(F.col(_SRC + c))
+        refreshed = refreshed & s_hash.isNotNull()
+    old_tag = (F.when((F.col("_act") == "keep") & refreshed, F.lit("update"))
+                .when(F.col("_act") == "keep", F.lit("keep")).otherwise(F.lit("expire")))
     old_row = F.when(F.col("_act").isin("keep", "change", "delete"),
                      F.struct(*old_vals, old_tag.alias("_action")))
     new_row = F.when(F.col("_act").isin("change", "insert", "replace"),
-                     F.struct(*new_vals, F.when(replace, F.lit("keep")).otherwise(F.lit("new")).alias("_action")))
+                     F.struct(*new_vals, F.when(replace, F.lit("update")).otherwise(F.lit("new")).alias("_action")))
     exploded = j.select(F.inline(F.filter(F.array(old_row, new_row), lambda x: x.isNotNull())))
     return hist, exploded, out_cols
 
 
+def _check_date(as_of_date: date, max_start: date | None) -> None:
+    if max_start is not None and as_of_date < max_start:
+        raise ValueError(f"as_of_date {as_of_date} is before the newest version start {max_start}")
+
+
 def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
     """Raise if any key occurs twice (one partial-aggregated pass)."""
     dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
@@ -219,8 +233,7 @@ def compute_scd2_snapshot(existing_dim: DataFrame | None, source_df: DataFrame,
     if max_sk is None:
         return initialize_dimension(source_df, spec=spec, as_of_date=as_of_date,
                                     num_buckets=num_buckets)
-    if max_start is not None and as_of_date < max_start:
-        raise ValueError(f"as_of_date {as_of_date} is before the newest version start {max_start}")
+    _check_date(as_of_date, max_start)
     hist, exploded, cols = _classified(existing_dim, source_df, as_of_date, spec)
     if materialize:
         exploded = _materialize(exploded, "scd2-classified")
@@ -231,21 +244,34 @@ def compute_scd2_snapshot(existing_dim: DataFrame | None, source_df: DataFrame,
 
 
 def scd2_changes(existing_dim: DataFrame, source_df: DataFrame, as_of_date: date,
-                 spec: ScdSpec | None = None, num_buckets: int | None = None) -> DataFrame:
-    """Only the rows a MERGE would write: expired versions and new versions.
+                 spec: ScdSpec | None = None, num_buckets: int | None = None,
+                 validate_source: bool = False) -> DataFrame:
+    """Only the rows a MERGE would write.
 
-    Column ``_change`` is ``expire`` (update the row with this surrogate key)
-    or ``insert``; applying them to ``existing_dim`` gives exactly
-    ``compute_scd2_snapshot``.
+    Column ``_change`` is ``expire`` or ``update`` (replace the row with this
+    surrogate key) or ``insert``; ``apply_scd2_changes`` with them gives exactly
+    ``compute_scd2_snapshot``, for every spec.
     """
     spec = spec or CUSTOMER_SCD
-    max_sk, _ = _dim_stats(existing_dim, spec)
+    if validate_source:
+        assert_unique_keys(source_df, [spec.business_key])
+    max_sk, max_start = _dim_stats(existing_dim, spec)
+    _check_date(as_of_date, max_start)
     _, exploded, cols = _classified(existing_dim, source_df, as_of_date, spec)
     exploded = _materialize(exploded, "scd2-changes")
-    expired = exploded.filter(F.col("_action") == "expire").select(*cols, F.lit("expire").alias("_change"))
+    changed = exploded.filter(F.col("_action").isin("expire", "update")).select(
+        *cols, F.col("_action").alias("_change"))
     new = dense_keys(exploded.filter(F.col("_action") == "new").select(*cols).drop(spec.sk_col),
                      [spec.business_key], spec.sk_col, int(max_sk or 0), num_buckets)
-    return expired.unionByName(new.select(*cols, F.lit("insert").alias("_change")))
+    return changed.unionByName(new.select(*cols, F.lit("insert").alias("_change")))
+
+
+def apply_scd2_changes(existing_dim: DataFrame, changes: DataFrame, spec: ScdSpec | None = None) -> DataFrame:
+    """The dimension after a change feed: rows whose key the feed carries are replaced, inserts added."""
+    spec = spec or CUSTOMER_SCD
+    replaced = changes.filter(F.col("_change") != "insert").select(F.col(spec.sk_col).alias("_replaced"))
+    kept = existing_dim.join(replaced, F.col(spec.sk_col) == F.col("_replaced"), "left_anti")
+    return kept.unionByName(changes.drop("_change"), allowMissingColumns=True)
 
 
 def scd2_backfill(snapshots: DataFrame, snapshot_col: str, spec: ScdSpec | None = None,
@@ -254,10 +280,12 @@ def scd2_backfill(snapshots: DataFrame, snapshot_col: str, spec: ScdSpec | None
 
     ``snapshots`` holds one row per (key, snapshot date). A version starts
     where the tracked hash differs from the key's previous *present*
-    snapshot; it ends the day before the next version starts. Keys missing
-    from a snapshot keep their version open, exactly as repeated merges do,
-    and surrogate keys are numbered by (start date, key) -- the same numbers
-    repeated merges hand out.
+    snapshot, or where a deleted key returns; it ends the day before the next
+    version or deletion. Keys missing from a snapshot keep their version open,
+    exactly as repeated merges do, and surrogate keys are numbered by (start
+    date, key) -- the same numbers repeated merges hand out. With
+    ``passthrough_mode="refresh"`` a version carries the untracked values of the
+    last snapshot it was seen in.
 
     ``method="ordinal"`` (default) finds previous/next rows by joins on
     global ordinals (``with_neighbors``), so a key holding a large share of
@@ -266,23 +294,39 @@ def scd2_backfill(snapshots: DataFrame, snapshot_col: str, spec: ScdSpec | None
     """
     spec = spec or CUSTOMER_SCD
     key = spec.business_key
-    data_cols = [c for c in snapshots.columns if c not in (snapshot_col, spec.deleted_col)]
-    hashed = add_row_hash(snapshots.select(*data_cols, snapshot_col), spec.tracked, spec.strict_hash)
-    if method == "ordinal":
-        prev = with_neighbors(hashed, key, [snapshot_col], prev_cols=[ROW_HASH], num_buckets=num_buckets)
-        points = (prev.filter(F.col("_prev_" + ROW_HASH).isNull() | (F.col("_prev_" + ROW_HASH) != F.col(ROW_HASH)))
-                      .drop("_prev_" + ROW_HASH))
-        nxt_df = with_neighbors(points, key, [snapshot_col], next_cols=[snapshot_col], num_buckets=num_buckets)
-        nxt = F.col("_next_" + snapshot_col)
-    elif method == "window":
+    if method not in ("ordinal", "window"):
+        raise ValueError(f"method must be ordinal|window, got {method!r}")
+
+    def neighbors(df: DataFrame, prev: Sequence[str], following: Sequence[str]) -> DataFrame:
+        if method == "ordinal":
+            return with_neighbors(df, key, [snapshot_col], prev_cols=prev, next_cols=following,
+                                  num_buckets=num_buckets)
         w = Window.partitionBy(key).orderBy(snapshot_col)
-        points = (hashed.withColumn("_prev", F.lag(ROW_HASH).over(w))
-                        .filter(F.col("_prev").isNull() | (F.col("_prev") != F.col(ROW_HASH))).drop("_prev"))
-        nxt_df = points.withColumn("_next", F.lead(snapshot_col).over(w))
-        nxt = F.col("_next")
+        return df.withColumns({f"_prev_{c}": F.lag(c).over(w) for c in prev}
+                              | {f"_next_{c}": F.lead(c).over(w) for c in following})
+
+    data_cols = [c for c in snapshots.columns if c not in (snapshot_col, spec.deleted_col)]
+    hashed = add_row_hash(snapshots, spec.tracked, spec.strict_hash)
+    gone = F.coalesce(F.col(spec.deleted_col), F.lit(False)) if spec.deleted_col in snapshots.columns else F.lit(False)
+    # state of a key in a snapshot: its hash, or empty when deleted
+    states = hashed.withColumn("_state", F.when(gone, F.lit("")).otherwise(F.col(ROW_HASH)))
+    refresh = [c for c in spec.passthrough if c in data_cols] if spec.passthrough_mode == "refresh" else []
+    seen = neighbors(states, ["_state"], ["_state"] if refresh else [])
+    before = F.coalesce(F.col("_prev__state"), F.lit(""))
+    starts = F.col("_state") != before
+    if refresh:  # the last row of a version brings the newest untracked values
+        last = F.col("_next__state").isNull() | (F.col("_next__state") != F.col("_state"))
+        edges = (seen.withColumn("_starts", starts).filter(starts | (last & (F.col("_state") != "")))
+                     .drop("_prev__state", "_next__state"))
+        linked = neighbors(edges, [], ["_starts", *refresh])
+        points = linked.filter("_starts").withColumns({
+            c: F.when(F.col("_next__starts") == F.lit(False), F.col(f"_next_{c}")).otherwise(F.col(c)) for c in refresh})
+        points = points.select(*data_cols, ROW_HASH, snapshot_col, "_state")
     else:
-        raise ValueError(f"method must be ordinal|window, got {method!r}")
-    versions = nxt_df.select(
+        points = seen.filter(starts).drop("_prev__state")
+    ended = neighbors(points, [], [snapshot_col]).filter(F.col("_state") != "")
+    nxt = F.col("_next_" + snapshot_col)
+    versions = ended.select(
         *data_cols, ROW_HASH,
         F.col(snapshot_col).cast("date").alias(START),
         F.coalesce(F.date_sub(nxt, 1), F.lit(FAR_FUTURE_DATE).cast("date")).alias(END),

@@ -74,7 +74,14 @@ def _merge_step(prev: str, src: str, as_of: str, key: str = "customer_id",
        m AS (SELECT coalesce(max({sk}), 0) AS m FROM {prev})
 """
     if changes_only:
-        return head + f"  {expire}\n  UNION ALL BY NAME\n  {new}\n)"
+        update = ""
+        if refresh:
+            differs = " OR ".join(f"s.{c} IS DISTINCT FROM cur.{c}" for c in refresh)
+            update = f"""  UNION ALL BY NAME
+  SELECT {keep_sel}, 'update' AS _change FROM cur JOIN s ON cur.{key} = s.{key}
+   WHERE s.row_hash = cur.row_hash AND NOT {dele} AND ({differs})
+"""
+        return head + f"  {expire}\n  UNION ALL BY NAME\n  {new}\n{update})"
     return head + f"""  SELECT * FROM {prev} WHERE NOT is_current
   UNION ALL BY NAME
   SELECT {keep_sel} FROM cur LEFT JOIN s ON cur.{key} = s.{key}
@@ -94,7 +101,7 @@ def _product_shape(version: int) -> str:
         price = ("CAST(CASE WHEN p_partkey % 6 = 0 THEN round(CAST(p_retailprice AS DECIMAL(10,2)) "
                  "* CAST(1.10 AS DECIMAL(3,2)), 2) ELSE CAST(p_retailprice AS DECIMAL(10,2)) END AS DECIMAL(10,2))")
         day, where = "p_partkey % 60 + 90", "WHERE p_partkey % 4 <> 3"
-    return f"""SELECT p_partkey AS product_id, 'SKU-' || lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS sku,
+    return f"""SELECT p_partkey AS product_id, 'SKU-' || lpad(CAST(p_partkey AS VARCHAR), CAST(greatest(6, length(CAST(p_partkey AS VARCHAR))) AS INTEGER), '0') AS sku,
     {name} AS product_name, p_type AS category, p_brand AS subcategory, {price} AS unit_price,
     TIMESTAMP '2025-06-01 00:00:00' AS created_at,
     CAST(DATE '2026-01-01' + CAST({day} AS INTEGER) AS TIMESTAMP) AS updated_at
@@ -140,7 +147,7 @@ src_v2 AS (
     last_name, country
   FROM src_v1 WHERE customer_id % 13 <> 0
   UNION ALL BY NAME
-  SELECT * REPLACE (customer_id + 1000000 AS customer_id) FROM src_v1 WHERE customer_id % 17 = 0
+  SELECT * REPLACE (-customer_id - 1 AS customer_id) FROM src_v1 WHERE customer_id % 17 = 0
 ),
 src_v3 AS (
   SELECT customer_id,
@@ -153,7 +160,7 @@ src_v3 AS (
   FROM (SELECT *, CASE WHEN customer_id % 7 = 0 THEN {_rot('loyalty_tier')} ELSE loyalty_tier END AS t2
         FROM src_v1)
   UNION ALL BY NAME
-  SELECT * REPLACE (customer_id + 1000000 AS customer_id) FROM src_v1 WHERE customer_id % 17 = 0
+  SELECT * REPLACE (-customer_id - 1 AS customer_id) FROM src_v1 WHERE customer_id % 17 = 0
 ),
 dim1 AS (
   SELECT *, {_hash()} AS row_hash,
@@ -191,7 +198,7 @@ orders_clean AS (
 ),
 orders_valid AS (SELECT * EXCLUDE (_dq_valid) FROM orders_clean WHERE _dq_valid),
 items_raw AS (
-  SELECT ((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS order_item_id,
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS order_item_id,
     l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS INTEGER) AS quantity,
     CAST(l_extendedprice AS DECIMAL(12,2)) AS unit_price,
     CAST(CAST(l_discount AS DECIMAL(4,2)) * 100 AS DECIMAL(5,2)) AS discount_pct
@@ -202,6 +209,11 @@ items_silver AS (
                        * CAST(0.01 AS DECIMAL(2,2)), 2) AS DOUBLE) AS line_total
   FROM items_raw
 ),
+items_once AS (
+  SELECT * FROM items_silver
+  QUALIFY row_number() OVER (PARTITION BY order_item_id
+                             ORDER BY order_id, product_id, quantity, unit_price, discount_pct) = 1
+),
 products_v1 AS ({_product_shape(1)}),
 products_v2 AS ({_product_shape(2)}),
 product_type1 AS (
@@ -219,6 +231,9 @@ pdim1 AS (
 ),
 pdim2 AS {_merge_step('pdim1', 'psrc_v2', '2026-04-01', 'product_id', 'product_sk', PRODUCT_TRACKED)},
 src_del AS (SELECT *, customer_id % 19 = 0 AS is_deleted FROM src_v2),
+src_del3 AS (SELECT *, customer_id % 23 = 0 AS is_deleted FROM src_v3),
+ddel2 AS {_merge_step('dim1', 'src_del', '2026-03-01', deleted='is_deleted')},
+ddel3 AS {_merge_step('ddel2', 'src_del3', '2026-04-01', deleted='is_deleted')},
 snaps AS (
   SELECT *, DATE '2026-01-01' AS snapshot_date FROM src_v1
   UNION ALL BY NAME SELECT *, DATE '2026-03-01' AS snapshot_date FROM src_v2
@@ -252,7 +267,7 @@ fact_asof AS (
 copies AS (
   SELECT * FROM customers_raw
   UNION ALL BY NAME
-  SELECT * REPLACE (customer_id + 2000000 AS customer_id) FROM customers_raw WHERE customer_id % 250 = 7
+  SELECT * REPLACE (-customer_id - 1 AS customer_id) FROM customers_raw WHERE customer_id % 250 = 7
 ),
 fact_current AS (
   SELECT i.order_id, i.order_item_id, d.customer_sk, i.product_id, o.order_date, o.order_status,
@@ -288,7 +303,7 @@ def _ri(name, child, ck, parent, pk):
 
 
 def _dups(name, tbl, k):
-    return (f"SELECT '{name}' AS table_name, CAST({k} AS BIGINT) AS key_value, "
+    return (f"SELECT '{name}' AS table_name, CAST({k} AS VARCHAR) AS key_value, "
             f"CAST(count(*) AS BIGINT) AS n_rows FROM {tbl} GROUP BY {k} HAVING count(*) > 1")
 
 
@@ -298,6 +313,9 @@ FINAL.update({
     "scd2_backfill": "SELECT * FROM backfill",
     "scd2_changes": "SELECT * FROM " + _merge_step("dim2", "src_v3", "2026-04-01", changes_only=True),
     "scd2_deletes": "SELECT * FROM " + _merge_step("dim1", "src_del", "2026-03-01", deleted="is_deleted"),
+    "scd2_backfill_deletes": "SELECT * FROM ddel3",
+    "scd2_changes_refresh": "SELECT * FROM " + _merge_step(
+        "dim1", "src_v2", "2026-03-01", refresh=("first_name", "last_name", "country"), changes_only=True),
     "scd2_refresh_passthrough": "SELECT * FROM " + _merge_step(
         "dim1", "src_v2", "2026-03-01", refresh=("first_name", "last_name", "country")),
     "dim_product_type1": "SELECT * FROM product_type1",
@@ -308,17 +326,34 @@ FINAL.update({
     "revenue_by_tier_as_of": _REVENUE.format(src="fact_asof"),
     "ri_orphans": " UNION ALL ".join([
         _ri("order_items.order_id->orders_valid", "items_raw", "order_id", "orders_valid", "order_id"),
-        _ri("order_items.product_id->products", "items_raw", "product_id", "products_v1", "product_id"),
-        _ri("orders.customer_id->customers", "orders_raw", "customer_id", "customers_raw", "customer_id"),
+        _ri("order_items.product_id->products", "items_raw", "product_id",
+            "(SELECT * FROM products_v1 WHERE product_id % 29 <> 0)", "product_id"),
+        _ri("orders.customer_id->customers", "orders_raw", "customer_id",
+            "(SELECT * FROM customers_raw WHERE customer_id % 31 <> 0)", "customer_id"),
         _ri("inventory.product_id->products", "(SELECT p_partkey AS product_id FROM part)", "product_id",
-            "products_v1", "product_id"),
+            "(SELECT * FROM products_v1 WHERE product_id % 29 <> 0)", "product_id"),
     ]),
     "key_uniqueness": " UNION ALL ".join([
         _dups("customers", "customers_raw", "customer_id"),
         _dups("orders", "orders_raw", "order_id"),
         _dups("order_items", "items_raw", "order_item_id"),
         _dups("products", "products_v1", "product_id"),
+        _dups("products.sku", "products_v1", "sku"),
+        _dups("products.sku of both versions",
+              "(SELECT sku FROM products_v1 UNION ALL SELECT sku FROM products_v2)", "sku"),
+        _dups("inventory", "(SELECT p_partkey AS inventory_id FROM part)", "inventory_id"),
     ]),
+    "not_null_summary": " UNION ALL ".join(
+        f"SELECT '{name}.{c}' AS rule, CAST(count(*) AS BIGINT) AS rows_checked, "
+        f"CAST(count(*) - count({c}) AS BIGINT) AS rows_failed FROM {src}"
+        for name, src, columns in (
+            ("customers", "customers_raw", ("customer_id",)),
+            ("products", "products_v1", ("product_id",)),
+            ("orders", "orders_raw", ("order_id", "customer_id", "order_date")),
+            ("order_items", "items_raw", ("order_item_id", "order_id", "product_id", "quantity", "unit_price")),
+            ("inventory", "(SELECT p_partkey AS inventory_id, p_partkey AS product_id FROM part)",
+             ("inventory_id", "product_id")))
+        for c in columns),
     "expectations_summary": " UNION ALL ".join(
         f"SELECT '{n}' AS rule, CAST(count(*) AS BIGINT) AS rows_checked, "
         f"CAST(sum(CASE WHEN coalesce({r}, FALSE) THEN 0 ELSE 1 END) AS BIGINT) AS rows_failed FROM orders_raw"
@@ -361,8 +396,20 @@ FINAL.update({
         "SELECT *, DATE '2026-01-01' AS run_date FROM ("
         + _REVENUE.format(src="""(
       SELECT i.line_total, d.loyalty_tier
-      FROM (SELECT DISTINCT * FROM items_silver) i JOIN orders_valid o ON i.order_id = o.order_id
+      FROM items_once i JOIN orders_valid o ON i.order_id = o.order_id
       JOIN dim1 d ON o.customer_id = d.customer_id)""") + ")"),
+    "daily_two_days_revenue": (
+        "SELECT *, DATE '2026-06-02' AS run_date FROM ("
+        + _REVENUE.format(src="""(
+      SELECT CAST(round(CAST(quantity + CASE WHEN product_id % 11 = 0 THEN 1 ELSE 0 END AS DECIMAL(10,0)) * unit_price
+                  * (CAST(100 AS DECIMAL(3,0)) - discount_pct) * CAST(0.01 AS DECIMAL(2,2)), 2) AS DOUBLE) AS line_total,
+        CASE WHEN c.customer_id % 7 = 0 THEN 'PLATINUM' ELSE c.loyalty_tier END AS loyalty_tier
+      FROM items_once i JOIN orders_valid o ON i.order_id = o.order_id
+      JOIN customers_clean c ON o.customer_id = c.customer_id)""") + ")"),
+    "publish_evolves": "SELECT *, lower(loyalty_tier) AS segment FROM src_v2",
+    "incremental_extract_by_id": (
+        "SELECT * FROM events WHERE event_id > (SELECT max(event_id) FROM events "
+        "WHERE event_id <= (SELECT max(event_id) // 2 FROM events))"),
 })
 
 FINAL.update({
@@ -438,7 +485,7 @@ def _seed_products_sql(src: str = "part") -> str:
     cat = _gpick(k, "cat", list(_CATS))
     sub_case = " ".join(f"WHEN {_q(c)} THEN [{', '.join(_q(x) for x in ss)}]" for c, ss in _CATS.items())
     return f"""SELECT CAST({k} + 1 AS BIGINT) AS product_id,
-    'SKU-' || lpad(CAST({k} + 1 AS VARCHAR), 5, '0') AS sku,
+    'SKU-' || lpad(CAST({k} + 1 AS VARCHAR), CAST(greatest(5, length(CAST({k} + 1 AS VARCHAR))) AS INTEGER), '0') AS sku,
     {_gword(k, 'adj')} || ' ' || {_gword(k, 'noun', 3)} AS product_name,
     {cat} AS category,
     (CASE {cat} {sub_case} END)[CAST({_gh(k, 'sub')} % 3 + 1 AS INTEGER)] AS subcategory,

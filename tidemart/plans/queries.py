@@ -6,7 +6,6 @@ so its work grows with the scale factor.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
@@ -18,7 +17,7 @@ from tidemart.config import CUSTOMER_SCD, PRODUCT_SCD, TableSpec
 from tidemart.operators import clean, datagen, quality, scd
 from tidemart.operators.marts import attach_product, build_fact_sales, revenue_by_tier, revenue_by_tier_sql
 from tidemart.plans import daily
-from tidemart.session import materialize, scratch_dir
+from tidemart.session import materialize, remember, scratch_dir, scratch_name
 from tidemart.sources import extract, lake
 from tidemart.sources import testdata as td
 from tidemart.streaming import ingest as stream
@@ -160,6 +159,23 @@ def q_scd2_deletes(spark, sf):
     return scd.compute_scd2_snapshot(dim1, td.customer_deletes(spark, sf), _d(td.SNAPSHOT_DATES[2]), spec=spec)
 
 
+def q_scd2_backfill_deletes(spark, sf):
+    spec = replace(CUSTOMER_SCD, deleted_col="is_deleted")
+    v1 = silver_customers(spark, sf)
+    out = None
+    for v, d in td.SNAPSHOT_DATES.items():
+        s = td.customer_deletes(spark, sf, v, v1).withColumn("snapshot_date", F.lit(d).cast("date"))
+        out = s if out is None else out.unionByName(s)
+    return scd.scd2_backfill(out, "snapshot_date", spec)
+
+
+def q_scd2_changes_refresh(spark, sf):
+    spec = replace(CUSTOMER_SCD, passthrough_mode="refresh")
+    v1 = silver_customers(spark, sf)
+    dim1 = materialize(dim_after(spark, sf, 1, v1), "dim-customer-v1")
+    return scd.scd2_changes(dim1, snapshot(spark, sf, 2, v1), _d(td.SNAPSHOT_DATES[2]), spec)
+
+
 def q_scd2_refresh_passthrough(spark, sf):
     spec = replace(CUSTOMER_SCD, passthrough_mode="refresh")
     v1 = silver_customers(spark, sf)
@@ -198,7 +214,7 @@ def q_fact_sales_product(spark, sf):
 
 
 def q_revenue_by_tier_as_of(spark, sf):
-    view = f"fact_sales_as_of_{uuid.uuid4().hex[:8]}"
+    view = scratch_name(spark, "views", "fact_sales_as_of")
     fact_sales(spark, sf, "as_of").createOrReplaceTempView(view)
     return revenue_by_tier_sql(spark, view)
 
@@ -214,15 +230,18 @@ ORDER_RULES = {
 
 
 def q_ri_orphans(spark, sf):
-    """Foreign keys without parent, per check and key, with row counts."""
+    """Foreign keys without parent, per check and key, with row counts.
+
+    Parents are missing by rule: products with id%29=0, customers with id%31=0.
+    """
     items = td.order_items_raw(spark, sf)
+    products = td.products_raw(spark, sf, 1).filter(F.col("product_id") % 29 != 0)
+    customers = td.customers_raw(spark, sf).filter(F.col("customer_id") % 31 != 0)
     checks = [
         ("order_items.order_id->orders_valid", items, "order_id", q_orders_valid(spark, sf), "order_id"),
-        ("order_items.product_id->products", items, "product_id", td.products_raw(spark, sf, 1), "product_id"),
-        ("orders.customer_id->customers", td.orders_raw(spark, sf), "customer_id",
-         td.customers_raw(spark, sf), "customer_id"),
-        ("inventory.product_id->products", td.inventory_raw(spark, sf), "product_id",
-         td.products_raw(spark, sf, 1), "product_id"),
+        ("order_items.product_id->products", items, "product_id", products, "product_id"),
+        ("orders.customer_id->customers", td.orders_raw(spark, sf), "customer_id", customers, "customer_id"),
+        ("inventory.product_id->products", td.inventory_raw(spark, sf), "product_id", products, "product_id"),
     ]
     out = None
     for name, child, ck, parent, pk in checks:
@@ -235,16 +254,30 @@ def q_ri_orphans(spark, sf):
 
 
 def q_key_uniqueness(spark, sf):
+    """Keys that occur twice: the raw re-extractions, and products over both versions by id and SKU."""
+    products = td.products_raw(spark, sf, 1).unionByName(td.products_raw(spark, sf, 2))
     checks = [
         ("customers", td.customers_raw(spark, sf), "customer_id"),
         ("orders", td.orders_raw(spark, sf), "order_id"),
         ("order_items", td.order_items_raw(spark, sf), "order_item_id"),
         ("products", td.products_raw(spark, sf, 1), "product_id"),
+        ("products.sku", td.products_raw(spark, sf, 1), "sku"),
+        ("products.sku of both versions", products, "sku"),
+        ("inventory", td.inventory_raw(spark, sf), "inventory_id"),
     ]
     out = None
     for name, df, k in checks:
         o = quality.key_uniqueness(df, [k]).select(
-            F.lit(name).alias("table_name"), F.col(k).cast("bigint").alias("key_value"), "n_rows")
+            F.lit(name).alias("table_name"), F.col(k).cast("string").alias("key_value"), "n_rows")
+        out = o if out is None else out.unionByName(o)
+    return out
+
+
+def q_not_null_summary(spark, sf):
+    """NOT NULL columns of all five source tables: rows checked and rows missing a value."""
+    out = None
+    for name, df in adapter_sources(spark, sf).items():
+        o = quality.expectation_summary(df, quality.not_null_rules(name))
         out = o if out is None else out.unionByName(o)
     return out
 
@@ -274,6 +307,8 @@ QUERIES.update({
     "scd2_backfill": q_scd2_backfill,
     "scd2_changes": q_scd2_changes,
     "scd2_deletes": q_scd2_deletes,
+    "scd2_backfill_deletes": q_scd2_backfill_deletes,
+    "scd2_changes_refresh": q_scd2_changes_refresh,
     "scd2_refresh_passthrough": q_scd2_refresh_passthrough,
     "dim_product_type1": q_dim_product_type1,
     "dim_product_scd2": q_dim_product_scd2,
@@ -284,6 +319,7 @@ QUERIES.update({
     "key_uniqueness": q_key_uniqueness,
     "expectations_summary": q_expectations_summary,
     "orders_failed_rules": q_orders_failed_rules,
+    "not_null_summary": q_not_null_summary,
     "content_duplicates": q_content_duplicates,
     "content_duplicate_map": q_content_duplicate_map,
 })
@@ -362,19 +398,18 @@ def q_silver_passthrough(spark, sf):
     for v, day in ((1, "2026-01-01"), (2, "2026-04-01")):
         extract.extract_table(td.products_raw(spark, sf, v), spec, root, day)
         lake.load_raw_to_bronze(spark, root, "products", day)
-    return daily.silver_latest(spark, root, "products", ("product_id",))
+    return daily.silver_latest(spark, root, "products")
 
 
 def q_snapshot_overwrite(spark, sf):
     root = _root(spark, "snapshots")
-    name = f"tm_{uuid.uuid4().hex[:8]}_gold.dim_customer"
+    name = scratch_name(spark, "databases", "gold") + ".dim_customer"
     v1 = silver_customers(spark, sf)
     for v in (1, 2):
         existing = lake.read_table(spark, name)
         src = snapshot(spark, sf, v, v1)
         dim = scd.compute_scd2_snapshot(existing, src, _d(td.SNAPSHOT_DATES[v]))
-        lake.publish_snapshot(dim, root, "dim_customer", name, f"v{v}",
-                              bucket_by=(daily.dim_buckets(spark), "customer_id"))
+        lake.publish_snapshot(dim, root, "dim_customer", name, f"v{v}")
     return spark.table(name)
 
 
@@ -390,8 +425,48 @@ def adapter_sources(spark, sf) -> dict[str, DataFrame]:
 
 def q_daily_batch_revenue(spark, sf):
     root = _root(spark, "daily")
-    cat = daily.Catalog(prefix=f"tm_{uuid.uuid4().hex[:8]}")
-    return daily.run_daily(spark, adapter_sources(spark, sf), root, "2026-01-01", cat)
+    return daily.run_daily(spark, adapter_sources(spark, sf), root, "2026-01-01", _catalog(spark))
+
+
+def _catalog(spark) -> daily.Catalog:
+    prefix = scratch_name(spark, "databases", "silver").removesuffix("_silver")
+    remember(spark, "databases", f"{prefix}_gold")
+    return daily.Catalog(prefix=prefix)
+
+
+def q_daily_two_days_revenue(spark, sf):
+    """Two days, the second one run twice: the report after the repeated day."""
+    root, cat = _root(spark, "two-days"), _catalog(spark)
+    daily.run_daily(spark, adapter_sources(spark, sf), root, "2026-05-01", cat)
+    later = td.day_two_sources(spark, sf)
+    daily.run_daily(spark, later, root, "2026-06-02", cat)
+    return daily.run_daily(spark, later, root, "2026-06-02", cat)
+
+
+def q_publish_evolves(spark, sf):
+    """Two publishes under different partition counts, the second with a new column."""
+    root = _root(spark, "publish")
+    name = scratch_name(spark, "databases", "gold") + ".customers"
+    v1 = silver_customers(spark, sf)
+    key, old = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts, df in (("4", v1), ("16", snapshot(spark, sf, 2, v1).withColumn("segment", F.lower("loyalty_tier")))):
+            spark.conf.set(key, parts)
+            lake.publish_snapshot(df.repartition("customer_id"), root, "customers", name)
+    finally:
+        spark.conf.set(key, old)
+    return spark.table(name)
+
+
+def q_incremental_extract_by_id(spark, sf):
+    """Incremental runs over an integer watermark; the second sees the newer half."""
+    root = _root(spark, "incremental-id")
+    spec = TableSpec("events", "incremental", "event_id", ("event_id",))
+    ev = td.events(spark, sf)
+    half = ev.agg(F.max("event_id").alias("m")).first()["m"] // 2
+    extract.extract_table(ev.filter(F.col("event_id") <= half), spec, root, "2024-01-15", "run1")
+    extract.extract_table(ev, spec, root, "2024-01-31", "run2")
+    return _data_cols(lake.read_raw(spark, root, "events", "2024-01-31"))
 
 
 QUERIES.update({
@@ -404,6 +479,9 @@ QUERIES.update({
     "silver_passthrough": q_silver_passthrough,
     "snapshot_overwrite": q_snapshot_overwrite,
     "daily_batch_revenue": q_daily_batch_revenue,
+    "daily_two_days_revenue": q_daily_two_days_revenue,
+    "publish_evolves": q_publish_evolves,
+    "incremental_extract_by_id": q_incremental_extract_by_id,
 })
 
 
@@ -444,7 +522,7 @@ def q_stream_dedup(spark, sf):
 
 def q_stream_scd2(spark, sf):
     root = _root(spark, "stream-scd2")
-    name = f"tm_{uuid.uuid4().hex[:8]}_gold.dim_customer"
+    name = scratch_name(spark, "databases", "gold") + ".dim_customer"
     schema = None
     v1 = silver_customers(spark, sf)
     for v, d in td.SNAPSHOT_DATES.items():

@@ -8,6 +8,7 @@ pick a local scratch folder ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import weakref
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
 _LOCAL_ROOTS: "weakref.WeakKeyDictionary[SparkSession, str]" = weakref.WeakKeyDictionary()
+_MADE: "weakref.WeakKeyDictionary[SparkSession, dict[str, list[str]]]" = weakref.WeakKeyDictionary()
 
 
 def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
@@ -53,14 +55,19 @@ def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
 def shared_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written intermediates.
 
-    Reads ``spark.checkpoint.dir`` from the session; sets it only if unset.
+    Reads ``spark.checkpoint.dir`` from the session. Only a local master may
+    leave it unset (one scratch folder per session, as in tests): on a cluster
+    every executor would write to its own disk, so that raises.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no driver-side context, conf only
         sc = None
     root = spark.conf.get(_CKPT_KEY, None) or (sc.getConf().get(_CKPT_KEY, None) if sc else None)
-    if not root:  # local runs and tests only: one scratch folder per session
+    if not root:
+        master = sc.master if sc else "connect"
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"set {_CKPT_KEY} to a folder that all executors share (master is {master})")
         root = _LOCAL_ROOTS.get(spark) or tempfile.mkdtemp(prefix="tidemart-")
         _LOCAL_ROOTS[spark] = root
     if sc is not None and sc.getCheckpointDir() is None:
@@ -81,15 +88,42 @@ def share_code(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *parts])
 
 
+def remember(spark: SparkSession, kind: str, name: str) -> str:
+    """Note a temporary folder, database or view ("folders", "databases", "views") for ``release``."""
+    _MADE.setdefault(spark, {"folders": [], "databases": [], "views": []})[kind].append(name)
+    return name
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh, unique directory below the shared root."""
-    return f"{shared_root(spark)}/tidemart-work/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique directory below the shared root; ``release`` deletes it."""
+    return remember(spark, "folders", f"{shared_root(spark)}/tidemart-work/{label}-{uuid.uuid4().hex[:12]}")
+
+
+def scratch_name(spark: SparkSession, kind: str, label: str) -> str:
+    """A unique name for a temporary database or view."""
+    return remember(spark, kind, f"tm_{uuid.uuid4().hex[:8]}_{label}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, asked of the file system that Spark would use."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what this session has written or registered as temporary; returns how many things went.
+
+    Call it when results that read such folders have been written elsewhere.
+    """
+    made = _MADE.pop(spark, {"folders": [], "databases": [], "views": []})
+    for name in made["views"]:
+        spark.catalog.dropTempView(name)
+    for name in made["databases"]:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    for path in made["folders"]:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return sum(len(x) for x in made.values())
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:

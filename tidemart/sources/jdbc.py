@@ -32,12 +32,3 @@ def read_jdbc_table(spark: SparkSession, url: str, table: str, *, user: str | No
                         .option("numPartitions", str(num_partitions)))
     df = reader.load()
     return df.filter(predicate) if predicate is not None else df
-
-
-def write_jdbc_table(df: DataFrame, url: str, table: str, mode: str = "append",
-                     driver: str | None = None, batchsize: int = 10000) -> None:
-    w = (df.write.format("jdbc").option("url", url).option("dbtable", table)
-           .option("batchsize", str(batchsize)))
-    if driver is not None:
-        w = w.option("driver", driver)
-    w.mode(mode).save()

@@ -7,26 +7,69 @@ Layout below one root (any Hadoop FS URI)::
     snapshots/<table>/v=<snapshot id>/part-*.parquet
     _control/watermarks, _control/run_audit
 
+    _control/schemas/<layer>-<table>/v=<n>/
+
 Raw keeps every extraction run of a day (one ``batch`` directory per run),
 so a second run on the same day no longer overwrites the first delta.
 Bronze is keyed by load date and written with dynamic partition overwrite:
 loading a date again replaces that date instead of appending it twice.
+
+The schema of each raw and bronze table is stored when it is written, so reads
+never open the footers of all files to find it out.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tidemart.session import path_exists
 
 LOAD_DATE = "_load_date"
 
 
+def stored_schema(spark: SparkSession, root: str, layer: str, table: str) -> StructType | None:
+    """Schema recorded for a table (all columns it ever had); None before its first write."""
+    path = f"{root}/_control/schemas/{layer}-{table}"
+    if not path_exists(spark, path):
+        return None
+    newest = spark.read.text(path).orderBy(F.col("v").desc()).first()
+    return StructType.fromJson(json.loads(newest["value"]))
+
+
+def record_schema(spark: SparkSession, root: str, layer: str, table: str, schema: StructType) -> StructType:
+    """Adds new columns of ``schema`` to the table's recorded schema; a changed type raises."""
+    old = stored_schema(spark, root, layer, table)
+    merged = merge_schema(old, schema, f"{layer}.{table}")
+    if old is None or merged != old:
+        version = 0 if old is None else len(merged)
+        (spark.createDataFrame([(merged.json(),)], "value string").coalesce(1)
+              .write.mode("overwrite").text(f"{root}/_control/schemas/{layer}-{table}/v={version}"))
+    return merged
+
+
+def merge_schema(old: StructType | None, new: StructType, what: str) -> StructType:
+    """Columns of ``old``, then those only ``new`` has; all nullable."""
+    fields = {f.name: f.dataType for f in (old or StructType()).fields}
+    for f in new.fields:
+        if fields.setdefault(f.name, f.dataType) != f.dataType:
+            raise ValueError(f"{what}: column {f.name} changes from {fields[f.name].simpleString()} "
+                             f"to {f.dataType.simpleString()}")
+    out = StructType()
+    for name, kind in fields.items():
+        out.add(name, kind, True)
+    return out
+
+
 def write_raw(df: DataFrame, root: str, table: str, run_date: str, run_id: str | None = None) -> str:
     """Write one extraction run; returns its directory."""
     run_id = run_id or uuid.uuid4().hex[:12]
     path = f"{root}/raw/{table}/dt={run_date}/batch={run_id}"
+    record_schema(df.sparkSession, root, "raw", table, df.schema)
     df.write.mode("overwrite").parquet(path)
     return path
 
@@ -37,18 +80,16 @@ def read_raw(spark: SparkSession, root: str, table: str, run_date: str | None =
     The date filter prunes directories instead of listing the whole table.
     """
     base = f"{root}/raw/{table}"
-    if run_date is None:
-        return spark.read.option("mergeSchema", "true").parquet(base)
-    return (spark.read.option("basePath", base).option("mergeSchema", "true")
-                 .parquet(f"{base}/dt={run_date}"))
+    schema = StructType(stored_schema(spark, root, "raw", table).fields).add("dt", "date").add("batch", "string")
+    reader = spark.read.schema(schema).option("basePath", base)
+    return reader.parquet(base if run_date is None else f"{base}/dt={run_date}")
 
 
-def load_raw_to_bronze(spark: SparkSession, root: str, table: str, run_date: str) -> DataFrame:
+def load_raw_to_bronze(spark: SparkSession, root: str, table: str, run_date: str) -> None:
     """Bronze load of one run date: as received plus load metadata.
 
     Idempotent per date (dynamic partition overwrite); new source columns are
-    accepted and old files read them as NULL (``mergeSchema`` on read).
-    Returns the written partition as read back.
+    accepted and old files read them as NULL (the stored schema has them all).
     """
     if not run_date:
         raise ValueError("run_date is required")
@@ -58,53 +99,67 @@ def load_raw_to_bronze(spark: SparkSession, root: str, table: str, run_date: str
         "_source_file": F.col("_metadata.file_path"),
         LOAD_DATE: F.lit(run_date).cast("date"),
     })
+    record_schema(spark, root, "bronze", table, out.schema)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(LOAD_DATE).parquet(f"{root}/bronze/{table}"))
-    return read_bronze(spark, root, table).filter(F.col(LOAD_DATE) == F.lit(run_date).cast("date"))
 
 
 def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(f"{root}/bronze/{table}")
+    schema = stored_schema(spark, root, "bronze", table)
+    if schema is None:
+        raise FileNotFoundError(f"bronze table {table} has not been loaded")
+    return spark.read.schema(schema).parquet(f"{root}/bronze/{table}")
 
 
 def publish_snapshot(df: DataFrame, root: str, table: str, catalog_name: str | None = None,
-                     snapshot_id: str | None = None,
-                     bucket_by: tuple[int, str] | None = None) -> str:
+                     snapshot_id: str | None = None) -> str:
     """Write a new immutable snapshot directory, then repoint the table to it.
 
     Readers of the previous snapshot are never disturbed (Parquet cannot be
-    overwritten while it is being read); the switch is one catalog update.
-
-    ``bucket_by=(n, key)`` writes the snapshot hash-bucketed and sorted by
-    ``key`` (needs ``catalog_name``): the next merge or fact join on ``key``
-    then reads the table already partitioned and shuffles only the other side.
+    overwritten while it is being read); the switch is one catalog update. The
+    directory is unique per attempt, so a failed or repeated run never meets its
+    own leftovers. Snapshots are not bucketed: a join on the key stays an
+    ordinary exchange that adaptive execution can split at a hot key, and the
+    rows never depend on a partition count of the session.
     """
-    spark = df.sparkSession
-    snapshot_id = snapshot_id or uuid.uuid4().hex[:12]
-    path = f"{root}/snapshots/{table}/v={snapshot_id}"
-    if catalog_name:
-        ensure_database(spark, root, catalog_name)
-    if bucket_by and catalog_name:
-        n, key = bucket_by
-        exists = spark.catalog.tableExists(catalog_name)
-        target = f"{catalog_name}__{snapshot_id}" if exists else catalog_name
-        (df.write.mode("errorifexists").bucketBy(n, key).sortBy(key)
-           .option("path", path).saveAsTable(target))
-        if exists:
-            spark.sql(f"DROP TABLE {target}")  # external: files stay
-            spark.sql(f"ALTER TABLE {catalog_name} SET LOCATION '{path}'")
-            spark.catalog.refreshTable(catalog_name)
-        return path
+    snapshot_id = snapshot_id or "s"
+    path = f"{root}/snapshots/{table}/v={snapshot_id}-{uuid.uuid4().hex[:8]}"
     df.write.mode("errorifexists").parquet(path)
     if catalog_name:
-        if spark.catalog.tableExists(catalog_name):
-            spark.sql(f"ALTER TABLE {catalog_name} SET LOCATION '{path}'")
-            spark.catalog.refreshTable(catalog_name)
-        else:
-            spark.sql(f"CREATE TABLE {catalog_name} USING parquet LOCATION '{path}'")
+        repoint(df.sparkSession, root, catalog_name, path, df.schema)
     return path
 
 
+def repoint(spark: SparkSession, root: str, catalog_name: str, path: str, schema: StructType) -> None:
+    """Make ``path`` the table's data.
+
+    Columns new to the table are added first (older files read them as NULL),
+    columns it no longer has stay and read as NULL; a changed type raises before
+    anything is switched.
+    """
+    ensure_database(spark, root, catalog_name)
+    if not spark.catalog.tableExists(catalog_name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE {catalog_name} ({columns}) USING parquet LOCATION '{path}'")
+        return
+    old = spark.table(catalog_name).schema
+    merge_schema(old, schema, catalog_name)
+    new = [f for f in schema.fields if f.name not in old.fieldNames()]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {catalog_name} ADD COLUMNS ({columns})")
+    spark.sql(f"ALTER TABLE {catalog_name} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(catalog_name)
+
+
+def table_location(spark: SparkSession, catalog_name: str) -> str | None:
+    """Where the published snapshot lies; None when the table does not exist."""
+    if not spark.catalog.tableExists(catalog_name):
+        return None
+    rows = spark.sql(f"DESCRIBE FORMATTED {catalog_name}").where("col_name = 'Location'").select("data_type").collect()
+    return rows[0][0]
+
+
 def ensure_database(spark: SparkSession, root: str, catalog_name: str) -> None:
     """Create the table's database below ``root`` (the shared folder), not in
     the session's default warehouse, which may be local to one machine."""

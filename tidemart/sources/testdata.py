@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from tidemart.config import CUSTOMER_SCD
 from tidemart.operators.clean import clean_customers
 
-NEW_KEY_OFFSET = 1_000_000
 # Adapter rule: market segment -> raw (dirty) loyalty tier text.
 SEGMENT_TIER = {
     "BUILDING": "BRONZE",
@@ -45,6 +44,17 @@ def _day_ts(start: str, days: Column) -> Column:
     return F.date_add(F.lit(start).cast("date"), days.cast("int")).cast("timestamp_ntz")
 
 
+def new_key(k: Column) -> Column:
+    """A key that no source row has: source keys are not negative."""
+    return -k - 1
+
+
+def sku(k: Column) -> Column:
+    """SKU of a product: at least six digits, more for longer keys."""
+    text = k.cast("string")
+    return F.concat(F.lit("SKU-"), F.when(F.length(text) < 6, F.lpad(text, 6, "0")).otherwise(text))
+
+
 def _case(col: Column, mapping: dict, default) -> Column:
     expr = None
     for k, v in mapping.items():
@@ -97,7 +107,7 @@ def customer_snapshot(spark: SparkSession, sf_dir: str, version: int = 1,
 
     v2: tier moves for id%7=0, first_name edits (untracked) for id%11=0,
         ids with id%13=0 are missing, ids with id%17=0 reappear under
-        id+1,000,000 as new customers.
+        -id-1 as new customers.
     v3: as v2, plus another tier move for id%5=0; the id%13=0 rows return,
         those with id%26=0 with a changed city.
     ``v1`` lets callers pass an already written silver snapshot 1.
@@ -122,7 +132,7 @@ def customer_snapshot(spark: SparkSession, sf_dir: str, version: int = 1,
         tier3 = F.when(old & (k % 5 == 0), _rotate_tier(tier2)).otherwise(tier2)
         city = F.when(old & (k % 26 == 0), F.concat(F.col("city"), F.lit(" North"))).otherwise(F.col("city"))
         rows = rows.withColumns({"loyalty_tier": tier3, "first_name": fname, "city": city})
-    rows = rows.withColumn("customer_id", F.when(old, k).otherwise(k + NEW_KEY_OFFSET))
+    rows = rows.withColumn("customer_id", F.when(old, k).otherwise(new_key(k)))
     return rows.select(*CUSTOMER_SCD.source_columns)
 
 
@@ -159,12 +169,11 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_items_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """order_items from lineitem (id built from the line's key columns)."""
+    """order_items from lineitem; the id is the text of the line's key columns,
+    so ids of any size stay distinct."""
     li = table(spark, sf_dir, "lineitem")
-    item_id = ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 100000 + F.col("l_partkey")) * 10000 \
-        + F.col("l_suppkey")
     return li.select(
-        item_id.cast("bigint").alias("order_item_id"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
@@ -190,7 +199,7 @@ def products_raw(spark: SparkSession, sf_dir: str, version: int = 1) -> DataFram
         day = day + 90
     return p.select(
         k.alias("product_id"),
-        F.concat(F.lit("SKU-"), F.lpad(k.cast("string"), 6, "0")).alias("sku"),
+        sku(k).alias("sku"),
         name.alias("product_name"),
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("subcategory"),
@@ -219,15 +228,35 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
-def customer_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Snapshot 2 with an explicit delete flag (``is_deleted`` for id%19=0)."""
-    src = customer_snapshot(spark, sf_dir, 2)
-    return src.withColumn("is_deleted", F.col("customer_id") % 19 == 0)
+def customer_deletes(spark: SparkSession, sf_dir: str, version: int = 2, v1: DataFrame | None = None) -> DataFrame:
+    """A snapshot with an explicit delete flag: none in version 1, id%19=0 in
+    version 2, id%23=0 in version 3 (the id%19=0 rows are back)."""
+    src = customer_snapshot(spark, sf_dir, version, v1=v1)
+    k = F.col("customer_id")
+    return src.withColumn("is_deleted", {1: F.lit(False), 2: k % 19 == 0, 3: k % 23 == 0}[version])
+
+
+def day_two_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The five sources a day later: customers with id%7=0 moved to platinum,
+    items of products with id%11=0 corrected to one more piece, products in
+    version 2; everything else is pulled again unchanged."""
+    raw = customers_raw(spark, sf_dir)
+    moved = raw.filter(F.col("customer_id") % 7 == 0).withColumns({
+        "loyalty_tier": F.lit("platinum"), "updated_at": F.lit("2026-06-01 00:00:00").cast("timestamp_ntz")})
+    items = order_items_raw(spark, sf_dir)
+    return {
+        "customers": raw.unionByName(moved),
+        "products": products_raw(spark, sf_dir, 2),
+        "orders": orders_raw(spark, sf_dir),
+        "order_items": items.withColumn("quantity", F.when(
+            F.col("product_id") % 11 == 0, F.col("quantity") + 1).otherwise(F.col("quantity"))),
+        "inventory": inventory_raw(spark, sf_dir),
+    }
 
 
 def customer_content_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw customers plus exact copies under new ids (id%250=7 -> id+2,000,000),
+    """Raw customers plus exact copies under new ids (id%250=7 -> -id-1),
     the way re-inserted duplicates receive fresh ids at the source."""
     raw = customers_raw(spark, sf_dir)
     copies = raw.filter(F.col("customer_id") % 250 == 7)
-    return raw.unionByName(copies.withColumn("customer_id", F.col("customer_id") + 2_000_000))
+    return raw.unionByName(copies.withColumn("customer_id", new_key(F.col("customer_id"))))
