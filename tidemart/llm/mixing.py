@@ -157,7 +157,7 @@ def nearest_subset(size: np.ndarray, n: np.ndarray, budget: int) -> np.ndarray:
     used = (size > 0) & (n > 0)
     if not used.any() or budget <= 0:
         return pick
-    top = budget + int(min(size[used].min(), budget))  # beyond this, nothing taken is as near
+    top = budget + int(min(size[used].max(), budget))  # a sum beyond this is not the nearest
     reach = np.zeros(top + 1, dtype=bool)
     reach[0] = True
     item_of = np.full(top + 1, -1, dtype=np.int64)
