@@ -163,7 +163,7 @@ def associated(sample: DataFrame, toxic: int, clean: int, limit: int) -> list[st
     n = toxic + clean
     rate = (F.col("t") + F.col("c")) / n
     z = (F.col("t") - toxic * rate) / F.sqrt(rate * (1 - rate) * toxic * clean / n + 1e-9)
-    best = counts.where((F.col("t") >= least) & (F.col("places") >= least) & (F.col("places") * 8 >= F.col("t"))).withColumn(
+    best = counts.where((F.col("t") >= least) & (F.col("places") >= F.least(F.lit(10), F.greatest(F.lit(3), F.ceil(F.col("t") / 8))))).withColumn(
         "z", z).where((F.col("z") >= 3) & (F.col("t") * clean > 4 * F.col("c") * toxic)).orderBy(F.col("z").desc(), "feature").limit(limit)
     return sorted(r["feature"] for r in best.select("feature").collect())
 
