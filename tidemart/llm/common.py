@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tidemart.session import scratch_dir, share_code
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 """Text that one numpy pass inside a task holds (a longer single text goes alone)."""
 
 

@@ -18,7 +18,7 @@ from functools import lru_cache
 import numpy as np
 
 DEFAULT_FILE = "word_bpe_49k.json"
-TABLE_SIZE = 300_000
+TABLE_SIZE = 150_000
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|%&$#*]*)\Z")
 
 
