@@ -12,7 +12,7 @@ from conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
-NAMES = sorted(E.queries())
+NAMES = sorted(n for n in E.queries() if n in E.oracle_sql())  # the others are held against brute force elsewhere
 
 
 def _norm(v):
@@ -45,11 +45,7 @@ def duck():
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
-    sql = E.oracle_sql().get(name)
-    if sql is None:
-        assert len(got) >= 0
-        return
-    cur = duck.execute(sql)
+    cur = duck.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]
     want = cur.fetchall()
     assert sorted(df.columns) == sorted(dcols)

@@ -4,6 +4,10 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from tidemart.session import scratch_dir
+import pytest
+
+from tidemart.sources import lake
+from tidemart.streaming import ingest
 from tidemart.streaming.ingest import dedup_events, scd2_batch_writer
 
 DDL = ("customer_id long, loyalty_tier string, address string, city string, state string, "
@@ -42,3 +46,61 @@ def test_dedup_events_keeps_ntz_type(spark):
         .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     out = dedup_events(df, ["event_id"], "ts", "1 day")
     assert dict(out.dtypes)["ts"] == "timestamp_ntz"
+
+
+def _versions(spark, name):
+    return sorted((r["loyalty_tier"], r["effective_start_date"], r["is_current"], r["customer_sk"])
+                  for r in spark.table(name).collect())
+
+
+@pytest.mark.parametrize("where", ["after the write", "after the publish", "after the log"])
+def test_a_batch_recovers_from_a_crash(spark, monkeypatch, where):
+    root = scratch_dir(spark, "t-crash")
+    name = f"tm_{uuid.uuid4().hex[:6]}_gold.dim_customer"
+    apply = scd2_batch_writer(root, "dim_customer", name, "snapshot_date")
+    apply(_snap(spark, "BRONZE", date(2026, 1, 1)), 0)
+    batch = _snap(spark, "GOLD", date(2026, 2, 1))
+
+    def stop(*args, **kwargs):
+        raise RuntimeError("crash")
+
+    if where == "after the write":
+        monkeypatch.setattr(lake, "repoint", stop)
+    elif where == "after the publish":
+        whole = lake.publish_snapshot
+
+        def publish(*args, **kwargs):
+            whole(*args, **kwargs)
+            stop()
+
+        monkeypatch.setattr(lake, "publish_snapshot", publish)
+    if where == "after the log":
+        apply(batch, 1)  # the stream's own checkpoint was lost after this
+    else:
+        with pytest.raises(RuntimeError, match="crash"):
+            apply(batch, 1)
+        monkeypatch.undo()
+    apply(batch, 1)
+    apply(_snap(spark, "SILVER", date(2026, 3, 1)), 2)
+    assert _versions(spark, name) == [("BRONZE", date(2026, 1, 1), False, 1), ("GOLD", date(2026, 2, 1), False, 2),
+                                      ("SILVER", date(2026, 3, 1), True, 3)]
+
+
+def test_late_snapshots_are_set_aside(spark):
+    root = scratch_dir(spark, "t-late")
+    name = f"tm_{uuid.uuid4().hex[:6]}_gold.dim_customer"
+    apply = ingest.scd2_batch_writer(root, "dim_customer", name, "snapshot_date")
+    apply(_snap(spark, "SILVER", date(2026, 2, 1)), 0)
+    apply(_snap(spark, "BRONZE", date(2026, 1, 1)).unionByName(_snap(spark, "GOLD", date(2026, 3, 1))), 1)
+    apply(_snap(spark, "BRONZE", date(2026, 1, 15)), 2)
+    assert [v[0] for v in _versions(spark, name)] == ["GOLD", "SILVER"]
+    late = spark.read.parquet(f"{root}/_control/dim_customer_late")
+    assert sorted((r["snapshot_date"], r["batch"]) for r in late.collect()) == [(date(2026, 1, 1), 1), (date(2026, 1, 15), 2)]
+
+
+def test_duplicate_source_keys_stop_the_stream(spark):
+    root = scratch_dir(spark, "t-dup")
+    apply = scd2_batch_writer(root, "dim_customer", f"tm_{uuid.uuid4().hex[:6]}_gold.dim_customer", "snapshot_date")
+    day = date(2026, 1, 1)
+    with pytest.raises(ValueError, match="duplicate key"):
+        apply(_snap(spark, "GOLD", day).unionByName(_snap(spark, "SILVER", day)), 0)
