@@ -20,8 +20,10 @@ out such that equal windows always meet, and an index is built per group:
    few megabytes and streams the matching statistics of the set; windows with a
    match of ``length`` or more are marked.
 4. A group whose distinct segments exceed ``group_bytes`` is never put in one
-   task: its windows are counted one by one by their digests instead, which
-   spreads over all tasks whatever the hash.
+   task. Its segments are cut again, by the smallest hash of longer substrings,
+   and take the same way; of groups that are still too large the windows are
+   counted one by one by their digests, which spreads over all tasks whatever
+   the hash.
 
 Spans then meet the whole texts once more, keyed by row, and are cut out.
 
@@ -47,7 +49,8 @@ from tidemart.llm.rindex import long_matches
 
 LENGTH = 400
 ANCHOR = 64
-GROUP_BYTES = 4 << 20
+LONG_ANCHOR = 256
+GROUP_BYTES = 1 << 20
 INDEX_BYTES = 1 << 20
 CUT_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -55,14 +58,14 @@ KEY = ["k_id", "k_text"]
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                   anchor: int = ANCHOR, group_bytes: int = GROUP_BYTES, as_text: bool = False,
+                   anchor: int = ANCHOR, group_bytes: int = GROUP_BYTES, long_anchor: int | None = None, as_text: bool = False,
                    carry: list[str] | None = None) -> DataFrame:
     """id, n_bytes, n_removed, n_spans, kept: one row per input row.
 
     ``kept`` is the remaining bytes; with ``as_text`` a string without the
     characters that a cut has split. Columns named in ``carry`` pass through.
     """
-    spans = repeated_spans(df, id_col, text_col, length, anchor, group_bytes)
+    spans = repeated_spans(df, id_col, text_col, length, anchor, group_bytes, long_anchor)
     by_text = spans.distinct().groupBy(*KEY).agg(F.collect_list(F.struct("begin", "stop")).alias("spans__"))
     texts = df.select(id_col, *(carry or []), *row_key(id_col, text_col),
                       F.col(text_col).cast("string").alias("text__"))
@@ -74,10 +77,32 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def repeated_spans(df: DataFrame, id_col: str, text_col: str, length: int = LENGTH, anchor: int = ANCHOR,
-                   group_bytes: int = GROUP_BYTES) -> DataFrame:
+                   group_bytes: int = GROUP_BYTES, long_anchor: int | None = None) -> DataFrame:
     """(k_id, k_text, begin, stop): byte spans whose every byte lies in a repeated window; they may overlap."""
     texts = df.select(*row_key(id_col, text_col), F.col(text_col).cast("string").alias("text__"))
     rows = write_and_read(segments(texts, length, anchor), "segments")
+    found, distinct, large = settle(rows, length, group_bytes)
+    pieces = fetch(texts, distinct, length)
+    if large is not None:
+        pieces = write_and_read(pieces, "segment-texts")
+        again = write_and_read(cut_pieces(pieces.join(large, F.col("hash") == F.col("h"), "left_semi"), length,
+                                          long_anchor or min(length, max(anchor, LONG_ANCHOR))), "segments")
+        pieces = pieces.join(large, F.col("hash") == F.col("h"), "left_anti")
+        more, distinct, large = settle(again, length, group_bytes)
+        found = found.unionByName(more)
+        shorter = distinct.select(*(F.col(f"place.{c}").alias(c) for c in KEY), "hash", "d0", "d1", "n",
+                                  F.col("place.begin").alias("begin"), "piece")
+        if large is not None:
+            found = found.unionByName(count_windows(
+                shorter.join(large, F.col("hash") == F.col("h"), "left_semi"), length))
+            shorter = shorter.join(large, F.col("hash") == F.col("h"), "left_anti")
+        pieces = pieces.unionByName(shorter)
+    dealt = pieces.repartition(task_count(df), "hash").sortWithinPartitions("hash")
+    return found.unionByName(index_groups(dealt, length))
+
+
+def settle(rows: DataFrame, length: int, group_bytes: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """What counting alone settles: spans, the distinct segments left over, and the hashes of over-large groups."""
     by_hash = rows.groupBy("hash").agg(
         F.count(F.lit(1)).alias("n"), F.max("again").alias("again"), F.min("d0").alias("a0"), F.max("d0").alias("b0"),
         F.min("d1").alias("a1"), F.max("d1").alias("b1")).where("n > 1 or again").select(
@@ -88,24 +113,16 @@ def repeated_spans(df: DataFrame, id_col: str, text_col: str, length: int = LENG
 
     mixed = met.where("not equal")
     place = F.struct(*KEY, "begin", "windows")
+    text = [F.first("piece").alias("piece")] if "piece" in rows.columns else []
     distinct = write_and_read(mixed.groupBy("hash", "d0", "d1").agg(
-        F.count(F.lit(1)).alias("n"), F.min(place).alias("place")), "segments-distinct")
+        F.count(F.lit(1)).alias("n"), F.min(place).alias("place"), *text), "segments-distinct")
     copied = distinct.where("n > 1").select(*(F.col(c).alias(c + "_c") for c in ("hash", "d0", "d1")))
     found = found.unionByName(mixed.join(
         copied, (F.col("hash") == F.col("hash_c")) & (F.col("d0") == F.col("d0_c")) & (F.col("d1") == F.col("d1_c"))
     ).select(*KEY, *span))
-
     sizes = distinct.groupBy("hash").agg(F.sum(F.col("place.windows") + (length - 1)).alias("bytes"))
-    large = sizes.where(F.col("bytes") > group_bytes).select(F.col("hash").alias("h"))
-    texts_of = fetch(texts, distinct, length)
-    some_large = large.limit(1).count() > 0
-    if some_large:
-        texts_of = write_and_read(texts_of, "segment-texts")
-        found = found.unionByName(count_windows(
-            texts_of.join(large, F.col("hash") == F.col("h"), "left_semi"), length))
-        texts_of = texts_of.join(large, F.col("hash") == F.col("h"), "left_anti")
-    dealt = texts_of.repartition(task_count(df), "hash").sortWithinPartitions("hash")
-    return found.unionByName(index_groups(dealt, length))
+    large = write_and_read(sizes.where(F.col("bytes") > group_bytes).select(F.col("hash").alias("h")), "segments-large")
+    return found, distinct, large if large.limit(1).count() else None
 
 
 def segments(texts: DataFrame, length: int, anchor: int) -> DataFrame:
@@ -128,6 +145,26 @@ def segments(texts: DataFrame, length: int, anchor: int) -> DataFrame:
     return arrow_map(texts.where(F.octet_length("text__") >= length), run, schema)
 
 
+def cut_pieces(pieces: DataFrame, length: int, anchor: int) -> DataFrame:
+    """Segments of segment texts by a longer anchor, with their own texts; one row per distinct segment goes in."""
+    schema = T.StructType([pieces.schema["k_id"], pieces.schema["k_text"]] + [
+        T.StructField(c, T.LongType()) for c in ("hash", "d0", "d1", "begin", "windows")] + [
+        T.StructField("again", T.BooleanType()), T.StructField("piece", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "piece", CUT_BYTES):
+            raw = b.column("piece").to_pylist()
+            row, digest, h, begin, windows, again = cut_segments(raw, length, anchor)
+            pick, d = pa.array(row), np.frombuffer(digest, dtype="<i8").reshape(-1, 2)
+            parts = [raw[r][s:s + w + length - 1] for r, s, w in zip(row.tolist(), begin.tolist(), windows.tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("k_id").take(pick), b.column("k_text").take(pick), pa.array(h.view(np.int64)),
+                 pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(begin + b.column("begin").to_numpy()[row]),
+                 pa.array(windows), pa.array(again), pa.array(parts, pa.binary())], names=schema.names)
+
+    return arrow_map(pieces.dropDuplicates(["hash", "d0", "d1"]), run, schema)
+
+
 def cut_segments(raw: list[bytes], length: int, anchor: int):
     """(row, digests, hash, begin, windows, again) of all segments of these texts."""
     size = np.array([len(x) for x in raw], dtype=np.int64)
