@@ -96,7 +96,7 @@ def initialize_dimension(source_df: DataFrame, tracked_cols: Sequence[str] | Non
     return out.select(*_version_cols(src.columns, spec))
 
 
-def _dim_stats(existing_dim: DataFrame, spec: ScdSpec) -> tuple[int | None, date | None]:
+def dim_stats(existing_dim: DataFrame, spec: ScdSpec) -> tuple[int | None, date | None]:
     """(max surrogate key, latest start date) in one small aggregation job."""
     row = existing_dim.agg(F.max(spec.sk_col).alias("m"), F.max(START).alias("s")).first()
     return (row["m"], row["s"]) if row else (None, None)
@@ -205,7 +205,8 @@ def compute_scd2_snapshot(existing_dim: DataFrame | None, source_df: DataFrame,
                           spec: ScdSpec | None = None,
                           num_buckets: int | None = None,
                           materialize: bool = True,
-                          validate_source: bool = False) -> DataFrame:
+                          validate_source: bool = False,
+                          stats: tuple[int | None, date | None] | None = None) -> DataFrame:
     """Full new dimension after applying one source snapshot at ``as_of_date``.
 
     * unchanged current rows: carried (start date kept);
@@ -221,7 +222,8 @@ def compute_scd2_snapshot(existing_dim: DataFrame | None, source_df: DataFrame,
 
     With ``materialize`` (default) the classified join result is written once
     to the shared folder, so the join runs once although both the carried
-    rows and the key assignment of the new rows read it.
+    rows and the key assignment of the new rows read it. ``stats`` (see
+    ``dim_stats``) spares a job when the caller has them.
     """
     spec = _spec(business_key, tracked_cols, spec)
     if validate_source:
@@ -229,7 +231,7 @@ def compute_scd2_snapshot(existing_dim: DataFrame | None, source_df: DataFrame,
     if existing_dim is None:
         return initialize_dimension(source_df, spec=spec, as_of_date=as_of_date,
                                     num_buckets=num_buckets)
-    max_sk, max_start = _dim_stats(existing_dim, spec)
+    max_sk, max_start = stats or dim_stats(existing_dim, spec)
     if max_sk is None:
         return initialize_dimension(source_df, spec=spec, as_of_date=as_of_date,
                                     num_buckets=num_buckets)
@@ -255,7 +257,7 @@ def scd2_changes(existing_dim: DataFrame, source_df: DataFrame, as_of_date: date
     spec = spec or CUSTOMER_SCD
     if validate_source:
         assert_unique_keys(source_df, [spec.business_key])
-    max_sk, max_start = _dim_stats(existing_dim, spec)
+    max_sk, max_start = dim_stats(existing_dim, spec)
     _check_date(as_of_date, max_start)
     _, exploded, cols = _classified(existing_dim, source_df, as_of_date, spec)
     exploded = _materialize(exploded, "scd2-changes")

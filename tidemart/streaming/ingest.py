@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidemart.config import CUSTOMER_SCD, START, ScdSpec
-from tidemart.operators.scd import compute_scd2_snapshot
+from tidemart.config import CUSTOMER_SCD, ScdSpec
+from tidemart.operators.scd import compute_scd2_snapshot, dim_stats
 from tidemart.session import materialize, path_exists
 from tidemart.sources import lake
 
@@ -122,7 +122,8 @@ def scd2_batch_writer(root: str, table: str, catalog_name: str, snapshot_col: st
         if "intent" not in entries:
             log(spark, batch_id, "intent", base, None)
         dim = spark.read.parquet(base) if base else None
-        newest = dim.agg(F.max(START)).first()[0] if dim is not None else None
+        stats = dim_stats(dim, spec) if dim is not None else None
+        newest = stats[1] if stats else None
         late = [d for d in dates if newest is not None and d < newest]
         if late:
             (batch.filter(F.col(snapshot_col) < F.lit(newest)).write.mode("overwrite")
@@ -130,7 +131,7 @@ def scd2_batch_writer(root: str, table: str, catalog_name: str, snapshot_col: st
         dates = [d for d in dates if d not in late]
         for i, d in enumerate(dates):
             src = batch.filter(F.col(snapshot_col) == F.lit(d)).drop(snapshot_col)
-            dim = compute_scd2_snapshot(dim, src, d, spec=spec, validate_source=True)
+            dim = compute_scd2_snapshot(dim, src, d, spec=spec, validate_source=True, stats=stats if i == 0 else None)
             if i < len(dates) - 1:
                 dim = materialize(dim, "stream-scd2")
         path = lake.publish_snapshot(dim, root, table, catalog_name, f"b{batch_id:09d}") if dates else base
