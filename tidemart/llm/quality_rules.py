@@ -43,6 +43,9 @@ def repetition_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     least ``min_words`` words cover at most ``max_fraction`` of its word
     characters, and none of them is longer than ``max_longest`` words.
     """
+    if min_words < 3:
+        raise ValueError("suffixes are sorted from three words on")
+
     def run(texts: list[bytes]) -> dict:
         return measure(texts, min_words, max_fraction, max_longest)
 
