@@ -316,3 +316,23 @@ def test_pipeline_on_odd_rows(spark):
         empty = stage(spark, docs.limit(0), SF)
         assert empty.count() == 0
         docs = out
+
+
+LONG = "<p>This paragraph has well over twenty five words so that its length alone says that it belongs to the text of an article and not to a menu or an advert.</p>"
+
+
+@pytest.mark.parametrize("page", [
+    '<article class="post type-post hentry tag-python"><div class="entry-content">%s</div></article>',
+    '<article class="post has-sidebar">%s</article>', '<article class="review">%s</article>',
+    '<main><article class="review"><p>Short.</p>%s</article></main>',
+    '<div class="content no-comments">%s</div>', '<div class="post tag-python">%s</div>',
+    '<article><h1>T</h1><section id="discussion">%s</section></article>', '<section id="discussion">%s</section>',
+    '<form id="aspnetForm"><div>%s</div></form>'])
+def test_pages_whose_class_words_mislead(page):
+    body = LONG * 8
+    text = extract(page % body)[0]
+    assert text.count("This paragraph") == 8 and ("Short" in page) == ("Short" in text)
+    few = f"<article>{body}<div class=comments><p>Nice post, thanks</p></div><div class=ad><p>Buy this now</p></div></article>"
+    assert "Nice" not in extract(few)[0] and "Buy" not in extract(few)[0]
+    blog = f"<div class=content>{body}</div><div id=comments>{LONG.replace('This paragraph', 'A comment') * 20}</div>"
+    assert "A comment" not in extract(blog)[0] and extract(blog)[0].count("This paragraph") == 8

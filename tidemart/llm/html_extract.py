@@ -12,6 +12,13 @@ edges; the blocks on the article's side are the text. Evidence of an element's
 role is heavier than all smoothness edges of a block together, so smoothing
 settles unmarked blocks and never carries an advert into the article.
 
+Names in class, id and role are weaker than tags. An element whose names speak
+of comments, menus, adverts... is a node of its own that costs ``MARK`` once if
+it is on the article's side, and its blocks, which have only their own odds, can
+be there only with it: a few short blocks never pay for it, many long ones do.
+Names of an article on the same element outweigh those names, and the tags
+article and main are tested before any name.
+
 One page is one row and one flow; no shuffle. The graph has a constant number
 of edges per block.
 
@@ -53,6 +60,9 @@ REST_WORDS = re.compile(
     r"tags?|trending|outbrain|taboola|paywall)\Z")
 COMMENT_WORDS = re.compile(r"(?:comments?|commentlist|commentary|disqus|repl(?:y|ies)|discussion|respond|responses?|reviews?)\Z")
 MAIN_WORDS = re.compile(r"(?:article\w*|main|content|contents|post|posts|entry|story|body|text|prose|maincontent|hentry)\Z")
+UNSURE_WORDS = {"discussion", "response", "responses", "review", "reviews", "legal", "notice", "notices", "tag", "tags",
+                "form", "search", "register", "side", "header", "copyright"}  # also names of parts of articles
+WITHOUT = {"has", "no", "with", "without"}  # a name that begins so tells of something else
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
@@ -62,6 +72,9 @@ MARK = 6.0  # an element's role, in log odds
 NEAR = 1.0  # smoothness of blocks below one element
 OUTSIDE = 2.5  # against text outside the article's element, where the page has one
 AROUND = 0.25  # of a block and the node of its element
+UNSURE = 4.0  # of an element with names that parts of articles have, too (MARK with others)
+NEVER = 1e9  # no cut goes through: a block on the article's side takes its element along
+HINT = 1.0  # names of an article below an element whose names speak against it
 
 OUT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_blocks", T.LongType()),
                     T.StructField("n_main", T.LongType())])
@@ -84,52 +97,73 @@ def extract(page: str) -> tuple[str, int, int]:
     return " ".join(b.text for b, m in zip(blocks, main) if m), len(blocks), sum(main)
 
 
+class Region:
+    """An element whose names speak against it: what it costs once, the region around it, whether in marked text."""
+
+    __slots__ = ("cost", "parent", "inside", "comment")
+
+    def __init__(self, cost: float, parent: "Region | None", inside: bool, comment: bool):
+        self.cost, self.parent, self.inside, self.comment = cost, parent, inside, comment
+
+
 class Element:
     """An open element: its number, and what it and those around it say about the text inside."""
 
-    __slots__ = ("tag", "number", "odds", "closed", "article", "link")
+    __slots__ = ("tag", "number", "odds", "closed", "article", "link", "region")
 
     def __init__(self, tag: str, number: int, parent: "Element | None", attributes: str = ""):
         self.tag, self.number = tag, number
         self.odds = parent.odds if parent else 0.0
-        self.closed = parent.closed if parent else False  # inside a menu, footer, comment...: nothing reopens it
-        self.article = parent.article if parent else False
+        self.closed = parent.closed if parent else False  # inside a menu, footer...: nothing reopens it
+        self.article = parent.article if parent else ""  # the tag, article or main, around it
         self.link = (parent.link if parent else False) or tag == "a"
+        self.region = parent.region if parent else None
         if parent is None or tag in INLINE and not attributes:
             return
-        words: set[str] = set()
-        hidden = False
+        main, against, hidden = False, [], False
         if attributes and tag not in ("html", "body"):
             for name, value in ATTRIBUTE.findall(attributes):
                 name, value = name.lower(), value.strip("\"'")
                 if name in ("class", "id", "role"):
-                    words.update(w.lower() for w in WORDS.findall(value))
+                    for token in value.split():
+                        words = [w.lower() for w in WORDS.findall(token)]
+                        if not words or words[0] in WITHOUT:
+                            continue
+                        comment = [w for w in words if COMMENT_WORDS.match(w)]
+                        rest = [w for w in words if REST_WORDS.match(w)]
+                        own = any(MAIN_WORDS.match(w) for w in words)
+                        if comment or rest and not (own and self.article):
+                            against += comment + rest
+                        elif own:
+                            main = True
                 elif name == "style":
                     hidden |= bool(HIDDEN.search(value))
                 else:
                     hidden |= name == "hidden" or value.lower() == "true"
-        comment = any(COMMENT_WORDS.match(w) for w in words)
-        rest = any(REST_WORDS.match(w) for w in words)
-        main = any(MAIN_WORDS.match(w) for w in words)
-        if tag in ("nav", "aside", "footer", "menu", "dialog") or hidden or comment:
+        comment = any(COMMENT_WORDS.match(w) for w in against)
+        if tag in ("nav", "aside", "footer", "menu", "dialog") or hidden:
             self.closed = True
         elif tag == "header" and not self.article:
             self.closed = True
-        elif tag == "form":
-            self.odds = -MARK
-        elif rest and not (main and self.article):
-            self.odds = -MARK
-        elif tag in ("article", "main"):
-            self.odds, self.article = MARK, True
-        elif main and self.odds > -MARK:
+        elif tag in ("article", "main") and not (self.region and self.region.comment) and not (
+                against and not main and self.article == "article"):
+            self.odds, self.article, self.region = MARK, tag if self.article != "article" else "article", None
+        elif tag == "form" or against and not main:
+            cost = UNSURE if against and UNSURE_WORDS.issuperset(against) else MARK
+            comment |= bool(self.region and self.region.comment)
+            self.region = Region(cost, self.region, self.article or self.odds > 0, comment)
+            self.odds = 0.0
+        elif main and self.region:
+            self.odds = HINT
+        elif main:
             self.odds = max(self.odds, MARK / 2)
 
 
 class Block:
-    __slots__ = ("text", "path", "odds", "article")
+    __slots__ = ("text", "path", "odds", "article", "region")
 
-    def __init__(self, text: str, path: tuple[int, ...], odds: float, article: bool):
-        self.text, self.path, self.odds, self.article = text, path, odds, article
+    def __init__(self, text: str, path: tuple[int, ...], odds: float, article: bool, region: Region | None = None):
+        self.text, self.path, self.odds, self.article, self.region = text, path, odds, article, region
 
 
 def read_blocks(page: str) -> list[Block]:
@@ -138,6 +172,7 @@ def read_blocks(page: str) -> list[Block]:
     stack, made, blocks = [root], 0, []
     parts: list[str] = []
     linked = 0
+    marked = [False]
     owner: Element = root
     path: tuple[int, ...] = (0,)
 
@@ -146,7 +181,9 @@ def read_blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                blocks.append(Block(text, path, log_odds(owner, text, linked), owner.article and not owner.closed))
+                blocks.append(Block(text, path, log_odds(owner, text, linked), bool(owner.article) and not owner.closed,
+                                    None if owner.closed else owner.region))
+                marked[0] |= owner.odds > 0 and not owner.closed and owner.region is None
             parts.clear()
         linked = 0
 
@@ -159,7 +196,8 @@ def read_blocks(page: str) -> list[Block]:
             if not text.strip():
                 return
             k = len(stack) - 1
-            while k and stack[k].tag in INLINE and stack[k].odds == stack[k - 1].odds:
+            while (k and stack[k].tag in INLINE and stack[k].odds == stack[k - 1].odds
+                   and stack[k].region is stack[k - 1].region):
                 k -= 1
             owner = stack[k]
             path = tuple(e.number for e in stack[:k + (owner.tag not in PARAGRAPHS)]) or (0,)
@@ -234,6 +272,10 @@ def read_blocks(page: str) -> list[Block]:
         for b in blocks:
             if not b.article:
                 b.odds -= OUTSIDE
+    elif marked[0]:  # nor is text whose names speak against it, outside marked text
+        for b in blocks:
+            if b.region and not b.region.inside:
+                b.odds -= OUTSIDE
     return blocks
 
 
@@ -271,7 +313,8 @@ def log_odds(element: Element, text: str, linked: int) -> float:
 def cut(blocks: list[Block]) -> list[bool]:
     """True for the blocks on the article's side of the minimum cut."""
     n = len(blocks)
-    if all(b.odds > 0 for b in blocks) or all(b.odds <= 0 for b in blocks):
+    regions: dict[int, tuple[int, Region]] = {}
+    if all(b.odds > 0 and not b.region for b in blocks) or all(b.odds <= 0 for b in blocks):
         return [b.odds > 0 for b in blocks]
     members: dict[int, list[int]] = {}
     edges: list[tuple[int, int, float]] = []
@@ -284,6 +327,11 @@ def cut(blocks: list[Block]) -> list[bool]:
         if len(group) > 2:
             edges += [(node, i, AROUND) for i in group]
             node += 1
+    for b in blocks:
+        region = b.region
+        while region and id(region) not in regions:
+            regions[id(region)] = node, region
+            node, region = node + 1, region.parent
     flow = Flow(node + 2)
     source, sink = node, node + 1
     for i, b in enumerate(blocks):
@@ -291,6 +339,12 @@ def cut(blocks: list[Block]) -> list[bool]:
             flow.edge(source, i, b.odds, 0.0)
         elif b.odds < 0:
             flow.edge(i, sink, -b.odds, 0.0)
+        if b.region:
+            flow.edge(i, regions[id(b.region)][0], NEVER, 0.0)
+    for k, region in regions.values():
+        flow.edge(k, sink, region.cost, 0.0)
+        if region.parent:
+            flow.edge(k, regions[id(region.parent)][0], NEVER, 0.0)
     for a, b, w in edges:
         flow.edge(a, b, w, w)
     side = flow.source_side(source, sink)
