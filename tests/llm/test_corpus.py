@@ -336,3 +336,17 @@ def test_pages_whose_class_words_mislead(page):
     assert "Nice" not in extract(few)[0] and "Buy" not in extract(few)[0]
     blog = f"<div class=content>{body}</div><div id=comments>{LONG.replace('This paragraph', 'A comment') * 20}</div>"
     assert "A comment" not in extract(blog)[0] and extract(blog)[0].count("This paragraph") == 8
+
+
+@pytest.mark.parametrize("value", ["<p>x</p>" * 20, "<i title='a'>" + "y" * 5000 + "</i>", "a => b > c", "class=sidebar"])
+def test_markup_inside_attributes_is_no_text(value):
+    page = f"<article><div data-props=\"{value}\" class=post><p>Words of the page.</p></div></article>"
+    assert extract(page) == ("Words of the page.", 1, 1)
+    assert extract("<p title=\"open>Words of the page.")[0] == "Words of the page."
+    assert extract("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> <object>be so</object></p></article>")[0] == (
+        "Let x=1 be so")
+
+
+def test_many_attributes_are_read_once():
+    page = "<article>" + "<p data-x='<b>\">' title=\"it's >\">some words</p>" * 20000 + "</article>"
+    assert extract(page)[1] == 20000

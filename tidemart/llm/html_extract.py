@@ -40,12 +40,15 @@ from tidemart.llm.common import map_texts
 
 # HTML element kinds.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "noembed", "noframes", "xmp", "svg",
-       "select", "button", "object", "canvas", "math", "audio", "video"}
+       "select", "button"}
 SILENT = {"script", "style", "noscript", "template"}  # leave no gap in the text around them
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
           "ins", "kbd", "label", "mark", "q", "ruby", "rp", "rt", "s", "samp", "small", "span", "strike", "strong",
-          "sub", "sup", "time", "tt", "u", "var", "wbr", "img", "picture", "source", "map", "area"}
+          "sub", "sup", "time", "tt", "u", "var", "wbr", "img", "picture", "source", "map", "area", "object", "canvas",
+          "audio", "video", "math", "mi", "mn", "mo", "ms", "mtext", "mrow", "mfrac", "msqrt", "mroot", "msup", "msub",
+          "msubsup", "munder", "mover", "munderover", "mstyle", "mpadded", "mtable", "mtr", "mtd", "semantics",
+          "annotation"}
 CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "figure", "footer", "form", "h1", "h2",
             "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
 SIBLINGS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"},
@@ -64,7 +67,9 @@ UNSURE_WORDS = {"discussion", "response", "responses", "review", "reviews", "leg
                 "form", "search", "register", "side", "header", "copyright"}  # also names of parts of articles
 WITHOUT = {"has", "no", "with", "without"}  # a name that begins so tells of something else
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
-ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"[\s/]*([^\s/>][^\s/>=]*)?(\s*=\s*)?")
+UNQUOTED = re.compile(r"[^\s>]*")
+READ = {"class", "id", "role", "style", "hidden", "aria-hidden"}
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -111,7 +116,7 @@ class Element:
 
     __slots__ = ("tag", "number", "odds", "closed", "article", "link", "region")
 
-    def __init__(self, tag: str, number: int, parent: "Element | None", attributes: str = ""):
+    def __init__(self, tag: str, number: int, parent: "Element | None", attributes: tuple = ()):
         self.tag, self.number = tag, number
         self.odds = parent.odds if parent else 0.0
         self.closed = parent.closed if parent else False  # inside a menu, footer...: nothing reopens it
@@ -122,8 +127,7 @@ class Element:
             return
         main, against, hidden = False, [], False
         if attributes and tag not in ("html", "body"):
-            for name, value in ATTRIBUTE.findall(attributes):
-                name, value = name.lower(), value.strip("\"'")
+            for name, value in attributes:
                 if name in ("class", "id", "role"):
                     for token in value.split():
                         words = [w.lower() for w in WORDS.findall(token)]
@@ -226,7 +230,7 @@ def read_blocks(page: str) -> list[Block]:
             add("<")
             at = lt + 1
             continue
-        end = tag_end(page, tag.end())
+        end, attributes = scan_tag(page, tag.end())
         at, name = end + 1, tag.group(2).lower()
         if tag.group(1):
             if name not in INLINE:
@@ -246,7 +250,7 @@ def read_blocks(page: str) -> list[Block]:
                 flush()
             if page[end - 1] != "/" or name != "svg":
                 close = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
-                at = n if close is None else tag_end(page, close.end() - 1) + 1
+                at = n if close is None else scan_tag(page, close.end() - 1)[0] + 1
             continue
         if name not in INLINE:
             flush()
@@ -266,7 +270,7 @@ def read_blocks(page: str) -> list[Block]:
                         break
         if name not in VOID:
             made += 1
-            stack.append(Element(name, made, stack[-1], page[tag.end():end]))
+            stack.append(Element(name, made, stack[-1], attributes))
     flush()
     if any(b.article for b in blocks):  # then text that no element marks is rather not of it
         for b in blocks:
@@ -279,20 +283,31 @@ def read_blocks(page: str) -> list[Block]:
     return blocks
 
 
-def tag_end(page: str, at: int) -> int:
-    """Place of the '>' that closes a tag, past quoted ones; the page's end if there is none."""
-    end = page.find(">", at)
-    for _ in range(8):
-        if end < 0:
-            return len(page)
-        inside = page[at:end]
-        if inside.count('"') % 2 == 0 and (inside.count("'") % 2 == 0 or '"' in inside):
-            return end
-        later = page.find(">", end + 1)
-        if later < 0 or later - at > 4000:
-            return end
-        end = later
-    return page.find(">", at)
+def scan_tag(page: str, at: int) -> tuple[int, list[tuple[str, str]]]:
+    """Place of the '>' that closes a tag (the page's end if there is none) and the attributes that are read.
+
+    Names, '=' and values as in the HTML standard; a quote that is never closed is part of an unquoted value.
+    """
+    found: list[tuple[str, str]] = []
+    if page.startswith(">", at):
+        return at, found
+    while True:
+        m = ATTRIBUTE.match(page, at)
+        name, at = m.group(1), m.end()
+        if not name:
+            return at, found
+        value = ""
+        if m.group(2):
+            quote = page[at:at + 1]
+            close = page.find(quote, at + 1) if quote in ("'", '"') else -1
+            if close < 0:
+                stop = UNQUOTED.match(page, at).end()
+                value, at = page[at:stop], stop
+            else:
+                value, at = page[at + 1:close], close + 1
+        name = name.lower()
+        if name in READ:
+            found.append((name, value))
 
 
 def log_odds(element: Element, text: str, linked: int) -> float:
