@@ -180,3 +180,24 @@ def test_license_plan_is_native(spark, capsys):
     licenses.scan_licenses(spark.read.parquet(f"{SF}/documents.parquet")).explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_license_texts_inside_documents(spark):
+    def shipped(name):
+        return next(t for i, t in licenses.default_texts()[len(licenses.NOTICES):] if i == name)
+
+    mit, bsd, gpl = shipped("MIT"), shipped("BSD-3-Clause"), shipped("GPL-3.0")
+    n_mit = sum(bool(x.strip()) for x in mit.split("\n"))
+    texts = [mit, "MIT License\n\nCopyright (c) 2020 A. B.\n\n" + mit, "Copyright the Foo authors\n\n" + bsd, gpl,
+             "Some words first.\n\n" + "\n".join("# " + x for x in mit.split("\n")) + "\nand code after it\n" + mit[:300],
+             " ".join(mit.split()), "Words.\nReleased under\nthe MIT License.\n", mit + "\n" + bsd,
+             "copyright notices are words\nReleased under the MIT License.", mit.replace("Permission", "No permission")]
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)] + [(4, texts[4], "x", 1)], DDL)
+    got = sorted((tuple(r) for r in licenses.scan_licenses(df).collect()), key=str)
+    lines = {i: (d, x, n) for i, d, x, n in got}
+    assert len(got) == 11 and lines[0] == ("MIT", "MIT", n_mit) and lines[1] == ("MIT", "MIT", n_mit + 1)
+    assert lines[2][:2] == ("BSD-3-Clause", "BSD-3-Clause") and lines[3][:2] == ("GPL-3.0", "GPL-3.0")
+    assert lines[4] == (None, "MIT", n_mit) and lines[5] == ("MIT", "MIT", 1) and lines[6] == (None, "MIT", 2)
+    assert lines[7][:2] == (None, "BSD-3-Clause,MIT") and lines[8] == (None, "MIT", 1) and lines[9] == (None, "", 0)
+    few = licenses.scan_licenses(df, limit=3).collect()  # shuffled join, shorter beginnings: the same rows
+    assert sorted((tuple(r) for r in few), key=str) == got

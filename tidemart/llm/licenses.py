@@ -4,15 +4,20 @@ A text is brought to a canonical form: lower case, equivalent spellings (first
 "licence" to "license", "(c)" and the sign to "copyright", web addresses
 without their scheme), lines of copyright notices dropped, everything but
 letters and digits to one space. The SHA-256 of the form is looked up among the
-digests of known licences by an equi join; equal digests are equal texts. Both
-whole documents and their single lines are looked up whole, as licences stand
-alone or as a line of a document; a text is never matched in part.
+digests of known licences by an equi join; equal digests are equal texts. Looked
+up are whole documents, their single lines, and all runs of lines, whatever the
+line breaks, that begin with the first characters of a known text and have the
+length of one; a text is never matched in part of a line.
 
 The known texts are a parameter: a table (license_id, text) of any size; its
-digests are made by the same functions. Without one, short published notices
-are used. Known digests are broadcast after their number is checked, else the
-join is shuffled. Units are aggregated per document in their task first, so that
-one small row per document is shuffled and no text.
+digests are made by the same functions. Without one, the full texts in
+``license_texts``, with their usual titles, and short published notices are used.
+A name inside a text (the University's in the first BSD licence) is part of it.
+Known digests are broadcast after their number is checked, else the join is
+shuffled. The beginnings are a set of at most as many strings: where there are
+more, shorter ones. Units are aggregated per document in their task first, so
+that one small row per document is shuffled and no text. Text is copied for lines
+with a known beginning alone, up to the longest known text.
 
 Defined cases: null and empty texts and texts that are only copyright lines have
 no canonical form and match nothing; null ids and repeated rows are answered row
@@ -21,6 +26,9 @@ by row; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +57,18 @@ NOTICES = (
     ("reserved", "All rights reserved."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+# Titles that stand above the texts of ``license_texts``.
+TITLES = {
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "BSD 0-Clause License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", "BSD 2-Clause \"Simplified\" License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", "BSD License", "The BSD License",
+                     "BSD 3-Clause \"New\" or \"Revised\" License", "New BSD License"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng license"),
+}
+ENDS = ("END OF TERMS AND CONDITIONS", "Exhibit A - Source Code Form License Notice")  # of the terms, before an appendix
+RESERVED = "All rights reserved.\n"
 # Equivalent spellings, applied in this order to lower-case text, each to its canonical form.
 SPELLINGS = (
     (r"\(c\)|©", "copyright "),
@@ -65,12 +85,18 @@ SPELLINGS = (
     (r"\bmerchantib", "merchantab"),
 )
 COPYRIGHT_LINE = r"(^|\n)[^a-z0-9\n]*copyright\b[^\n]*[0-9]{4}[^\n]*"
+# A line of a notice without a year; "copyright" may also begin a line of the terms, before one of these words.
+TERMS = (r"holders?|owners?|ownership|notices?|laws?|licen[cs]es?|licensors?|statements?|interests?|disclaimers?|permissions?|"
+         r"treat(?:y|ies)|doctrines?|protections?|rights?|restrictions?|infringements?|patents?|lines?|the software|act|and|or|"
+         r"on|of|in|is|are|if|to|for|as|that|this|which|with|under|does|may|can|resulting|also|those|it|a|an")
+YEARLESS_LINE = (r"(^|\n)[^a-z0-9\n]*(?:copyright[ \t:]+(?!(?:" + TERMS + r")\b)(?:[\p{L}<\[{©]|\(c\))|©[ \t]*\p{L})[^\n]*")
+BEGINNING = 16  # characters by which lines that may begin a known text are found
 BROADCAST_ROWS = 100_000  # known digests are sent to every task up to this checked number
 
 
 def canonical_lines(text: Column) -> Column:
     """Canonical form with its line breaks; no rule reaches across one."""
-    out = F.lower(text)
+    out = F.regexp_replace(F.lower(text), YEARLESS_LINE, "$1")
     for pattern, form in SPELLINGS:
         out = F.regexp_replace(out, pattern, form)
     out = F.regexp_replace(out, COPYRIGHT_LINE, "$1")
@@ -92,35 +118,108 @@ def known_digests(texts: DataFrame) -> DataFrame:
         "known is not null and license_id is not null").groupBy("known").agg(F.min("license_id").alias("license_id"))
 
 
-def default_notices(spark: SparkSession) -> DataFrame:
-    rows = F.array(*(F.struct(F.lit(i).alias("license_id"), F.lit(t).alias("text")) for i, t in NOTICES))
-    return spark.range(1).select(F.inline(rows))
+def default_texts() -> list[tuple[str, str]]:
+    """(license_id, text): notices, and the full texts with and without a title, "all rights reserved" and an appendix."""
+    out = list(NOTICES)
+    for file in sorted(resources.files(__package__).joinpath("license_texts").iterdir(), key=lambda f: f.name):
+        name, text = file.name.removesuffix(".txt"), file.read_text("utf-8")
+        bodies = [text]
+        for end in ENDS:
+            if end in text:
+                bodies += [text[:text.index(end)], text[:text.index(end) + len(end)]]
+        if name.startswith("BSD-"):  # points instead of numbers; holder or owner
+            bodies += [re.sub(r"(?m)^[0-9]\. ", "* ", b) for b in bodies]
+            bodies += [re.sub(r"COPYRIGHT\s+HOLDER OR", "COPYRIGHT OWNER OR", b) for b in bodies]
+        for body in bodies:
+            for head in ("", *(t + "\n" for t in TITLES.get(name, ()))):
+                out.append((name, head + body))
+                if name in TITLES:
+                    out.append((name, head + RESERVED + body))
+    return out
+
+
+def literal_table(spark: SparkSession, names: tuple[str, ...], rows: list) -> DataFrame:
+    return spark.range(1).select(F.inline(F.array(*(
+        F.struct(*(F.lit(v).alias(n) for n, v in zip(names, r))) for r in rows))))
+
+
+def known_beginnings(texts: DataFrame, limit: int) -> tuple[int, list[str], list[int]]:
+    """Characters of a beginning, the distinct beginnings (at most ``limit``, or one character) and the texts' lengths."""
+    forms = texts.where("license_id is not null").select(one_line(canonical_lines(F.col("text"))).alias("form")).where(
+        "length(form) > 0").select(F.substring("form", 1, BEGINNING).alias("begin"), F.length("form").alias("n"))
+    lengths = sorted(r["n"] for r in forms.select("n").distinct().collect())
+    width = min([BEGINNING, *lengths])
+    while True:
+        found = forms.select(F.substring("begin", 1, width).alias("begin")).distinct()
+        found = (found.limit(limit + 1) if width > 1 else found).collect()  # one character: no more than there are
+        if len(found) <= limit or width <= 1:
+            return width, sorted(r["begin"] for r in found), lengths
+        width -= 1
 
 
 def scan_licenses(df: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
+                  text_col: str = "text", limit: int = BROADCAST_ROWS) -> DataFrame:
     """id, document_license, line_licenses, n_license_lines: one row per input row.
 
     ``document_license`` is that of the whole text (null if unknown),
-    ``line_licenses`` the sorted distinct licences of its lines, joined by
-    commas (empty if none), ``n_license_lines`` how many lines are one.
+    ``line_licenses`` the sorted distinct licences of its lines and runs of
+    lines, joined by commas (empty if none), ``n_license_lines`` how many lines
+    are one or belong to one.
     """
-    table = known_digests(known if known is not None else default_notices(df.sparkSession))
-    if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    spark = df.sparkSession
+    texts = known if known is not None else literal_table(spark, ("license_id", "text"), default_texts())
+    table = known_digests(texts)
+    if known is None:  # few: from here on the digests alone
+        table = literal_table(spark, ("known", "license_id"), table.collect())
+    if table.limit(limit + 1).count() <= limit:
         table = F.broadcast(table)
+    width, beginnings, lengths = known_beginnings(texts, limit)
     forms = df.select(F.col(id_col).alias("id__"), F.xxhash64(F.col(text_col)).alias("key__"),
                       F.coalesce(canonical_lines(F.col(text_col).cast("string")), F.lit("")).alias("form"))
+    lines = F.filter(F.transform(F.split("form", "\n"), lambda x: F.trim(x)), lambda x: F.length(x) > 0)
+    forms = forms.select("id__", "key__", lines.alias("lines"))
+    forms = forms.select("*", F.transform("lines", lambda x: F.substring(x, 1, width)).alias("begins"))
+
+    def begins_known(x: Column, i: Column) -> Column:
+        """Whether the text from line ``i`` on, across line breaks, has a known beginning."""
+        across = F.substring(F.array_join(F.slice("begins", i + 1, (width + 1) // 2), " "), 1, width)
+        return F.when(F.length(x) >= width, x).otherwise(across).isin(beginnings)
+
+    starts = F.filter(F.transform("begins", lambda x, i: F.when(begins_known(x, i), i)), lambda i: i.isNotNull())
+    forms = forms.select("id__", "key__", "lines", starts.alias("starts"))
+
+    def unit(kind: str, first: Column, text: Column, starts: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), first.alias("first"), text.alias("unit"), starts.alias("starts"))
+
+    one = F.array(F.lit(0))
+    run = unit("run", F.lit(0), F.array_join("lines", "\n"), F.col("starts"))
     units = forms.select("id__", "key__", F.explode(F.concat(
-        F.array(F.struct(F.lit(True).alias("whole"), F.col("form").alias("unit"))),
-        F.transform(F.filter(F.split("form", "\n"), lambda x: F.length(F.trim(x)) > 0),
-                    lambda x: F.struct(F.lit(False).alias("whole"), x.alias("unit"))))).alias("u"))
-    found = units.select("id__", "key__", "u.whole", digest(one_line(F.col("u.unit"))).alias("digest")).join(
+        F.array(unit("whole", F.lit(-1), F.array_join("lines", " "), one)),
+        F.transform("lines", lambda x, i: unit("line", i, x, one)),
+        F.filter(F.array(run), lambda u: F.size(u["starts"]) > 0))).alias("u"))
+    units = units.select("id__", "key__", "u.kind", "u.first", "u.unit", F.explode("u.starts").alias("start"))
+    is_run = F.col("kind") == "run"
+    longest = max(lengths, default=0)
+    rest = F.substring(F.array_join(F.slice(F.split("unit", "\n"), F.col("start") + 1, longest // 2 + 1), "\n"),
+                       1, longest + 1)
+    units = units.select("id__", "key__", "kind", (F.col("first") + F.col("start")).alias("first"),
+                         F.when(is_run, rest).otherwise(F.col("unit")).alias("unit"))
+    ends = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: (F.length("unit") >= n) & F.substring(
+        F.col("unit"), n + 1, F.lit(1)).isin("", "\n"))
+    parts = F.filter(F.transform(ends, lambda n: F.substring(F.col("unit"), F.lit(1), n)), lambda x: F.instr(x, "\n") > 0)
+    units = units.select("id__", "key__", "kind", "first", F.explode(
+        F.when(is_run, parts).otherwise(F.array("unit"))).alias("unit"))
+    last = F.col("first") + F.when(is_run, F.size(F.split("unit", "\n")) - 1).otherwise(0)
+    found = units.select("id__", "key__", "kind", "first", last.alias("last"),
+                         digest(F.translate("unit", "\n", " ")).alias("digest")).join(
         table, F.col("digest") == F.col("known"), "left")
-    of_line = F.when(~F.col("whole"), F.col("license_id"))
+    whole = F.col("kind") == "whole"
+    of_line = F.when(~whole, F.col("license_id"))
     rows = found.groupBy("id__", "key__").agg(
-        F.sum(F.col("whole").cast("int")).alias("rows"), F.max(F.when(F.col("whole"), F.col("license_id"))).alias("document_license"),
-        F.count(of_line).alias("lines"), F.collect_set(of_line).alias("set"))
+        F.sum(whole.cast("int")).alias("rows"), F.max(F.when(whole, F.col("license_id"))).alias("document_license"),
+        F.collect_set(F.when(of_line.isNotNull(), F.sequence("first", "last"))).alias("lines"),
+        F.collect_set(of_line).alias("set"))
     return rows.select(F.col("id__").alias(id_col), "document_license",
                        F.array_join(F.array_sort("set"), ",").alias("line_licenses"),
-                       (F.col("lines") / F.col("rows")).cast("long").alias("n_license_lines"),
+                       F.size(F.array_distinct(F.flatten("lines"))).cast("long").alias("n_license_lines"),
                        F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("row__")).drop("row__")
