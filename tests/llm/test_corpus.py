@@ -350,3 +350,20 @@ def test_markup_inside_attributes_is_no_text(value):
 def test_many_attributes_are_read_once():
     page = "<article>" + "<p data-x='<b>\">' title=\"it's >\">some words</p>" * 20000 + "</article>"
     assert extract(page)[1] == 20000
+
+
+@pytest.mark.parametrize("targets", [None, {"s1": 3, "s2": 0.5, None: 2}])
+def test_packing_keeps_proportions_with_many_sources(spark, targets):
+    rng = random.Random(3)
+    rows = [(i, " ".join(["alpha"] * rng.randint(0, 90)), "en", rng.choice([None, *(f"s{k}" for k in range(12))]), 1)
+            for i in range(150)]
+    df = spark.createDataFrame(rows, DOCS).repartition(3).localCheckpoint()
+    few = pack_mixture(df, width=64, targets=targets).collect()
+    many = pack_mixture(df, width=64, targets=targets, max_queues=2).collect()
+    assert sorted(map(str, many)) == sorted(map(str, few))
+    if targets:  # s1 gets six times the tokens of s2 while both last
+        source, inside = {r[0]: r[3] for r in rows}, {"s1": 0, "s2": 0}
+        for r in many:
+            if r["sequence_id"] < 8 and source[r["doc_id"]] in inside:
+                inside[source[r["doc_id"]]] += r["length"]
+        assert abs(inside["s1"] - 6 * inside["s2"]) <= 6
