@@ -118,3 +118,17 @@ def water_fill(sizes, weights=(5, 2, 1), most=3):
             rest -= out[s]
             free.remove(s)
     return out
+
+
+def kept_texts(texts, length):
+    """Texts without the bytes of repeated windows, and without characters that a cut has split."""
+    seen = collections.Counter(t[i:i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for t in texts:
+        gone = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            if seen[t[i:i + length]] > 1:
+                gone[i:i + length] = b"\1" * length
+        parts = [t[m.start():m.end()] for m in re.finditer(rb"\0+", bytes(gone))]
+        out.append("".join(p.decode("utf-8", "ignore") for p in parts))
+    return out

@@ -367,3 +367,62 @@ def test_packing_keeps_proportions_with_many_sources(spark, targets):
             if r["sequence_id"] < 8 and source[r["doc_id"]] in inside:
                 inside[source[r["doc_id"]]] += r["length"]
         assert abs(inside["s1"] - 6 * inside["s2"]) <= 6
+
+
+def test_pipeline_equals_brute_force_stage_by_stage(spark, published):
+    import zlib
+    from collections import Counter
+
+    from brute import fingerprint, fingerprint_components, kept_texts
+
+    def rows(df):
+        return sorted((tuple(r) for r in df.collect()), key=str)
+
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    long = sorted((r for r in table.join(labels.where("quality = 1"), "doc_id").collect()), key=lambda r: -len(r["text"]))
+    added = [(10**6 + i, r["text"], r["lang"], r["source"], r["n_chars"]) for i, r in enumerate(long[:5])]  # copies
+    added += [(2 * 10**6 + i, r["text"][:3000] + " " + long[9]["text"][:700], r["lang"], r["source"], 3701)
+              for i, r in enumerate(long[5:8])]  # passages shared with others
+    docs = table.unionByName(spark.createDataFrame(added, table.schema))
+    docs = corpus_pipeline.write_and_read(docs, "brute")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def run(name, df):
+        return corpus_pipeline.write_and_read(stages[name](spark, df, SF), f"brute-{name}")
+
+    kept = run("quality_classifier", docs)
+    scored = quality_classifier.score_quality(docs, labels).where("kept").select("doc_id")
+    assert rows(kept) == rows(docs.join(scored, "doc_id", "left_semi").select(*docs.columns))
+    good = docs.join(labels.where("quality = 1"), "doc_id", "left_semi")
+    assert kept.join(good, "doc_id", "left_semi").count() >= 0.95 * good.count()
+
+    before, one = rows(kept), run("simhash_near_dedup", kept)
+    ids = [r[0] for r in before]
+    names = fingerprint_components(ids, [fingerprint(r[1]) for r in before], 4)
+    assert rows(one) == [r for r, name in zip(before, names) if r[0] == name] and len(set(names)) < len(ids)
+
+    before, cut = rows(one), run("suffix_array_dedup", one)
+    texts = kept_texts([r[1].encode() for r in before], 400)
+    assert rows(cut) == sorted(((r[0], t, *r[2:4], len(t)) for r, t in zip(before, texts)), key=str)
+    assert any(t != r[1] for r, t in zip(before, texts))
+
+    before, mixed = rows(cut), rows(run("source_mixing", cut))
+    sizes, taken, copies = Counter(), Counter(), Counter(mixed)
+    for r in before:
+        sizes[r[3]] += len(r[1].split())
+    for r in mixed:
+        taken[r[3]] += len(r[1].split())
+    assert set(copies) <= set(before) and max(copies.values()) <= 3
+    assert all(abs(taken[s] - x) <= 1 for s, x in water_fill(sizes).items())
+
+    numbered = spark.createDataFrame([(i, *r[1:]) for i, r in enumerate(mixed)], table.schema)  # copies apart
+    encoded = {i: published.encode(r[1], add_special_tokens=False).ids + [2] for i, r in enumerate(mixed)}
+    pieces = run("packing", numbered).collect()
+    check_pieces(pack_mixture(numbered).collect(), encoded, 4096)
+    seen = Counter()
+    for p in pieces:
+        part = np.array(encoded[p["doc_id"]][p["start"]:p["start"] + p["length"]], dtype="<u4").tobytes()
+        assert zlib.crc32(part) == p["ids_crc32"]
+        seen[p["doc_id"]] += p["length"]
+    assert seen == {i: len(x) for i, x in encoded.items()}
