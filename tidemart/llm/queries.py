@@ -17,6 +17,7 @@ from tidemart.llm.quality_rules import repetition_rules
 from tidemart.llm.simhash import simhash_components
 from tidemart.llm.suffix_dedup import remove_repeats
 from tidemart.llm.toxicity import score_toxicity
+from tidemart.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +75,13 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "n_links", F.col("component").alias("component_id"), "kept")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deviation`` is null where it passes 64 bits; ``deviation_exact`` holds it up to 38 digits."""
+    found = whiten(_table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "component", "n", F.col("deviation").try_cast("long").alias("deviation"), "whitened",
+                        "explained", "identity_error", F.col("deviation").alias("deviation_exact"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
     "op2_quality_classifier": op2_quality_classifier,
@@ -85,4 +93,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op12_whitening": op12_whitening,
 }
