@@ -30,6 +30,25 @@ def arrow_map(df: DataFrame, fn: Callable, schema: T.StructType | str) -> DataFr
     return df.mapInArrow(fn, schema)
 
 
+def lookup(rows: DataFrame, table: DataFrame, on: str, share: int = 1000) -> DataFrame:
+    """``rows`` with the columns of ``table`` (unique on ``key__``) where ``on`` equals ``key__``, null where nothing does.
+
+    ``rows`` should be file-backed; it is read three times. Keys that hold more
+    than 1 / ``share`` of the rows are looked up by broadcast - there are fewer
+    than ``share`` of them at any size - and the others by an equi join in which
+    no key has more than that part of the rows. Null keys meet no join.
+    """
+    total = rows.count()
+    counts = rows.where(F.col(on).isNotNull()).groupBy(F.col(on).alias("hot__")).agg(F.count(F.lit(1)).alias("rows__"))
+    hot = counts.where(F.col("rows__") * share > total).select("hot__")
+    found = hot.join(table, F.col("hot__") == F.col("key__"), "left").drop("key__")
+    flagged = rows.join(F.broadcast(found), F.col(on) == F.col("hot__"), "left")
+    easy = flagged.where(F.col("hot__").isNotNull() | F.col(on).isNull()).drop("hot__")
+    rest = rows.where(F.col(on).isNotNull()).join(F.broadcast(hot), F.col(on) == F.col("hot__"), "left_anti")
+    rest = rest.join(table, F.col(on) == F.col("key__"), "left").drop("key__")
+    return easy.unionByName(rest)
+
+
 def task_count(df: DataFrame) -> int:
     """Partitions for keyed work: the session's shuffle partitions."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

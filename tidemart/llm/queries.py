@@ -17,7 +17,9 @@ from tidemart.llm.quality_rules import repetition_rules
 from tidemart.llm.simhash import simhash_components
 from tidemart.llm.suffix_dedup import remove_repeats
 from tidemart.llm.toxicity import score_toxicity
+from tidemart.llm.warc import round_trip
 from tidemart.llm.whitening import whiten
+from tidemart.session import scratch_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +84,11 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "explained", "identity_error", F.col("deviation").alias("deviation_exact"))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = round_trip(_table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
     "op2_quality_classifier": op2_quality_classifier,
@@ -94,4 +101,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op12_whitening": op12_whitening,
+    "op13_warc": op13_warc,
 }
