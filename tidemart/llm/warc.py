@@ -65,126 +65,140 @@ def write_archive(df: DataFrame, path: str, id_col: str = "page_id", url_col: st
     firsts = rows.where("shared is not null").groupBy(F.col("shared").alias("key__")).agg(
         F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first"), F.count(F.lit(1)).alias("n"))
     firsts = firsts.where("n > 1").select("key__", F.col("first.row").alias("first"))
-    known = lookup(rows, firsts, "shared")
-    revisit = F.coalesce(F.col("first") != F.col("row"), F.lit(False))
-
-    def name(kind: str, row: str = "row") -> Column:
-        digest = F.md5(F.concat_ws("-", F.lit(run), F.col(row).cast("string"), F.lit(kind)).cast("binary"))
-        return F.regexp_replace(digest, "(.{8})(.{4})(.{4})(.{4})(.{12})", "<urn:uuid:$1-$2-$3-$4-$5>")
-
-    uri = F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20")
-    server = r"^[A-Za-z][^:/?#]*://[^/?#]*"
-    target = F.coalesce(F.regexp_replace(F.regexp_replace(uri, server, ""), "#.*$", ""), F.lit(""))
-    host = F.coalesce(F.regexp_extract(uri, r"^[A-Za-z][^:/?#]*://([^/?#]*)", 1), F.lit(""))
-    request = F.concat(F.lit("GET "), F.when(target == "", "/").otherwise(target), F.lit(f" HTTP/1.1{BREAK}Host: "), host,
-                       F.lit(GAP))
+    server = r"^[A-Za-z][^:/?#]*://"
+    known = lookup(rows, firsts, "shared").withColumns({
+        "revisit": F.coalesce(F.col("first") != F.col("row"), F.lit(False)),
+        "uri": F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20"),
+        "request_id": record_name(run, "row", "request"), "response_id": record_name(run, "row", "response"),
+        "metadata_id": record_name(run, "row", "metadata"), "refers_to": record_name(run, "first", "response")})
+    target = F.regexp_replace("uri", f"{server}[^/?#]*|#.*$", "")
+    host = F.regexp_extract("uri", f"{server}([^/?#]*)", 1)
+    request = F.concat(F.lit("GET "), F.when(target != "", target).otherwise("/"), F.lit(f" HTTP/1.1{BREAK}Host: "),
+                       F.coalesce(host, F.lit("")), F.lit(GAP))
     answer = F.concat(F.lit(f"HTTP/1.1 200 OK{BREAK}Content-Type: text/html; charset=utf-8{BREAK}Content-Length: "),
-                      F.col("bytes").cast("string"), F.lit(GAP), F.when(revisit, "").otherwise(F.col("payload")))
-    fields = F.to_json(F.struct("id", "url"))
+                      F.col("bytes").cast("string"), F.lit(GAP), F.when(F.col("revisit"), "").otherwise(F.col("payload")))
+    known = known.withColumns({"request": request, "answer": answer, "told": F.to_json(F.struct("id", "url"))})
 
-    def record(kind: Column, part: str, headers: dict[str, Column], block: Column) -> Column:
+    def record(kind: str, block: str, headers: dict[str, Column]) -> Column:
         lines = [F.concat(F.lit(f"{k}: "), v) for k, v in {
-            "WARC-Type": kind, "WARC-Record-ID": name(part), "WARC-Date": F.lit(date), "WARC-Target-URI": uri,
-            **headers, "Content-Length": F.octet_length(block).cast("string")}.items()]
-        return F.concat(F.lit(f"{MARK}1{BREAK}"), F.concat_ws(BREAK, *lines), F.lit(GAP), block)  # nulls give no line
-
+            **headers, "WARC-Date": F.lit(date), "WARC-Target-URI": F.col("uri"),
+            "Content-Length": F.octet_length(block).cast("string")}.items()]
+        return F.concat(F.lit(f"{MARK}1{BREAK}WARC-Type: {kind}{BREAK}"), F.concat_ws(BREAK, *lines), F.lit(GAP),
+                        F.col(block))  # a null value gives no line
+
+    beside = {"WARC-Concurrent-To": F.col("response_id")}
+    http = "application/http;msgtype="
+    main = {"WARC-Record-ID": F.col("response_id"), "WARC-Payload-Digest": F.concat(F.lit("sha256:"), "digest"),
+            "Content-Type": F.lit(f"{http}response")}
+    again = {"WARC-Refers-To": F.col("refers_to"),
+             "WARC-Profile": F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")}
     records = F.array(
-        record(F.lit("request"), "request", {
-            "WARC-Concurrent-To": name("response"), "Content-Type": F.lit("application/http;msgtype=request")}, request),
-        record(F.when(revisit, "revisit").otherwise("response"), "response", {
-            "WARC-Payload-Digest": F.concat(F.lit("sha256:"), "digest"),
-            "WARC-Refers-To": F.when(revisit, name("response", "first")),
-            "WARC-Profile": F.when(revisit, "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-            "Content-Type": F.lit("application/http;msgtype=response")}, answer),
-        record(F.lit("metadata"), "metadata", {
-            "WARC-Concurrent-To": name("response"), "Content-Type": F.lit("application/json")}, fields))
-    (known.select(F.explode(records).alias("value")).write.option("lineSep", GAP).option("compression", compression)
-          .text(path))
-
-
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record: record_id, type, date, uri, concurrent_to, refers_to, digest, content_type, block, complete."""
-    parts = fragments(spark, path)
-    cut = parts.groupBy("file").agg(F.bool_or(~exact(F.col("value"))).alias("cut")).where("cut")
-    files = [r["file"] for r in cut.collect()]  # at most the file names that the driver has listed to plan the scan
-    if not files:
-        return records_of(parts)
-    whole = parts.where(~F.col("file").isin(files))
-    mended = put_together(write_and_read(parts.where(F.col("file").isin(files)).withColumn(
-        "part", F.monotonically_increasing_id()), "warc-fragments"))
-    return records_of(whole).unionByName(records_of(mended))
+        record("request", "request", {"WARC-Record-ID": F.col("request_id"), "Content-Type": F.lit(f"{http}request"), **beside}),
+        F.when(F.col("revisit"), record("revisit", "answer", main | again)).otherwise(record("response", "answer", main)),
+        record("metadata", "told", {"WARC-Record-ID": F.col("metadata_id"), "Content-Type": F.lit("application/json"), **beside}))
+    writer = known.select(F.explode(records).alias("value")).write.option("lineSep", GAP)
+    writer.option("compression", compression).option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
-def fragments(spark: SparkSession, path: str) -> DataFrame:
-    """What lies between two markers, with its file and the start of its split."""
-    text = spark.read.option("lineSep", MARK).text(path)
-    return text.select("value", F.col("_metadata.file_path").alias("file"),
-                       F.col("_metadata.file_block_start").alias("split"))
+def record_name(run: str, row: str, kind: str) -> Column:
+    """A record id that depends on the run, the written row's number and the kind alone."""
+    h = F.md5(F.concat_ws("-", F.lit(run), F.col(row).cast("string"), F.lit(kind)).cast("binary"))
+    at = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
+    named = F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *[F.substring(h, s, n) for s, n in at]), F.lit(">"))
+    return F.when(F.col(row).isNotNull(), named)
 
 
-def head(value: Column) -> Column:
-    """The header lines of a fragment; null where it does not begin with a version and fields."""
-    return F.when(value.rlike(r"^[0-9]+\r\n[A-Za-z]") & F.contains(value, F.lit(GAP)), F.substring_index(value, GAP, 1))
+def read_archive(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+    """One row per record: record_id, type, date, uri, concurrent_to, refers_to, digest, content_type, complete,
+    http_head, payload_bytes, payload_digest and block.
 
-
-def needed(value: Column) -> Column:
-    """Bytes of header and block by the Content-Length; null where there is none."""
-    return F.octet_length(head(value)) + len(GAP) + field(fields_of(value), "content-length").try_cast("long")
+    Without ``payload`` the block of responses is left out (null), their bytes
+    and digest are taken all the same, and the rows are written once.
+    """
+    parts = fragments(spark, path)
+    read = records_of(parts, payload)
+    if payload:
+        cut = parts.where(~exact()).select("file").distinct()
+    else:
+        read = write_and_read(read, "warc-records")
+        cut = read.where("not exact").select("file").distinct()
+    files = [r["file"] for r in cut.collect()]  # at most the file names that the driver has listed to plan the scan
+    if files:
+        broken = write_and_read(parts.where(F.col("file").isin(files)).withColumn(
+            "part", F.monotonically_increasing_id()), "warc-fragments")
+        read = read.where(~F.col("file").isin(files)).unionByName(records_of(put_together(broken), payload))
+    return read.where("head").drop("head", "file", "exact")
 
 
-def exact(value: Column) -> Column:
-    """Whether a fragment is one whole record: nothing but line breaks after its block. An empty one is no record."""
-    after = F.substring(value.cast("binary"), (needed(value) + 1).cast("int"), F.octet_length(value)).cast("string")
-    whole = (F.octet_length(value) >= needed(value)) & after.rlike(r"^[\r\n]*$")
-    return (value == "") | F.coalesce(whole, F.lit(False))
+def fragments(spark: SparkSession, path: str) -> DataFrame:
+    """What lies between two markers, its header lines (null where it begins with none), its file and split."""
+    text = spark.read.option("lineSep", MARK).text(path)
+    begins = F.substring("value", 1, 24).rlike(r"^[0-9]+\r\n[A-Za-z]") & F.contains(F.col("value"), F.lit(GAP))
+    folded = F.regexp_replace(F.substring_index("value", GAP, 1), r"\r\n[ \t]+", " ")
+    return text.select("value", F.when(begins, folded).alias("lines"),
+                       F.when(begins, F.octet_length(F.substring_index("value", GAP, 1)) + len(GAP)).alias("start"),
+                       F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"))
 
 
-def fields_of(value: Column) -> Column:
-    """Header fields as an array of (name, text); folded lines are joined."""
-    lines = F.split(F.regexp_replace(head(value), r"\r\n[ \t]+", " "), BREAK)
-    named = F.filter(lines, lambda h: F.contains(h, F.lit(":")))
-    return F.transform(named, lambda h: F.struct(
-        F.lower(F.trim(F.substring_index(h, ":", 1))).alias("name"),
-        F.trim(F.regexp_replace(h, "^[^:]*:", "")).alias("text")))
+def field(name: str) -> Column:
+    """Text of the first header field of a name; null where there is none."""
+    found = F.trim(F.regexp_extract("lines", rf"(?i)\r\n{name}:([^\r\n]*)", 1))
+    return F.when(found != "", found)
 
 
-def field(fields: Column, name: str) -> Column:
-    return F.get(texts(fields, name), F.lit(0))
+def length() -> Column:
+    return field("content-length").try_cast("long")
 
 
-def texts(fields: Column, name: str) -> Column:
-    return F.transform(F.filter(fields, lambda f: f["name"] == name), lambda f: f["text"])
+def exact() -> Column:
+    """Whether a fragment is one whole record: nothing but line breaks after its block. An empty one is no record."""
+    end = F.col("start") + length()
+    after = F.substring(F.col("value").cast("binary"), (end + 1).cast("int"), F.octet_length("value")).cast("string")
+    whole = (F.octet_length("value") >= end) & (F.octet_length("value") - end <= 64) & after.rlike(r"^[\r\n]*$")
+    return (F.col("value") == "") | F.coalesce(whole, F.lit(False))
 
 
 def identifier(text: Column) -> Column:
     return F.regexp_replace(text, "^<|>$", "")
 
 
-def records_of(parts: DataFrame) -> DataFrame:
-    value = F.col("value")
-    parts = parts.select("value", fields_of(value).alias("fields")).where("fields is not null")
-    of = lambda name: field(F.col("fields"), name)
-    start, length = F.octet_length(head(value)) + len(GAP), of("content-length").try_cast("long")
-    block = F.substring(value.cast("binary"), start + 1, F.coalesce(length, F.lit(0)).cast("int"))
-    return parts.select(
-        identifier(of("warc-record-id")).alias("record_id"), F.lower(of("warc-type")).alias("type"),
-        of("warc-date").alias("date"), of("warc-target-uri").alias("uri"),
-        F.transform(texts(F.col("fields"), "warc-concurrent-to"), identifier).alias("concurrent_to"),
-        identifier(of("warc-refers-to")).alias("refers_to"), of("warc-payload-digest").alias("digest"),
-        of("content-type").alias("content_type"), block.alias("block"),
-        F.coalesce(F.octet_length(value) >= start + length, F.lit(False)).alias("complete"))
+def records_of(parts: DataFrame, payload: bool) -> DataFrame:
+    raw = F.col("value").cast("binary")
+    links = F.regexp_extract_all("lines", F.lit(r"(?i)\r\nwarc-concurrent-to:([^\r\n]*)"), F.lit(1))
+    read = parts.select(
+        "file", exact().alias("exact"), F.col("lines").isNotNull().alias("head"),
+        identifier(field("warc-record-id")).alias("record_id"), F.lower(field("warc-type")).alias("type"),
+        field("warc-date").alias("date"), field("warc-target-uri").alias("uri"),
+        F.transform(links, lambda x: identifier(F.trim(x))).alias("concurrent_to"),
+        identifier(field("warc-refers-to")).alias("refers_to"), field("warc-payload-digest").alias("digest"),
+        field("content-type").alias("content_type"), length().alias("length"), F.octet_length("value").alias("size"),
+        F.substring(raw, F.col("start") + 1, F.coalesce(length(), F.lit(0)).cast("int")).alias("block"), "start")
+    http = F.coalesce(F.col("content_type").startswith("application/http"), F.lit(False))
+    read = read.withColumn("http_head", F.when(http, F.substring_index(F.col("block").cast("string"), GAP, 1)))
+    body = F.when(http, F.substring("block", F.octet_length("http_head") + len(GAP) + 1, F.octet_length("block"))
+                  ).otherwise(F.col("block"))
+    stated = F.regexp_extract("http_head", r"(?i)\r\ncontent-length: *([0-9]+)", 1).try_cast("long")
+    told = F.when(F.col("digest").startswith("sha256:"), F.substring_index("digest", ":", -1))
+    revisit, capture = F.col("type") == "revisit", F.col("type").isin(*CAPTURES)
+    return read.select(
+        "file", "exact", "head", "record_id", "type", "date", "uri", "concurrent_to", "refers_to", "digest", "content_type",
+        F.coalesce(F.col("size") >= F.col("start") + F.col("length"), F.lit(False)).alias("complete"), "http_head",
+        F.when(revisit, stated).when(capture, F.octet_length(body).cast("long")).alias("payload_bytes"),
+        F.when(revisit, told).when(capture, F.sha2(body, 256)).alias("payload_digest"),
+        (F.col("block") if payload else F.when(~capture, F.col("block"))).alias("block"))
 
 
 def put_together(parts: DataFrame) -> DataFrame:
     """Fragments of files that hold the marker inside records: the walk over lengths, then the pieces of each record."""
     share_code(parts.sparkSession)
-    value = F.col("value")
-    sizes = parts.select("file", "split", "part", F.octet_length(value).cast("long").alias("size"),
-                         needed(value).alias("needed"))
+    sizes = parts.select("file", "split", "part", F.octet_length("value").cast("long").alias("size"),
+                         (F.col("start") + length()).alias("needed"))
     owned = sizes.groupBy("file").applyInPandas(walk, "part long, owner long")
     pieces = parts.select(F.col("part").alias("piece"), "split", "value").join(owned, F.col("piece") == F.col("part"))
     ordered = F.array_sort(F.collect_list(F.struct("split", "piece", "value")))
-    return pieces.groupBy("owner").agg(F.array_join(F.transform(ordered, lambda p: p["value"]), MARK).alias("value"))
+    whole = pieces.groupBy("owner").agg(F.array_join(F.transform(ordered, lambda p: p["value"]), MARK).alias("value"))
+    heads = parts.select("part", "lines", "start", "file", "split")  # those of a record's first fragment
+    return whole.join(heads, F.col("owner") == F.col("part")).select("value", "lines", "start", "file", "split")
 
 
 def walk(sizes: pd.DataFrame) -> pd.DataFrame:
@@ -228,21 +242,11 @@ def assemble(records: DataFrame) -> DataFrame:
         about[f"n_{kind}"] = F.sum(one.cast("long")).alias("n_requests" if kind == "request" else "n_metadata")
     beside = beside.groupBy("to").agg(*about.values(), F.min("uri").alias("other_uri"), F.min("date").alias("other_date"))
 
-    http = F.coalesce(F.col("content_type").startswith("application/http"), F.lit(False))
-    answer = F.when(http, F.substring_index(F.col("block").cast("string"), GAP, 1))
-    body = F.when(http, F.substring(F.col("block"), F.octet_length(answer) + len(GAP) + 1, F.octet_length("block"))
-                  ).otherwise(F.col("block"))
-    main = named.where(F.col("type").isin(*CAPTURES)).select(
-        "record_id", "type", "uri", "date", "refers_to", "digest", "complete", answer.alias("http_head"),
-        body.alias("payload"))
-    revisit = F.col("type") == "revisit"
-    stated = F.regexp_extract("http_head", r"(?i)\r\ncontent-length: *([0-9]+)", 1).try_cast("long")
-    digest = F.when(F.col("digest").startswith("sha256:"), F.substring_index("digest", ":", -1))
-    response = F.struct(
-        "record_id", "type", "refers_to", "http_head", "payload", "complete",
-        F.when(revisit, stated).otherwise(F.octet_length("payload")).alias("payload_bytes"),
-        F.when(revisit, digest).otherwise(F.sha2("payload", 256)).alias("payload_digest"))
-    main = main.select("record_id", "uri", "date", response.alias("response"))
+    body = F.when(F.col("http_head").isNotNull(), F.substring(
+        "block", F.octet_length("http_head") + len(GAP) + 1, F.octet_length("block"))).otherwise(F.col("block"))
+    response = F.struct("record_id", "type", "refers_to", "http_head", "complete", "payload_bytes", "payload_digest",
+                        body.alias("payload"))
+    main = named.where(F.col("type").isin(*CAPTURES)).select("record_id", "uri", "date", response.alias("response"))
     joined = main.join(beside, F.col("record_id") == F.col("to"), "full_outer")
     return joined.select(
         F.coalesce("record_id", "to").alias("capture_id"), F.coalesce("uri", "other_uri").alias("uri"),
@@ -254,15 +258,14 @@ def round_trip(df: DataFrame, path: str, id_col: str = "page_id", url_col: str =
                least_bytes: int = 100) -> DataFrame:
     """Write ``df`` below ``path`` and read it back: id, url, payload_bytes, payload_digest, record_type, refers_to (an id)."""
     write_archive(df, path, id_col, url_col, payload_col, least_bytes)
-    captures = assemble(read_archive(df.sparkSession, path))
+    captures = assemble(read_archive(df.sparkSession, path, payload=False))
     kept = df.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url")).schema
     told = F.from_json(F.col("metadata.block").cast("string"), kept)
-    found = captures.select(told.alias("told"), F.col("response").dropFields("payload", "http_head").alias("response"))
-    found = write_and_read(found.select(
-        F.col("told.id").alias("id"), F.col("told.url").alias("url"), F.col("response.record_id").alias("record_id"),
-        F.col("response.payload_bytes").cast("long").alias("payload_bytes"),
-        F.col("response.payload_digest").alias("payload_digest"), F.col("response.type").alias("record_type"),
-        F.col("response.refers_to").alias("of_record")), "warc-captures")
+    found = write_and_read(captures.select(
+        told.alias("told"), F.col("response.record_id").alias("record_id"),
+        F.col("response.payload_bytes").alias("payload_bytes"), F.col("response.payload_digest").alias("payload_digest"),
+        F.col("response.type").alias("record_type"), F.col("response.refers_to").alias("of_record")).select(
+        "told.*", "record_id", "payload_bytes", "payload_digest", "record_type", "of_record"), "warc-captures")
     firsts = found.where("record_type = 'response'").select(F.col("record_id").alias("key__"), F.col("id").alias("refers_to"))
     out = lookup(found, firsts, "of_record")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "payload_bytes", "payload_digest",
