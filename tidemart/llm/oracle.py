@@ -66,6 +66,30 @@ FROM docs LEFT JOIN by_row USING (row_no)
 LEFT JOIN known ON {_flat('docs.form')} = known.form AND known.form <> ''
 """
 
+# Phrases counted one by one: pieces, words of a piece, every run of up to four of them.
+_COLLOCATIONS = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, list_filter(string_split(replace(piece, chr(9), ' '), ' '), x -> x <> '') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split),
+runs AS (SELECT lang, unnest(list_transform(range(0, least(4, len(w) - i + 1)), k -> w[i:i + k])) AS p FROM starts),
+f AS (SELECT lang, p, count(*) AS a FROM runs GROUP BY ALL),
+totals AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE len(p) = 1 GROUP BY lang),
+found AS (SELECT lang, p, a FROM f WHERE len(p) > 1 AND a >= 30),
+spans AS (SELECT lang, p, a, unnest(range(2, len(p))) AS size FROM found WHERE len(p) > 2),
+longer AS (SELECT lang, p[i:i + size - 1] AS p, max(a) AS more
+           FROM (SELECT *, unnest(range(1, len(p) - size + 2)) AS i FROM spans) GROUP BY ALL),
+kept AS (SELECT lang, p, a FROM found LEFT JOIN longer USING (lang, p) WHERE more IS NULL OR 100 * more::HUGEINT < 80 * a::HUGEINT),
+cuts AS (SELECT lang, p, a, unnest(range(1, len(p))) AS k FROM kept),
+scored AS (SELECT c.lang, c.p, c.a, k, l.a AS l, r.a AS r, (2000000 * c.a::HUGEINT // (l.a + r.a))::BIGINT AS score
+           FROM cuts c JOIN f l ON l.lang = c.lang AND l.p = c.p[1:k] JOIN f r ON r.lang = c.lang AND r.p = c.p[k + 1:]),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+ranked AS (SELECT *, array_to_string(p, ' ') AS phrase,
+           row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op7_licenses": _LICENSES,
+    "op11_collocations": _COLLOCATIONS,
 }

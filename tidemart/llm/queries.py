@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.llm.collocations import mine_collocations
 from tidemart.llm.embedding_dedup import embedding_components
 from tidemart.llm.html_extract import extract_main_text
 from tidemart.llm.licenses import scan_licenses
@@ -77,6 +78,10 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "n_links", F.col("component").alias("component_id"), "kept")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``deviation`` is null where it passes 64 bits; ``deviation_exact`` holds it up to 38 digits."""
     found = whiten(_table(spark, sf_dir, "embeddings"))
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_collocations": op11_collocations,
     "op12_whitening": op12_whitening,
     "op13_warc": op13_warc,
 }
