@@ -7,6 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.operators import bitmaps
+from tidemart.session import materialize
+
 DQ_VALID = "_dq_valid"
 DQ_BUCKET = "_dq_bucket"
 
@@ -79,21 +82,65 @@ def expectation_summary(df: DataFrame, rules: Mapping[str, str | Column]) -> Dat
 
 def ri_orphans(child: DataFrame, parent: DataFrame, child_key: str,
                parent_key: str | None = None) -> DataFrame:
-    """Child rows whose foreign key has no parent row (NULL keys excluded).
+    """Child rows whose foreign key has no parent row (NULL keys excluded)."""
+    return ri_orphans_all([("check", child, child_key, parent, parent_key or child_key)])["check"]
+
 
-    A left-anti join: the parent side is reduced to distinct keys first, so
-    it shuffles at most one row per key.
+def ri_orphans_all(checks: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> dict[str, DataFrame]:
+    """Orphans of several checks (name, child, child key, parent, parent key).
+
+    Integer keys: bitmaps of child and parent keys meet first, and only rows in
+    buckets with a foreign bit go on to the anti join (``operators.bitmaps``).
+    Other keys, and keys too scattered for bitmaps: a left-anti join against the
+    parent's distinct keys.
     """
-    parent_key = parent_key or child_key
-    keys = parent.select(F.col(parent_key).alias("_pk")).distinct()
-    return (child.filter(F.col(child_key).isNotNull())
-                 .join(keys, F.col(child_key) == F.col("_pk"), "left_anti"))
+    children = [(name, child, ck) for name, child, ck, _, _ in checks]
+    parents = [(name, parent, pk) for name, _, _, parent, pk in checks]
+    mapped = bitmaps.dense(children) & bitmaps.dense(parents)
+    out, counts, buckets = {}, {}, None
+    if mapped:
+        buckets = materialize(bitmaps.foreign_buckets([s for s in children if s[0] in mapped],
+                                                      [s for s in parents if s[0] in mapped]), "foreign-buckets")
+        counts = bitmaps.counted(buckets)
+    for (name, child, ck), (_, parent, pk) in zip(children, parents):
+        if name in mapped:
+            child, parent = (bitmaps.rows_of(side, buckets, counts) for side in ((name, child, ck), (name, parent, pk)))
+            if child is None:
+                out[name] = dict((n, df) for n, df, _ in children)[name].filter(F.lit(False))
+                continue
+        keys = parent.select(F.col(pk).alias("_pk")).distinct()
+        out[name] = child.filter(F.col(ck).isNotNull()).join(keys, F.col(ck) == F.col("_pk"), "left_anti")
+    return out
 
 
 def key_uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once, with their count (partial agg first)."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
-              .filter(F.col("n_rows") > 1))
+    """Keys that occur more than once, with their count; a NULL key is a key like others."""
+    return key_uniqueness_all([("check", df, keys)])["check"]
+
+
+def key_uniqueness_all(checks: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> dict[str, DataFrame]:
+    """Repeated keys of several tables (name, table, key columns).
+
+    Single integer keys: only rows in buckets whose bitmap has fewer bits than
+    rows are grouped (``operators.bitmaps``). Other keys: one partially
+    aggregated group-by.
+    """
+    single = [(name, df, keys[0]) for name, df, keys in checks if len(keys) == 1]
+    mapped = bitmaps.dense(single)
+    counts, buckets = {}, None
+    if mapped:
+        buckets = materialize(bitmaps.repeated_buckets([s for s in single if s[0] in mapped]), "repeated-buckets")
+        counts = bitmaps.counted(buckets)
+    out = {}
+    for name, df, keys in checks:
+        rows = df
+        if name in mapped:
+            missing = df.filter(F.col(keys[0]).isNull())
+            found = bitmaps.rows_of((name, df, keys[0]), buckets, counts)
+            rows = missing if found is None else found.unionByName(missing)
+        out[name] = (rows.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+                         .filter(F.col("n_rows") > 1))
+    return out
 
 
 def content_duplicates(df: DataFrame, id_col: str, attrs: Sequence[str]) -> DataFrame:

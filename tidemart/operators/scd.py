@@ -9,7 +9,7 @@ Merge plan (``compute_scd2_snapshot``):
 * every joined row is classified (keep / expire+new / new / delete) and
   ``inline``-exploded into the 0..2 rows it produces -- one join, one shuffle
   per side, instead of five filtered copies of the join;
-* new versions get dense surrogate keys from ``dense_keys`` (range buckets,
+* new versions get dense surrogate keys from ``dense_keys`` (fixed ranges,
   no single-partition window), offset by the dimension's current maximum.
 """
 
@@ -18,6 +18,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, LongType, StringType, StructField, StructType
@@ -35,6 +37,7 @@ from tidemart.functions import row_hash
 from tidemart.operators.clean import dedup_latest
 from tidemart.operators.keys import dense_keys, with_neighbors
 from tidemart.session import materialize as _materialize
+from tidemart.sources.lake import from_footers
 
 _SRC = "s__"
 
@@ -86,7 +89,7 @@ def initialize_dimension(source_df: DataFrame, tracked_cols: Sequence[str] | Non
     src = source_df
     if spec.deleted_col and spec.deleted_col in src.columns:
         src = src.filter(~F.coalesce(F.col(spec.deleted_col), F.lit(False))).drop(spec.deleted_col)
-    hashed = add_row_hash(src, spec.tracked, spec.strict_hash)
+    hashed = _materialize(add_row_hash(src, spec.tracked, spec.strict_hash), "scd2-first")
     keyed = dense_keys(hashed, [spec.business_key], spec.sk_col, 0, num_buckets)
     out = keyed.withColumns({
         START: F.lit(as_of_date).cast("date"),
@@ -96,10 +99,26 @@ def initialize_dimension(source_df: DataFrame, tracked_cols: Sequence[str] | Non
     return out.select(*_version_cols(src.columns, spec))
 
 
-def dim_stats(existing_dim: DataFrame, spec: ScdSpec) -> tuple[int | None, date | None]:
-    """(max surrogate key, latest start date) in one small aggregation job."""
-    row = existing_dim.agg(F.max(spec.sk_col).alias("m"), F.max(START).alias("s")).first()
-    return (row["m"], row["s"]) if row else (None, None)
+def dim_maxima(dim: DataFrame, spec: ScdSpec) -> DataFrame:
+    """One row (max_sk, max_start)."""
+    return dim.agg(F.max(spec.sk_col).alias("max_sk"), F.max(START).alias("max_start"))
+
+
+def dim_stats(existing_dim: DataFrame, spec: ScdSpec, path: str | None = None) -> tuple[int | None, date | None]:
+    """(max surrogate key, latest start date) in one small aggregation job.
+
+    ``path``: where the dimension's files lie, when it is a published snapshot;
+    then the footers' statistics answer (``lake.from_footers``). Files without
+    such statistics are scanned.
+    """
+    if path is not None:
+        try:
+            row = dim_maxima(from_footers(existing_dim.sparkSession, path), spec).first()
+            return row["max_sk"], row["max_start"]
+        except (PySparkException, Py4JError):  # no statistics in a file: Spark refuses to answer
+            pass
+    row = dim_maxima(existing_dim, spec).first()
+    return row["max_sk"], row["max_start"]
 
 
 def _classified(existing_dim: DataFrame, source_df: DataFrame, as_of_date: date,
@@ -289,8 +308,8 @@ def scd2_backfill(snapshots: DataFrame, snapshot_col: str, spec: ScdSpec | None
     ``passthrough_mode="refresh"`` a version carries the untracked values of the
     last snapshot it was seen in.
 
-    ``method="ordinal"`` (default) finds previous/next rows by joins on
-    global ordinals (``with_neighbors``), so a key holding a large share of
+    ``method="ordinal"`` (default) finds previous/next rows in ranges of the
+    (key, date) order (``with_neighbors``), so a key holding a large share of
     all rows is spread over every task; ``method="window"`` uses
     ``lag``/``lead`` windows per key (one shuffle fewer, one task per key).
     """
@@ -301,7 +320,7 @@ def scd2_backfill(snapshots: DataFrame, snapshot_col: str, spec: ScdSpec | None
 
     def neighbors(df: DataFrame, prev: Sequence[str], following: Sequence[str]) -> DataFrame:
         if method == "ordinal":
-            return with_neighbors(df, key, [snapshot_col], prev_cols=prev, next_cols=following,
+            return with_neighbors(_materialize(df, "scd2-points"), key, [snapshot_col], prev_cols=prev, next_cols=following,
                                   num_buckets=num_buckets)
         w = Window.partitionBy(key).orderBy(snapshot_col)
         return df.withColumns({f"_prev_{c}": F.lag(c).over(w) for c in prev}
@@ -334,7 +353,7 @@ def scd2_backfill(snapshots: DataFrame, snapshot_col: str, spec: ScdSpec | None
         F.coalesce(F.date_sub(nxt, 1), F.lit(FAR_FUTURE_DATE).cast("date")).alias(END),
         nxt.isNull().alias(CURRENT),
     )
-    keyed = dense_keys(versions, [START, key], spec.sk_col, 0, num_buckets)
+    keyed = dense_keys(_materialize(versions, "scd2-versions"), [START, key], spec.sk_col, 0, num_buckets)
     return keyed.select(*_version_cols(data_cols, spec))
 
 

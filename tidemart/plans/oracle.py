@@ -392,6 +392,7 @@ FINAL.update({
         "SELECT *, upper(trim(loyalty_tier)) AS segment, DATE '2026-01-02' AS load_date FROM customers_raw"),
     "silver_passthrough": "SELECT * FROM product_type1",
     "snapshot_overwrite": "SELECT * FROM dim2",
+    "dim_maxima": "SELECT max(customer_sk) AS max_sk, max(effective_start_date) AS max_start FROM dim2",
     "daily_batch_revenue": (
         "SELECT *, DATE '2026-01-01' AS run_date FROM ("
         + _REVENUE.format(src="""(

@@ -244,8 +244,9 @@ def q_ri_orphans(spark, sf):
         ("inventory.product_id->products", td.inventory_raw(spark, sf), "product_id", products, "product_id"),
     ]
     out = None
-    for name, child, ck, parent, pk in checks:
-        o = (quality.ri_orphans(child, parent, ck, pk)
+    orphans = quality.ri_orphans_all(checks)
+    for name, _, ck, _, _ in checks:
+        o = (orphans[name]
              .groupBy(F.col(ck).cast("bigint").alias("key_value"))
              .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
              .select(F.lit(name).alias("check_name"), "key_value", "n_rows"))
@@ -266,8 +267,9 @@ def q_key_uniqueness(spark, sf):
         ("inventory", td.inventory_raw(spark, sf), "inventory_id"),
     ]
     out = None
-    for name, df, k in checks:
-        o = quality.key_uniqueness(df, [k]).select(
+    repeated = quality.key_uniqueness_all([(name, df, [k]) for name, df, k in checks])
+    for name, _, k in checks:
+        o = repeated[name].select(
             F.lit(name).alias("table_name"), F.col(k).cast("string").alias("key_value"), "n_rows")
         out = o if out is None else out.unionByName(o)
     return out
@@ -413,6 +415,14 @@ def q_snapshot_overwrite(spark, sf):
     return spark.table(name)
 
 
+def q_dim_maxima(spark, sf):
+    """Largest key and latest start of the published dimension, from its files' footers."""
+    root = _root(spark, "dim-maxima")
+    name = scratch_name(spark, "databases", "gold") + ".dim_customer"
+    path = lake.publish_snapshot(dim_after(spark, sf, 2), root, "dim_customer", name)
+    return scd.dim_maxima(lake.from_footers(spark, path), CUSTOMER_SCD)
+
+
 def adapter_sources(spark, sf) -> dict[str, DataFrame]:
     return {
         "customers": td.customers_raw(spark, sf),
@@ -478,6 +488,7 @@ QUERIES.update({
     "bronze_append_merge_schema": q_bronze_append_merge_schema,
     "silver_passthrough": q_silver_passthrough,
     "snapshot_overwrite": q_snapshot_overwrite,
+    "dim_maxima": q_dim_maxima,
     "daily_batch_revenue": q_daily_batch_revenue,
     "daily_two_days_revenue": q_daily_two_days_revenue,
     "publish_evolves": q_publish_evolves,

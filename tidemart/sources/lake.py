@@ -160,6 +160,19 @@ def table_location(spark: SparkSession, catalog_name: str) -> str | None:
     return rows[0][0]
 
 
+def from_footers(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet files whose min, max and count need no column scan.
+
+    A side session (shared context, settings of its own) reads them through the
+    v2 reader with aggregate pushdown: such aggregates over whole files are
+    answered from the footers' statistics.
+    """
+    side = spark.newSession()
+    side.conf.set("spark.sql.sources.useV1SourceList", "")
+    side.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return side.read.parquet(path)
+
+
 def ensure_database(spark: SparkSession, root: str, catalog_name: str) -> None:
     """Create the table's database below ``root`` (the shared folder), not in
     the session's default warehouse, which may be local to one machine."""

@@ -9,7 +9,8 @@ processing-time trigger, as an always-on stream.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,12 +52,46 @@ def stream_bronze(spark: SparkSession, landing_glob: str, schema: StructType, br
     return _run(w, bronze_path, once)
 
 
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streaming queries started inside keep their state in RocksDB: on the executors' disks, not in their heap.
+
+    Every batch uploads a changelog of the state it touched to the checkpoint
+    (not a whole snapshot), so a lost executor's state is loaded again from the
+    shared folder. A query takes these settings when it starts; a checkpoint
+    keeps the ones it began with.
+    """
+    old = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def state_size(query: StreamingQuery) -> dict[str, int]:
+    """Keys held and removed, and memory used, by the query's state after its last batch."""
+    operators = (query.lastProgress or {}).get("stateOperators", [])
+    return {name: sum(o[field] for o in operators) for name, field in (
+        ("keys", "numRowsTotal"), ("removed", "numRowsRemoved"), ("memory_bytes", "memoryUsedBytes"))}
+
+
 def dedup_events(df: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """Drop re-delivered events (same keys) arriving within ``delay``.
 
     The event-time column is used as a session-zone timestamp for the
     watermark (the input may be timestamp_ntz) and restored afterwards.
-    State is kept only for the watermark delay, so it stays bounded.
+    The state holds one small row per key whose event time is not older than
+    ``delay`` before the newest one: its bound is the keys of one delay.
     """
     ntz = dict(df.dtypes).get(event_time) == "timestamp_ntz"
     if ntz:
@@ -70,9 +105,11 @@ def dedup_events(df: DataFrame, keys: Sequence[str], event_time: str, delay: str
 def stream_dedup(spark: SparkSession, landing_glob: str, schema: StructType, out_path: str,
                  checkpoint: str, keys: Sequence[str], event_time: str, delay: str = "30 days",
                  once: bool = True) -> StreamingQuery:
+    """Events without re-deliveries, appended to ``out_path``; the state of seen keys lies in RocksDB."""
     out = dedup_events(read_landing(spark, landing_glob, schema), keys, event_time, delay)
     w = out.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
-    return _run(w, out_path, once)
+    with state_on_disk(spark):
+        return _run(w, out_path, once)
 
 
 BATCH_LOG_SCHEMA = StructType([
@@ -122,7 +159,7 @@ def scd2_batch_writer(root: str, table: str, catalog_name: str, snapshot_col: st
         if "intent" not in entries:
             log(spark, batch_id, "intent", base, None)
         dim = spark.read.parquet(base) if base else None
-        stats = dim_stats(dim, spec) if dim is not None else None
+        stats = dim_stats(dim, spec, base) if dim is not None else None
         newest = stats[1] if stats else None
         late = [d for d in dates if newest is not None and d < newest]
         if late:
