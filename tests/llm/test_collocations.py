@@ -83,12 +83,12 @@ def test_long_texts_are_cut_without_loss(spark, monkeypatch):
     rows = [(text(rng, ["a", "b", "c", "dd"], 2000), "en"), (text(rng, ["a", "e", "f"], 3000), None)]
     tables = [b for t, lang in rows for b in [pa.RecordBatch.from_arrays(
         [pa.array([lang or "und"]), pa.array([t])], names=["lang", "t__"])]]
-    monkeypatch.setattr(collocations, "SLICE_BYTES", 100)
+    monkeypatch.setattr(collocations, "SEGMENT_BYTES", 100)
     found, words = Counter(), Counter()
     for s in collocations.cut_segments(iter(tables)):
         lang, lead = s.column("lang")[0].as_py(), s.column("lead")[0].as_py()
         names = [None, *s.column("words")[0].as_py()]
-        w = [names[i] for i in np.frombuffer(s.column("tokens")[0].as_py(), dtype=np.int32)]
+        w = [names[i] for i in np.frombuffer(s.column("tokens")[0].as_py(), dtype=collocations.token_type(len(names) - 1))]
         words.update({(lang, x): c for x, c in zip(names[1:], s.column("counts")[0].as_py())})
         for k in (2, 3, 4):
             for i in range(len(w) - k + 1):
@@ -144,14 +144,31 @@ def test_filters_hold_and_merge_exact_counts(bits, phrases, blocks):
         assert got == {w: a for w, a in want.items() if a >= least}
 
 
+def test_pairs_that_agree_in_64_bits_stay_apart():
+    layout = Layout(31, 10 ** 6, 64)  # 124 bits
+    left = np.array([5, 5, 5, 5, 9, 5], dtype=np.uint64)
+    right = np.array([1 << 40, 1, 1 << 40, 1, 1, 3], dtype=np.uint64)
+    got = layout.tally(left, right, np.arange(1, 7))
+    assert sorted(zip(*(x.tolist() for x in got))) == [(5, 1, 6), (5, 3, 6), (5, 1 << 40, 4), (9, 1, 5)]
+    got = layout.tally(left, right, None)
+    assert sorted(zip(*(x.tolist() for x in got))) == [(5, 1, 2), (5, 3, 1), (5, 1 << 40, 2), (9, 1, 1)]
+
+
+def test_segments_of_many_words(spark):
+    texts = [" ".join(f"w{i}" for i in range(70000)) + " a b c a b c", "a b c"]
+    df = spark.createDataFrame([(i, t, "en", None, 0, 0) for i, t in enumerate(texts)], DOCS)
+    assert result(mine_collocations(df, least=3)) == expected([(t, "en") for t in texts], least=3)
+
+
 def test_full_filters_are_emitted_early(monkeypatch):
     monkeypatch.setattr(collocations, "FILTER_ENTRIES", 50)
     layout = Layout(8, 10 ** 4, 4)
     rng = np.random.default_rng(1)
-    tokens = [rng.integers(0, 9, 200).astype(np.int32) for _ in range(6)]
+    tokens = [rng.integers(0, 9, 200).astype(np.uint16) for _ in range(6)]
     coded = pa.RecordBatch.from_arrays(
         [pa.array([0, 3] * 3, pa.int32()), pa.array([t.tobytes() for t in tokens], pa.binary()),
-         pa.array([[0, 2, 4]] * 6), pa.array([[5, 9, 200]] * 6)], names=["lead", "tokens", "at", "id"])
+         pa.array([8] * 6, pa.int32()), pa.array([[0, 2, 4]] * 6), pa.array([[5, 9, 200]] * 6)],
+        names=["lead", "tokens", "words", "at", "id"])
     rows = [b.slice(i, 1) for b in build(iter([coded]), layout) for i in range(b.num_rows)]
     rows.sort(key=lambda b: b.column("block")[0].as_py())
     got = Counter()

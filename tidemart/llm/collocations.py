@@ -15,7 +15,7 @@ permuted back into word ids.
 A candidate's parts are looked up among the counted phrases (every part is at
 least as frequent as the candidate, so it has been counted).
 
-Scale: text is cut into segments of about 4 MB, long texts too (a segment then
+Scale: text is cut into segments of at most about 8 MB, long texts too (a segment then
 begins with the three tokens before it, and a phrase belongs to the segment of
 its last word). A segment's distinct words meet the dictionary in an equi join,
 so the dictionary is never broadcast; segments, their words and filters are
@@ -42,11 +42,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import SLICE_BYTES, arrow_map, lookup, slices, task_count, utf8, write_and_read
+from tidemart.llm.common import arrow_map, lookup, slices, task_count, utf8, write_and_read
 from tidemart.operators.keys import dense_keys
 
 LONGEST = 4
 FILTER_ENTRIES = 1 << 21
+SEGMENT_BYTES = 8 << 20
 ROUND_KEYS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89)
 #: upper case to lower case, tab to space, the ends of pieces to a full stop
 TABLE = bytes(0x2E if chr(b) in ".,;:!?\n\x0b\x0c\r" else 0x20 if b == 9 else b + 32 if 65 <= b <= 90 else b
@@ -68,7 +69,7 @@ def mine_collocations(df: DataFrame, text_col: str = "text", lang_col: str = "la
     listed = segments.select("lang", F.inline(F.arrays_zip("words", "counts")))
     words = write_and_read(listed.groupBy("lang", F.col("words").alias("word")).agg(F.sum("counts").alias("f")), "words")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    frequent = write_and_read(dense_keys(words.where(F.col("f") >= least), ["lang", "word"], "id"), "frequent-words")
+    frequent = write_and_read(dense_keys(words.where(F.col("f") >= least), ["word", "lang"], "id"), "frequent-words")
     counted = count_phrases(segments, frequent, least)
     kept = undominated(counted, covered)
     scored = score(kept, counted, frequent)
@@ -84,15 +85,15 @@ def mine_collocations(df: DataFrame, text_col: str = "text", lang_col: str = "la
 
 
 def cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments of one language each: tokens as numbers into the segment's words, 0 between pieces."""
-    for b in slices(batches, "t__"):
+    """Segments of one language each: tokens as numbers (of 2 or 4 bytes) into the segment's words, 0 between pieces."""
+    for b in slices(batches, "t__", SEGMENT_BYTES):
         by_lang: dict[str, list[bytes]] = {}
         for lang, text in zip(b.column("lang").to_pylist(), utf8(b.column("t__"))):
             by_lang.setdefault(lang, []).append(text.translate(TABLE))
         for lang, found in by_lang.items():
             text, at, lead = b".".join(found), 0, []
             while at < len(text):
-                stop = GAPS.search(text, at + SLICE_BYTES)
+                stop = GAPS.search(text, at + SEGMENT_BYTES)
                 end = stop.start() if stop else len(text)
                 tokens = text[at:end].replace(b".", b" . ").split()
                 yield segment(lang, lead, tokens)
@@ -104,6 +105,7 @@ def segment(lang: str, lead: list[bytes], tokens: list[bytes]) -> pa.RecordBatch
     numbers = np.array([index.setdefault(t, len(index)) for t in lead + tokens], dtype=np.int32)
     counts = np.bincount(numbers[len(lead):], minlength=len(index))[1:]
     words = pa.array(list(index)[1:], pa.binary()).cast(pa.string())
+    numbers = numbers.astype(token_type(len(words)))
     return pa.RecordBatch.from_arrays(
         [pa.array([lang]), pa.array([len(lead)], pa.int32()), pa.array([numbers.tobytes()], pa.binary()),
          pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
@@ -111,6 +113,11 @@ def segment(lang: str, lead: list[bytes], tokens: list[bytes]) -> pa.RecordBatch
         names=["lang", "lead", "tokens", "words", "counts"])
 
 
+def token_type(words: int) -> type:
+    """Numbers of a segment with so many words."""
+    return np.uint16 if words < 1 << 16 else np.int32
+
+
 def count_phrases(segments: DataFrame, frequent: DataFrame, least: int) -> DataFrame:
     """(w, a): word ids and exact count of each phrase of two to four words with a >= ``least``."""
     ids, total = frequent.agg(F.max("id"), F.sum("f")).first()
@@ -122,8 +129,8 @@ def count_phrases(segments: DataFrame, frequent: DataFrame, least: int) -> DataF
                      (F.col("lang") == F.col("of")) & (F.col("own") == F.col("word")))
     known = known.groupBy(F.col("segment").alias("s")).agg(
         F.collect_list(F.struct(F.col("at").cast("long").alias("at"), "id")).alias("pairs"))  # at most the words of one segment
-    coded = segments.select("segment", "lead", "tokens").join(known, F.col("segment") == F.col("s")).select(
-        "lead", "tokens", F.transform("pairs", lambda p: p["at"]).alias("at"),
+    coded = segments.select("segment", "lead", "tokens", F.size("words").alias("words")).join(
+        known, F.col("segment") == F.col("s")).select("lead", "tokens", "words", F.transform("pairs", lambda p: p["at"]).alias("at"),
         F.transform("pairs", lambda p: p["id"]).alias("id"))
     filters = arrow_map(coded, lambda bs: build(bs, layout),
                         "block long, entries long, runs binary, rest binary, counters binary, large binary")
@@ -142,7 +149,8 @@ class Layout:
         self.block = min(self.half, (blocks - 1).bit_length())
         self.quotient = min(self.half - self.block, max(0, (FILTER_ENTRIES >> self.block).bit_length() - 1))
         self.rest = self.half - self.block - self.quotient
-        self.rest_bytes, self.half_bytes = -(-self.rest // 8), -(-self.half // 8)
+        self.one = self.rest + self.half <= 64  # the remainder as one number, or as the left half's rest and the right half
+        self.widths = [-(-(self.rest + self.half) // 8)] if self.one else [-(-self.rest // 8), -(-self.half // 8)]
 
     def mix(self, x: np.ndarray, key: int) -> np.ndarray:
         h = (x + np.uint64(key)) * np.uint64(0x9E3779B97F4A7C15)
@@ -160,42 +168,91 @@ class Layout:
             left, right = right ^ self.mix(left, key), left
         return left, right
 
+    def order(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """An order by block and quotient in which equal pairs are neighbours."""
+        lost = max(0, 2 * self.half - 64)
+        whole = (left << np.uint64(min(self.half, 64 - self.half))) | (right >> np.uint64(lost))
+        order = np.argsort(whole)
+        if lost:  # different pairs may agree in the leading 64 bits
+            w, r = whole[order], right[order]
+            same = w[1:] == w[:-1]
+            mixed = same & (r[1:] != r[:-1])
+            if mixed.any():
+                run = np.cumsum(np.r_[False, ~same])
+                among = np.isin(run, run[1:][mixed])
+                part = order[among]
+                order[among] = part[np.lexsort((right[part], run[among]))]
+        return order
+
     def tally(self, left: np.ndarray, right: np.ndarray, count: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted distinct pairs and the sums of their counts (one each by default)."""
+        """Distinct pairs in order and the sums of their counts (one each by default)."""
         if not len(left):
             return left, right, np.zeros(0, dtype=np.int64)
-        if 2 * self.half <= 64:
-            whole = (left << np.uint64(self.half % 64)) | right
-            order = None if count is None else np.argsort(whole, kind="stable")
-            whole = np.sort(whole) if order is None else whole[order]
-            new = np.r_[True, whole[1:] != whole[:-1]]
-            first = np.flatnonzero(new)
-            left, right = whole[first] >> np.uint64(self.half % 64), whole[first] & np.uint64((1 << self.half) - 1)
-        else:
-            order = np.lexsort((right, left))
-            left, right = left[order], right[order]
-            first = np.flatnonzero(np.r_[True, (left[1:] != left[:-1]) | (right[1:] != right[:-1])])
-            left, right = left[first], right[first]
-        if count is None:
-            return left, right, np.diff(np.r_[first, len(order) if order is not None else len(whole)])
-        return left, right, np.add.reduceat(count[order], first)
+        if count is None and 2 * self.half < 64:
+            whole = np.sort((left << np.uint64(self.half)) | right)
+            first = np.flatnonzero(np.r_[True, whole[1:] != whole[:-1]])
+            kept = whole[first]
+            left, right = kept >> np.uint64(self.half), kept & np.uint64((1 << self.half) - 1)
+            return left, right, np.diff(np.r_[first, len(whole)])
+        order = self.order(left, right)
+        left, right = left[order], right[order]
+        first = np.flatnonzero(np.r_[True, (left[1:] != left[:-1]) | (right[1:] != right[:-1])])
+        sums = np.diff(np.r_[first, len(order)]) if count is None else np.add.reduceat(count[order], first)
+        return left[first], right[first], sums
+
+    def remainders(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        low = left & np.uint64((1 << self.rest) - 1)
+        if self.one:
+            return low_bytes((low << np.uint64(self.half % 64)) | right if self.rest else right, self.widths[0])
+        return np.concatenate([low_bytes(low, self.widths[0]), low_bytes(right, self.widths[1])], axis=1)
+
+    def halves(self, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The left half's rest and the right half of remainders."""
+        if self.one:
+            whole = number(rest)
+            if not self.rest:
+                return np.zeros(len(whole), np.uint64), whole
+            return whole >> np.uint64(self.half), whole & np.uint64((1 << self.half) - 1)
+        return number(rest[:, :self.widths[0]]), number(rest[:, self.widths[0]:])
+
+
+class Held:
+    """Entries that a task holds: runs of distinct entries, added up when they have grown."""
+
+    def __init__(self, layout: Layout):
+        self.layout, self.runs, self.size = layout, [], 0
+
+    def add(self, run: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+        self.runs.append(run)
+        self.size += len(run[0])
+
+    def settle(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All entries, each once; they stay held."""
+        if len(self.runs) != 1:
+            none = (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            self.runs = [self.layout.tally(*(np.concatenate(x) for x in zip(none, *self.runs)))]
+            self.size = len(self.runs[0][0])
+        return self.runs[0]
+
+    def clear(self) -> None:
+        self.runs, self.size = [], 0
 
 
 def build(batches: Iterator[pa.RecordBatch], layout: Layout) -> Iterator[pa.RecordBatch]:
     """Counts the phrases of segments; emits filters whenever ``FILTER_ENTRIES`` different ones are held."""
-    held = [np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)]
+    held = Held(layout)
     for b in batches:
         for i in range(b.num_rows):
             at, ids = (np.array(b.column(c)[i].values, dtype=np.int64) for c in ("at", "id"))
-            tokens = np.frombuffer(b.column("tokens")[i].as_buffer(), dtype=np.int32)
-            of_word = np.zeros(int(tokens.max()) + 1, dtype=np.uint64)
+            words = b.column("words")[i].as_py()
+            tokens = np.frombuffer(b.column("tokens")[i].as_buffer(), dtype=token_type(words))
+            of_word = np.zeros(words + 1, dtype=np.uint64)
             of_word[at + 1] = ids.astype(np.uint64)
-            made = layout.tally(*layout.permute(*phrases(of_word[tokens], b.column("lead")[i].as_py(), layout)), None)
-            held = list(layout.tally(*(np.concatenate(x) for x in zip(held, made))))
-            if len(held[0]) >= FILTER_ENTRIES:
-                yield from encode(*held, layout)
-                held = [x[:0] for x in held]
-    yield from encode(*held, layout)
+            held.add(layout.tally(*layout.permute(*phrases(of_word[tokens], b.column("lead")[i].as_py(), layout)), None))
+            if held.size >= FILTER_ENTRIES and len(held.settle()[0]) >= FILTER_ENTRIES:
+                yield from encode(*held.settle(), layout)
+                held.clear()
+    yield from encode(*held.settle(), layout)
 
 
 def phrases(ids: np.ndarray, lead: int, layout: Layout) -> tuple[np.ndarray, np.ndarray]:
@@ -232,12 +289,11 @@ def encode(left: np.ndarray, right: np.ndarray, count: np.ndarray, layout: Layou
     bits = np.zeros(int(run_start[-1]) * 8, dtype=np.uint8)
     bits[ones] = 1
     runs = np.packbits(bits)
-    rest = np.concatenate([low_bytes(left & np.uint64((1 << layout.rest) - 1), layout.rest_bytes),
-                           low_bytes(right, layout.half_bytes)], axis=1)
+    rest = layout.remainders(left, right)
     big = count >= 255
     large = np.where(big, count, 0)[big]
     large_start = np.r_[0, np.cumsum(np.add.reduceat(big.astype(np.int64), first))]
-    width = layout.rest_bytes + layout.half_bytes
+    width = sum(layout.widths)
     yield pa.RecordBatch.from_arrays(
         [pa.array(block[first]), pa.array(sizes), cut_bytes(runs, run_start),
          cut_bytes(rest.ravel(), np.r_[first, len(block)] * width),
@@ -272,12 +328,12 @@ def decode(b: pa.RecordBatch, layout: Layout) -> tuple[np.ndarray, np.ndarray, n
     ones = np.flatnonzero(bits)
     row = np.repeat(np.arange(len(sizes)), sizes)
     quotient = ones - np.arange(len(ones)) - row * slots
-    rest = joined_bytes(b.column("rest")).reshape(len(ones), layout.rest_bytes + layout.half_bytes)
+    low, right = layout.halves(joined_bytes(b.column("rest")).reshape(len(ones), sum(layout.widths)))
     left = (block[row].astype(np.uint64) << np.uint64(layout.quotient)) | quotient.astype(np.uint64)
-    left = (left << np.uint64(layout.rest)) | number(rest[:, :layout.rest_bytes])
+    left = (left << np.uint64(layout.rest)) | low
     count = joined_bytes(b.column("counters")).astype(np.int64)
     count[count == 255] = joined_bytes(b.column("large")).view("<i8")
-    return left, number(rest[:, layout.rest_bytes:]), count
+    return left, right, count
 
 
 def number(data: np.ndarray) -> np.ndarray:
@@ -288,10 +344,9 @@ def number(data: np.ndarray) -> np.ndarray:
 
 def merge(batches: Iterator[pa.RecordBatch], layout: Layout, least: int) -> Iterator[pa.RecordBatch]:
     """Adds the filters of each block, which come one after another; frequent entries as word ids."""
-    held = [np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)]
+    held, shift = Held(layout), np.uint64(layout.half - layout.block)
 
-    def finished(part: list[np.ndarray]) -> pa.RecordBatch:
-        left, right, count = layout.tally(*part)
+    def finished(left: np.ndarray, right: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
         often = count >= least
         left, right = layout.restore(left[often], right[often])
         bits, low = np.uint64(layout.bits), np.uint64((1 << layout.bits) - 1)
@@ -302,19 +357,20 @@ def merge(batches: Iterator[pa.RecordBatch], layout: Layout, least: int) -> Iter
     waiting = 0
     for whole in batches:
         for b in (whole.slice(s, 64) for s in range(0, whole.num_rows, 64)):
-            made = decode(b, layout)
-            held = [np.concatenate(x) for x in zip(held, made)]
+            made = layout.tally(*decode(b, layout))
+            held.add(made)
             waiting += len(made[0])
             if waiting < FILTER_ENTRIES:
                 continue
             waiting = 0
-            last = np.uint64(b.column("block")[b.num_rows - 1].as_py())
-            done = held[0] >> np.uint64(layout.half - layout.block) != last
-            if done.any():
-                yield finished([x[done] for x in held])
-            held = list(layout.tally(*[x[~done] for x in held]))
-    if len(held[0]):
-        yield finished(held)
+            entries = held.settle()
+            held.clear()
+            going = entries[0] >> shift == np.uint64(b.column("block")[b.num_rows - 1].as_py())  # may have more filters
+            held.add(tuple(x[going] for x in entries))
+            if not going.all():
+                yield finished(*(x[~going] for x in entries))
+    if held.size:
+        yield finished(*held.settle())
 
 
 def part(first: int, length: int) -> Column:
@@ -323,7 +379,8 @@ def part(first: int, length: int) -> Column:
 
 def undominated(counted: DataFrame, covered: int) -> DataFrame:
     """Phrases without those inside a longer phrase that has at least ``covered`` percent of their count."""
-    inner = F.filter(F.array(*[F.when(F.size("w") > length + first - 1, F.when(F.size("w") > length, part(first, length)))
+    n = F.size("w")
+    inner = F.filter(F.array(*[F.when((n > length) & (n >= first + length - 1), part(first, length))
                                for length in range(2, LONGEST) for first in range(1, LONGEST - length + 2)]),
                      lambda x: x.isNotNull())
     longer = counted.where(F.size("w") > 2).select(F.explode(inner).alias("inner"), "a").groupBy("inner").agg(

@@ -70,9 +70,9 @@ LEFT JOIN known ON {_flat('docs.form')} = known.form AND known.form <> ''
 _COLLOCATIONS = r"""
 WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
-split AS (SELECT lang, list_filter(string_split(replace(piece, chr(9), ' '), ' '), x -> x <> '') AS w FROM pieces),
+split AS (SELECT lang, list_filter(string_split(replace(piece, chr(9), ' '), ' '), lambda x: x <> '') AS w FROM pieces),
 starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split),
-runs AS (SELECT lang, unnest(list_transform(range(0, least(4, len(w) - i + 1)), k -> w[i:i + k])) AS p FROM starts),
+runs AS (SELECT lang, unnest(list_transform(range(0, least(4, len(w) - i + 1)), lambda k: w[i:i + k])) AS p FROM starts),
 f AS (SELECT lang, p, count(*) AS a FROM runs GROUP BY ALL),
 totals AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE len(p) = 1 GROUP BY lang),
 found AS (SELECT lang, p, a FROM f WHERE len(p) > 1 AND a >= 30),
