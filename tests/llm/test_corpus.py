@@ -338,6 +338,35 @@ def test_pages_whose_class_words_mislead(page):
     assert "A comment" not in extract(blog)[0] and extract(blog)[0].count("This paragraph") == 8
 
 
+COMMENTS = '<section id="comments"><ol>%s</ol></section>' % "".join(
+    f"<li>{LONG.replace('This paragraph', f'Reader {i}')}</li>" for i in range(12))
+SIDE = LONG.replace("This paragraph", "Elsewhere it")
+
+
+@pytest.mark.parametrize("page", [
+    "<body>%s" + COMMENTS + "</body>", "<main><article>%s</article>" + COMMENTS + "</main>",
+    "<article>%s" + COMMENTS + "</article>", "<div class=content>%s</div><div id=disqus_thread>" + SIDE * 9 + "</div>",
+    "<article>%s<section id=comments>" + SIDE * 4 + "</section></article>",
+    "<main>%s<div class=sidebar>" + SIDE * 10 + "</div></main>", "<body>%s<div class=sidebar>" + SIDE * 10 + "</div></body>",
+    "<main>%s<div class=related-posts>" + SIDE * 8 + "</div></main>",
+    "<body><div class=cookie-notice>" + SIDE * 4 + "</div>%s</body>", "<article>%s<form>" + SIDE * 5 + "</form></article>",
+    "<body><div class=newsletter><div class=content>" + SIDE * 6 + "</div></div>%s</body>"])
+def test_regions_beside_an_article_stay_out_however_long(page):
+    text = extract(page % (LONG * 4))[0]
+    assert text.count("This paragraph") == 4 and "Reader" not in text and "Elsewhere" not in text
+
+
+def test_deep_unclosed_elements_are_linear():
+    import time
+    times = []
+    for n in (2000, 16000):
+        page = "<div>some words of a text that goes on " * n
+        start = time.process_time()
+        assert extract(page)[1] == n
+        times.append(time.process_time() - start)
+    assert times[1] < 30 * max(times[0], 0.02)
+
+
 @pytest.mark.parametrize("value", ["<p>x</p>" * 20, "<i title='a'>" + "y" * 5000 + "</i>", "a => b > c", "class=sidebar"])
 def test_markup_inside_attributes_is_no_text(value):
     page = f"<article><div data-props=\"{value}\" class=post><p>Words of the page.</p></div></article>"

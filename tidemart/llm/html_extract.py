@@ -13,11 +13,15 @@ role is heavier than all smoothness edges of a block together, so smoothing
 settles unmarked blocks and never carries an advert into the article.
 
 Names in class, id and role are weaker than tags. An element whose names speak
-of comments, menus, adverts... is a node of its own that costs ``MARK`` once if
-it is on the article's side, and its blocks, which have only their own odds, can
-be there only with it: a few short blocks never pay for it, many long ones do.
-Names of an article on the same element outweigh those names, and the tags
-article and main are tested before any name.
+of comments, menus, adverts... or a form is a region. Where the page has text
+outside all regions that reads like an article, each block of a region counts
+as rest, however long it is (a form's only if that text is not short beside it).
+Where it has none, length may speak: the region is then a node of its own that
+costs ``MARK`` once if it is on the article's side, and its blocks, which have
+only their own odds, can be there only with it. Regions of unsure names, which
+parts of articles have too, are always such nodes. Names of an article on the
+same element outweigh those names, and the tags article and main are tested
+before any name.
 
 One page is one row and one flow; no shuffle. The graph has a constant number
 of edges per block.
@@ -79,6 +83,8 @@ OUTSIDE = 2.5  # against text outside the article's element, where the page has
 AROUND = 0.25  # of a block and the node of its element
 UNSURE = 4.0  # of an element with names that parts of articles have, too (MARK with others)
 NEVER = 1e9  # no cut goes through: a block on the article's side takes its element along
+LONG_WORDS = 8  # of a block that reads like a paragraph
+FORM_SHARE = 0.2  # of a form's words that text around it has at least when the form is not the article's
 HINT = 1.0  # names of an article below an element whose names speak against it
 
 OUT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_blocks", T.LongType()),
@@ -105,19 +111,20 @@ def extract(page: str) -> tuple[str, int, int]:
 class Region:
     """An element whose names speak against it: what it costs once, the region around it, whether in marked text."""
 
-    __slots__ = ("cost", "parent", "inside", "comment")
+    __slots__ = ("cost", "parent", "inside", "comment", "form", "words")
 
-    def __init__(self, cost: float, parent: "Region | None", inside: bool, comment: bool):
-        self.cost, self.parent, self.inside, self.comment = cost, parent, inside, comment
+    def __init__(self, cost: float, parent: "Region | None", inside: bool, comment: bool, form: bool):
+        self.cost, self.parent, self.inside, self.comment, self.form = cost, parent, inside, comment, form
+        self.words = 0
 
 
 class Element:
-    """An open element: its number, and what it and those around it say about the text inside."""
+    """An open element: the one around it, and what it and those around it say about the text inside."""
 
-    __slots__ = ("tag", "number", "odds", "closed", "article", "link", "region")
+    __slots__ = ("tag", "up", "depth", "odds", "closed", "article", "link", "region")
 
-    def __init__(self, tag: str, number: int, parent: "Element | None", attributes: tuple = ()):
-        self.tag, self.number = tag, number
+    def __init__(self, tag: str, parent: "Element | None", attributes: tuple = ()):
+        self.tag, self.up, self.depth = tag, parent, parent.depth + 1 if parent else 0
         self.odds = parent.odds if parent else 0.0
         self.closed = parent.closed if parent else False  # inside a menu, footer...: nothing reopens it
         self.article = parent.article if parent else ""  # the tag, article or main, around it
@@ -155,7 +162,7 @@ class Element:
         elif tag == "form" or against and not main:
             cost = UNSURE if against and UNSURE_WORDS.issuperset(against) else MARK
             comment |= bool(self.region and self.region.comment)
-            self.region = Region(cost, self.region, self.article or self.odds > 0, comment)
+            self.region = Region(cost, self.region, self.article or self.odds > 0, comment, not against)
             self.odds = 0.0
         elif main and self.region:
             self.odds = HINT
@@ -164,35 +171,35 @@ class Element:
 
 
 class Block:
-    __slots__ = ("text", "path", "odds", "article", "region")
+    __slots__ = ("text", "place", "odds", "article", "region")
 
-    def __init__(self, text: str, path: tuple[int, ...], odds: float, article: bool, region: Region | None = None):
-        self.text, self.path, self.odds, self.article, self.region = text, path, odds, article, region
+    def __init__(self, text: str, place: Element, odds: float, article: bool, region: Region | None = None):
+        self.text, self.place, self.odds, self.article, self.region = text, place, odds, article, region
 
 
 def read_blocks(page: str) -> list[Block]:
-    """Blocks in page order with their elements' numbers and their log odds of being article text."""
-    root = Element("", 0, None)
-    stack, made, blocks = [root], 0, []
+    """Blocks in page order with the elements they stand in and their log odds of being article text."""
+    root = Element("", None)
+    stack, blocks = [root], []
     parts: list[str] = []
     linked = 0
     marked = [False]
     owner: Element = root
-    path: tuple[int, ...] = (0,)
+    place: Element = root
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                blocks.append(Block(text, path, log_odds(owner, text, linked), bool(owner.article) and not owner.closed,
+                blocks.append(Block(text, place, log_odds(owner, text, linked), bool(owner.article) and not owner.closed,
                                     None if owner.closed else owner.region))
                 marked[0] |= owner.odds > 0 and not owner.closed and owner.region is None
             parts.clear()
         linked = 0
 
     def add(raw: str) -> None:
-        nonlocal linked, owner, path
+        nonlocal linked, owner, place
         if not raw:
             return
         text = entities.unescape(raw) if "&" in raw else raw
@@ -204,7 +211,7 @@ def read_blocks(page: str) -> list[Block]:
                    and stack[k].region is stack[k - 1].region):
                 k -= 1
             owner = stack[k]
-            path = tuple(e.number for e in stack[:k + (owner.tag not in PARAGRAPHS)]) or (0,)
+            place = owner.up if owner.tag in PARAGRAPHS else owner
         parts.append(text)
         if stack[-1].link:
             linked += len(text.strip())
@@ -269,8 +276,7 @@ def read_blocks(page: str) -> list[Block]:
                     if stack[k].tag in SIBLINGS[name]:
                         break
         if name not in VOID:
-            made += 1
-            stack.append(Element(name, made, stack[-1], attributes))
+            stack.append(Element(name, stack[-1], attributes))
     flush()
     if any(b.article for b in blocks):  # then text that no element marks is rather not of it
         for b in blocks:
@@ -280,9 +286,29 @@ def read_blocks(page: str) -> list[Block]:
         for b in blocks:
             if b.region and not b.region.inside:
                 b.odds -= OUTSIDE
+    close_regions(blocks)
     return blocks
 
 
+def close_regions(blocks: list[Block]) -> None:
+    """Blocks of regions count as rest where the page has an article's text outside of them."""
+    outside = sum(n for b in blocks if b.region is None and b.odds > 0 and (n := b.text.count(" ") + 1) >= LONG_WORDS)
+    if not outside:
+        return
+    for b in blocks:
+        region = b.region
+        while region:
+            region.words += b.text.count(" ") + 1
+            region = region.parent
+    for b in blocks:
+        region = b.region
+        while region:
+            if region.cost == MARK and not (region.form and FORM_SHARE * region.words > outside):
+                b.odds, b.region = -MARK, None
+                break
+            region = region.parent
+
+
 def scan_tag(page: str, at: int) -> tuple[int, list[tuple[str, str]]]:
     """Place of the '>' that closes a tag (the page's end if there is none) and the attributes that are read.
 
@@ -334,9 +360,9 @@ def cut(blocks: list[Block]) -> list[bool]:
     members: dict[int, list[int]] = {}
     edges: list[tuple[int, int, float]] = []
     for i, b in enumerate(blocks):
-        members.setdefault(b.path[-1], []).append(i)
+        members.setdefault(id(b.place), []).append(i)
         if i:
-            edges.append((i - 1, i, NEAR / (1 + tree_distance(blocks[i - 1].path, b.path))))
+            edges.append((i - 1, i, NEAR / (1 + tree_distance(blocks[i - 1].place, b.place))))
     node = n
     for group in members.values():
         if len(group) > 2:
@@ -366,14 +392,16 @@ def cut(blocks: list[Block]) -> list[bool]:
     return [side[i] for i in range(n)]
 
 
-def tree_distance(a: tuple[int, ...], b: tuple[int, ...]) -> int:
-    """Steps from the element of one block to that of the other."""
-    common = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        common += 1
-    return len(a) + len(b) - 2 * common
+def tree_distance(a: Element, b: Element) -> int:
+    """Steps from one element to another."""
+    steps = 0
+    while a is not b:
+        if a.depth >= b.depth:
+            a = a.up
+        else:
+            b = b.up
+        steps += 1
+    return steps
 
 
 class Flow:
