@@ -1,15 +1,18 @@
 """Publishing, repeated days, ids at any size, clean-up."""
 
+import pathlib
 from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from tidemart import session
+from tidemart.operators import scd
 from tidemart.operators.marts import build_fact_sales
-from tidemart.plans import daily
-from tidemart.sources import lake, testdata as td
+from tidemart.plans import daily, dimension, queries
+from tidemart.sources import lake, parts, testdata as td
 
 SF = "/root/testdata/sf0.001"
 
@@ -121,6 +124,165 @@ def test_days_can_be_repeated_and_resumed(spark, monkeypatch):
     assert spark.table(cat.name("silver", "order_items")).count() == 1
 
 
+def test_day_two_reads_its_own_bronze_and_touched_parts(spark):
+    root, db = fresh(spark, "t-upkeep")
+    cat = daily.Catalog(prefix=db)
+    for layer in ("silver", "gold"):
+        session.remember(spark, "databases", f"{db}_{layer}")
+    products = lambda ids, sku: spark.createDataFrame(
+        [(i, sku, datetime(2031, 1, 1)) for i in ids], "product_id long, sku string, updated_at timestamp_ntz")
+    other = small_sources(spark)
+    for day, rows in (("2031-01-02", products(range(200), "A")), ("2031-01-03", products([5, 900], "B"))):
+        daily.run_extract({**other, "products": rows}, root, day)
+        daily.run_bronze(spark, root, day)
+        if day == "2031-01-03":  # the first day's loads are not read again
+            lost = pathlib.Path(f"{root}/bronze/products/_load_date=2031-01-02")
+            for f in lost.iterdir():
+                f.write_bytes(b"")
+        state = daily.run_silver(spark, root, cat, day)["products"]
+    found = {r["product_id"]: r["sku"] for r in spark.table(cat.name("silver", "products")).collect()}
+    assert found == {**dict.fromkeys(range(200), "A"), 5: "B", 900: "B"}
+    assert spark.table(cat.name("silver", "products")).columns == ["product_id", "sku", "updated_at"]
+    second = [live for f, live in state.folders.items() if "c=000000002" in f][0]
+    assert 1 <= len(second) <= 2 and state.n_parts == 16  # two keys: at most two parts were written
+
+
+def test_incremental_silver_equals_a_rebuild(spark):
+    states = {}
+    for label in ("step", "whole"):
+        root, db = fresh(spark, f"t-{label}")
+        cat = daily.Catalog(prefix=db)
+        for layer in ("silver", "gold"):
+            session.remember(spark, "databases", f"{db}_{layer}")
+        for day, sources in (("2026-05-01", queries.adapter_sources(spark, SF)), ("2026-06-02", td.day_two_sources(spark, SF))):
+            daily.run_extract(sources, root, day)
+            daily.run_bronze(spark, root, day)
+            if label == "step" or day == "2026-06-02":
+                daily.run_silver(spark, root, cat, day)
+        states[label] = {t: sorted(map(str, spark.table(cat.name("silver", t)).collect())) for t in (
+            "customers", "orders", "orders_quarantine", "order_items", "products", "inventory")}
+    assert states["step"] == states["whole"]
+
+
+def test_types_widen_without_loss(spark):
+    assert lake.wider(IntegerType(), LongType()) == LongType() == lake.wider(LongType(), IntegerType())
+    assert lake.wider(DecimalType(10, 2), DecimalType(9, 4)) == DecimalType(12, 4)
+    assert lake.wider(IntegerType(), DecimalType(5, 2)) == DecimalType(12, 2)
+    assert lake.wider(LongType(), DoubleType()) is None and lake.wider(StringType(), LongType()) is None
+    assert lake.wider(DecimalType(38, 0), DecimalType(38, 10)) is None
+    root, db = fresh(spark, "t-wide")
+    narrow = spark.createDataFrame([(1, Decimal("2.50"), 1.5)], "id int, price decimal(6,2), f float")
+    wide = spark.createDataFrame([(5000000000, Decimal("123456789.1234"), 2.5)], "id long, price decimal(14,4), f double")
+    for day, df in (("2031-01-01", narrow), ("2031-01-02", wide), ("2031-01-03", narrow)):
+        lake.write_raw(df, root, "t", day)
+        lake.load_raw_to_bronze(spark, root, "t", day)
+    want = [(1, Decimal("2.5000"), 1.5), (1, Decimal("2.5000"), 1.5), (5000000000, Decimal("123456789.1234"), 2.5)]
+    assert sorted((r["id"], r["price"], r["f"]) for r in lake.read_bronze(spark, root, "t").collect()) == want
+    for df in (narrow, wide, narrow):
+        lake.publish_snapshot(df, root, "t", f"{db}.t")
+    assert dict(spark.table(f"{db}.t").dtypes) == {"id": "bigint", "price": "decimal(14,4)", "f": "double"}
+    assert [tuple(r) for r in spark.table(f"{db}.t").collect()] == [want[0]]
+
+
+def test_two_loads_that_add_columns_at_once_both_count(spark):
+    root, _ = fresh(spark, "t-race")
+    lake.record_schema(spark, root, "raw", "t", spark.range(1).schema)
+    stale = lake.stored_schema(spark, root, "raw", "t")
+    one, two = spark.range(1).withColumn("a", F.lit(1)).schema, spark.range(1).withColumn("b", F.lit("x")).schema
+    lake.record_schema(spark, root, "raw", "t", one)
+    merged = lake.merge_schema(stale, two, "t")  # the second load has read the schema before the first wrote its own
+    spark.createDataFrame([(merged.json(),)], "value string").write.text(f"{root}/_control/schemas/raw-t/v=1-other")
+    assert sorted(lake.stored_schema(spark, root, "raw", "t").fieldNames()) == ["a", "b", "id"]
+
+
+def test_writes_merge_small_and_split_hot_partitions(spark):
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1500k", "spark.sql.shuffle.partitions": "50"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    root, _ = fresh(spark, "t-files")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        many = spark.range(0, 2000, 1, 40)
+        lake.publish_snapshot(many, root, "small")
+        small = len(list(pathlib.Path(root).glob("snapshots/small/*/part-*.parquet")))
+        hot = spark.range(100000).withColumn("k", F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 5)).withColumn(
+            "pad", F.sha2(F.col("id").cast("string"), 256))
+        lake.balanced(hot, "k").write.partitionBy("k").parquet(f"{root}/hot")
+        files = {d.name: sorted(f.stat().st_size for f in d.glob("*.parquet")) for d in pathlib.Path(f"{root}/hot").glob("k=*")}
+        assert small <= 3  # not 40
+        assert len(files["k=0"]) >= 4 and len(files["k=1"]) <= 3  # the hot value is split, the others are not
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_table_in_parts(spark):
+    root, db = fresh(spark, "t-parts")
+    rows = spark.range(1000).withColumn("v", F.lit(1))
+    state = parts.commit(spark, root, "t", None, rows, None, key=["id"], n_parts=32)
+    parts.publish(spark, root, state, f"{db}.t")
+    reader = spark.table(f"{db}.t")
+    key, old = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(key, "3")  # rows stay in their parts whatever the session says
+    try:
+        change = spark.createDataFrame([(7, 2), (8, 2), (5000, 2)], "id long, v int")
+        hit = parts.touched(change, state)
+        kept = parts.read(spark, state, hit).join(change.select("id"), "id", "left_anti")
+        second = parts.commit(spark, root, "t", parts.load(spark, root, "t"), kept.unionByName(change), hit,
+                              history=change.limit(0), name="two")
+        third = parts.commit(spark, root, "t", second, parts.read(spark, second, hit[:1]).withColumn("w", F.lit("x")), hit[:1],
+                             history=spark.createDataFrame([(7, 1)], "id long, v int"), max_folders=2)
+    finally:
+        spark.conf.set(key, old)
+    assert reader.count() == 1000  # a reader of the first state is not disturbed
+    written = [live for f, live in second.folders.items() if "c=000000002" in f][0]
+    assert set(written) == set(hit) and len(hit) <= 3  # a change of three keys writes at most three of 32 parts
+    parts.publish(spark, root, second, f"{db}.t")
+    assert spark.table(f"{db}.t").count() == 1001 and spark.table(f"{db}.t").where("v = 2").count() == 3
+    assert len(third.folders) == 1 and parts.HISTORY in next(iter(third.folders.values()))  # folded into one folder
+    parts.publish(spark, root, third, f"{db}.t", drop=["v"])
+    assert spark.table(f"{db}.t").columns == ["id", "w"] and spark.table(f"{db}.t").count() == 1002
+    assert parts.load(spark, root, "t") == third and third.names == ("two",)
+    fourth = parts.commit(spark, root, "t", third, rows.limit(0), None, keep_history=False)
+    parts.publish(spark, root, fourth, f"{db}.t")
+    assert spark.table(f"{db}.t").count() == 0 == parts.read(spark, fourth).count()
+
+
+def test_a_dimension_rewrites_the_parts_that_change(spark):
+    root, db = fresh(spark, "t-dim")
+    columns = ["customer_id", "loyalty_tier", "address", "city", "state", "postal_code", "email", "first_name", "last_name",
+               "country"]
+    src = spark.range(3000).select(F.col("id").alias("customer_id"), *[F.lit("x").alias(c) for c in columns[1:]])
+    first = dimension.merge_dimension(spark, root, "dim", f"{db}.dim", src, date(2026, 1, 1), n_parts=64)
+    moved = src.withColumn("loyalty_tier", F.when(F.col("customer_id") < 20, "y").otherwise("x"))
+    second = dimension.merge_dimension(spark, root, "dim", f"{db}.dim", moved, date(2026, 2, 1))
+    written = [live for f, live in second.folders.items() if f not in first.folders][0]
+    assert 10 <= len([p for p in written if p >= 0]) <= 20 and parts.HISTORY in written
+    whole = scd.compute_scd2_snapshot(scd.initialize_dimension(src, as_of_date=date(2026, 1, 1)), moved, date(2026, 2, 1))
+    assert sorted(map(tuple, spark.table(f"{db}.dim").select(*whole.columns).collect()), key=str) == sorted(
+        map(tuple, whole.collect()), key=str)
+    assert dimension.newest(second) == (3020, date(2026, 2, 1))
+    same = dimension.merge_dimension(spark, root, "dim", f"{db}.dim", moved, date(2026, 3, 1))
+    assert same.seq == second.seq  # nothing changes, nothing is written
+    with pytest.raises(ValueError, match="before the newest version"):
+        dimension.merge_dimension(spark, root, "dim", f"{db}.dim", moved, date(2026, 1, 15))
+    assert spark.table(f"{db}.dim").schema == StructType([StructField(f.name, f.dataType, True) for f in scd.dim_schema(
+        src.schema).fields])
+
+
+def test_maxima_come_from_footers(spark, capsys):
+    root, _ = fresh(spark, "t-footers")
+    df = spark.range(1, 5001).select(F.col("id").alias("customer_sk"), F.date_add(F.lit("2026-01-01").cast("date"), (
+        F.col("id") % 50).cast("int")).alias("effective_start_date"), F.lit("x").alias("other"))
+    path = lake.publish_snapshot(df, root, "dim")
+    scd.dim_maxima(lake.from_footers(spark, path), scd.CUSTOMER_SCD).explain("formatted")
+    assert "PushedAggregation: [MAX(customer_sk), MAX(effective_start_date)]" in capsys.readouterr().out
+    assert scd.dim_stats(df, scd.CUSTOMER_SCD, path) == (5000, date(2026, 2, 19))
+    empty = lake.publish_snapshot(df.limit(0), root, "none")
+    assert scd.dim_stats(df.limit(0), scd.CUSTOMER_SCD, empty) == (None, None)
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")  # the session's own scans are as before
+
+
 def test_passthrough_keeps_every_load(spark):
     root, _ = fresh(spark, "t-pass")
     for day in ("2031-01-01", "2031-01-02"):

@@ -1,12 +1,13 @@
+import pathlib
 import uuid
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from tidemart.session import scratch_dir
+from tidemart.session import path_exists, scratch_dir
 import pytest
 
-from tidemart.sources import lake
+from tidemart.sources import parts
 from tidemart.streaming import ingest
 from tidemart.streaming.ingest import dedup_events, scd2_batch_writer
 
@@ -53,7 +54,7 @@ def _versions(spark, name):
                   for r in spark.table(name).collect())
 
 
-@pytest.mark.parametrize("where", ["after the write", "after the publish", "after the log"])
+@pytest.mark.parametrize("where", ["before the log", "after the log", "after the publish"])
 def test_a_batch_recovers_from_a_crash(spark, monkeypatch, where):
     root = scratch_dir(spark, "t-crash")
     name = f"tm_{uuid.uuid4().hex[:6]}_gold.dim_customer"
@@ -64,28 +65,77 @@ def test_a_batch_recovers_from_a_crash(spark, monkeypatch, where):
     def stop(*args, **kwargs):
         raise RuntimeError("crash")
 
-    if where == "after the write":
-        monkeypatch.setattr(lake, "repoint", stop)
-    elif where == "after the publish":
-        whole = lake.publish_snapshot
-
-        def publish(*args, **kwargs):
-            whole(*args, **kwargs)
-            stop()
-
-        monkeypatch.setattr(lake, "publish_snapshot", publish)
-    if where == "after the log":
+    if where == "before the log":  # the new folder is written
+        monkeypatch.setattr(parts, "record", stop)
+    elif where == "after the log":  # the view still shows the old state
+        monkeypatch.setattr(parts, "publish", stop)
+    if where == "after the publish":
         apply(batch, 1)  # the stream's own checkpoint was lost after this
     else:
         with pytest.raises(RuntimeError, match="crash"):
             apply(batch, 1)
         monkeypatch.undo()
+        assert _versions(spark, name) == [("BRONZE", date(2026, 1, 1), True, 1)]
     apply(batch, 1)
     apply(_snap(spark, "SILVER", date(2026, 3, 1)), 2)
     assert _versions(spark, name) == [("BRONZE", date(2026, 1, 1), False, 1), ("GOLD", date(2026, 2, 1), False, 2),
                                       ("SILVER", date(2026, 3, 1), True, 3)]
 
 
+def test_a_batch_of_two_dates_goes_on_after_the_first(spark, monkeypatch):
+    root = scratch_dir(spark, "t-two")
+    name = f"tm_{uuid.uuid4().hex[:6]}_gold.dim_customer"
+    apply = scd2_batch_writer(root, "dim_customer", name, "snapshot_date")
+    batch = _snap(spark, "BRONZE", date(2026, 1, 1)).unionByName(_snap(spark, "GOLD", date(2026, 2, 1)))
+    whole, calls = parts.commit, []
+
+    def once(*args, **kwargs):
+        calls.append(1)
+        if len(calls) > 1:
+            raise RuntimeError("crash")
+        return whole(*args, **kwargs)
+
+    monkeypatch.setattr(parts, "commit", once)
+    with pytest.raises(RuntimeError, match="crash"):
+        apply(batch, 0)
+    monkeypatch.undo()
+    apply(batch, 0)
+    apply(batch, 0)
+    assert _versions(spark, name) == [("BRONZE", date(2026, 1, 1), False, 1), ("GOLD", date(2026, 2, 1), True, 2)]
+    assert not path_exists(spark, f"{root}/_control/dim_customer_late")
+
+
+EVENTS = "event_id long, ts timestamp, v string"
+
+
+def _land(spark, folder, n, rows):
+    spark.createDataFrame(rows, EVENTS).coalesce(1).write.parquet(f"{folder}/b{n}")
+
+
+def test_dedup_state_lies_in_rocksdb_survives_a_restart_and_is_bounded(spark):
+    root = scratch_dir(spark, "t-rocks")
+    day = lambda d, h=0: datetime(2026, 1, d, h)
+    run = lambda: ingest.stream_dedup(spark, f"{root}/in/*", spark.createDataFrame([], EVENTS).schema, f"{root}/out",
+                                      f"{root}/ckpt", ["event_id"], "ts", "2 days")
+    _land(spark, f"{root}/in", 1, [(i, day(1, i % 24), "first") for i in range(100)])
+    first = run()
+    assert ingest.state_size(first)["keys"] == 100
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    assert "RocksDB" not in before  # the session itself is as it was
+    names = [f.name for f in pathlib.Path(f"{root}/ckpt/state").rglob("*")]
+    assert any(n.endswith((".changelog", ".zip")) for n in names) and not any(n.endswith(".delta") for n in names)
+    # a new run from the checkpoint: deliveries of before are known, new ones are not
+    _land(spark, f"{root}/in", 2, [(i, day(1, i % 24), "again") for i in range(50)] + [(1000, day(2), "new")])
+    run()
+    rows = spark.read.parquet(f"{root}/out")
+    assert rows.count() == 101 and rows.where("v = 'again'").count() == 0
+    # once the watermark has passed, the old keys leave the state
+    _land(spark, f"{root}/in", 3, [(2000, day(20), "late")])
+    run()
+    _land(spark, f"{root}/in", 4, [(2001, day(20), "late")])
+    assert ingest.state_size(run())["keys"] <= 3
+
+
 def test_late_snapshots_are_set_aside(spark):
     root = scratch_dir(spark, "t-late")
     name = f"tm_{uuid.uuid4().hex[:6]}_gold.dim_customer"

@@ -41,6 +41,16 @@ def email_is_valid(c: str | Column) -> Column:
     return _c(c).rlike(EMAIL_PATTERN)
 
 
+DQ_VALID = "_dq_valid"
+#: what a valid order is; a part that is unknown makes the verdict unknown
+ORDER_IS_VALID = "customer_id IS NOT NULL AND shipping_cost >= 0"
+
+
+def order_is_valid() -> Column:
+    """Verdict on an order: its customer is known and its shipping cost not negative (NULL where the cost is unknown)."""
+    return F.expr(ORDER_IS_VALID)
+
+
 def row_hash(cols: Iterable[str], strict: bool = False) -> Column:
     """SHA-256 over the tracked columns.
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.functions import DQ_VALID
 from tidemart.operators import bitmaps
 from tidemart.session import materialize
 
-DQ_VALID = "_dq_valid"
 DQ_BUCKET = "_dq_bucket"
 
 
@@ -80,6 +81,33 @@ def expectation_summary(df: DataFrame, rules: Mapping[str, str | Column]) -> Dat
     return wide.selectExpr("rows_checked", f"stack({len(names)}, {stack}) AS (rule, rows_failed)")
 
 
+def observed(df: DataFrame, rules: Mapping[str, str | Column]) -> tuple[DataFrame, Observation]:
+    """``df`` and an observation that counts its rows and each rule's failures while ``df`` is written.
+
+    No pass of its own: the counts are partial sums of the tasks that write (a
+    rule that is NULL fails). Read them from the observation after the write.
+    """
+    told = Observation(f"rules-{uuid.uuid4().hex[:8]}")
+    counts = [F.count(F.lit(1)).alias("rows_checked")]
+    for name, rule in rules.items():
+        cond = F.expr(rule) if isinstance(rule, str) else rule
+        counts.append(F.sum(F.when(F.coalesce(cond, F.lit(False)), 0).otherwise(1)).alias(name))
+    return df.observe(told, *counts), told
+
+
+AUDIT_SCHEMA = "table_name string, run_date string, rule string, rows_checked bigint, rows_failed bigint"
+
+
+def record_audit(spark: SparkSession, root: str, told: Sequence[tuple[str, str, Observation]]) -> None:
+    """Append observed counts of (table, run date) to ``<root>/_control/quality_audit``, one row per rule."""
+    rows = []
+    for table, run_date, seen in told:
+        counts = dict(seen.get)
+        total = counts.pop("rows_checked")
+        rows += [(table, run_date, rule, total, failed or 0) for rule, failed in counts.items()]
+    (spark.createDataFrame(rows, AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/_control/quality_audit"))
+
+
 def ri_orphans(child: DataFrame, parent: DataFrame, child_key: str,
                parent_key: str | None = None) -> DataFrame:
     """Child rows whose foreign key has no parent row (NULL keys excluded)."""

@@ -266,9 +266,13 @@ def compute_scd2_snapshot(existing_dim: DataFrame | None, source_df: DataFrame,
 
 def scd2_changes(existing_dim: DataFrame, source_df: DataFrame, as_of_date: date,
                  spec: ScdSpec | None = None, num_buckets: int | None = None,
-                 validate_source: bool = False) -> DataFrame:
+                 validate_source: bool = False,
+                 stats: tuple[int | None, date | None] | None = None) -> DataFrame:
     """Only the rows a MERGE would write.
 
+    ``existing_dim`` may be the current versions of the source's keys alone when
+    ``stats`` (see ``dim_stats``) describes the whole dimension.
+
     Column ``_change`` is ``expire`` or ``update`` (replace the row with this
     surrogate key) or ``insert``; ``apply_scd2_changes`` with them gives exactly
     ``compute_scd2_snapshot``, for every spec.
@@ -276,7 +280,7 @@ def scd2_changes(existing_dim: DataFrame, source_df: DataFrame, as_of_date: date
     spec = spec or CUSTOMER_SCD
     if validate_source:
         assert_unique_keys(source_df, [spec.business_key])
-    max_sk, max_start = dim_stats(existing_dim, spec)
+    max_sk, max_start = stats or dim_stats(existing_dim, spec)
     _check_date(as_of_date, max_start)
     _, exploded, cols = _classified(existing_dim, source_df, as_of_date, spec)
     exploded = _materialize(exploded, "scd2-changes")

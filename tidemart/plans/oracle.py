@@ -407,6 +407,24 @@ FINAL.update({
         CASE WHEN c.customer_id % 7 = 0 THEN 'PLATINUM' ELSE c.loyalty_tier END AS loyalty_tier
       FROM items_once i JOIN orders_valid o ON i.order_id = o.order_id
       JOIN customers_clean c ON o.customer_id = c.customer_id)""") + ")"),
+    "quality_audit": " UNION ALL ".join(  # day two brings the moved customers, no order, every item
+        f"SELECT '{table}' AS table_name, '{day}' AS run_date, '{rule}' AS rule, CAST(count(*) AS BIGINT) AS rows_checked, "
+        f"CAST(coalesce(sum(CASE WHEN coalesce({cond}, FALSE) THEN 0 ELSE 1 END), 0) AS BIGINT) AS rows_failed "
+        f"FROM {src} WHERE {brought}"
+        for day, of_customers, of_orders in (("2026-05-01", "TRUE", "TRUE"), ("2026-06-02", "customer_id % 7 = 0", "FALSE"))
+        for table, src, brought, rules in (
+            ("customers", "customers_clean", of_customers, (("email_valid", "is_email_valid"),)),
+            ("orders", "orders_clean", of_orders, (("customer_present", "customer_id IS NOT NULL"),
+                                                   ("shipping_non_negative", "shipping_cost >= 0"),
+                                                   ("order_date_present", "order_date IS NOT NULL"))),
+            ("order_items", "items_once", "TRUE", (("line_total_present", "line_total IS NOT NULL"),
+                                                   ("quantity_positive", "quantity > 0"))))
+        for rule, cond in rules),
+    "bronze_widened_type": (
+        "SELECT order_item_id, CAST(quantity AS BIGINT) AS quantity, CAST(CAST(unit_price AS DECIMAL(10,2)) AS DECIMAL(14,4)) "
+        "AS unit_price, DATE '2026-01-01' AS load_date FROM items_raw UNION ALL "
+        "SELECT order_item_id, CAST(quantity AS BIGINT) + 3000000000, CAST(CAST(unit_price AS DECIMAL(10,2)) + "
+        "CAST('0.125' AS DECIMAL(3,3)) AS DECIMAL(14,4)), DATE '2026-01-02' FROM items_raw"),
     "publish_evolves": "SELECT *, lower(loyalty_tier) AS segment FROM src_v2",
     "incremental_extract_by_id": (
         "SELECT * FROM events WHERE event_id > (SELECT max(event_id) FROM events "

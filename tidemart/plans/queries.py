@@ -453,6 +453,31 @@ def q_daily_two_days_revenue(spark, sf):
     return daily.run_daily(spark, later, root, "2026-06-02", cat)
 
 
+def q_quality_audit(spark, sf):
+    """Rule counts that two days' silver writes observed, each over the rows that the day brings."""
+    root, cat = _root(spark, "audit"), _catalog(spark)
+    for day, sources in (("2026-05-01", adapter_sources(spark, sf)), ("2026-06-02", td.day_two_sources(spark, sf))):
+        daily.run_extract(sources, root, day)
+        daily.run_bronze(spark, root, day)
+        daily.run_silver(spark, root, cat, day)
+    return spark.read.schema(quality.AUDIT_SCHEMA).parquet(f"{root}/_control/quality_audit")
+
+
+def q_bronze_widened_type(spark, sf):
+    """Bronze over two days; on the second day quantity is a long and unit_price has more digits."""
+    root = _root(spark, "bronze-widen")
+    spec = TableSpec("order_items", "full")
+    items = td.order_items_raw(spark, sf).select(
+        "order_item_id", F.col("quantity").cast("int").alias("quantity"), F.col("unit_price").cast("decimal(10,2)").alias("unit_price"))
+    wide = items.select("order_item_id", (F.col("quantity").cast("bigint") + 3000000000).alias("quantity"),
+                        (F.col("unit_price") + F.lit("0.125").cast("decimal(3,3)")).cast("decimal(14,4)").alias("unit_price"))
+    for day, rows in (("2026-01-01", items), ("2026-01-02", wide)):
+        extract.extract_table(rows, spec, root, day)
+        lake.load_raw_to_bronze(spark, root, "order_items", day)
+    b = lake.read_bronze(spark, root, "order_items").withColumn("load_date", F.col(lake.LOAD_DATE))
+    return _data_cols(b)
+
+
 def q_publish_evolves(spark, sf):
     """Two publishes under different partition counts, the second with a new column."""
     root = _root(spark, "publish")
@@ -491,6 +516,8 @@ QUERIES.update({
     "dim_maxima": q_dim_maxima,
     "daily_batch_revenue": q_daily_batch_revenue,
     "daily_two_days_revenue": q_daily_two_days_revenue,
+    "quality_audit": q_quality_audit,
+    "bronze_widened_type": q_bronze_widened_type,
     "publish_evolves": q_publish_evolves,
     "incremental_extract_by_id": q_incremental_extract_by_id,
 })

@@ -15,7 +15,8 @@ Bronze is keyed by load date and written with dynamic partition overwrite:
 loading a date again replaces that date instead of appending it twice.
 
 The schema of each raw and bronze table is stored when it is written, so reads
-never open the footers of all files to find it out.
+never open the footers of all files to find it out. A column may get a wider
+type on a later day; earlier files are promoted when they are read.
 """
 
 from __future__ import annotations
@@ -25,7 +26,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ByteType,
+    DataType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    ShortType,
+    StructType,
+)
 
 from tidemart.session import path_exists
 
@@ -37,40 +48,97 @@ def stored_schema(spark: SparkSession, root: str, layer: str, table: str) -> Str
     path = f"{root}/_control/schemas/{layer}-{table}"
     if not path_exists(spark, path):
         return None
-    newest = spark.read.text(path).orderBy(F.col("v").desc()).first()
-    return StructType.fromJson(json.loads(newest["value"]))
+    rows = spark.read.text(path).collect()  # one small row for each change of the schema
+    newest = max(_version(r) for r in rows)
+    out = None  # two loads at once may both have written the newest version
+    for value in sorted(r["value"] for r in rows if _version(r) == newest):
+        out = merge_schema(out, StructType.fromJson(json.loads(value)), f"{layer}.{table}")
+    return out
+
+
+def _version(row) -> int:
+    return int(str(row["v"]).split("-")[0])
 
 
 def record_schema(spark: SparkSession, root: str, layer: str, table: str, schema: StructType) -> StructType:
-    """Adds new columns of ``schema`` to the table's recorded schema; a changed type raises."""
+    """Adds new columns and wider types of ``schema`` to the table's recorded schema; other changed types raise.
+
+    Every write has a folder of its own, so loads at once never meet in one.
+    """
     old = stored_schema(spark, root, layer, table)
     merged = merge_schema(old, schema, f"{layer}.{table}")
     if old is None or merged != old:
-        version = 0 if old is None else len(merged)
+        path = f"{root}/_control/schemas/{layer}-{table}"
+        version = 0 if old is None else max(_version(r) for r in spark.read.text(path).select("v").distinct().collect()) + 1
         (spark.createDataFrame([(merged.json(),)], "value string").coalesce(1)
-              .write.mode("overwrite").text(f"{root}/_control/schemas/{layer}-{table}/v={version}"))
+              .write.text(f"{path}/v={version}-{uuid.uuid4().hex[:8]}"))
     return merged
 
 
 def merge_schema(old: StructType | None, new: StructType, what: str) -> StructType:
-    """Columns of ``old``, then those only ``new`` has; all nullable."""
+    """Columns of ``old``, then those only ``new`` has; all nullable.
+
+    A column whose type differs gets the wider of both types when that holds
+    every value of the other (``wider``); any other change raises.
+    """
     fields = {f.name: f.dataType for f in (old or StructType()).fields}
     for f in new.fields:
-        if fields.setdefault(f.name, f.dataType) != f.dataType:
-            raise ValueError(f"{what}: column {f.name} changes from {fields[f.name].simpleString()} "
-                             f"to {f.dataType.simpleString()}")
+        before = fields.setdefault(f.name, f.dataType)
+        kind = wider(before, f.dataType)
+        if kind is None:
+            raise ValueError(f"{what}: column {f.name} changes from {before.simpleString()} to {f.dataType.simpleString()}")
+        fields[f.name] = kind
     out = StructType()
     for name, kind in fields.items():
         out.add(name, kind, True)
     return out
 
 
+_INTEGERS = [ByteType(), ShortType(), IntegerType(), LongType()]
+_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 20}
+
+
+def wider(a: DataType, b: DataType) -> DataType | None:
+    """The type that holds all values of both without loss; None where there is none.
+
+    Integers widen to longer integers, decimals to more digits on either side,
+    integers to decimals with as many digits before the point, float to double,
+    and integers of at most 32 bits to double.
+    """
+    if a == b:
+        return a
+    for x, y in ((a, b), (b, a)):
+        if x in _INTEGERS and y in _INTEGERS and _INTEGERS.index(x) < _INTEGERS.index(y):
+            return y
+        if isinstance(x, FloatType) and isinstance(y, DoubleType):
+            return y
+        if x in _INTEGERS[:3] and isinstance(y, DoubleType):
+            return y
+        if x in _INTEGERS and isinstance(y, DecimalType):
+            digits = max(_DIGITS[x.simpleString()], y.precision - y.scale)
+            return DecimalType(digits + y.scale, y.scale) if digits + y.scale <= 38 else None
+    if isinstance(a, DecimalType) and isinstance(b, DecimalType):
+        scale = max(a.scale, b.scale)
+        digits = max(a.precision - a.scale, b.precision - b.scale)
+        return DecimalType(digits + scale, scale) if digits + scale <= 38 else None
+    return None
+
+
+def balanced(df: DataFrame, *cols: str) -> DataFrame:
+    """``df`` in write partitions of even size (``spark.sql.adaptive.advisoryPartitionSizeInBytes``).
+
+    The REBALANCE hint leaves it to adaptive execution to merge small partitions
+    and to split hot ones, by ``cols`` where the write is partitioned by them.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in cols])
+
+
 def write_raw(df: DataFrame, root: str, table: str, run_date: str, run_id: str | None = None) -> str:
     """Write one extraction run; returns its directory."""
     run_id = run_id or uuid.uuid4().hex[:12]
     path = f"{root}/raw/{table}/dt={run_date}/batch={run_id}"
     record_schema(df.sparkSession, root, "raw", table, df.schema)
-    df.write.mode("overwrite").parquet(path)
+    balanced(df).write.mode("overwrite").parquet(path)
     return path
 
 
@@ -100,7 +168,7 @@ def load_raw_to_bronze(spark: SparkSession, root: str, table: str, run_date: str
         LOAD_DATE: F.lit(run_date).cast("date"),
     })
     record_schema(spark, root, "bronze", table, out.schema)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (balanced(out).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(LOAD_DATE).parquet(f"{root}/bronze/{table}"))
 
 
@@ -124,7 +192,7 @@ def publish_snapshot(df: DataFrame, root: str, table: str, catalog_name: str | N
     """
     snapshot_id = snapshot_id or "s"
     path = f"{root}/snapshots/{table}/v={snapshot_id}-{uuid.uuid4().hex[:8]}"
-    df.write.mode("errorifexists").parquet(path)
+    balanced(df).write.mode("errorifexists").parquet(path)
     if catalog_name:
         repoint(df.sparkSession, root, catalog_name, path, df.schema)
     return path
@@ -134,16 +202,20 @@ def repoint(spark: SparkSession, root: str, catalog_name: str, path: str, schema
     """Make ``path`` the table's data.
 
     Columns new to the table are added first (older files read them as NULL),
-    columns it no longer has stay and read as NULL; a changed type raises before
-    anything is switched.
+    columns it no longer has stay and read as NULL. A column with a wider type
+    makes the table anew (its files stay); any other change of a type raises
+    before anything is switched.
     """
     ensure_database(spark, root, catalog_name)
+    if spark.catalog.tableExists(catalog_name):
+        old = spark.table(catalog_name).schema
+        schema = merge_schema(old, schema, catalog_name)
+        if any(f.dataType != schema[f.name].dataType for f in old.fields):
+            spark.sql(f"DROP TABLE {catalog_name}")
     if not spark.catalog.tableExists(catalog_name):
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         spark.sql(f"CREATE TABLE {catalog_name} ({columns}) USING parquet LOCATION '{path}'")
         return
-    old = spark.table(catalog_name).schema
-    merge_schema(old, schema, catalog_name)
     new = [f for f in schema.fields if f.name not in old.fieldNames()]
     if new:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)

@@ -15,12 +15,11 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from tidemart.config import CUSTOMER_SCD, ScdSpec
-from tidemart.operators.scd import compute_scd2_snapshot, dim_stats
-from tidemart.session import materialize, path_exists
-from tidemart.sources import lake
+from tidemart.plans import dimension
+from tidemart.sources import parts
 
 
 def read_landing(spark: SparkSession, landing_glob: str, schema: StructType) -> DataFrame:
@@ -112,67 +111,34 @@ def stream_dedup(spark: SparkSession, landing_glob: str, schema: StructType, out
         return _run(w, out_path, once)
 
 
-BATCH_LOG_SCHEMA = StructType([
-    StructField("batch_id", LongType(), False),
-    StructField("state", StringType(), False),  # "intent" before the publish, "done" after it
-    StructField("base_path", StringType(), True),  # the snapshot the batch is applied to
-    StructField("snapshot_path", StringType(), True),
-])
-
-
-def scd2_batch_writer(root: str, table: str, catalog_name: str, snapshot_col: str,
+def scd2_batch_writer(root: str, table: str, view: str, snapshot_col: str,
                       spec: ScdSpec = CUSTOMER_SCD) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function applying each micro-batch as SCD2 snapshots.
 
     A micro-batch may carry several snapshot dates; they are applied in date
-    order (only the distinct dates reach the driver). Before anything is
-    published, the batch logs its intent with the snapshot it starts from; the
-    result goes to a folder of its own and is logged as done afterwards. A batch
-    run again after a crash at any point starts from the logged base (or, if it
-    was done, only points the table at its result), so no change is applied
-    twice and none is lost.
+    order (only the distinct dates reach the driver), each as one commit of the
+    dimension's parts (``plans.dimension``) called after batch and date. A
+    commit is there or not, and what it replaced stays, so a batch run again
+    after a crash at any point makes the commits that are missing: no change is
+    applied twice and none is lost.
 
     Snapshots dated before the newest version cannot be merged any more. Their
     rows go to ``<root>/_control/<table>_late/batch=<id>`` and the stream goes on.
     """
-    log_path = f"{root}/_control/{table}_batches"
-
-    def log(spark: SparkSession, batch_id: int, state: str, base: str | None, path: str | None) -> None:
-        (spark.createDataFrame([(batch_id, state, base, path)], BATCH_LOG_SCHEMA)
-              .coalesce(1).write.mode("append").parquet(log_path))
-
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        entries = {}
-        if path_exists(spark, log_path):
-            rows = spark.read.schema(BATCH_LOG_SCHEMA).parquet(log_path).filter(F.col("batch_id") == batch_id)
-            entries = {r["state"]: r for r in rows.collect()}  # at most a few rows of one batch
-        if "done" in entries:
-            done = entries["done"]["snapshot_path"]
-            if done and lake.table_location(spark, catalog_name) != done:
-                lake.repoint(spark, root, catalog_name, done, spark.read.parquet(done).schema)
-            return
         dates = sorted(r[0] for r in batch.select(snapshot_col).distinct().collect())
-        if not dates:
-            return
-        base = entries["intent"]["base_path"] if "intent" in entries else lake.table_location(spark, catalog_name)
-        if "intent" not in entries:
-            log(spark, batch_id, "intent", base, None)
-        dim = spark.read.parquet(base) if base else None
-        stats = dim_stats(dim, spec, base) if dim is not None else None
-        newest = stats[1] if stats else None
-        late = [d for d in dates if newest is not None and d < newest]
+        state = parts.load(spark, root, table)
+        done = state.names if state else ()
+        newest = dimension.newest(state)[1]
+        late = [d for d in dates if newest is not None and d < newest and f"{batch_id}:{d}" not in done]
         if late:
-            (batch.filter(F.col(snapshot_col) < F.lit(newest)).write.mode("overwrite")
+            (batch.filter(F.col(snapshot_col).isin(late)).write.mode("overwrite")
                   .parquet(f"{root}/_control/{table}_late/batch={batch_id}"))
-        dates = [d for d in dates if d not in late]
-        for i, d in enumerate(dates):
-            src = batch.filter(F.col(snapshot_col) == F.lit(d)).drop(snapshot_col)
-            dim = compute_scd2_snapshot(dim, src, d, spec=spec, validate_source=True, stats=stats if i == 0 else None)
-            if i < len(dates) - 1:
-                dim = materialize(dim, "stream-scd2")
-        path = lake.publish_snapshot(dim, root, table, catalog_name, f"b{batch_id:09d}") if dates else base
-        log(spark, batch_id, "done", base, path)
+        for d in dates:
+            if d not in late:
+                source = batch.filter(F.col(snapshot_col) == F.lit(d)).drop(snapshot_col)
+                dimension.merge_dimension(spark, root, table, view, source, d, spec, name=f"{batch_id}:{d}")
 
     return apply
 
