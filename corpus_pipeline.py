@@ -7,9 +7,10 @@ the columns of ``docs``. The tables beside ``docs`` are read from ``sf_dir``.
 1. quality_classifier: documents that the co-trained model rejects go.
 2. simhash_near_dedup: of each group of fingerprints at most 4 bits apart the
    document with the smallest id stays (of repeated rows with that id, one).
-3. suffix_array_dedup: bytes in 400-byte strings that start elsewhere too are
-   cut out of the texts; a character that a cut has split goes as a whole, and
-   n_chars is counted anew. No document goes, though a text may become empty.
+3. suffix_array_dedup: bytes in strings of ``PASSAGE_BYTES`` that start elsewhere
+   too are cut out of the texts; a character that a cut has split goes as a whole,
+   and n_chars is counted anew. No document goes, though a text may become empty.
+   Passages of over 50 words are meant: most have at least 275 bytes.
 4. source_mixing: sources are brought to their target weights; a document is
    returned as often as the mix takes it.
 5. packing: windows of 4096 tokens by deficit round-robin, as pieces.
@@ -29,6 +30,8 @@ from tidemart.llm.simhash import keep_one
 from tidemart.llm.suffix_dedup import remove_repeats
 
 ORACLE_SQL = None
+PASSAGE_BYTES = 250
+ANCHORS = (32, 128)  # substrings whose smallest hash deals out windows: short ones, and longer ones for large groups
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +44,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    cut = remove_repeats(docs, as_text=True, carry=others)
+    cut = remove_repeats(docs, length=PASSAGE_BYTES, anchor=ANCHORS[0], long_anchor=ANCHORS[1], as_text=True, carry=others)
     return cut.select(*(F.col("kept").alias("text") if c == "text" else
                         F.char_length("kept").cast("long").alias("n_chars") if c == "n_chars" else F.col(c)
                         for c in docs.columns))
