@@ -201,3 +201,26 @@ def test_license_texts_inside_documents(spark):
     assert lines[7][:2] == (None, "BSD-3-Clause,MIT") and lines[8] == (None, "MIT", 1) and lines[9] == (None, "", 0)
     few = licenses.scan_licenses(df, limit=3).collect()  # shuffled join, shorter beginnings: the same rows
     assert sorted((tuple(r) for r in few), key=str) == got
+
+
+def test_license_lines_that_begin_alike_take_linear_time(spark):
+    import time
+    line = "Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+    mit = next(t for i, t in licenses.default_texts()[len(licenses.NOTICES):] if i == "MIT")
+    times = []
+    for n in (2000, 100000):
+        df = spark.createDataFrame([(1, line * n + "Released under the MIT License.\n" + mit, "x", 1)], DDL)
+        start = time.time()
+        got = licenses.scan_licenses(df).collect()
+        times.append(time.time() - start)
+        assert [tuple(r) for r in got] == [(1, None, "MIT", 1 + sum(bool(x.strip()) for x in mit.split("\n")))]
+    assert times[1] < 60
+
+
+def test_license_overlapping_units_count_each_line_once(spark):
+    known = spark.createDataFrame([("A", "alpha beta gamma delta one\ntwo words here"), ("B", "two words here\nthree more words"),
+                                   ("C", "three more words")], "license_id string, text string")
+    texts = ["x\nalpha beta gamma delta one\n\n two words here!\nthree more words\nz", "three more words\nthree more words"]
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], DDL)
+    got = sorted(tuple(r) for r in licenses.scan_licenses(df, known).collect())
+    assert got == [(0, None, "A,B,C", 3), (1, None, "C", 2)]
