@@ -432,7 +432,7 @@ def test_pipeline_equals_brute_force_stage_by_stage(spark, published):
     assert rows(one) == [r for r, name in zip(before, names) if r[0] == name] and len(set(names)) < len(ids)
 
     before, cut = rows(one), run("suffix_array_dedup", one)
-    texts = kept_texts([r[1].encode() for r in before], 400)
+    texts = kept_texts([r[1].encode() for r in before], corpus_pipeline.PASSAGE_BYTES)
     assert rows(cut) == sorted(((r[0], t, *r[2:4], len(t)) for r, t in zip(before, texts)), key=str)
     assert any(t != r[1] for r, t in zip(before, texts))
 

@@ -143,7 +143,7 @@ class Element:
                         comment = [w for w in words if COMMENT_WORDS.match(w)]
                         rest = [w for w in words if REST_WORDS.match(w)]
                         own = any(MAIN_WORDS.match(w) for w in words)
-                        if comment or rest and not (own and self.article):
+                        if comment or rest and not (own and self.article and UNSURE_WORDS.issuperset(rest)):
                             against += comment + rest
                         elif own:
                             main = True

@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import write_and_read
+from tidemart.operators.keys import dense_keys
 from tidemart.session import share_code
 
 WEIGHTS = (5, 2, 1)
@@ -62,7 +63,7 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     rows = write_and_read(rows, "mix-rows")
     counts = rows.groupBy("source__", "size").agg(F.count(F.lit(1)).alias("n"))
     counts = write_and_read(counts, "mix-counts")
-    goals = write_and_read(source_targets(counts, weights, max_repeat), "mix-goals")
+    goals = source_targets(counts, weights, max_repeat)
     share_code(df.sparkSession)
     plan = counts.join(goals.withColumnRenamed("source__", "s"), F.col("source__").eqNullSafe(F.col("s"))).select(
         "source__", F.col("size").alias("size_p"), "n", "source_size", "target")
@@ -97,25 +98,38 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 def source_targets(counts: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """source__, source_size, target; one row per source.
 
-    With the sources in the order of limit / weight, those below the water line
-    stop at their limit; the line rises until the first source that fits below its
-    limit and falls after it, so it is the highest line that fits.
+    Sources are numbered over fixed ranges of their order, on all tasks, however
+    many there are.
     """
-    sizes = counts.groupBy("source__").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    rank = F.row_number().over(Window.orderBy(F.col("source__").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.pmod(rank, F.lit(len(weights))) + 1).cast("int"))
+    sizes = counts.groupBy("source__").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")).withColumn(
+        "none__", F.col("source__").isNull())
+    numbered = dense_keys(write_and_read(sizes, "mix-sources"), ["none__", "source__"], "rank__", -1)
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)),
+                          (F.pmod(F.col("rank__"), F.lit(len(weights))) + 1).cast("int"))
     limit = (F.col("source_size") * max_repeat).cast("double")
-    order = Window.orderBy("ratio", F.col("source__").asc_nulls_last())
-    upto = order.rowsBetween(Window.unboundedPreceding, -1)
-    onward = order.rowsBetween(0, Window.unboundedFollowing)
-    everything = Window.partitionBy()
-    ranked = (sizes.withColumn("weight", weight).withColumn("limit", limit)
-              .withColumn("ratio", F.col("limit") / F.col("weight"))
-              .withColumn("stopped", F.coalesce(F.sum("limit").over(upto), F.lit(0.0)))
-              .withColumn("line", (F.sum("source_size").over(everything) - F.col("stopped")) / F.sum("weight").over(onward))
-              .withColumn("line", F.max(F.when(F.col("line") <= F.col("ratio"), F.col("line"))).over(everything)))
-    return ranked.select("source__", "source_size", F.least(
-        F.col("limit"), F.coalesce(F.col("line"), F.lit(0.0)) * F.col("weight")).alias("target"))
+    sources = write_and_read(numbered.select("source__", "source_size", weight.alias("weight"), limit.alias("limit")), "mix-sources")
+    line = water_line(sources)
+    return sources.select("source__", "source_size", F.least("limit", F.lit(line) * F.col("weight")).alias("target"))
+
+
+def water_line(sources: DataFrame) -> float:
+    """The line at which the sum of min(limit, line * weight) is the sum of all sizes.
+
+    Newton's steps from below: those that a line stops at their limit leave the
+    rest to the others, which raises the line. The sum is concave and piecewise
+    linear, so the steps end at the exact line, after a few sums in practice.
+    """
+    ratio = F.col("limit") / F.col("weight")
+    start = sources.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    total, line = float(start["size"] or 0), 0.0
+    open_weight, stopped = start["weight"] or 0.0, 0.0
+    while open_weight > 0 and (total - stopped) / open_weight > line:
+        line = (total - stopped) / open_weight
+        below = ratio < F.lit(line)
+        sums = sources.agg(F.sum(F.when(below, F.col("limit")).otherwise(0.0)).alias("stopped"),
+                           F.sum(F.when(below, 0.0).otherwise(F.col("weight"))).alias("open")).first()
+        stopped, open_weight = sums["stopped"], sums["open"]
+    return line
 
 
 def fit_budget(part: pd.DataFrame, exact: int = EXACT, max_repeat: int = MAX_REPEAT) -> pd.DataFrame:
