@@ -248,6 +248,21 @@ def test_a_table_in_parts(spark):
     assert spark.table(f"{db}.t").count() == 0 == parts.read(spark, fourth).count()
 
 
+def test_old_states_are_deleted_after_a_minimum_age(spark):
+    root, db = fresh(spark, "t-clean")
+    paths = [lake.publish_snapshot(spark.range(n), root, "t", f"{db}.t") for n in (1, 2, 3)]
+    assert lake.clean_snapshots(spark, root, "t", f"{db}.t", 1) == []  # too young
+    assert lake.clean_snapshots(spark, root, "t", f"{db}.t", -1) == sorted(p.rsplit("/", 1)[1] for p in paths[:2])
+    assert spark.table(f"{db}.t").count() == 3 and lake.clean_snapshots(spark, root, "none", f"{db}.none", -1) == []
+    state = None
+    for n in (10, 20, 30):
+        state = parts.commit(spark, root, "p", state, spark.range(n), None, key=["id"], n_parts=4)
+    parts.publish(spark, root, state, f"{db}.p")
+    assert parts.clean(spark, root, "p", 1) == [] and len(parts.clean(spark, root, "p", -1)) == 4
+    assert spark.table(f"{db}.p").count() == 30 and parts.load(spark, root, "p") == state
+    assert parts.clean(spark, root, "none", -1) == []
+
+
 def test_a_dimension_rewrites_the_parts_that_change(spark):
     root, db = fresh(spark, "t-dim")
     columns = ["customer_id", "loyalty_tier", "address", "city", "state", "postal_code", "email", "first_name", "last_name",

@@ -12,7 +12,7 @@ with a third of all rows) is divided by sketches of the next component within
 its heavy values, and so on, so a range is large only where all components of
 many rows are equal. Sketches err by a fraction of a range as long as their size
 ``k`` can grow with the number of ranges (to about 1600 ranges), beyond that by
-a few ranges.
+about a range. There are at most ``MAX_RANGES`` ranges.
 """
 
 from __future__ import annotations
@@ -39,6 +39,8 @@ from pyspark.sql.types import (
 )
 
 LOWEST = -(1 << 63)
+MAX_RANGES = 4096
+"""Bounds are constants of the plan; a range of a larger table is larger, and its window spills."""
 _CHUNK = 7  # bytes of a string in one component
 
 
@@ -83,6 +85,7 @@ def range_bounds(df: DataFrame, parts: Sequence[Column], n: int) -> list[list[in
     One aggregation over ``df``, and one more over the rows of heavy values for
     each further component that is needed. At most about 2n numbers are collected.
     """
+    n = min(n, MAX_RANGES)
     names = [f"_c{i}" for i in range(len(parts))]
     values = df.select(*[p.alias(c) for p, c in zip(parts, names)])
     k = min(65535, max(200, 40 * n))

@@ -22,6 +22,7 @@ type on a later day; earlier files are promoted when they are read.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -232,6 +233,32 @@ def table_location(spark: SparkSession, catalog_name: str) -> str | None:
     return rows[0][0]
 
 
+def delete_old(spark: SparkSession, folder: str, live: set[str], min_age_hours: float) -> list[str]:
+    """Delete the folders below ``folder`` that are not ``live`` and were last changed before the minimum age.
+
+    The age keeps what readers of an earlier state may still read and what a
+    running attempt has just written. Only names and times are listed.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    before = (time.time() - min_age_hours * 3600) * 1000
+    kept = {spark._jvm.org.apache.hadoop.fs.Path(x).toUri().getPath() for x in live}
+    gone = []
+    for f in fs.listStatus(path):
+        if f.isDirectory() and f.getModificationTime() < before and f.getPath().toUri().getPath() not in kept:
+            fs.delete(f.getPath(), True)
+            gone.append(f.getPath().getName())
+    return sorted(gone)
+
+
+def clean_snapshots(spark: SparkSession, root: str, table: str, catalog_name: str, min_age_hours: float) -> list[str]:
+    """Delete published snapshots that a table no longer points at; returns their folders' names."""
+    live = table_location(spark, catalog_name)
+    return [] if live is None else delete_old(spark, f"{root}/snapshots/{table}", {live}, min_age_hours)
+
+
 def from_footers(spark: SparkSession, path: str) -> DataFrame:
     """Parquet files whose min, max and count need no column scan.
 
