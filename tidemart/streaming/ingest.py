@@ -112,7 +112,7 @@ def stream_dedup(spark: SparkSession, landing_glob: str, schema: StructType, out
 
 
 def scd2_batch_writer(root: str, table: str, view: str, snapshot_col: str,
-                      spec: ScdSpec = CUSTOMER_SCD) -> Callable[[DataFrame, int], None]:
+                      spec: ScdSpec = CUSTOMER_SCD, n_parts: int = parts.N_PARTS) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function applying each micro-batch as SCD2 snapshots.
 
     A micro-batch may carry several snapshot dates; they are applied in date
@@ -138,15 +138,16 @@ def scd2_batch_writer(root: str, table: str, view: str, snapshot_col: str,
         for d in dates:
             if d not in late:
                 source = batch.filter(F.col(snapshot_col) == F.lit(d)).drop(snapshot_col)
-                dimension.merge_dimension(spark, root, table, view, source, d, spec, name=f"{batch_id}:{d}")
+                dimension.merge_dimension(spark, root, table, view, source, d, spec, name=f"{batch_id}:{d}",
+                                          n_parts=n_parts)
 
     return apply
 
 
 def stream_scd2(spark: SparkSession, landing_glob: str, schema: StructType, root: str, table: str,
                 catalog_name: str, checkpoint: str, snapshot_col: str = "snapshot_date",
-                spec: ScdSpec = CUSTOMER_SCD, once: bool = True) -> StreamingQuery:
+                spec: ScdSpec = CUSTOMER_SCD, once: bool = True, n_parts: int = parts.N_PARTS) -> StreamingQuery:
     src = read_landing(spark, landing_glob, schema)
     w = (src.writeStream.option("checkpointLocation", checkpoint)
-            .foreachBatch(scd2_batch_writer(root, table, catalog_name, snapshot_col, spec)))
+            .foreachBatch(scd2_batch_writer(root, table, catalog_name, snapshot_col, spec, n_parts)))
     return _run(w, None, once)
