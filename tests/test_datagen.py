@@ -26,3 +26,8 @@ def test_generator_is_deterministic(spark):
     b = datagen.seed_customers(keys.repartition(5), "c_custkey").collect()
     key = lambda r: r["customer_id"]
     assert sorted(a, key=key) == sorted(b, key=key)
+
+
+def test_customers_of_one_split_are_made_by_many_tasks(spark):
+    made = datagen.seed_customers(spark.range(0, 4000, 1, 1).withColumnRenamed("id", "k"), "k", duplicates=0)
+    assert made.select(F.spark_partition_id()).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -70,11 +70,35 @@ def sample_n(df: DataFrame, n: int, key: str, seed: str = "sample") -> DataFrame
 def seed_customers(keys: DataFrame, key: str, dirty_rate: float = 0.05,
                    duplicates: int = 5, start_id: int = 1) -> DataFrame:
     """Customers for each key; ``duplicates`` of them re-inserted under new ids."""
+    base = _customers(spread_keys(keys, key), key, dirty_rate, start_id)
+    if duplicates <= 0:
+        return base
+    # Re-inserted copies get fresh ids above every existing one (one scalar
+    # to the driver; the window below numbers only the sampled rows). The
+    # sample is drawn from the ids; attributes are worked out for those it keeps.
+    ids = keys.select(F.col(key), _customer_id(key, start_id))
+    top = ids.agg(F.max("customer_id")).first()[0] or 0
+    drawn = sample_n(ids, duplicates, "customer_id", "dupe").select(key)
+    dup = _customers(drawn, key, dirty_rate, start_id).withColumn(
+        "customer_id", (F.lit(top) + F.row_number().over(Window.orderBy("customer_id"))).cast("bigint"))
+    return base.unionByName(dup)
+
+
+def spread_keys(keys: DataFrame, key: str) -> DataFrame:
+    """``keys`` dealt evenly to tasks: every row costs some twenty digests, and a key column may lie in a single split."""
+    return keys.select(key).repartition(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+def _customer_id(key: str, start_id: int) -> Column:
+    return (F.col(key) + start_id).cast("bigint").alias("customer_id")
+
+
+def _customers(keys: DataFrame, key: str, dirty_rate: float, start_id: int) -> DataFrame:
     k = F.col(key)
     dirty = _chance(k, "dirty", dirty_rate)
     last = _word(k, "last", 3)
-    base = keys.select(
-        (k + start_id).cast("bigint").alias("customer_id"),
+    return keys.select(
+        _customer_id(key, start_id),
         _word(k, "first").alias("first_name"),
         F.when(dirty, F.upper(last)).otherwise(last).alias("last_name"),
         F.when(dirty & _chance(k, "nomail", 0.3), F.lit(None).cast("string"))
@@ -88,15 +112,6 @@ def seed_customers(keys: DataFrame, key: str, dirty_rate: float = 0.05,
         F.lit("USA").alias("country"),
         _pick(k, "tier", list(VALID_TIERS)).alias("loyalty_tier"),
     )
-    if duplicates <= 0:
-        return base
-    # Re-inserted copies get fresh ids above every existing one (one scalar
-    # to the driver; the window below numbers only the sampled rows).
-    top = base.agg(F.max("customer_id")).first()[0] or 0
-    dup = (sample_n(base, duplicates, "customer_id", "dupe")
-           .withColumn("customer_id", (F.lit(top) + F.row_number().over(Window.orderBy("customer_id")))
-                       .cast("bigint")))
-    return base.unionByName(dup)
 
 
 def seed_products(keys: DataFrame, key: str, start_id: int = 1) -> DataFrame:
