@@ -85,3 +85,16 @@ def test_dense_keys_on_large_shuffled_input(spark):
     got = dense_keys(df, ["k"], "sk", num_buckets=6)
     ref = df.withColumn("ref", F.row_number().over(Window.orderBy("k")))
     assert got.join(ref, "k").filter(F.col("sk") != F.col("ref")).count() == 0
+
+
+def test_unique_keys_fill_no_map_and_a_hot_key_is_added_up_first(spark):
+    many = spark.range(20000).select(F.concat(F.lit("k"), "id").alias("k"))
+    twice = many.unionByName(many.limit(3))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    found = key_uniqueness(twice, ["k"])
+    assert "partial_count" not in plan(found)  # an exchange of keys, no map of them in a split
+    assert found.count() == 3 and {r["n_rows"] for r in found.collect()} == {2}
+    hot = many.unionByName(spark.range(30000).select(F.lit("hot").alias("k"))).unionByName(spark.range(9000).select(F.lit(None).cast("string").alias("k")))
+    found = key_uniqueness(hot, ["k"])
+    assert plan(found).count("partial_count") == 1
+    assert {(r["k"], r["n_rows"]) for r in found.collect()} == {("hot", 30000), (None, 9000)}

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemart.functions import DQ_VALID
@@ -150,8 +151,7 @@ def key_uniqueness_all(checks: Sequence[tuple[str, DataFrame, Sequence[str]]]) -
     """Repeated keys of several tables (name, table, key columns).
 
     Single integer keys: only rows in buckets whose bitmap has fewer bits than
-    rows are grouped (``operators.bitmaps``). Other keys: one partially
-    aggregated group-by.
+    rows are counted key by key (``operators.bitmaps``). Other keys: all rows are.
     """
     single = [(name, df, keys[0]) for name, df, keys in checks if len(keys) == 1]
     mapped = bitmaps.dense(single)
@@ -159,6 +159,7 @@ def key_uniqueness_all(checks: Sequence[tuple[str, DataFrame, Sequence[str]]]) -
     if mapped:
         buckets = materialize(bitmaps.repeated_buckets([s for s in single if s[0] in mapped]), "repeated-buckets")
         counts = bitmaps.counted(buckets)
+    heavy = _heavy_groups(checks)
     out = {}
     for name, df, keys in checks:
         rows = df
@@ -166,8 +167,42 @@ def key_uniqueness_all(checks: Sequence[tuple[str, DataFrame, Sequence[str]]]) -
             missing = df.filter(F.col(keys[0]).isNull())
             found = bitmaps.rows_of((name, df, keys[0]), buckets, counts)
             rows = missing if found is None else found.unionByName(missing)
-        out[name] = (rows.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
-                         .filter(F.col("n_rows") > 1))
+        out[name] = _repeated(rows.select(*keys), keys, heavy.get(name, []))
+    return out
+
+
+KEY_GROUPS = 1024
+
+
+def _key_group(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(KEY_GROUPS))
+
+
+def _heavy_groups(checks: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> dict[str, list[int]]:
+    """Of the ``KEY_GROUPS`` groups of each table's keys those with over four times their share of rows (one pass over the keys)."""
+    groups = reduce(DataFrame.unionAll, [df.select(F.lit(name).alias("name"), _key_group(keys).alias("at")) for name, df, keys in checks])
+    sizes = {}
+    for r in groups.groupBy("name", "at").count().collect():  # at most KEY_GROUPS rows per table
+        sizes.setdefault(r["name"], {})[r["at"]] = r["count"]
+    return {name: [g for g, n in of.items() if n > 4 * sum(of.values()) / KEY_GROUPS + 1000] for name, of in sizes.items()}
+
+
+def _repeated(rows: DataFrame, keys: Sequence[str], heavy: list[int]) -> DataFrame:
+    """Keys of ``rows`` that occur more than once, with their count.
+
+    Most keys occur once, so a partial aggregation would hold nearly every key of
+    a split in memory and send them all on: keys are exchanged as they are, and
+    counted in sorted order. Rows of the ``heavy`` groups, where a hot key is, do
+    aggregate before the exchange.
+    """
+    apart = _key_group(keys).isin(heavy)
+    run = Window.partitionBy(*keys).orderBy(*keys)
+    n = F.count(F.lit(1)).over(run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    out = (rows.filter(~apart) if heavy else rows).select(*keys, n.cast("bigint").alias("n_rows"), F.row_number().over(run).alias("_place"))
+    out = out.filter((F.col("n_rows") > 1) & (F.col("_place") == 1)).drop("_place")
+    if heavy:
+        hot = rows.filter(apart).groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+        out = out.unionByName(hot.filter(F.col("n_rows") > 1))
     return out
 
 
