@@ -365,3 +365,10 @@ def test_release_deletes_what_was_made(spark):
         session._MADE[spark] = kept
 
 
+def test_layers_are_written_as_the_source_is_split(spark):
+    root, _ = fresh(spark, "t-splits")
+    files = lambda layer: len(list(pathlib.Path(root).glob(f"{layer}/t/**/part-*.parquet")))
+    lake.write_raw(spark.range(0, 1000, 1, 5), root, "t", "2031-01-02")
+    assert files("raw") == 5  # no exchange has merged them
+    lake.load_raw_to_bronze(spark, root, "t", "2031-01-02")
+    assert lake.read_bronze(spark, root, "t").count() == 1000

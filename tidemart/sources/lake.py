@@ -42,6 +42,8 @@ from pyspark.sql.types import (
 from tidemart.session import path_exists
 
 LOAD_DATE = "_load_date"
+PACKED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
+"""How the layers' files are written: once for each layer and day, so their size counts more than the time to pack them."""
 
 
 def stored_schema(spark: SparkSession, root: str, layer: str, table: str) -> StructType | None:
@@ -135,11 +137,15 @@ def balanced(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def write_raw(df: DataFrame, root: str, table: str, run_date: str, run_id: str | None = None) -> str:
-    """Write one extraction run; returns its directory."""
+    """Write one extraction run; returns its directory.
+
+    Rows go from the source's splits to the files as they come, without an
+    exchange: a scan has merged small files and cut large ones already.
+    """
     run_id = run_id or uuid.uuid4().hex[:12]
     path = f"{root}/raw/{table}/dt={run_date}/batch={run_id}"
     record_schema(df.sparkSession, root, "raw", table, df.schema)
-    balanced(df).write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**PACKED).parquet(path)
     return path
 
 
@@ -159,6 +165,7 @@ def load_raw_to_bronze(spark: SparkSession, root: str, table: str, run_date: str
 
     Idempotent per date (dynamic partition overwrite); new source columns are
     accepted and old files read them as NULL (the stored schema has them all).
+    The load is a copy by the scan's splits, without an exchange.
     """
     if not run_date:
         raise ValueError("run_date is required")
@@ -169,8 +176,8 @@ def load_raw_to_bronze(spark: SparkSession, root: str, table: str, run_date: str
         LOAD_DATE: F.lit(run_date).cast("date"),
     })
     record_schema(spark, root, "bronze", table, out.schema)
-    (balanced(out).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(LOAD_DATE).parquet(f"{root}/bronze/{table}"))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .options(**PACKED).partitionBy(LOAD_DATE).parquet(f"{root}/bronze/{table}"))
 
 
 def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -181,7 +188,7 @@ def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def publish_snapshot(df: DataFrame, root: str, table: str, catalog_name: str | None = None,
-                     snapshot_id: str | None = None) -> str:
+                     snapshot_id: str | None = None, balance: bool = True) -> str:
     """Write a new immutable snapshot directory, then repoint the table to it.
 
     Readers of the previous snapshot are never disturbed (Parquet cannot be
@@ -189,11 +196,13 @@ def publish_snapshot(df: DataFrame, root: str, table: str, catalog_name: str | N
     directory is unique per attempt, so a failed or repeated run never meets its
     own leftovers. Snapshots are not bucketed: a join on the key stays an
     ordinary exchange that adaptive execution can split at a hot key, and the
-    rows never depend on a partition count of the session.
+    rows never depend on a partition count of the session. ``balance=False``
+    writes ``df`` as it is dealt: for a join's result, whose partitions adaptive
+    execution has merged and split already.
     """
     snapshot_id = snapshot_id or "s"
     path = f"{root}/snapshots/{table}/v={snapshot_id}-{uuid.uuid4().hex[:8]}"
-    balanced(df).write.mode("errorifexists").parquet(path)
+    (balanced(df) if balance else df).write.mode("errorifexists").options(**PACKED).parquet(path)
     if catalog_name:
         repoint(df.sparkSession, root, catalog_name, path, df.schema)
     return path
