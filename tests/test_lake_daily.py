@@ -372,3 +372,48 @@ def test_layers_are_written_as_the_source_is_split(spark):
     assert files("raw") == 5  # no exchange has merged them
     lake.load_raw_to_bronze(spark, root, "t", "2031-01-02")
     assert lake.read_bronze(spark, root, "t").count() == 1000
+
+
+def test_silver_moves_rows_once(spark, monkeypatch):
+    root, db = fresh(spark, "t-once")
+    cat = daily.Catalog(prefix=db)
+    for layer in ("silver", "gold"):
+        session.remember(spark, "databases", f"{db}_{layer}")
+    plans, kept, balanced = {}, parts.commit, []
+
+    def commit(spark, root, table, state, rows, *args, **kwargs):
+        plans.setdefault(table, []).append(rows._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return kept(spark, root, table, state, rows, *args, **kwargs)
+
+    monkeypatch.setattr(parts, "commit", commit)
+    monkeypatch.setattr(lake, "balanced", lambda df, *cols: balanced.append(cols) or df)
+    for day, sources in (("2026-05-01", queries.adapter_sources(spark, SF)), ("2026-06-02", td.day_two_sources(spark, SF))):
+        daily.run_extract(sources, root, day)
+        daily.run_bronze(spark, root, day)
+        daily.run_silver(spark, root, cat, day)
+    silver = {table: counts for table, counts in plans.items() if table.startswith("silver_")}
+    assert not balanced and len(silver) == 5
+    assert all(counts[0] == 1 for counts in silver.values())
+    assert silver["silver_customers"] == [1, 1]
+
+
+@pytest.mark.parametrize("slice_rows", [1_000_000, 20])  # without and with a hot key
+def test_silver_of_part_of_the_keys_and_a_hot_one(spark, monkeypatch, slice_rows):
+    monkeypatch.setattr(parts, "SLICE_ROWS", slice_rows)
+    root, db = fresh(spark, "t-kept")
+    cat = daily.Catalog(prefix=db)
+    for layer in ("silver", "gold"):
+        session.remember(spark, "databases", f"{db}_{layer}")
+    other = small_sources(spark)
+    products = lambda rows: spark.createDataFrame(
+        [(i, sku, datetime(2031, 1, 1)) for i, sku in rows], "product_id long, sku string, updated_at timestamp_ntz")
+    days = {"2031-01-02": [*((i, "A") for i in range(300)), (None, "N")],
+            "2031-01-03": [*((i, "B") for i in range(200)), *((7, f"h{i:04d}") for i in range(1000)), (None, "M")]}
+    for day, rows in days.items():
+        assert parts.spread(products(rows), ["product_id"], 16).hot == (slice_rows == 20 and day == "2031-01-03")
+        daily.run_extract({**other, "products": products(rows)}, root, day)
+        daily.run_bronze(spark, root, day)
+        daily.run_silver(spark, root, cat, day)
+    found = sorted((r["product_id"] or -1, r["sku"]) for r in spark.table(cat.name("silver", "products")).collect() if r["product_id"] != 0)
+    want = {i: "B" if i < 200 else "A" for i in range(1, 300)} | {7: "B", -1: "M"}
+    assert found == sorted(want.items())
