@@ -417,3 +417,15 @@ def test_silver_of_part_of_the_keys_and_a_hot_one(spark, monkeypatch, slice_rows
     found = sorted((r["product_id"] or -1, r["sku"]) for r in spark.table(cat.name("silver", "products")).collect() if r["product_id"] != 0)
     want = {i: "B" if i < 200 else "A" for i in range(1, 300)} | {7: "B", -1: "M"}
     assert found == sorted(want.items())
+
+
+def test_facts_are_written_as_the_join_deals_them(spark, monkeypatch):
+    root, db = fresh(spark, "t-facts")
+    cat = daily.Catalog(prefix=db)
+    for layer in ("silver", "gold"):
+        session.remember(spark, "databases", f"{db}_{layer}")
+    balanced, whole = [], lake.balanced
+    monkeypatch.setattr(lake, "balanced", lambda df, *cols: balanced.append(df.columns) or whole(df, *cols))
+    daily.run_daily(spark, small_sources(spark), root, "2031-01-02", cat)
+    assert not [c for c in balanced if "line_total" in c]
+    assert spark.table(cat.name("gold", "fact_sales")).count() == 1
