@@ -455,3 +455,31 @@ def test_pipeline_equals_brute_force_stage_by_stage(spark, published):
         assert zlib.crc32(part) == p["ids_crc32"]
         seen[p["doc_id"]] += p["length"]
     assert seen == {i: len(x) for i, x in encoded.items()}
+
+
+def test_rare_words_do_not_drive_out_frequent_ones(monkeypatch):
+    from tokenizers import Tokenizer
+
+    from tidemart.llm import tokens
+    import public_tokenizers
+    monkeypatch.setattr(tokens, "TABLE_SIZE", 40)
+    tokens.encoder.cache_clear()
+    seen, real = [], Tokenizer.from_file(public_tokenizers.path(tokens.DEFAULT_FILE))
+
+    class Told:
+        model = real.model
+        get_vocab_size = real.get_vocab_size
+
+        def encode(self, text, **how):
+            seen.append(text)
+            return real.encode(text, **how)
+
+    monkeypatch.setattr(Tokenizer, "from_file", lambda path: Told())
+    try:
+        texts = [f"x1 {i}-{i} y2 {i}+{i}" for i in range(200)]
+        got = tokens.encoder(None)([t.encode() for t in texts])
+    finally:
+        tokens.encoder.cache_clear()
+    assert seen.count("x1") == seen.count("y2") == 1  # met again in every text
+    want = [b"".join(i.to_bytes(2, "little") for i in real.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert got == want

@@ -2,8 +2,9 @@
 
 ``encoder(path)`` gives a function from texts to ids. Words are cut at the six
 ASCII white space characters, at which the vocabulary's own pre-tokenizer cuts
-too, and each distinct word is encoded once and kept in a bounded table of the
-Python worker. A word of Latin letters with plain punctuation after it goes
+too, and words are kept with their ids in a bounded table of the Python worker: of
+two halves the older one goes when the younger one is full, and a word that is
+met again moves to the younger, so frequent words stay when rare ones fill the table. A word of Latin letters with plain punctuation after it goes
 straight to the vocabulary's merges; any other word goes through the whole
 published pipeline, so the ids are those of encoding the text at once.
 """
@@ -14,8 +15,7 @@ import os
 import re
 from collections.abc import Callable
 from functools import lru_cache
-
-import numpy as np
+from struct import pack
 
 DEFAULT_FILE = "word_bpe_49k.json"
 TABLE_SIZE = 150_000
@@ -44,38 +44,45 @@ def encoder(path: str | None = None) -> Callable[[list[bytes]], list[bytes]]:
     model, letters = tok.model, byte_letters()
     latin = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
     pieces: dict[str, bytes] = {}
+    older_pieces: dict[str, bytes] = {}
     table: dict[bytes, bytes] = {}
+    older: dict[bytes, bytes] = {}
 
-    def ids(numbers: list[int]) -> bytes:
-        return np.array(numbers, dtype="<u2").tobytes()
+    two = [pack("<H", i) for i in range(tok.get_vocab_size())]
 
     def piece(text: str) -> bytes:
+        nonlocal pieces, older_pieces
         found = pieces.get(text)
         if found is None:
-            if len(pieces) >= TABLE_SIZE:
-                pieces.clear()
-            found = ids([t.id for t in model.tokenize(text if text.isascii() else text.translate(latin))])
+            found = older_pieces.get(text)
+            if found is None:
+                found = b"".join([two[t.id] for t in model.tokenize(text if text.isascii() else text.translate(latin))])
+            if len(pieces) >= TABLE_SIZE // 2:
+                pieces, older_pieces = {}, pieces
             pieces[text] = found
         return found
 
     def word(raw: bytes) -> bytes:
+        if raw.isalpha():  # ASCII letters alone
+            return piece(raw.lower().decode())
         text = raw.decode("utf-8", "replace")
         plain = PLAIN.match(text)
         if plain is None:
-            return ids(tok.encode(text, add_special_tokens=False).ids)
+            return b"".join([two[i] for i in tok.encode(text, add_special_tokens=False).ids])
         head, tail = plain.groups()
         return piece(head.lower()) + (piece(tail) if tail else b"")
 
     def encode(texts: list[bytes]) -> list[bytes]:
+        nonlocal table, older
         out = []
         for t in texts:
             words = t.split()
-            missing = [w for w in set(words) if w not in table]
-            if len(table) + len(missing) > TABLE_SIZE:
-                table.clear()
+            missing = set(words).difference(table)
+            if len(table) + len(missing) > TABLE_SIZE // 2:
+                table, older = {}, table
                 missing = set(words)
             for w in missing:
-                table[w] = word(w)
+                table[w] = older.get(w) or word(w)
             out.append(b"".join([table[w] for w in words]))
         return out
 
