@@ -429,3 +429,58 @@ def test_facts_are_written_as_the_join_deals_them(spark, monkeypatch):
     daily.run_daily(spark, small_sources(spark), root, "2031-01-02", cat)
     assert not [c for c in balanced if "line_total" in c]
     assert spark.table(cat.name("gold", "fact_sales")).count() == 1
+
+
+def test_totals_are_not_moved_to_the_fact_join(spark, monkeypatch):
+    root, db = fresh(spark, "t-totals")
+    cat = daily.Catalog(prefix=db)
+    for layer in ("silver", "gold"):
+        session.remember(spark, "databases", f"{db}_{layer}")
+    plans, whole = [], lake.publish_snapshot
+    monkeypatch.setattr(lake, "publish_snapshot", lambda df, *args: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or whole(df, *args))
+    daily.run_daily(spark, queries.adapter_sources(spark, SF), root, "2031-01-02", cat)
+    assert len(plans) == 1 and "ReadSchema" in plans[0]
+    assert not [line for line in plans[0].splitlines() if "ReadSchema" in line and "line_total" in line]
+    fact, items = spark.table(cat.name("gold", "fact_sales")), spark.table(cat.name("silver", "order_items"))
+    both = fact.join(items.withColumnRenamed("line_total", "stored"), "order_item_id")
+    assert both.count() == fact.count() > 0 and both.filter(~F.col("line_total").eqNullSafe(F.col("stored"))).count() == 0
+
+
+@pytest.mark.parametrize("earlier", [False, True])  # whether the first day's bronze has changed since
+def test_a_day_again_reads_the_runs_that_came_since(spark, monkeypatch, earlier):
+    root, db = fresh(spark, "t-again")
+    cat = daily.Catalog(prefix=db)
+    for layer in ("silver", "gold"):
+        session.remember(spark, "databases", f"{db}_{layer}")
+    read, kept = {}, parts.spread
+
+    def spread(rows, keys, n_parts):
+        read[keys[0]] = rows.count()
+        return kept(rows, keys, n_parts)
+
+    monkeypatch.setattr(parts, "spread", spread)
+    other = small_sources(spark)
+    products = lambda rows: spark.createDataFrame(
+        [(i, sku, datetime(2031, 1, 1)) for i, sku in rows], "product_id long, sku string, updated_at timestamp_ntz")
+
+    def load(day, rows, silver=True):
+        daily.run_extract({**other, "products": products(rows)}, root, day)
+        daily.run_bronze(spark, root, day)
+        if silver:
+            daily.run_silver(spark, root, cat, day)
+
+    load("2031-01-02", [(i, "A") for i in range(300)])
+    load("2031-01-03", [(i, "B") for i in range(200)])
+    if earlier:
+        load("2031-01-02", [(i, "C") for i in range(250, 310)], silver=False)
+    load("2031-01-03", [*((i, "D") for i in range(100, 250)), (400, "D")])
+    want = {i: "A" for i in range(300)} | ({i: "C" for i in range(250, 310)} if earlier else {})
+    want |= {i: "B" for i in range(200)} | {i: "D" for i in [*range(100, 250), 400]}
+    found = lambda: {r["product_id"]: r["sku"] for r in spark.table(cat.name("silver", "products")).collect()}
+    assert read["product_id"] == (300 + 60 + 200 + 151 if earlier else 151) and found() == want
+    load("2031-01-03", [(5, "E")])
+    assert read["product_id"] == 1 and found() == want | {5: "E"}
+    daily.run_silver(spark, root, cat)  # without a date: from all of bronze
+    assert read["product_id"] > 300 and found() == want | {5: "E"}
+    assert spark.table(cat.name("silver", "products")).count() == len(want)
