@@ -1,5 +1,6 @@
 """Suffix-array dedup, SimHash, quality rules, licences: against brute force on small texts."""
 
+import hashlib
 import random
 
 import duckdb
@@ -9,12 +10,13 @@ from brute import fingerprint, fingerprint_components, repeats, without_repeats
 from pyspark.sql import functions as F
 
 from tidemart.llm import licenses, simhash
+from tidemart.llm.common import write_and_read
 from tidemart.llm.components import connected_components
 from tidemart.llm.oracle import ORACLE_SQL
 from tidemart.llm.quality_rules import repetition_rules
 from tidemart.llm.queries import QUERIES
 from tidemart.llm.rindex import long_matches
-from tidemart.llm.suffix_dedup import remove_repeats
+from tidemart.llm.suffix_dedup import count_windows, meet, remove_repeats
 
 SF = "/root/testdata/sf0.001"
 DDL = "doc_id long, text string, hash string, n long"  # two columns that clash with inner names
@@ -40,6 +42,30 @@ def test_suffix_dedup_equals_brute_force(spark, length, anchor, group_bytes):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
 
 
+def test_periodic_text_counts_each_window_once(spark):
+    texts = [b"ab" * 500, b"ab" * 300 + b"c", b"xyz" * 40, b"xyz" * 6 + b"0123456789"]
+    rows = [(i, i, 1, i, 0, 0, bytearray(t)) for i, t in enumerate(texts)]
+    pieces = spark.createDataFrame(rows, "k_id long, k_text long, hash long, d0 long, d1 long, begin long, piece binary")
+    found = count_windows(pieces, 20).collect()
+    assert len(found) < 20  # not a row for each of 1,700 windows, nor 491 of them with one digest
+    want = without_repeats(texts, 20)
+    for i, (t, w) in enumerate(zip(texts, want)):
+        gone = {p for r in found if r["k_id"] == i for p in range(r["begin"], r["stop"])}
+        kept = bytes(c for p, c in enumerate(t) if p not in gone)
+        assert (len(gone), hashlib.sha256(kept).hexdigest()) == (w[1], w[3])
+
+
+def test_frequent_keys_meet_without_a_shuffle(spark):
+    path = write_and_read(spark.range(6000).select("id", F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"),
+                                                   F.col("id").alias("v")), "test-meet")
+    counted = path.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("k < 3000")
+    found = meet(path, counted, ["k"], share=100)
+    assert found.columns == path.columns
+    assert {r["id"] for r in found.collect()} == {i for i in range(6000) if i % 2 == 0 or i < 3000}
+    per_task = meet(path, counted, ["k"], share=100).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert per_task < 3000  # the key of half the rows is not one task
+
+
 def test_suffix_dedup_as_text_drops_split_characters(spark):
     df = spark.createDataFrame([(1, "é" + "a" * 9 + "z", "s"), (2, "è" + "a" * 9 + "y", "s")],
                                "doc_id long, text string, source string")
