@@ -9,7 +9,7 @@ from brute import cosine_links, water_fill
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemart.llm import mixing, quality_classifier, toxicity
+from tidemart.llm import embedding_dedup, mixing, quality_classifier, toxicity
 from tidemart.llm.embedding_dedup import embedding_components
 from tidemart.llm.html_extract import Flow, extract, extract_main_text
 from tidemart.llm.packing import pack_mixture
@@ -161,6 +161,30 @@ def test_embeddings_empty_table(spark):
     assert embedding_components(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_pairs_of_vectors_are_not_moved(spark, monkeypatch):
+    # chunks meet where they lie: copies of vectors for every pair of chunks passed an exchange before
+    plans, write = [], embedding_dedup.write_and_read
+    def noted(df, label, *options):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, label, *options)
+    monkeypatch.setattr(embedding_dedup, "write_and_read", noted)
+    rng = np.random.default_rng(3)
+    vectors = [*rng.normal(size=(300, 16)), *(np.ones(16) + rng.normal(size=(300, 16)) * .1)]  # apart, and all linked
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    out = embedding_components(df, cell_rows=8, visitor_rows=16).collect()
+    want = [(i, *x) for (i, _), x in zip(rows, cosine_links([r[0] for r in rows], [r[1] for r in rows], 0.9))]
+    assert sorted(tuple(r)[:3] for r in out) == want and sum(w[2] == 300 for w in want) == 300
+    join = dict(plans)["vector-links"]
+    assert "Exchange" not in join and "CartesianProduct" in join
+
+
+def test_signs_of_zero_and_lengths_of_vectors(spark):
+    rows = [(1, [0.0, 1.0]), (2, [-0.0, 1.0]), (3, [0.0, 1.0, 0.0]), (4, [-0.0, 2.0]), (5, None), (6, [-0.0, 0.0])]
+    out = embedding_components(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), cell_rows=1).collect()
+    assert sorted(tuple(r)[:3] for r in out) == [(1, 2, 1), (2, 2, 1), (3, 0, 3), (4, 2, 1), (5, 0, 5), (6, 0, 6)]
+
+
 PAGES = [
     ("<p>a<b>b</b>c &lt;d&gt; &#233;&eacute;<script>if(a<b)x('</p>')</script> e", "abc <d> éé e"),
     ("<body><header><h1>Site</h1></header><nav><a href=x>Home</a></nav><div class=content><h1>Title here</h1><p>One two "
