@@ -1,3 +1,5 @@
+import pathlib
+import shutil
 import uuid
 from datetime import datetime
 
@@ -39,6 +41,35 @@ def test_bronze_load_is_idempotent_and_merges_schema(spark):
     assert len(rows) == 2 and sorted(str(r["extra"]) for r in rows) == ["None", "x"]
 
 
+def test_bronze_keeps_the_runs_that_it_has(spark):
+    # a date loaded again was written anew with all its runs
+    root = scratch_dir(spark, "t-runs")
+    rows = lambda n: spark.createDataFrame([(i, "a", datetime(2026, 1, 1)) for i in range(n)], SCHEMA).coalesce(2)
+    folder = pathlib.Path(root) / "bronze" / "t" / f"{lake.LOAD_DATE}=2026-01-01"
+    files = lambda: {f.name for f in folder.glob("part-*.parquet")}
+    ids = lambda: sorted(r["id"] for r in lake.read_bronze(spark, root, "t").collect())
+    lake.write_raw(rows(5), root, "t", "2026-01-01", "r1")
+    lake.load_raw_to_bronze(spark, root, "t", "2026-01-01")
+    first = files()
+    lake.load_raw_to_bronze(spark, root, "t", "2026-01-01")
+    assert files() == first
+    lake.write_raw(rows(3).withColumn("extra", F.lit("x")), root, "t", "2026-01-01", "r2")
+    lake.load_raw_to_bronze(spark, root, "t", "2026-01-01")
+    second = files()
+    assert first < second and ids() == sorted([*range(5), *range(3)])
+    assert lake.read_bronze(spark, root, "t").where("extra = 'x' and _source_file like '%batch=r2%'").count() == 3
+    # a load that broke off, a run that raw has in other files or has no more: the date is written anew
+    next(folder.glob(sorted(second - first)[0])).unlink()
+    lake.load_raw_to_bronze(spark, root, "t", "2026-01-01")
+    assert not second & files() and ids() == sorted([*range(5), *range(3)])
+    lake.write_raw(rows(4), root, "t", "2026-01-01", "r1")
+    lake.load_raw_to_bronze(spark, root, "t", "2026-01-01")
+    assert ids() == sorted([*range(4), *range(3)])
+    shutil.rmtree(f"{root}/raw/t/dt=2026-01-01/batch=r2")
+    lake.load_raw_to_bronze(spark, root, "t", "2026-01-01")
+    assert ids() == [*range(4)]
+
+
 def test_snapshot_publish_repoints_table(spark):
     root = scratch_dir(spark, "t-snap")
     name = f"tm_{uuid.uuid4().hex[:6]}_gold.t"

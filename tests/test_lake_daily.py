@@ -1,6 +1,7 @@
 """Publishing, repeated days, ids at any size, clean-up."""
 
 import pathlib
+import time
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -484,3 +485,31 @@ def test_a_day_again_reads_the_runs_that_came_since(spark, monkeypatch, earlier)
     daily.run_silver(spark, root, cat)  # without a date: from all of bronze
     assert read["product_id"] > 300 and found() == want | {5: "E"}
     assert spark.table(cat.name("silver", "products")).count() == len(want)
+
+
+def test_a_day_leaves_no_shuffle_files_and_scratch(spark):
+    # they stayed until the driver collected its garbage and until release
+    root, db = fresh(spark, "t-freed")
+    cat = daily.Catalog(prefix=db)
+    for layer in ("silver", "gold"):
+        session.remember(spark, "databases", f"{db}_{layer}")
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    shuffles = lambda: {f for d in folders for f in pathlib.Path(d).glob("*/shuffle_*.data")}
+    scratch = lambda: set((pathlib.Path(root).parent).iterdir())
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    conf, files, made = spark.conf.get(key), shuffles(), scratch()
+    for day, tier, seen in (("2031-01-02", "gold", 1), ("2031-01-03", "silver", 2), ("2031-01-03", "silver", 2)):
+        sources = small_sources(spark, tier=tier, seen=datetime(2031, 1, seen))
+        daily.run_extract(sources, root, day)
+        daily.run_bronze(spark, root, day)
+        daily.run_silver(spark, root, cat, day)
+        report = daily.run_gold(spark, root, cat, date.fromisoformat(day))
+    left = []
+    for _ in range(50):  # they are removed in the background
+        left = shuffles() - files
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left and spark.conf.get(key) == conf
+    assert scratch() - made == {pathlib.Path(root)}
+    assert [r["loyalty_tier"] for r in report.collect()] == ["SILVER"] == [r["loyalty_tier"] for r in report.collect()]
